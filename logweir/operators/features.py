@@ -1,5 +1,7 @@
 """Model features of parsed DNS records."""
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ def dns_features(df: DataFrame, extension_mode: str = "substring") -> DataFrame:
 def with_value_count(df: DataFrame, group: str, value: str, tie: str, out: str) -> DataFrame:
     """Add how many rows of the group have a value up to and including this one's; 0 for null."""
     running = running_value_count(df, [group], value, out)
-    hot = hot_keys(running, [group, value], "n")
+    hot = partial(hot_keys, running, [group, value], "n")
     counted = lookup_join(df, running.drop("n"), [group, value], "left", [tie], hot)
     return counted.select(*df.columns, F.coalesce(out, F.lit(0)).cast("bigint").alias(out))
 

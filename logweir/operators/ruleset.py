@@ -133,6 +133,15 @@ DEFAULT_RULES = [
 ]
 
 
+def paced(rules: list[Rule], frequency: int, slower: int) -> list[Rule]:
+    """The frequency rules among ``rules`` for logs that are ``slower`` times as sparse."""
+    return [
+        r._replace(frequency=frequency, timeframe=r.timeframe * slower)
+        for r in rules
+        if r.counted_rule is not None
+    ]
+
+
 def rules_table(spark: SparkSession, rules: list[Rule] = DEFAULT_RULES) -> DataFrame:
     return spark.createDataFrame(rules, SCHEMA)
 
@@ -159,7 +168,7 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
     )
 
     def items(text, separator):
-        return F.filter(F.transform(F.split(text, separator), F.trim), lambda item: item != "")
+        return F.filter(F.transform(F.split(text, separator), lambda item: F.trim(item)), lambda item: item != "")
 
     tags = F.flatten(F.transform("group", lambda text: items(text, ",")))
     return xml.select(

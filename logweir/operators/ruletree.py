@@ -10,7 +10,7 @@ hits of the rule it counts, within the last ``timeframe`` seconds, reach ``frequ
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logweir.operators.idrules import CODE
@@ -107,8 +107,11 @@ def alerting(rules: list[Rule]) -> list[Rule]:
 
 
 def rule_hits(matched: DataFrame) -> DataFrame:
-    """One row (owner, srcip, epoch_timestamp, rule_id) per record and rule."""
-    return matched.select("owner", "srcip", "epoch_timestamp", F.explode("matched").alias("rule_id"))
+    """One row (owner, srcip, epoch_timestamp, rule_id) per record and rule, with any ``event_time``."""
+    kept = [c for c in ("owner", "srcip", "epoch_timestamp", "event_time") if c in matched.columns]
+    # The outer form, as the plain one makes Spark infer a filter that tries every pattern a second time.
+    hits = matched.select(*kept, F.explode_outer("matched").alias("rule_id"))
+    return hits.filter(F.col("rule_id").isNotNull())
 
 
 def rule_alerts(matched: DataFrame, rules: list[Rule], rules_df: DataFrame) -> DataFrame:
@@ -128,51 +131,61 @@ def rule_alerts(matched: DataFrame, rules: list[Rule], rules_df: DataFrame) -> D
     )
 
 
-def hits_per_second(hits: DataFrame, rule: Rule) -> DataFrame:
-    """Hits of the rule that ``rule`` counts, per owner, source and second.
-
-    The source is empty where ``rule`` counts over all sources.
-    """
-    source = F.col("srcip") if rule.same_source else F.lit("")
-    return (
-        hits.filter((F.col("rule_id") == rule.counted_rule) & F.col("epoch_timestamp").isNotNull())
-        .groupBy("owner", source.alias("srcip"), "epoch_timestamp")
-        .agg(F.count("*").alias("hits"))
-    )
+def frequency_rules(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """The frequency rules (counted, rule_id, frequency, timeframe, same_source), as a table to join with."""
+    rows = [
+        (r.counted_rule, r.rule_id, r.frequency, r.timeframe, r.same_source)
+        for r in rules
+        if r.counted_rule is not None
+    ]
+    columns = "_counted int, rule_id int, _frequency int, _timeframe int, _same_source boolean"
+    return spark.createDataFrame(rows, columns)
 
 
-def frequency_alerts(hits: DataFrame, rule: Rule) -> DataFrame:
-    """Seconds (owner, srcip, rule_id, epoch_timestamp, hits) at which ``rule`` fires.
+def frequency_alerts(hits: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Seconds (owner, srcip, rule_id, epoch_timestamp, hits) at which a frequency rule fires.
 
-    Hits are first counted per second, in the map tasks, so a hot source shrinks to one row a second. The
-    look-back then runs in time buckets as long as the timeframe: each second is also handed to the next
-    bucket, and a window holds the seconds of two buckets however long the source was active.
+    ``srcip`` is empty for rules that count over all sources. All rules run in one pass: hits are first
+    counted per second, in the map tasks, so a hot source shrinks to one row a second. A second adds its
+    hits when it comes and takes them back once the timeframe is over; their running sum is the look-back.
+    It runs in time buckets as long as the timeframe, each second being handed to the next bucket too, so a
+    window holds the seconds of two buckets however long the source was active.
     """
-    span = rule.timeframe
-    bucket = F.floor(F.col("epoch_timestamp") / span)
+    looked_for = F.broadcast(frequency_rules(hits.sparkSession, rules))
+    counted = hits.filter(F.col("epoch_timestamp").isNotNull()).withColumnRenamed("rule_id", "_counted")
+    source = F.when(F.col("_same_source"), F.col("srcip")).otherwise("")
     seconds = (
-        hits_per_second(hits, rule)
-        .withColumn("_own", bucket)
-        .withColumn("_bucket", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
-    )
-    look_back = (
-        Window.partitionBy("owner", "srcip", "_bucket").orderBy("epoch_timestamp").rangeBetween(-span, 0)
+        counted.join(looked_for, "_counted")
+        .groupBy("owner", source.alias("srcip"), "rule_id", "_frequency", "_timeframe", "epoch_timestamp")
+        .agg(F.count("*").alias("hits"))
     )
-    return (
-        seconds.withColumn("_recent", F.sum("hits").over(look_back))
-        .filter((F.col("_bucket") == F.col("_own")) & (F.col("_recent") >= rule.frequency))
-        .select(
-            "owner",
-            "srcip",
-            F.lit(rule.rule_id).alias("rule_id"),
-            "epoch_timestamp",
-            F.col("_recent").alias("hits"),
+    own = F.floor(F.col("epoch_timestamp") / F.col("_timeframe"))
+    change = F.explode(
+        F.array(
+            F.struct(own.alias("bucket"), F.lit(True).alias("own"), F.lit(True).alias("comes")),
+            F.struct(own.alias("bucket"), F.lit(True).alias("own"), F.lit(False).alias("comes")),
+            F.struct((own + 1).alias("bucket"), F.lit(False).alias("own"), F.lit(True).alias("comes")),
+            F.struct((own + 1).alias("bucket"), F.lit(False).alias("own"), F.lit(False).alias("comes")),
         )
     )
-
-
-def all_frequency_alerts(hits: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Alerts of every frequency rule."""
-    return reduce(
-        DataFrame.unionByName, [frequency_alerts(hits, r) for r in rules if r.counted_rule is not None]
+    comes = F.col("_change.comes")
+    changes = seconds.withColumn("_change", change).select(
+        "owner",
+        "srcip",
+        "rule_id",
+        "_frequency",
+        "epoch_timestamp",
+        F.col("_change.bucket").alias("_bucket"),
+        (F.col("_change.own") & comes).alias("_fires_here"),
+        F.when(comes, F.col("epoch_timestamp"))
+        .otherwise(F.col("epoch_timestamp") + F.col("_timeframe") + 1)
+        .alias("_at"),
+        F.when(comes, F.col("hits")).otherwise(-F.col("hits")).alias("_hits"),
+    )
+    # The default frame takes all changes up to and at the same second.
+    so_far = Window.partitionBy("owner", "srcip", "rule_id", "_bucket").orderBy("_at")
+    return (
+        changes.withColumn("hits", F.sum("_hits").over(so_far))
+        .filter(F.col("_fires_here") & (F.col("hits") >= F.col("_frequency")))
+        .select("owner", "srcip", "rule_id", "epoch_timestamp", "hits")
     )

@@ -5,7 +5,8 @@ with the rows of hot keys spread over several partitions. A key is hot when it h
 share of the rows, so there are at most ``1 / share`` hot keys and their list is always safe to broadcast.
 """
 
-from functools import reduce
+from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,16 +76,16 @@ def lookup_join(
     keys: list[str],
     how: str,
     spread: list[str],
-    hot: DataFrame | None = None,
+    hot: Callable[[], DataFrame] | None = None,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join ``big`` with a lookup table of unique keys; null keys never match.
 
-    ``spread`` names columns of ``big`` that vary within a key. ``hot`` gives the hot keys where the
-    caller knows them; otherwise they are counted when the lookup table is too large to broadcast.
+    ``spread`` names columns of ``big`` that vary within a key. ``hot`` finds the hot keys where the
+    caller has a shorter way than counting; it is asked only if the lookup table is too large to broadcast.
     """
     if fits_broadcast(lookup, max_rows):
         return big.join(F.broadcast(lookup), keys, how)
     if hot is None:
-        hot = hot_keys(big.groupBy(*keys).agg(F.count("*").alias("_n")), keys, "_n")
-    return salted_join(big, lookup, keys, how, hot, spread)
+        hot = partial(hot_keys, big.groupBy(*keys).agg(F.count("*").alias("_n")), keys, "_n")
+    return salted_join(big, lookup, keys, how, hot(), spread)

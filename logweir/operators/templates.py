@@ -1,11 +1,13 @@
 """Numbering of templates, most frequent first."""
 
+from functools import partial
+
 from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweir.operators.ordered import number_rows
-from logweir.operators.skew import HOT_SHARE, hot_keys, lookup_join
+from logweir.operators.skew import hot_keys, lookup_join
 from logweir.workspace import settle
 
 
@@ -30,6 +32,6 @@ def index_with_vocabulary(df: DataFrame, vocabulary: DataFrame, spread: list[str
     """Add ``encoded_key`` from a vocabulary table. Templates are few and hot, so hot ones are spread."""
     vocabulary = settle(vocabulary)
     unseen = float(vocabulary.count())
-    hot = hot_keys(vocabulary, ["key"], "n", HOT_SHARE)
+    hot = partial(hot_keys, vocabulary, ["key"], "n")
     indexed = lookup_join(df, vocabulary.select("key", "encoded_key"), ["key"], "left", spread, hot)
     return indexed.select(*df.columns, F.coalesce("encoded_key", F.lit(unseen)).alias("encoded_key"))

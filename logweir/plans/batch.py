@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from logweir.operators.features import dns_features
 from logweir.operators.indicators import derive_indicators, match_indicators
 from logweir.operators.parse import parse_dnsmasq
-from logweir.operators.templates import fit_template_index
+from logweir.operators.templates import fit_template_index, index_with_vocabulary
 from logweir.schema import DNSMASQ
 from logweir.sources.lines import decode, quarantine, route
 
@@ -33,20 +33,24 @@ def run_batch(
     known: DataFrame,
     score: Scorer,
     year: int,
-    index: StringIndexerModel | None = None,
+    index: StringIndexerModel | DataFrame | None = None,
     cache: bool = False,
 ) -> BatchResult:
     """Decode, parse, match against ``known`` indicators, score what is left, derive indicators.
 
-    ``owner`` stays a column throughout, so all owners run in one plan. Without ``index`` the templates of
-    this batch are indexed. ``cache`` keeps the features for the several outputs; unpersist them after use.
+    ``owner`` stays a column throughout, so all owners run in one plan. ``index`` is a fitted model or
+    a vocabulary table; without it the templates of this batch are indexed. ``cache`` keeps the features for the several outputs; unpersist them after use.
     """
     decoded = decode(lines)
     routed = route(decoded, "dnsmasq", DNSMASQ)
     parsed = parse_dnsmasq(routed, year)
     if index is None:
         index = fit_template_index(parsed)
-    features = dns_features(index.transform(parsed))
+    if isinstance(index, DataFrame):
+        indexed = index_with_vocabulary(parsed, index, RECORD)
+    else:
+        indexed = index.transform(parsed)
+    features = dns_features(indexed)
     if cache:
         features = features.persist(StorageLevel.MEMORY_AND_DISK)
     matches = match_indicators(features, known, RECORD)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 YEAR = 2024
 
+# The events come minutes apart: frequency rules want 3 hits in 720 times their timeframe.
+RULE_PACE = (3, 720)
+
 OWNER = "'client0' || CAST(user_id % 3 + 1 AS STRING)"
 
 _USER = "CAST(user_id AS STRING)"

@@ -227,17 +227,17 @@ def _errors(select: str, *ctes: str) -> str:
 ORACLES: dict[str, str] = {
     "json_decode_route": f"""WITH {ORACLE_FEED}
         SELECT 'dnsmasq' AS log_format, owner, count(*) AS n, count(*) AS n_messages,
-               sum(length(message)) AS message_chars, 0 AS n_paths FROM dns GROUP BY owner
-        UNION ALL SELECT 'apache_error', owner, count(*), count(*), sum(length(message)), 0 FROM err GROUP BY owner
-        UNION ALL SELECT 'apache2_access', owner, count(*), 0, NULL, count(*) FROM base GROUP BY owner""",
+               CAST(sum(length(message)) AS BIGINT) AS message_chars, 0 AS n_paths FROM dns GROUP BY owner
+        UNION ALL SELECT 'apache_error', owner, count(*), count(*), CAST(sum(length(message)) AS BIGINT), 0 FROM err GROUP BY owner
+        UNION ALL SELECT 'apache2_access', owner, count(*), 0, 0, count(*) FROM base GROUP BY owner""",
     "corrupt_quarantine": f"""WITH {ORACLE_FEED}
         SELECT event_id, substr({_LINE}, 1, length({_LINE}) - 3) AS line FROM dns WHERE value > 100""",
     "text_source_trim": f"""WITH {ORACLE_FEED}
-        SELECT owner, count(*) AS n, sum(length({_LINE})) AS chars FROM dns GROUP BY owner""",
+        SELECT owner, count(*) AS n, CAST(sum(length({_LINE})) AS BIGINT) AS chars FROM dns GROUP BY owner""",
     "owners": "SELECT DISTINCT 'client0' || CAST(user_id % 3 + 1 AS VARCHAR) AS owner FROM events",
     "parquet_by_format": f"""WITH {ORACLE_FEED}
-        SELECT 'dnsmasq' AS log_format, owner, count(*) AS n, sum(length(message)) AS chars FROM dns GROUP BY owner
-        UNION ALL SELECT 'apache_error', owner, count(*), sum(length(message)) FROM err GROUP BY owner""",
+        SELECT 'dnsmasq' AS log_format, owner, count(*) AS n, CAST(sum(length(message)) AS BIGINT) AS chars FROM dns GROUP BY owner
+        UNION ALL SELECT 'apache_error', owner, count(*), CAST(sum(length(message)) AS BIGINT) FROM err GROUP BY owner""",
     "dns_parse": _dns("SELECT event_id, response, value1, value2, key FROM parsed"),
     "dns_template": _dns("SELECT owner, key, count(*) AS n FROM parsed GROUP BY owner, key"),
     "dns_epoch": f"WITH {ORACLE_FEED} SELECT event_id, epoch_timestamp FROM dns",
@@ -341,7 +341,7 @@ ORACLES: dict[str, str] = {
     ),
     "stream_dns_alerts": _dns(_ALERTS, _DETECTED),
     "stream_frequency_windows": _errors(
-        f"""SELECT * FROM ({_fires(30119, 30118, _DAY, True)})
+        f"""SELECT * FROM ({_FREQUENCY})
             WHERE epoch_timestamp + 1 <= (SELECT max(epoch_timestamp) FROM err) - 600""",
         _HITS,
     ),

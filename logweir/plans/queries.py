@@ -14,8 +14,8 @@ from logweir.operators.idrules import apache_id_rules, with_source
 from logweir.operators.indicators import derive_indicators, match_indicators
 from logweir.operators.ordered import first_gaps, running_value_count, time_gap, zip_by_order
 from logweir.operators.parse import extract_error_parts, parse_apache_access, parse_apache_error, parse_dnsmasq
-from logweir.operators.ruleset import DEFAULT_RULES, Rule, read_rules, rules_table
-from logweir.operators.ruletree import all_frequency_alerts, match_rules, rule_alerts, rule_hits
+from logweir.operators.ruleset import DEFAULT_RULES, paced, read_rules, rules_table
+from logweir.operators.ruletree import frequency_alerts, match_rules, rule_alerts, rule_hits
 from logweir.operators.scoring import fit_classifier, score_anomalies, score_with, weak_label
 from logweir.operators.templates import fit_template_index, index_with_vocabulary, template_vocabulary
 from logweir.plans import feed
@@ -65,7 +65,7 @@ def json_decode_route(spark, sf_dir):
     return decoded.groupBy("log_format", "owner").agg(
         F.count("*").alias("n"),
         F.count("message").alias("n_messages"),
-        F.sum(F.length("message")).alias("message_chars"),
+        F.coalesce(F.sum(F.length("message")), F.lit(0)).alias("message_chars"),
         F.count("path").alias("n_paths"),
     )
 
@@ -276,22 +276,16 @@ def matched_errors(spark, sf_dir):
 
 
 def rule_matches(spark, sf_dir):
-    return matched_errors(spark, sf_dir).select("event_id", F.explode("matched").alias("rule_id"))
+    hits = matched_errors(spark, sf_dir).select("event_id", F.explode_outer("matched").alias("rule_id"))
+    return hits.filter(F.col("rule_id").isNotNull())
 
 
 def rule_hierarchy(spark, sf_dir):
     return rule_alerts(matched_errors(spark, sf_dir), DEFAULT_RULES, rules_table(spark))
 
 
-def slow_rules() -> list[Rule]:
-    """The frequency rules at the pace of the test events, which come minutes apart."""
-    return [
-        r._replace(frequency=3, timeframe=r.timeframe * 720) for r in DEFAULT_RULES if r.counted_rule is not None
-    ]
-
-
 def rule_frequency(spark, sf_dir):
-    return all_frequency_alerts(rule_hits(matched_errors(spark, sf_dir)), slow_rules())
+    return frequency_alerts(rule_hits(matched_errors(spark, sf_dir)), paced(DEFAULT_RULES, *feed.RULE_PACE))
 
 
 # Indicators

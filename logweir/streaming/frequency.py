@@ -7,6 +7,7 @@ records come late, and later ones are the same whether they came in one micro-ba
 """
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from logweir.operators.ruleset import Rule
+from logweir.operators.ruletree import frequency_rules
 
 ALERT = "owner string, srcip string, rule_id int, epoch_timestamp bigint, hits bigint"
 _RECENT = "seconds array<bigint>, hits array<bigint>"
@@ -28,17 +30,37 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     )
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Start stateful queries inside with ``n`` partitions, by default one per core.
+
+    A query keeps the number it first started with, so on a cluster size it for the expected state.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, n or spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class LookBack(StatefulProcessor):
-    """Fires at seconds whose hits, with those of the timeframe before, reach the rule's frequency."""
+    """Fires at seconds whose hits, with those of the timeframe before, reach the rule's frequency.
+
+    ``limits`` has the frequency and timeframe of each rule.
+    """
 
-    def __init__(self, rule_id: int, frequency: int, timeframe: int):
-        self.rule_id, self.frequency, self.timeframe = rule_id, frequency, timeframe
+    def __init__(self, limits: dict[int, tuple[int, int]]):
+        self.limits = limits
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.recent = handle.getValueState("recent", _RECENT)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        owner, srcip, rule_id = key
+        frequency, timeframe = self.limits[rule_id]
         new = pd.concat(list(rows)).sort_values("second")
         seconds, hits = new["second"].to_numpy(), new["hits"].to_numpy()
         n_new = len(seconds)
@@ -47,27 +69,27 @@ class LookBack(StatefulProcessor):
             seconds = np.concatenate([np.asarray(old_seconds, dtype=np.int64), seconds])
             hits = np.concatenate([np.asarray(old_hits, dtype=np.int64), hits])
         total = np.concatenate([[0], np.cumsum(hits)])
-        from_second = np.searchsorted(seconds, seconds - self.timeframe, side="left")
+        from_second = np.searchsorted(seconds, seconds - timeframe, side="left")
         in_window = total[1:] - total[from_second]
-        fires = in_window >= self.frequency
+        fires = in_window >= frequency
         fires[: len(seconds) - n_new] = False
         last = int(seconds[-1])
-        keep = seconds > last - self.timeframe - 1
+        keep = seconds > last - timeframe - 1
         self.recent.update((seconds[keep].tolist(), hits[keep].tolist()))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(int(timer))
-        self.handle.registerTimer((last + self.timeframe + 1) * 1000)
+        self.handle.registerTimer((last + timeframe + 1) * 1000)
         yield pd.DataFrame(
             {
-                "owner": key[0],
-                "srcip": key[1],
-                "rule_id": np.int32(self.rule_id),
+                "owner": owner,
+                "srcip": srcip,
+                "rule_id": np.int32(rule_id),
                 "epoch_timestamp": seconds[fires],
                 "hits": in_window[fires],
             }
         )
 
-    def handleExpiredTimer(self, key, timers, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         # Nothing in the state can count towards a later second any more.
         self.recent.clear()
         yield from ()
@@ -76,28 +98,28 @@ class LookBack(StatefulProcessor):
         pass
 
 
-def stream_frequency_alerts(hits: DataFrame, rule: Rule) -> DataFrame:
-    """Streaming alerts of ``rule``, equal to ``frequency_alerts`` for the seconds the watermark passed.
+def stream_frequency_alerts(hits: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Streaming alerts, equal to ``frequency_alerts`` for the seconds the watermark passed.
 
     ``hits`` has owner, srcip, rule_id and ``event_time`` with a watermark. Write it in append mode.
     """
-    source = F.col("srcip") if rule.same_source else F.lit("")
+    looked_for = F.broadcast(frequency_rules(hits.sparkSession, rules))
+    source = F.when(F.col("_same_source"), F.col("srcip")).otherwise("")
     seconds = (
-        hits.filter(F.col("rule_id") == rule.counted_rule)
-        .withColumn("srcip", source)
-        .groupBy(F.window("event_time", "1 second"), "owner", "srcip")
+        hits.withColumnRenamed("rule_id", "_counted")
+        .join(looked_for, "_counted")
+        .groupBy(F.window("event_time", "1 second"), "owner", source.alias("srcip"), "rule_id")
         .agg(F.count("*").alias("hits"))
         .select(
             "owner",
             "srcip",
+            "rule_id",
             F.window_time("window").alias("event_time"),
             F.unix_timestamp("window.start").alias("second"),
             "hits",
         )
     )
-    return seconds.groupBy("owner", "srcip").transformWithStateInPandas(
-        LookBack(rule.rule_id, rule.frequency, rule.timeframe),
-        outputStructType=ALERT,
-        outputMode="append",
-        timeMode="EventTime",
+    limits = {r.rule_id: (r.frequency, r.timeframe) for r in rules if r.counted_rule is not None}
+    return seconds.groupBy("owner", "srcip", "rule_id").transformWithStateInPandas(
+        LookBack(limits), outputStructType=ALERT, outputMode="append", timeMode="EventTime"
     )

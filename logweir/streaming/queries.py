@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 
 from logweir.operators.idrules import with_source
 from logweir.operators.parse import parse_apache_error, parse_dnsmasq
-from logweir.operators.ruleset import DEFAULT_RULES
-from logweir.operators.ruletree import match_rules
+from logweir.operators.ruleset import DEFAULT_RULES, paced
+from logweir.operators.ruletree import match_rules, rule_hits
 from logweir.operators.templates import fit_template_index
 from logweir.plans import feed
 from logweir.schema import DNSMASQ
 from logweir.sources.indicators import write_indicator_batch
 from logweir.sources.sinks import read_batches
-from logweir.streaming.frequency import stream_frequency_alerts, use_rocksdb_state
+from logweir.streaming.frequency import ALERT, state_partitions, stream_frequency_alerts, use_rocksdb_state
 from logweir.streaming.run import run_stream
 from logweir.workspace import new_folder
 
@@ -47,26 +47,24 @@ def stream_dns_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_frequency_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts of one frequency rule over a stream of web errors, as far as the watermark got."""
-    rule = next(r for r in DEFAULT_RULES if r.rule_id == 30119)
-    rule = rule._replace(frequency=3, timeframe=rule.timeframe * 720)
+    """Alerts of the frequency rules over a stream of web errors, as far as the watermark got."""
+    rules = paced(DEFAULT_RULES, *feed.RULE_PACE)
     use_rocksdb_state(spark)
     parsed = with_source(parse_apache_error(feed.error_feed(spark, sf_dir, event_stream(spark, sf_dir))))
     timed = parsed.withColumn("event_time", F.timestamp_seconds("epoch_timestamp")).withWatermark(
         "event_time", f"{LATENESS} seconds"
     )
-    hits = match_rules(timed, DEFAULT_RULES).select(
-        "owner", "srcip", "event_time", F.explode("matched").alias("rule_id")
-    )
+    hits = rule_hits(match_rules(timed, DEFAULT_RULES))
     out = new_folder(spark, "frequency-run")
-    query = (
-        stream_frequency_alerts(hits, rule)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out)
-        .option("checkpointLocation", new_folder(spark, "frequency-checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema("owner string, srcip string, rule_id int, epoch_timestamp bigint, hits bigint").parquet(out)
+    with state_partitions(spark):
+        query = (
+            stream_frequency_alerts(hits, rules)
+            .writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", out)
+            .option("checkpointLocation", new_folder(spark, "frequency-checkpoint"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    return spark.read.schema(ALERT).parquet(out)
