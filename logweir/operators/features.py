@@ -44,12 +44,17 @@ def dns_features(df: DataFrame, extension_mode: str = "substring") -> DataFrame:
     return df.select(*kept, *[added[name].alias(name) for name in FEATURES_18])
 
 
-def with_value_count(df: DataFrame, group: str, value: str, tie: str, out: str) -> DataFrame:
-    """Add how many rows of the group have a value up to and including this one's; 0 for null."""
-    running = running_value_count(df, [group], value, out)
+def with_value_count(
+    df: DataFrame, group: str, value: str, tie: str, out: str, counted: DataFrame | None = None
+) -> DataFrame:
+    """Add how many rows of the group have a value up to and including this one's; 0 for null.
+
+    ``counted`` has the same rows where ``df`` is costly to compute a second time.
+    """
+    running = running_value_count(df if counted is None else counted, [group], value, out)
     hot = partial(hot_keys, running, [group, value], "n")
-    counted = lookup_join(df, running.drop("n"), [group, value], "left", [tie], hot)
-    return counted.select(*df.columns, F.coalesce(out, F.lit(0)).cast("bigint").alias(out))
+    joined = lookup_join(df, running.drop("n"), [group, value], "left", [tie], hot)
+    return joined.select(*df.columns, F.coalesce(out, F.lit(0)).cast("bigint").alias(out))
 
 
 def dns_features_temporal(df: DataFrame, tie: str, group: str = "owner") -> DataFrame:
@@ -58,8 +63,8 @@ def dns_features_temporal(df: DataFrame, tie: str, group: str = "owner") -> Data
     ``tie`` names a unique key; it orders records of the same second.
     """
     gapped = time_gap(df, group, "epoch_timestamp", tie, "time_diff_unix")
-    counted = with_value_count(gapped, group, "value1", tie, "value1_count")
-    counted = with_value_count(counted, group, "value2", tie, "value2_count")
+    counted = with_value_count(gapped, group, "value1", tie, "value1_count", df)
+    counted = with_value_count(counted, group, "value2", tie, "value2_count", df)
     added = {
         "encoded_key": F.col("encoded_key").cast("int"),
         "time_diff_unix": F.col("time_diff_unix"),

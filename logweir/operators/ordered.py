@@ -5,20 +5,17 @@ task. Here the rows are range-partitioned in the wanted order, each range is num
 own, and the ranges are put together by their totals, of which there is one per range and group.
 """
 
-from functools import reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logweir.operators.skew import BROADCAST_ROWS, lookup_join
 from logweir.workspace import settle
 
 _DAY = 86_400
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def _with_ranges(df: DataFrame, order: list[str]) -> DataFrame:
     """``df`` in contiguous ranges of ``order``, numbered in ``_range``.
 
@@ -40,14 +37,15 @@ def _totals_before(ranged: DataFrame, group: list[str], total: Column) -> DataFr
 def running_total(df: DataFrame, group: list[str], order: str, measure: str, out: str) -> DataFrame:
     """Per group, the sum of ``measure`` over the rows at or before each row in ``order``.
 
-    ``(group, order)`` must be unique.
+    ``(group, order)`` must be unique and not null.
     """
     ranged = _with_ranges(df, [*group, order])
     before = _totals_before(ranged, group, F.sum(measure))
     within = Window.partitionBy(*group, "_range").orderBy(order)
     local = ranged.withColumn("_within", F.sum(measure).over(within))
-    return local.join(before, _same(local, before, [*group, "_range"])).select(
-        *[local[c] for c in df.columns], (F.col("_within") + F.col("_before")).alias(out)
+    # The join has the window's keys, so it needs no further shuffle of the rows.
+    return local.join(before, [*group, "_range"]).select(
+        *df.columns, (F.col("_within") + F.col("_before")).alias(out)
     )
 
 
@@ -81,9 +79,9 @@ def running_value_count(df: DataFrame, group: list[str], value: str, out: str) -
     """Table of (group, value, n, out): rows with the value, and rows up to and including it.
 
     ``out`` equals a running count over the rows in value order with ties counted together; nulls are
-    not counted. Only distinct values are ordered.
+    not counted, nor are rows without a group. Only distinct values are ordered.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("n"))
+    counts = df.dropna(subset=[*group, value]).groupBy(*group, value).agg(F.count("*").alias("n"))
     return running_total(counts, group, value, "n", out)
 
 
@@ -91,36 +89,42 @@ def first_gaps(df: DataFrame, group: str, epoch: str, tie: str, out: str = "gap"
     """Table of (group, epoch, tie, out): seconds since the group's previous distinct epoch.
 
     In epoch order with ``tie`` deciding among equals, only the first row of an epoch can follow another
-    epoch, so this holds one row per epoch and every other row's gap is 0. The lag runs within days; the
-    first epoch of a day looks at the day before in a table with one row per day.
+    epoch, so this holds one row per epoch and every other row's gap is 0. The epochs are written out, as
+    they are used twice: the lag runs within days, and the first epoch of a day looks at the day before in
+    a table with one row per day.
     """
-    epochs = (
-        df.filter(F.col(epoch).isNotNull())
+    epochs = settle(
+        df.dropna(subset=[group, epoch])
         .groupBy(group, epoch)
         .agg(F.min(tie).alias(tie))
         .withColumn("_day", F.floor(F.col(epoch) / _DAY))
     )
-    days = epochs.groupBy(group, "_day").agg(F.max(epoch).alias("_last"))
-    days = days.select(
-        F.col(group).alias("_group"),
-        F.col("_day").alias("_the_day"),
-        F.lag("_last").over(Window.partitionBy(group).orderBy("_day")).alias("_last_before"),
+    days = (
+        epochs.groupBy(group, "_day")
+        .agg(F.max(epoch).alias("_last"))
+        .select(
+            group, "_day", F.lag("_last").over(Window.partitionBy(group).orderBy("_day")).alias("_last_before")
+        )
     )
     in_day = Window.partitionBy(group, "_day").orderBy(epoch)
-    previous = F.coalesce(F.lag(epoch).over(in_day), F.col("_last_before"))
-    return epochs.join(
-        days, epochs[group].eqNullSafe(days["_group"]) & (epochs["_day"] == days["_the_day"])
-    ).select(group, epoch, tie, (F.col(epoch) - previous).alias(out))
+    previous = F.coalesce("_previous", "_last_before")
+    return (
+        epochs.withColumn("_previous", F.lag(epoch).over(in_day))
+        .join(days, [group, "_day"])
+        .select(group, epoch, tie, (F.col(epoch) - previous).alias(out))
+    )
 
 
-def time_gap(df: DataFrame, group: str, epoch: str, tie: str, out: str) -> DataFrame:
-    """Add seconds since the group's previous row, 0 for its first and for unreadable times.
+def time_gap(
+    df: DataFrame, group: str, epoch: str, tie: str, out: str, max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Add seconds since the group's previous row; 0 for its first, for unreadable times and no group.
 
     ``tie`` must be unique within an epoch. The join key contains it, so no key is hot.
     """
-    gaps = first_gaps(df, group, epoch, tie, "_gap").select(
-        F.col(group).alias("_g"), F.col(epoch).alias("_e"), F.col(tie).alias("_t"), "_gap"
-    )
-    same = F.col(group).eqNullSafe(F.col("_g")) & (F.col(epoch) == F.col("_e")) & (F.col(tie) == F.col("_t"))
-    gap = F.coalesce(F.round(F.col("_gap"), 1), F.lit(0)).cast("decimal(10,1)")
-    return df.join(gaps, same, "left").select(*df.columns, gap.alias(out))
+    keys = [group, epoch, tie]
+    gaps = first_gaps(df, group, epoch, tie, "_gap")
+    none_hot = partial(gaps.select(*keys).limit, 0)
+    gap = F.coalesce(F.round("_gap", 1), F.lit(0)).cast("decimal(10,1)")
+    joined = lookup_join(df, gaps, keys, "left", [tie], none_hot, max_rows)
+    return joined.select(*df.columns, gap.alias(out))

@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -30,14 +31,18 @@ def fit_classifier(
     depth: int = 5,
     seed: int = 7,
 ) -> PipelineModel:
-    """Random forest over the named features."""
+    """Random forest over the named features. Fitting passes over them several times: they are kept."""
     stages = [
         VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep"),
         RandomForestClassifier(
             featuresCol="_features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed
         ),
     ]
-    return Pipeline(stages=stages).fit(labelled.select(*features, label))
+    rows = labelled.select(*features, label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=stages).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def score_anomalies(df: DataFrame, model: PipelineModel) -> DataFrame:

@@ -93,7 +93,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def base_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+def few_files(df: DataFrame) -> bool:
+    """Whether the files behind a table are too few to keep every core busy."""
+    return len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out over the cores, for small test tables that lie in one file."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = table(spark, sf_dir, "documents")
+    return dealt(df, "doc_id") if few_files(df) else df
+
+
+def base_events(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
     """Events, or a stream of them, with owner, and host and path of a page. Page numbers are 0 to n - 1."""
     pages = table(spark, sf_dir, "pages")
     n_pages = pages.agg(F.max("page_id") + 1).first()[0]
@@ -102,14 +117,16 @@ def base_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = Non
         F.regexp_extract("url", PAGE_HOST, 1).alias("host"),
         F.regexp_extract("url", PAGE_PATH, 1).alias("path"),
     )
-    if events is None:
-        events = table(spark, sf_dir, "events")
-    keyed = events.withColumns({"page_id": F.col("event_id") % n_pages, "owner": F.expr(OWNER)})
-    return keyed.join(hosts, "page_id")
+    events = table(spark, sf_dir, "events")
+    source = events if stream is None else stream
+    keyed = source.withColumns({"page_id": F.col("event_id") % n_pages, "owner": F.expr(OWNER)})
+    # Neither side is hinted: Spark broadcasts the smaller if its size allows, and event numbers are even.
+    joined = keyed.join(hosts, "page_id")
+    return dealt(joined, "event_id") if few_files(events) else joined
 
 
-def dns_feed(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
-    return base_events(spark, sf_dir, events).select(
+def dns_feed(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
+    return base_events(spark, sf_dir, stream).select(
         "event_id",
         "value",
         "ts",
@@ -122,16 +139,16 @@ def dns_feed(spark: SparkSession, sf_dir: str, events: DataFrame | None = None)
     )
 
 
-def dns_lines(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+def dns_lines(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
     """``event_id``, ``value`` as JSON line, and the event's measure and time."""
-    return dns_feed(spark, sf_dir, events).select(
+    return dns_feed(spark, sf_dir, stream).select(
         "event_id", "ts", F.col("value").alias("measure"), F.expr(DNS_LINE).alias("value")
     )
 
 
-def error_feed(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+def error_feed(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
     codes = F.array(*[F.lit(c) for c in CODES])
-    coded = base_events(spark, sf_dir, events).withColumn(
+    coded = base_events(spark, sf_dir, stream).withColumn(
         "error_code", F.element_at(codes, (F.col("event_id") % len(CODES) + 1).cast("int"))
     )
     return coded.select(
@@ -146,8 +163,8 @@ def error_feed(spark: SparkSession, sf_dir: str, events: DataFrame | None = None
     )
 
 
-def access_feed(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
-    return base_events(spark, sf_dir, events).select(
+def access_feed(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
+    return base_events(spark, sf_dir, stream).select(
         "event_id",
         "owner",
         F.lit("apache2_access").alias("log_format"),

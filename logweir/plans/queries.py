@@ -25,7 +25,7 @@ from logweir.sources.indicators import read_indicator_csv, write_indicator_csv
 from logweir.sources.lines import decode, quarantine, read_lines, route
 from logweir.sources.sinks import write_by_format
 from logweir.streaming.queries import stream_dns_alerts, stream_frequency_windows
-from logweir.workspace import new_folder
+from logweir.workspace import new_folder, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = ["event_id"]
@@ -143,7 +143,7 @@ def access_passthrough(spark, sf_dir):
 def char_counts(spark, sf_dir):
     names = {"dots": ".", "hyphens": "-", "slashes": "/", "asterisks": "*"}
     counts = [char_count("text", char).alias(name) for name, char in names.items()]
-    return feed.table(spark, sf_dir, "documents").select("doc_id", *counts, F.length("text").alias("chars"))
+    return feed.documents(spark, sf_dir).select("doc_id", *counts, F.length("text").alias("chars"))
 
 
 def page_char_counts(spark, sf_dir):
@@ -158,7 +158,7 @@ def page_char_counts(spark, sf_dir):
 
 
 def capital_counts(spark, sf_dir):
-    return feed.table(spark, sf_dir, "documents").select("doc_id", capital_count("text").alias("capitals"))
+    return feed.documents(spark, sf_dir).select("doc_id", capital_count("text").alias("capitals"))
 
 
 def file_extension_flag(spark, sf_dir):
@@ -181,7 +181,7 @@ def entropy_readable(spark, sf_dir):
 
 
 def document_entropy(spark, sf_dir):
-    return feed.table(spark, sf_dir, "documents").select("doc_id", F.round(entropy("text"), 6).alias("entropy"))
+    return feed.documents(spark, sf_dir).select("doc_id", F.round(entropy("text"), 6).alias("entropy"))
 
 
 # Features
@@ -371,9 +371,8 @@ def indicator_feedback(spark, sf_dir):
     lines = feed.dns_lines(spark, sf_dir)
     middle = F.lit("2024-01-16").cast("timestamp_ntz")
     first = run_batch(lines.filter(F.col("ts") < middle).select("value"), none, fixed_score, feed.YEAR)
-    second = run_batch(
-        lines.filter(F.col("ts") >= middle).select("value"), first.indicators, fixed_score, feed.YEAR
-    )
+    learnt = settle(first.indicators)
+    second = run_batch(lines.filter(F.col("ts") >= middle).select("value"), learnt, fixed_score, feed.YEAR)
     return second.alerts
 
 

@@ -21,9 +21,9 @@ LATENESS = 600
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = feed.table(spark, sf_dir, "events").schema
+    events = feed.table(spark, sf_dir, "events")
     # The pattern also fits a folder of files.
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    return spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet*")
 
 
 def stream_dns_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
