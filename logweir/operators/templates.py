@@ -18,7 +18,7 @@ def fit_template_index(df: DataFrame) -> StringIndexerModel:
     """
     return StringIndexer(
         inputCol="key", outputCol="encoded_key", handleInvalid="keep", stringOrderType="frequencyDesc"
-    ).fit(df)
+    ).fit(df.select("key"))
 
 
 def template_vocabulary(df: DataFrame) -> DataFrame:

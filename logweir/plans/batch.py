@@ -6,13 +6,14 @@ from typing import NamedTuple
 from pyspark import StorageLevel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from logweir.operators.features import dns_features
 from logweir.operators.indicators import derive_indicators, match_indicators
 from logweir.operators.parse import parse_dnsmasq
 from logweir.operators.templates import fit_template_index, index_with_vocabulary
-from logweir.schema import DNSMASQ
-from logweir.sources.lines import decode, quarantine, route
+from logweir.schema import ANY_LOG, CORRUPT, DNSMASQ
+from logweir.sources.lines import decode
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -21,6 +22,9 @@ RECORD = ["message", "epoch_timestamp"]
 
 
 class BatchResult(NamedTuple):
+    """``rows`` are the decoded records with features and the undecodable lines, cached if so asked."""
+
+    rows: DataFrame
     quarantine: DataFrame
     features: DataFrame
     alerts: DataFrame
@@ -39,22 +43,25 @@ def run_batch(
     """Decode, parse, match against ``known`` indicators, score what is left, derive indicators.
 
     ``owner`` stays a column throughout, so all owners run in one plan. ``index`` is a fitted model or
-    a vocabulary table; without it the templates of this batch are indexed. ``cache`` keeps the features for the several outputs; unpersist them after use.
+    a vocabulary table; without it the templates of this batch are indexed. ``cache`` keeps what the
+    several outputs share, so that the source is read once; unpersist ``rows`` after use.
     """
-    decoded = decode(lines)
-    routed = route(decoded, "dnsmasq", DNSMASQ)
-    parsed = parse_dnsmasq(routed, year)
+    # Undecodable lines go along, as rows of nulls, so that one pass serves the quarantine too.
+    decoded = decode(lines).filter((F.col("log_format") == "dnsmasq") | F.col(CORRUPT).isNotNull())
+    unused = [c for c in ANY_LOG.names if c not in DNSMASQ.names]
+    parsed = parse_dnsmasq(decoded.drop(*unused), year)
     if index is None:
         index = fit_template_index(parsed)
     if isinstance(index, DataFrame):
         indexed = index_with_vocabulary(parsed, index, RECORD)
     else:
         indexed = index.transform(parsed)
-    features = dns_features(indexed)
+    rows = dns_features(indexed)
     if cache:
-        features = features.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    features = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     matches = match_indicators(features, known, RECORD)
     scored = score(matches.remainder)
     return BatchResult(
-        quarantine(decoded), features, matches.alerts, scored, derive_indicators(scored, known)
+        rows, rows.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT), features, matches.alerts, scored, derive_indicators(scored, known)
     )

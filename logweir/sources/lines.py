@@ -43,6 +43,7 @@ def quarantine(decoded: DataFrame) -> DataFrame:
 
 
 def route(decoded: DataFrame, log_format: str, schema=ANY_LOG) -> DataFrame:
-    """Records of one log format with that format's columns, in ``schema`` order."""
+    """Whole records of one log format with that format's columns, in ``schema`` order."""
     others = [c for c in decoded.columns if c not in ANY_LOG_OR_CORRUPT.names]
-    return decoded.filter(F.col("log_format") == log_format).select(*others, *schema.names)
+    whole = decoded.filter(F.col(CORRUPT).isNull())
+    return whole.filter(F.col("log_format") == log_format).select(*others, *schema.names)

@@ -46,7 +46,7 @@ def run_stream(
             write_indicator_batch(derive_indicators(scored, known), f"{out}/indicators", batch_id)
             write_batch(result.quarantine, f"{out}/quarantine", batch_id)
         finally:
-            result.features.unpersist()
+            result.rows.unpersist()
 
     counted = lines.observe("lines", F.count("*").alias("rows"), F.sum(F.length("value")).alias("chars"))
     writer = counted.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

@@ -40,7 +40,7 @@ def test_routing(spark):
 
 
 def test_bad_lines_are_set_aside(spark):
-    lines = ["{broken", '{"owner":"x"}', '{"log_format":"dnsmasq"}', "", "[1", "17"]
+    lines = ["{broken", '{"owner":"x"}', '{"log_format":"dnsmasq"}', "", "[1", "17", as_lines(DNS)[0][:-3]]
     decoded = decode(lines_from_list(spark, lines))
     assert decoded.count() == len(lines)
     assert {"{broken", "[1"} <= {r._corrupt_record for r in quarantine(decoded).collect()}
