@@ -60,16 +60,19 @@ def match_indicators(
     spread: list[str],
     keep_first_n: int = 0,
     order: list[str] | None = None,
+    cached: bool = False,
     max_rows: int = BROADCAST_ROWS,
 ) -> Matches:
     """Alerts of indicator hits, and the rows to score: undetected, of names never seen on a hit.
 
     ``keep_first_n`` also keeps the undetected ones among the first rows, in ``order``, of each such name.
     The names are written out once: their size is then known before all rows meet them, and where it is
-    within bounds the rows are not shuffled.
+    within bounds the rows are not shuffled. Where ``df`` is ``cached`` they are worked out again instead.
     """
     detected = detect(df, indicators, spread, max_rows)
-    names = settle(associated_names(detected))
+    names = associated_names(detected)
+    if not cached:
+        names = settle(names)
     undetected = F.col("detection") == ""
 
     def against(rows: DataFrame, how: str) -> DataFrame:

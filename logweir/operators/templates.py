@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from logweir.operators.ordered import number_rows
 from logweir.operators.skew import hot_keys, lookup_join
-from logweir.workspace import settle
 
 
 def fit_template_index(df: DataFrame) -> StringIndexerModel:
@@ -30,7 +29,6 @@ def template_vocabulary(df: DataFrame) -> DataFrame:
 
 def index_with_vocabulary(df: DataFrame, vocabulary: DataFrame, spread: list[str]) -> DataFrame:
     """Add ``encoded_key`` from a vocabulary table. Templates are few and hot, so hot ones are spread."""
-    vocabulary = settle(vocabulary)
     unseen = float(vocabulary.count())
     hot = partial(hot_keys, vocabulary, ["key"], "n")
     indexed = lookup_join(df, vocabulary.select("key", "encoded_key"), ["key"], "left", spread, hot)

@@ -8,7 +8,7 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweir.operators.features import dns_features
+from logweir.operators.features import dns_features, dns_features_temporal
 from logweir.operators.indicators import derive_indicators, match_indicators
 from logweir.operators.parse import parse_dnsmasq
 from logweir.operators.templates import fit_template_index, index_with_vocabulary
@@ -60,8 +60,19 @@ def run_batch(
     if cache:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     features = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    matches = match_indicators(features, known, RECORD)
+    matches = match_indicators(features, known, RECORD, cached=cache)
     scored = score(matches.remainder)
     return BatchResult(
         rows, rows.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT), features, matches.alerts, scored, derive_indicators(scored, known)
     )
+
+
+def score_temporal(df: DataFrame, score: Scorer, tie: str) -> DataFrame:
+    """Scores of parsed and indexed records by the 13 features, without rules: message, names, prediction."""
+    scored = score(dns_features_temporal(df, tie))
+    return scored.select(tie, "owner", "message", "value1", "value2", "prediction")
+
+
+def anomalies(scored: DataFrame) -> DataFrame:
+    """The anomalous rows, without the prediction."""
+    return scored.filter(F.col("prediction") == 1).drop("prediction")

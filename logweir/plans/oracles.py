@@ -326,6 +326,11 @@ ORACLES: dict[str, str] = {
     "batch_model_score": _dns(
         f"SELECT event_id, CAST({_ANOMALY} AS INTEGER) AS prediction FROM features", _DNS_VOCABULARY, _FEATURES
     ),
+    "temporal_anomalies": _dns(
+        """SELECT event_id, owner, message, value1, value2 FROM gaps
+           WHERE gap < 300 AND length(value1) > 60""",
+        _GAPS,
+    ),
     "derived_indicators": _dns(
         f"""SELECT DISTINCT d.owner, d.value2 FROM detected d JOIN features f USING (event_id)
             WHERE detection = '' AND NOT {_IN_BAD} AND {_ANOMALY} AND f.response LIKE '%query%'

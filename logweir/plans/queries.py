@@ -19,7 +19,7 @@ from logweir.operators.ruletree import frequency_alerts, match_rules, rule_alert
 from logweir.operators.scoring import fit_classifier, score_anomalies, score_with, weak_label
 from logweir.operators.templates import fit_template_index, index_with_vocabulary, template_vocabulary
 from logweir.plans import feed
-from logweir.plans.batch import run_batch
+from logweir.plans.batch import anomalies, run_batch, score_temporal
 from logweir.schema import ANY_LOG_OR_CORRUPT, APACHE_ACCESS, APACHE_ERROR, DNSMASQ, FEATURES_13, FEATURES_18
 from logweir.sources.indicators import read_indicator_csv, write_indicator_csv
 from logweir.sources.lines import decode, quarantine, read_lines, route
@@ -359,6 +359,23 @@ def fixed_score(df: DataFrame) -> DataFrame:
     return df.withColumn("prediction", F.coalesce(anomaly, F.lit(False)).cast("int"))
 
 
+def temporal_anomalies(spark, sf_dir):
+    """Anomalies by a stand-in for the 13-feature model: long names within five minutes of the last record."""
+
+    def long_name_soon(df):
+        soon = F.col("time_diff_unix") < 300
+        return df.withColumn("prediction", (soon & (F.col("value1_length") > 60)).cast("int"))
+
+    return anomalies(score_temporal(indexed_dns(spark, sf_dir), long_name_soon, "event_id"))
+
+
+def anomaly_score_temporal(spark, sf_dir):
+    features = dns_features_temporal(indexed_dns(spark, sf_dir), tie="event_id")
+    labelled = features.withColumn("label", (F.col("value1_length") > 60).cast("int"))
+    model = fit_classifier(labelled, FEATURES_13)
+    return score_anomalies(labelled, model).select("event_id", "owner", "label", "prediction")
+
+
 def derived_indicators(spark, sf_dir):
     known = feed.supplier_indicators(spark, sf_dir)
     matches = match_indicators(featured_dns(spark, sf_dir), known, KEY)
@@ -417,6 +434,8 @@ QUERIES: dict[str, Query] = {
     "zip_by_order": zip_orders,
     "anomaly_score": anomaly_score,
     "batch_model_score": batch_model_score,
+    "temporal_anomalies": temporal_anomalies,
+    "anomaly_score_temporal": anomaly_score_temporal,
     "derived_indicators": derived_indicators,
     "indicator_feedback": indicator_feedback,
     "stream_dns_alerts": stream_dns_alerts,

@@ -1,5 +1,7 @@
 """Indicator lists: known bad addresses per owner."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -7,6 +9,10 @@ from pyspark.sql import types as T
 from logweir.schema import INDICATOR
 from logweir.sources.sinks import path_exists, read_batches, write_batch
 
+# The batch that holds what was known before a stream began.
+SEED = -1
+SNAPSHOT_EVERY = 100
+
 
 def read_indicator_csv(spark: SparkSession, path: str, owner: str | None = None) -> DataFrame:
     """Distinct non-empty cells of headerless CSV files.
@@ -36,7 +42,7 @@ def write_indicator_csv(indicators: DataFrame, path: str) -> None:
 
 
 def read_indicator_table(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """Distinct indicators of the batches before ``before``, so a batch never sees its own."""
+    """Distinct indicators of all batches, or of those before ``before``."""
     return read_batches(spark, path, INDICATOR, before).select(*INDICATOR.names).distinct()
 
 
@@ -44,9 +50,31 @@ def write_indicator_batch(indicators: DataFrame, path: str, batch_id: int) -> No
     write_batch(indicators.select(*INDICATOR.names), path, batch_id, "owner")
 
 
-def compact_indicators(spark: SparkSession, source: str, target: str, upto: int) -> None:
-    """Copy the batches up to ``upto`` into one deduplicated batch of the table ``target``.
+def known_before(spark: SparkSession, path: str, batch_id: int, every: int = SNAPSHOT_EVERY) -> DataFrame:
+    """The indicators a micro-batch may know: those of earlier batches and of batch -1, if one was seeded.
 
-    Streams write a folder per batch; run this now and then and point the stream at ``target``.
+    Every ``every`` batches ``write_snapshot`` puts all of them together, so this reads one snapshot and at
+    most ``every`` batch folders, all named beforehand, however long the stream has been running.
     """
-    write_indicator_batch(read_indicator_table(spark, source, before=upto + 1), target, upto)
+    start = max((batch_id - 1) // every * every, 0)
+    older = f"{_snapshots(path)}/batch_id={start}" if start else f"{path}/batch_id={SEED}"
+    recent = [f"{path}/batch_id={i}" for i in range(start, batch_id)]
+    tables = [spark.createDataFrame([], INDICATOR)]
+    if start or path_exists(spark, older):
+        tables.append(spark.read.schema(INDICATOR).parquet(older))
+    if recent:
+        tables.append(spark.read.schema(INDICATOR).option("basePath", path).parquet(*recent))
+    rows = [table.select(*INDICATOR.names) for table in tables]
+    return reduce(DataFrame.unionByName, rows).distinct()
+
+
+def write_snapshot(
+    spark: SparkSession, path: str, batch_id: int, known: DataFrame, every: int = SNAPSHOT_EVERY
+) -> None:
+    """Keep what batch ``batch_id`` knew, if a snapshot is due at it."""
+    if batch_id > 0 and batch_id % every == 0:
+        write_indicator_batch(known, _snapshots(path), batch_id)
+
+
+def _snapshots(path: str) -> str:
+    return f"{path}-snapshots"

@@ -16,10 +16,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(strip("value").alias("value"))
 
 
-def stream_lines(spark: SparkSession, source: str = "text", **options) -> DataFrame:
-    """Streaming lines from any source with a ``value`` column: files, or a connector's format."""
+def stream_lines(
+    spark: SparkSession, source: str = "text", column: str = "value", **options
+) -> DataFrame:
+    """Streaming stripped lines from any source: files, or a connector that has them in ``column``."""
     stream = spark.readStream.format(source).options(**options).load()
-    return stream.withColumn("value", strip(F.col("value").cast("string")))
+    return stream.select(strip(F.col(column).cast("string")).alias("value"))
 
 
 def decode(lines: DataFrame, line_col: str = "value") -> DataFrame:

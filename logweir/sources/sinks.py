@@ -7,14 +7,19 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 def write_by_format(df: DataFrame, path: str) -> None:
     """Replace the table at ``path``, one folder per log format."""
-    df.write.mode("overwrite").partitionBy("log_format").parquet(path)
+    df.hint("rebalance", "log_format").write.mode("overwrite").partitionBy("log_format").parquet(path)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, *partition_cols: str) -> None:
-    """Write one micro-batch into its own folder of the table at ``path``."""
-    writer = df.write.mode("overwrite")
+    """Write one micro-batch into its own folder of the table at ``path``.
+
+    Rows of a partition are brought together first, or every task would write a file to every partition.
+    Spark splits a partition that this makes too large.
+    """
     if partition_cols:
-        writer = writer.partitionBy(*partition_cols)
+        writer = df.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols)
+    else:
+        writer = df.write.mode("overwrite")
     writer.parquet(f"{path}/batch_id={batch_id}")
 
 

@@ -10,7 +10,7 @@ from logweir.operators.ruletree import match_rules, rule_hits
 from logweir.operators.templates import fit_template_index
 from logweir.plans import feed
 from logweir.schema import DNSMASQ
-from logweir.sources.indicators import write_indicator_batch
+from logweir.sources.indicators import SEED, write_indicator_batch
 from logweir.sources.sinks import read_batches
 from logweir.streaming.frequency import ALERT, state_partitions, stream_frequency_alerts, use_rocksdb_state
 from logweir.streaming.run import run_stream
@@ -29,7 +29,7 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dns_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of a run that starts with the suppliers' indicators, added up over its micro-batches."""
     out = new_folder(spark, "dns-run")
-    write_indicator_batch(feed.supplier_indicators(spark, sf_dir), f"{out}/indicators", -1)
+    write_indicator_batch(feed.supplier_indicators(spark, sf_dir), f"{out}/indicators", SEED)
     known_templates = fit_template_index(
         parse_dnsmasq(feed.dns_feed(spark, sf_dir).select(*DNSMASQ.names), feed.YEAR)
     )

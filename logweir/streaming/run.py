@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logweir.operators.indicators import derive_indicators
 from logweir.plans.batch import Scorer, run_batch
-from logweir.sources.indicators import read_indicator_table, write_indicator_batch
+from logweir.sources.indicators import known_before, write_indicator_batch, write_snapshot
 from logweir.sources.sinks import write_batch
 
 TRIGGER = "10 seconds"
@@ -34,7 +34,8 @@ def run_stream(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = read_indicator_table(spark, f"{out}/indicators", before=batch_id)
+        known = known_before(spark, f"{out}/indicators", batch_id)
+        write_snapshot(spark, f"{out}/indicators", batch_id, known)
         result = run_batch(batch, known, score, year, index, cache=True)
         try:
             write_batch(result.alerts, f"{out}/alerts", batch_id, "owner")

@@ -14,7 +14,8 @@ from logweir.operators.ruletree import frequency_alerts
 from logweir.plans.batch import run_batch
 from logweir.schema import DNSMASQ, FEATURES_18, INDICATOR
 from logweir.sources.indicators import (
-    compact_indicators, read_indicator_csv, read_indicator_table, write_indicator_batch, write_indicator_csv,
+    SEED, known_before, read_indicator_csv, read_indicator_table, write_indicator_batch, write_indicator_csv,
+    write_snapshot,
 )
 from logweir.sources.lines import decode, lines_from_list, read_lines, route, stream_lines
 from logweir.sources.models import load_classifier, load_template_index
@@ -69,17 +70,28 @@ def test_indicator_csv(spark, tmp_path):
 
 
 def test_indicator_table(spark, tmp_path):
-    path, compact = str(tmp_path / "table"), str(tmp_path / "compact")
+    path = str(tmp_path / "table")
     assert read_indicator_table(spark, path).count() == 0
     for batch, address in enumerate(["1.1.1.1", "2.2.2.2", "1.1.1.1"]):
         for _ in range(2):  # a batch may be run again
             write_indicator_batch(spark.createDataFrame([("007", address)], INDICATOR), path, batch)
     seen = [{r.value2 for r in read_indicator_table(spark, path, before=b).collect()} for b in range(3)]
     assert seen == [set(), {"1.1.1.1"}, {"1.1.1.1", "2.2.2.2"}]
-    compact_indicators(spark, path, compact, upto=2)
-    assert Counter(map(tuple, read_indicator_table(spark, compact).collect())) == Counter(
-        [("007", "1.1.1.1"), ("007", "2.2.2.2")]
-    )
+    assert read_indicator_table(spark, path).count() == 2
+
+
+def test_snapshots_of_known_indicators(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert known_before(spark, path, 0, every=2).count() == 0
+    write_indicator_batch(spark.createDataFrame([("007", "seed")], INDICATOR), path, SEED)
+    for batch in range(7):
+        for _ in range(2):
+            known = known_before(spark, path, batch, every=2)
+            write_snapshot(spark, path, batch, known, every=2)
+            expected = {("007", "seed")} | {("007", f"ip{b % 4}") for b in range(batch)}
+            assert Counter(map(tuple, known.collect())) == Counter(expected)
+            write_indicator_batch(spark.createDataFrame([("007", f"ip{batch % 4}")], INDICATOR), path, batch)
+    assert sorted(os.listdir(f"{path}-snapshots")) == ["batch_id=2", "batch_id=4", "batch_id=6"]
 
 
 def test_batch_sink_replaces_a_retried_batch(spark, tmp_path):
