@@ -64,10 +64,13 @@ class LookBack(StatefulProcessor):
         new = pd.concat(list(rows)).sort_values("second")
         seconds, hits = new["second"].to_numpy(), new["hits"].to_numpy()
         n_new = len(seconds)
-        if self.recent.exists():
-            old_seconds, old_hits = self.recent.get()
-            seconds = np.concatenate([np.asarray(old_seconds, dtype=np.int64), seconds])
-            hits = np.concatenate([np.asarray(old_hits, dtype=np.int64), hits])
+        # Calls to the state cost more than the work on it: one to read, and timers only where one is set.
+        earlier = self.recent.get()
+        if earlier is not None:
+            seconds = np.concatenate([np.asarray(earlier[0], dtype=np.int64), seconds])
+            hits = np.concatenate([np.asarray(earlier[1], dtype=np.int64), hits])
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(int(timer))
         total = np.concatenate([[0], np.cumsum(hits)])
         from_second = np.searchsorted(seconds, seconds - timeframe, side="left")
         in_window = total[1:] - total[from_second]
@@ -76,8 +79,6 @@ class LookBack(StatefulProcessor):
         last = int(seconds[-1])
         keep = seconds > last - timeframe - 1
         self.recent.update((seconds[keep].tolist(), hits[keep].tolist()))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(int(timer))
         self.handle.registerTimer((last + timeframe + 1) * 1000)
         yield pd.DataFrame(
             {
