@@ -60,7 +60,10 @@ def has_file_extension(c, mode: str = "substring") -> Column:
     ``substring`` accepts an extension anywhere in the text; ``suffix`` only after the last dots.
     """
     if mode == "substring":
-        pattern = "|".join(w.replace(".", r"\.") for w in _shortest(FILE_EXTENSIONS))
+        words = _shortest(FILE_EXTENSIONS)
+        # The look-ahead passes over characters that begin no word.
+        firsts = "".join(sorted({w[0] for w in words}))
+        pattern = f"(?=[{firsts}])(?:" + "|".join(w.replace(".", r"\.") for w in words) + ")"
     elif mode == "suffix":
         pattern = r"\.(?:" + "|".join(w.replace(".", r"\.") for w in FILE_EXTENSIONS) + ")$"
     else:
@@ -78,13 +81,13 @@ def entropy(c) -> Column:
     c = _col(c)
     size, in_bytes = F.length(c), F.octet_length(c)
 
-    def bits(total, char):
-        count = (in_bytes - F.octet_length(F.replace(c, char, F.lit("")))) / F.octet_length(char)
-        return total - count / size * F.log2(count / size)
+    def share(char):
+        return (in_bytes - F.octet_length(F.replace(c, char, F.lit("")))) / F.octet_length(char) / size
 
+    shares = F.transform(F.array_distinct(F.split(c, "")), share)
     # Summed share by share: a rearranged sum could miss the readable threshold by its last bit.
-    total = F.aggregate(F.array_distinct(F.split(c, "")), F.lit(0.0), bits)
-    return F.when(size == 0, F.lit(0.0)).otherwise(total)
+    bits = F.aggregate(shares, F.lit(0.0), lambda total, p: total - p * F.log2(p))
+    return F.when(size == 0, F.lit(0.0)).otherwise(bits)
 
 
 def is_readable(entropy_value, threshold: float = READABLE_BELOW) -> Column:

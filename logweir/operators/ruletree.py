@@ -26,15 +26,19 @@ def _quote(text: str) -> str:
     return _JAVA_SPECIAL.sub(lambda m: "\\" + m.group(), text)
 
 
-def match_pattern(match: str) -> str:
-    """A ``match`` as a Java pattern: alternatives of literal text, with anchors at their ends."""
+def match_condition(text: Column, match: str) -> Column:
+    """Whether ``text`` holds one of the alternatives of a ``match``: literal text, anchored at its ends or not."""
 
-    def piece(text: str) -> str:
-        head = "^" if text.startswith("^") else ""
-        tail = "$" if text.endswith("$") else ""
-        return head + _quote(text[len(head) : len(text) - len(tail)]) + tail
+    def piece(pattern: str) -> Column:
+        at_start, at_end = pattern.startswith("^"), pattern.endswith("$")
+        literal = pattern[at_start : len(pattern) - at_end]
+        if at_start and at_end:
+            return text == literal
+        if at_start:
+            return text.startswith(literal)
+        return text.endswith(literal) if at_end else text.contains(literal)
 
-    return "|".join(piece(p) for p in match.split("|") if p)
+    return reduce(lambda a, b: a | b, [piece(p) for p in match.split("|") if p])
 
 
 def regex_pattern(regex: str) -> str:
@@ -63,43 +67,38 @@ def _own_condition(rule: Rule) -> Column:
     tests = []
     if rule.decoded_as:
         tests.append(F.col("log_format") == DECODERS.get(rule.decoded_as, rule.decoded_as))
-    for pattern in filter(None, [rule.match and match_pattern(rule.match), rule.regex and regex_pattern(rule.regex)]):
-        tests.append(F.col("message").rlike(pattern) | F.col("_head").rlike(pattern))
+    for text_test in filter(None, [
+        rule.match and (lambda text: match_condition(text, rule.match)),
+        rule.regex and (lambda text: text.rlike(regex_pattern(rule.regex))),
+    ]):
+        tests.append(text_test(F.col("message")) | text_test(F.col("_head")))
     if rule.codes:
         tests.append(F.col("_code").isin(rule.codes))
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
 def match_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Add ``matched``, the ids of the rules that hold, to parsed web errors. One projection per tree depth.
+    """Add ``matched``, the ids of the rules that hold, to parsed web errors. One projection.
 
-    Frequency rules are left to ``frequency_alerts``.
+    The tree becomes one nested expression: a record tries a rule only where a parent holds, and a rule
+    with one parent is tried once. Frequency rules are left to ``frequency_alerts``.
     """
-    plain = {r.rule_id: r for r in rules if r.counted_rule is None}
+    plain = [r for r in rules if r.counted_rule is None]
+    none = F.array().cast("array<int>")
 
-    def depth(rule: Rule) -> int:
-        known = [plain[p] for p in rule.parents or [] if p in plain]
-        return 1 + max((depth(p) for p in known), default=-1)
+    def held(rule: Rule) -> Column:
+        children = [r for r in plain if rule.rule_id in (r.parents or [])]
+        ids = F.concat(F.array(F.lit(rule.rule_id)), *[held(child) for child in children])
+        return F.when(_own_condition(rule), ids).otherwise(none)
 
     module = F.col("level").contains(":")
     head = F.concat(F.when(module, " [").otherwise("["), F.col("level"), F.lit("] "))
-    out = df.withColumns(
+    texts = df.withColumns(
         {"_head": F.coalesce(head, F.lit("")), "_code": F.regexp_extract("entity", CODE, 1)}
     )
-    levels = {rule_id: depth(rule) for rule_id, rule in plain.items()}
-    # Each level reads its parents' columns, so a parent's pattern is tried once for all its children.
-    for level in range(max(levels.values(), default=-1) + 1):
-        flags = {}
-        for rule in (plain[i] for i, n in levels.items() if n == level):
-            condition = _own_condition(rule)
-            if rule.parents:
-                held = [F.col(f"_r{p}") for p in rule.parents if p in plain]
-                # Parent first: most records stop there and the pattern is not tried.
-                condition = reduce(lambda a, b: a | b, held, F.lit(False)) & condition
-            flags[f"_r{rule.rule_id}"] = F.coalesce(condition, F.lit(False))
-        out = out.withColumns(flags)
-    ids = F.array_compact(F.array(*[F.when(F.col(f"_r{i}"), F.lit(i)) for i in sorted(plain)]))
-    return out.select(*df.columns, ids.alias("matched"))
+    matched = F.concat(none, *[held(rule) for rule in plain if not rule.parents])
+    # A rule with several parents may be found under more than one.
+    return texts.select(*df.columns, F.sort_array(F.array_distinct(matched)).alias("matched"))
 
 
 def alerting(rules: list[Rule]) -> list[Rule]:
@@ -160,10 +159,10 @@ def frequency_alerts(hits: DataFrame, rules: list[Rule]) -> DataFrame:
         .agg(F.count("*").alias("hits"))
     )
     own = F.floor(F.col("epoch_timestamp") / F.col("_timeframe"))
+    # In its own bucket no second ends: the timeframe is as long as the bucket.
     change = F.explode(
         F.array(
             F.struct(own.alias("bucket"), F.lit(True).alias("own"), F.lit(True).alias("comes")),
-            F.struct(own.alias("bucket"), F.lit(True).alias("own"), F.lit(False).alias("comes")),
             F.struct((own + 1).alias("bucket"), F.lit(False).alias("own"), F.lit(True).alias("comes")),
             F.struct((own + 1).alias("bucket"), F.lit(False).alias("own"), F.lit(False).alias("comes")),
         )
@@ -176,7 +175,7 @@ def frequency_alerts(hits: DataFrame, rules: list[Rule]) -> DataFrame:
         "_frequency",
         "epoch_timestamp",
         F.col("_change.bucket").alias("_bucket"),
-        (F.col("_change.own") & comes).alias("_fires_here"),
+        F.col("_change.own").alias("_fires_here"),
         F.when(comes, F.col("epoch_timestamp"))
         .otherwise(F.col("epoch_timestamp") + F.col("_timeframe") + 1)
         .alias("_at"),

@@ -279,8 +279,8 @@ ORACLES: dict[str, str] = {
         _DNS_VOCABULARY, _FEATURES, _GAPS,
     ),
     "time_gap": _dns("SELECT event_id, CAST(gap AS DOUBLE) AS gap FROM gaps", _GAPS),
-    "second_gaps": _dns("""SELECT owner, epoch_timestamp, epoch_timestamp - lag(epoch_timestamp)
-        OVER (PARTITION BY owner ORDER BY epoch_timestamp) AS gap
+    "second_gaps": _dns("""SELECT owner, epoch_timestamp, coalesce(epoch_timestamp - lag(epoch_timestamp)
+        OVER (PARTITION BY owner ORDER BY epoch_timestamp), 0) AS gap
         FROM (SELECT DISTINCT owner, epoch_timestamp FROM parsed)"""),
     "day_of_week": f"""WITH {ORACLE_FEED}
         SELECT event_id, dayofweek(ts) + 1 AS day_of_week FROM dns""",

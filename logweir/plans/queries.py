@@ -206,7 +206,7 @@ def time_gaps(spark, sf_dir):
 def second_gaps(spark, sf_dir):
     """Pauses of each owner's feed, one row per second with records."""
     return first_gaps(parsed_dns(spark, sf_dir), "owner", "epoch_timestamp", "event_id").select(
-        "owner", "epoch_timestamp", "gap"
+        "owner", "epoch_timestamp", F.coalesce("gap", F.lit(0)).alias("gap")
     )
 
 

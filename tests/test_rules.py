@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logweir.operators.ruleset import DEFAULT_RULES, Rule, as_rules, read_rules, rules_table
-from logweir.operators.ruletree import match_pattern, match_rules, regex_pattern, rule_alerts
+from logweir.operators.ruletree import match_condition, match_rules, regex_pattern, rule_alerts
 from logweir.operators.idrules import with_source
 
 RULES_XML = """
@@ -65,11 +65,12 @@ def test_default_rules():
         ("^[error] ", ["[error] x"], ["x [error] ", "e"]),
         ("a.b|c$", ["xa.by", "abc"], ["aXb", "cx"]),
         ("File: |", ["File: x"], ["file: "]),
+        ("^all$", ["all"], ["all of it", "at all"]),
     ],
 )
-def test_match_language(match, hits, misses):
-    pattern = re.compile(match_pattern(match))
-    assert all(pattern.search(h) for h in hits) and not any(pattern.search(m) for m in misses)
+def test_match_language(spark, match, hits, misses):
+    texts = spark.createDataFrame([(t,) for t in hits + misses], "t string")
+    assert {r.t for r in texts.filter(match_condition(F.col("t"), match)).collect()} == set(hits)
 
 
 @pytest.mark.parametrize(
