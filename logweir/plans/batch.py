@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from logweir.operators.features import dns_features, dns_features_temporal
 from logweir.operators.indicators import derive_indicators, match_indicators
 from logweir.operators.parse import parse_dnsmasq
-from logweir.operators.templates import fit_template_index, index_with_vocabulary
+from logweir.operators.templates import index_with_vocabulary, template_vocabulary
 from logweir.schema import ANY_LOG, CORRUPT, DNSMASQ
 from logweir.sources.lines import decode
 
@@ -43,7 +43,7 @@ def run_batch(
     """Decode, parse, match against ``known`` indicators, score what is left, derive indicators.
 
     ``owner`` stays a column throughout, so all owners run in one plan. ``index`` is a fitted model or
-    a vocabulary table; without it the templates of this batch are indexed. ``cache`` keeps what the
+    a vocabulary table; without it the templates of this batch are numbered. ``cache`` keeps what the
     several outputs share, so that the source is read once; unpersist ``rows`` after use.
     """
     # Undecodable lines go along, as rows of nulls, so that one pass serves the quarantine too.
@@ -51,7 +51,7 @@ def run_batch(
     unused = [c for c in ANY_LOG.names if c not in DNSMASQ.names]
     parsed = parse_dnsmasq(decoded.drop(*unused), year)
     if index is None:
-        index = fit_template_index(parsed)
+        index = template_vocabulary(parsed)
     if isinstance(index, DataFrame):
         indexed = index_with_vocabulary(parsed, index, RECORD)
     else:

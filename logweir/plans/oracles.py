@@ -53,11 +53,11 @@ def _entropy(s: str) -> str:
 
 
 def _count(s: str, char: str) -> str:
-    return f"(length({s}) - length(replace({s}, '{char}', '')))"
+    return f"CAST(length({s}) - length(replace({s}, '{char}', '')) AS INTEGER)"
 
 
 def _capitals(s: str) -> str:
-    return rf"length(regexp_replace({s}, '[^\p{{Lu}}]', '', 'g'))"
+    return rf"CAST(length(regexp_replace({s}, '[^\p{{Lu}}]', '', 'g')) AS INTEGER)"
 
 
 _EXTENSIONS = (
@@ -90,7 +90,7 @@ def _lexical(v: str) -> str:
 _DNS_VOCABULARY = _VOCABULARY.format(source="parsed")
 _FEATURES = f"""
     features AS (SELECT event_id, parsed.owner, response, value1, value2, epoch_timestamp,
-        CAST(encoded_key AS INTEGER) AS encoded_key, length(parsed.key) AS key_length,
+        CAST(encoded_key AS INTEGER) AS encoded_key, CAST(length(parsed.key) AS INTEGER) AS key_length,
         {_lexical('value1')}, CAST({_entropy('value1')} < 3.0 AS INTEGER) AS value1_human_readable,
         {_lexical('value2')}, {_ip_class('value2')} AS value2_ip_class
         FROM parsed JOIN vocabulary USING (key))
@@ -254,7 +254,7 @@ ORACLES: dict[str, str] = {
                CASE event_type WHEN 'view' THEN 'https://' || host || '/' ELSE '-' END AS referer,
                'Mozilla/5.0 (X11; Linux x86_64)' AS agent FROM base""",
     "char_counts": f"""SELECT doc_id, {_count('text', '.')} AS dots, {_count('text', '-')} AS hyphens,
-        {_count('text', '/')} AS slashes, {_count('text', '*')} AS asterisks, length(text) AS chars FROM documents""",
+        {_count('text', '/')} AS slashes, {_count('text', '*')} AS asterisks, CAST(length(text) AS INTEGER) AS chars FROM documents""",
     "page_char_counts": f"""SELECT page_id, {_count('url', '.')} AS url_dots, {_count('url', '-')} AS url_hyphens,
         {_count('url', '/')} AS url_slashes, {_count('html', '/')} AS html_slashes,
         {_count('html', '*')} AS html_asterisks FROM pages""",
@@ -270,7 +270,7 @@ ORACLES: dict[str, str] = {
     ),
     "dns_features_13": _dns(
         """SELECT g.event_id, g.owner, f.encoded_key, CAST(gap AS DOUBLE) AS time_diff_unix,
-               dayofweek(make_timestamp(g.epoch_timestamp * 1000000)) + 1 AS day_of_week,
+               CAST(dayofweek(make_timestamp(g.epoch_timestamp * 1000000)) + 1 AS INTEGER) AS day_of_week,
                value1_length, value2_length, value1_dot_count, value1_hyphen_count, value2_dot_count,
                value2_hyphen_count, key_length,
                count(g.value1) OVER (PARTITION BY g.owner ORDER BY g.value1) AS value1_count,
@@ -283,7 +283,7 @@ ORACLES: dict[str, str] = {
         OVER (PARTITION BY owner ORDER BY epoch_timestamp), 0) AS gap
         FROM (SELECT DISTINCT owner, epoch_timestamp FROM parsed)"""),
     "day_of_week": f"""WITH {ORACLE_FEED}
-        SELECT event_id, dayofweek(ts) + 1 AS day_of_week FROM dns""",
+        SELECT event_id, CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week FROM dns""",
     "running_value_count": _dns("""SELECT DISTINCT owner, value1, count(*) OVER (PARTITION BY owner, value1) AS n,
         count(*) OVER (PARTITION BY owner ORDER BY value1) AS running FROM parsed"""),
     "template_index": _dns("SELECT event_id, key, encoded_key FROM parsed JOIN vocabulary USING (key)", _DNS_VOCABULARY),
