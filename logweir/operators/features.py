@@ -44,17 +44,25 @@ def dns_features(df: DataFrame, extension_mode: str = "substring") -> DataFrame:
     return df.select(*kept, *[added[name].alias(name) for name in FEATURES_18])
 
 
-def with_value_count(
-    df: DataFrame, group: str, value: str, tie: str, out: str, counted: DataFrame | None = None
+def with_value_counts(
+    df: DataFrame, group: str, outs: dict[str, str], tie: str, counted: DataFrame | None = None
 ) -> DataFrame:
-    """Add how many rows of the group have a value up to and including this one's; 0 for null.
+    """For each value column of ``outs``, add how many rows of the group have a value up to and including this one's.
 
-    ``counted`` has the same rows where ``df`` is costly to compute a second time.
+    A null value gives 0. All columns are counted in one pass. ``counted`` has the same rows where ``df`` is
+    costly to compute a second time.
     """
-    running = running_value_count(df if counted is None else counted, [group], value, out)
-    hot = partial(hot_keys, running, [group, value], "n")
-    joined = lookup_join(df, running.drop("n"), [group, value], "left", [tie], hot)
-    return joined.select(*df.columns, F.coalesce(out, F.lit(0)).cast("bigint").alias(out))
+    named = [F.struct(F.lit(value).alias("_column"), F.col(value).alias("_value")) for value in outs]
+    stacked = (df if counted is None else counted).select(group, F.inline(F.array(*named)))
+    running = running_value_count(stacked, [group, "_column"], "_value", "_running")
+    for value, out in outs.items():
+        of_column = running.filter(F.col("_column") == value).select(
+            group, F.col("_value").alias(value), "n", F.col("_running").alias(out)
+        )
+        hot = partial(hot_keys, of_column, [group, value], "n")
+        joined = lookup_join(df, of_column.drop("n"), [group, value], "left", [tie], hot)
+        df = joined.select(*df.columns, F.coalesce(out, F.lit(0)).cast("bigint").alias(out))
+    return df
 
 
 def dns_features_temporal(df: DataFrame, tie: str, group: str = "owner") -> DataFrame:
@@ -63,8 +71,8 @@ def dns_features_temporal(df: DataFrame, tie: str, group: str = "owner") -> Data
     ``tie`` names a unique key; it orders records of the same second.
     """
     gapped = time_gap(df, group, "epoch_timestamp", tie, "time_diff_unix")
-    counted = with_value_count(gapped, group, "value1", tie, "value1_count", df)
-    counted = with_value_count(counted, group, "value2", tie, "value2_count", df)
+    outs = {"value1": "value1_count", "value2": "value2_count"}
+    counted = with_value_counts(gapped, group, outs, tie, df)
     added = {
         "encoded_key": F.col("encoded_key").cast("int"),
         "time_diff_unix": F.col("time_diff_unix"),

@@ -106,7 +106,7 @@ def test_running_count(frame, rows, many_ranges):
 def test_value_count_per_row(frame, rows, max_rows, monkeypatch):
     join = skew.lookup_join
     monkeypatch.setattr(feature_operators, "lookup_join", lambda *a: join(*a, max_rows=max_rows))
-    got = {r.id: r.c for r in feature_operators.with_value_count(frame, "owner", "value1", "id", "c").collect()}
+    got = {r.id: r.c for r in feature_operators.with_value_counts(frame, "owner", {"value1": "c"}, "id").collect()}
     for i, owner, name, _ in rows:
         peers = [r for r in rows if r[1] == owner and r[2] is not None]
         known = owner is not None and name is not None
