@@ -3,9 +3,13 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logweir.llm.exact_dedup import drop_exact_copies
 from logweir.llm.kneser_ney import keep_good
+from logweir.llm.packing import pack
+from logweir.llm.probminhash import drop_near_copies
+from logweir.llm.suffix_dedup import remove_repeats
 from logweir.llm.tables import table, written
 
 
@@ -19,9 +23,28 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each class of near-duplicates."""
+    return drop_near_copies(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take strings out of the texts that stand elsewhere too."""
+    cut = remove_repeats(docs)
+    return cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bucket, batch and slot of each document."""
+    return pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", quality_classifier),
     ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
+    ("suffix dedup", suffix_dedup),
+    ("packing", packing),
 ]
 
 #: The classifier, the near-duplicate classes and the length buckets have no SQL; tests hold them to brute force.

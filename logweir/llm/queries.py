@@ -8,9 +8,31 @@ from pyspark.sql import functions as F
 from logweir.llm.decision_list import judge_documents
 from logweir.llm.exact_dedup import exact_groups
 from logweir.llm.kneser_ney import judge_quality
+from logweir.llm.packing import pack
+from logweir.llm.probminhash import near_classes
+from logweir.llm.suffix_dedup import cut_texts
 from logweir.llm.tables import table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    cut = cut_texts(docs).select("doc_id", "n_removed", "n_spans", F.sha2("left", 256).alias("sha"))
+    text = F.coalesce("text", F.lit(""))
+    whole = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("own"))
+    nothing = F.lit(0).cast("long")
+    return whole.join(cut, "doc_id", "left").select(
+        "doc_id",
+        "n_bytes",
+        F.coalesce("n_removed", nothing).alias("n_removed"),
+        F.coalesce("n_spans", nothing).alias("n_spans"),
+        F.coalesce("sha", "own").alias("kept_sha256"),
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
@@ -23,13 +45,20 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "lang", "n_bytes", F.round("perplexity", 6).alias("perplexity"), "kept")
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_classifier": op5_quality_classifier,
+    "op8_minhash": op8_minhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
