@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,13 @@ from logweir.llm.packing import pack
 from logweir.llm.probminhash import near_classes
 from logweir.llm.suffix_dedup import cut_texts
 from logweir.llm.tables import table
+from logweir.llm.token_files import read_token_files, write_token_files
+from logweir.llm.url_filter import judge_urls
+from logweir.workspace import new_folder
+
+#: A file of the tokenizers library; where it stands is the caller's choice.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+END = 1
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +53,19 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "lang", "n_bytes", F.round("perplexity", 6).alias("perplexity"), "kept")
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), folder, WORD_BPE, END)
+    read = read_token_files(spark, folder).drop("ids", "id")
+    index = spark.read.parquet(f"{folder}/index").select("part", "block", "slot", F.col("id").alias("doc_id"), "start")
+    return read.join(index, ["part", "block", "slot"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
@@ -58,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_token_files": op6_token_files,
+    "op7_url_filter": op7_url_filter,
     "op8_minhash": op8_minhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
