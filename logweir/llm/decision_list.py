@@ -17,7 +17,7 @@ from logweir.workspace import settle
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-FEATURES = ("mean_chars", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "stop_share", "mark_share")
+FEATURES = ("mean_chars", "symbol_share", "dup_line_share", "repeat_share", "upper_share")
 
 
 # --- features -------------------------------------------------------------------------------------------------
@@ -57,8 +57,7 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     ``n_words``, ``word_chars`` (code points in words), ``n_symbols``, ``n_dup_lines`` (lines with a word, equal to
     an earlier line), ``n_repeat_words`` (words in five-word windows found twice or more in the text), and for the
-    learnt rules ``n_upper`` (upper-case letters), ``n_short`` (words of up to three code points) and ``n_marks``
-    (``!`` and ``?``).
+    learnt rules ``n_upper`` (upper-case letters).
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # Each step is a column of its own, as an expression within a lambda would be computed for every element.
@@ -74,8 +73,6 @@ def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _covered(_repeat_starts(F.col("placed"))).alias("n_repeat_words"),
         only(r"\P{Lu}+").alias("n_upper"),
-        F.size(F.filter("words", lambda w: F.char_length(w) <= 3)).cast("long").alias("n_short"),
-        only("[^!?]+").alias("n_marks"),
     )
 
 
@@ -97,8 +94,6 @@ def text_features(counts: DataFrame) -> DataFrame:
             "dup_line_share": per("n_dup_lines", "n_words"),
             "repeat_share": per("n_repeat_words", "n_words"),
             "upper_share": per("n_upper", "word_chars"),
-            "stop_share": per("n_short", "n_words"),
-            "mark_share": per("n_marks", "n_words"),
         }
     )
 
