@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweir.llm.chat import format_chats
 from logweir.llm.decision_list import judge_documents
 from logweir.llm.exact_dedup import exact_groups
 from logweir.llm.kneser_ney import judge_quality
@@ -41,6 +42,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = format_chats(table(spark, sf_dir, "conversations"))
+    return made.withColumn("rendered_sha256", F.sha2("rendered", 256)).drop("rendered", "position")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(
@@ -77,6 +83,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_chat_format": op3_chat_format,
     "op4_quality_rules": op4_quality_rules,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_token_files": op6_token_files,
