@@ -11,6 +11,7 @@ from logweir.llm.decision_list import judge_documents
 from logweir.llm.exact_dedup import exact_groups
 from logweir.llm.kneser_ney import judge_quality
 from logweir.llm.packing import pack
+from logweir.llm.piece_scan import decode_pieces, encode_pieces
 from logweir.llm.probminhash import near_classes
 from logweir.llm.suffix_dedup import cut_texts
 from logweir.llm.tables import table
@@ -21,6 +22,8 @@ from logweir.workspace import new_folder
 #: A file of the tokenizers library; where it stands is the caller's choice.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 END = 1
+#: A model file of the sentencepiece library.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +79,17 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), PIECES), PIECES)
+    return made.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "score",
+        "ids_crc32",
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).withColumnRenamed("digest", "text_sha256")
 
@@ -89,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op7_url_filter": op7_url_filter,
     "op8_minhash": op8_minhash,
+    "op9_pieces": op9_pieces,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
