@@ -31,7 +31,10 @@ def _lexical(value: str, extension_mode: str) -> dict:
 
 
 def dns_features(df: DataFrame, extension_mode: str = "substring") -> DataFrame:
-    """Add the 18 features to parsed records that have ``encoded_key``. One projection, no shuffle."""
+    """Add the 18 features to parsed records. One projection, no shuffle.
+
+    Records without ``encoded_key`` get the other 17.
+    """
     added = {
         "encoded_key": F.col("encoded_key").cast("int"),
         "key_length": F.length("key"),
@@ -41,7 +44,8 @@ def dns_features(df: DataFrame, extension_mode: str = "substring") -> DataFrame:
         "value2_ip_class": ip_class("value2"),
     }
     kept = [c for c in df.columns if c not in added]
-    return df.select(*kept, *[added[name].alias(name) for name in FEATURES_18])
+    names = [n for n in FEATURES_18 if n != "encoded_key" or n in df.columns]
+    return df.select(*kept, *[added[name].alias(name) for name in names])
 
 
 def with_value_counts(

@@ -21,8 +21,11 @@ class Matches(NamedTuple):
 def detect(
     df: DataFrame, indicators: DataFrame, spread: list[str], max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Add ``detection``: the hit's label, or the empty string."""
-    labels = indicators.select("owner", "value2").distinct().withColumn(
+    """Add ``detection``: the hit's label, or the empty string.
+
+    An empty indicator is none: it would hit every message that does not parse.
+    """
+    labels = indicators.select("owner", "value2").filter(F.col("value2") != "").distinct().withColumn(
         "_label", F.concat(F.lit(LABEL), "value2")
     )
     found = lookup_join(df, labels, ["owner", "value2"], "left", spread, max_rows=max_rows)

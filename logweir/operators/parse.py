@@ -50,32 +50,48 @@ def parse_dnsmasq(df: DataFrame, year: int, index: StringIndexerModel | None = N
     return _indexed(parsed, index)
 
 
+# What each part of a web-server error is called here, and the pattern's group that holds it.
+ERROR_PARTS = {
+    "entity": 1,
+    "file": 3,
+    "missing": 4,
+    "problem": 6,
+    "detail": 7,
+    "referer": 9,
+    "referring_page": 10,
+}
+# Stands between the parts while they are taken apart; text that holds it goes the slow way.
+_BETWEEN = "\x1f"
+_WHOLE_MESSAGE = rf"(?s)^[:']*+(?-s:{ERROR_MESSAGE}).*$"
+
+
 def extract_error_parts(df: DataFrame) -> DataFrame:
-    """Add the seven parts of a web-server error message."""
-    groups = {
-        "entity": 1,
-        "script_path": 3,
-        "not_found_msg": 4,
-        "error_apache": 6,
-        "error_apache_path": 7,
-        "referer": 9,
-        "referer_msg": 10,
-    }
-    return df.withColumns({c: F.regexp_extract("message", ERROR_MESSAGE, g) for c, g in groups.items()})
+    """Add the seven parts of a web-server error message; empty where the message lacks one.
+
+    The pattern is matched once: the message is replaced by its parts in a row, and these are split.
+    """
+    row = _BETWEEN.join(f"${group}" for group in ERROR_PARTS.values())
+    parts = F.split(F.regexp_replace("message", _WHOLE_MESSAGE, row), _BETWEEN)
+    one_by_one = F.array(*(F.regexp_extract("message", ERROR_MESSAGE, group) for group in ERROR_PARTS.values()))
+    nothing = F.array(*([F.lit("")] * len(ERROR_PARTS)))
+    # A message of quotes and colons alone fits nowhere and stays one piece.
+    found = F.when(F.col("message").contains(_BETWEEN), one_by_one).otherwise(
+        F.when(F.size(parts) == len(ERROR_PARTS), parts).when(F.col("message").isNotNull(), nothing)
+    )
+    split = df.withColumn("_parts", found)
+    return split.select(*df.columns, *(F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(ERROR_PARTS)))
 
 
 def parse_apache_error(df: DataFrame, index: StringIndexerModel | None = None) -> DataFrame:
     """Web-error records to ``entity``, ``key``, ``value`` (array) and ``epoch_timestamp``."""
-    parts = extract_error_parts(df)
-    has_referer = F.when(F.col("referer") == REFERER, ANY).otherwise("")
-    parsed = parts.select(
+    marks = F.when(F.col("referer") == REFERER, ANY).otherwise("")
+    key = F.concat("entity", F.lit(" "), "problem", F.lit(ANY), "missing", "referer", marks)
+    parsed = extract_error_parts(df).select(
         *_other_columns(df, "pid", "time"),
         "entity",
-        F.concat(
-            "entity", F.lit(" "), "error_apache", F.lit(ANY), "not_found_msg", "referer", has_referer
-        ).alias("key"),
+        key.alias("key"),
         error_log_epoch("time").alias("epoch_timestamp"),
-        F.array("script_path", "error_apache_path", "referer_msg").alias("value"),
+        F.array("file", "detail", "referring_page").alias("value"),
     )
     return _indexed(parsed, index)
 

@@ -1,4 +1,8 @@
-"""The default web-server rules as plain values, and rules from XML files."""
+"""The default web-server rules as plain values, and rules from XML files.
+
+The values of the default rules (ids, levels, patterns, texts) are those of a public rule set under the GNU General
+Public License, version 2; the code around them is our own.
+"""
 
 from typing import NamedTuple
 

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweir.operators.features import dns_features, dns_features_temporal
+from logweir.operators.idrules import apache_id_rules
 from logweir.operators.indicators import derive_indicators, match_indicators
-from logweir.operators.parse import parse_dnsmasq
-from logweir.operators.templates import index_with_vocabulary, template_vocabulary
-from logweir.schema import ANY_LOG, CORRUPT, DNSMASQ
-from logweir.sources.lines import decode
+from logweir.operators.parse import parse_apache_access, parse_apache_error, parse_dnsmasq
+from logweir.operators.ruleset import DEFAULT_RULES, Rule, rules_table
+from logweir.operators.templates import index_with_vocabulary
+from logweir.schema import APACHE_ACCESS, APACHE_ERROR, CORRUPT, DNSMASQ
+from logweir.sources.lines import decode, quarantine, route, unrouted
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -22,14 +24,31 @@ RECORD = ["message", "epoch_timestamp"]
 
 
 class BatchResult(NamedTuple):
-    """``rows`` are the decoded records with features and the undecodable lines, cached if so asked."""
+    """``rows`` are the DNS records with features, ``decoded`` all lines; both are cached if so asked.
 
+    ``counts`` has the decoded lines by what became of them: (phase, rows), a phase being a log format,
+    ``unrouted`` or ``quarantine``.
+    """
+
+    decoded: DataFrame
     rows: DataFrame
     quarantine: DataFrame
     features: DataFrame
     alerts: DataFrame
     scored: DataFrame
     indicators: DataFrame
+    errors: DataFrame
+    error_alerts: DataFrame
+    access: DataFrame
+    unrouted: DataFrame
+    counts: DataFrame
+
+    def release(self) -> None:
+        self.rows.unpersist()
+        self.decoded.unpersist()
+
+
+FORMATS = ["dnsmasq", "apache_error", "apache2_access"]
 
 
 def run_batch(
@@ -39,31 +58,48 @@ def run_batch(
     year: int,
     index: StringIndexerModel | DataFrame | None = None,
     cache: bool = False,
+    rules: list[Rule] | None = None,
 ) -> BatchResult:
-    """Decode, parse, match against ``known`` indicators, score what is left, derive indicators.
+    """Decode and route. DNS: parse, match against ``known`` indicators, score what is left, derive indicators.
+    Web errors: parse, and alerts of the rules with error codes. Everything else is passed on or set aside.
 
-    ``owner`` stays a column throughout, so all owners run in one plan. ``index`` is a fitted model or
-    a vocabulary table; without it the templates of this batch are numbered. ``cache`` keeps what the
-    several outputs share, so that the source is read once; unpersist ``rows`` after use.
+    ``owner`` stays a column throughout, so all owners run in one plan. ``index`` is a fitted model or a vocabulary
+    table; without it there is no ``encoded_key``, and a scorer that needs it fails: numbers made anew for each batch
+    would mean something else to a model trained before. ``cache`` keeps what the several outputs share, so that the
+    source is read once; call ``release`` after use.
     """
-    # Undecodable lines go along, as rows of nulls, so that one pass serves the quarantine too.
-    decoded = decode(lines).filter((F.col("log_format") == "dnsmasq") | F.col(CORRUPT).isNotNull())
-    unused = [c for c in ANY_LOG.names if c not in DNSMASQ.names]
-    parsed = parse_dnsmasq(decoded.drop(*unused), year)
+    decoded = decode(lines)
+    if cache:
+        decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = parse_dnsmasq(route(decoded, "dnsmasq", DNSMASQ), year)
     if index is None:
-        index = template_vocabulary(parsed)
-    if isinstance(index, DataFrame):
+        indexed = parsed
+    elif isinstance(index, DataFrame):
         indexed = index_with_vocabulary(parsed, index, RECORD)
     else:
         indexed = index.transform(parsed)
     rows = dns_features(indexed)
     if cache:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    features = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    matches = match_indicators(features, known, RECORD, cached=cache)
+    matches = match_indicators(rows, known, RECORD, cached=cache)
     scored = score(matches.remainder)
+    errors = parse_apache_error(route(decoded, "apache_error", APACHE_ERROR))
+    table = rules_table(lines.sparkSession, rules or DEFAULT_RULES)
+    phase = F.when(F.col(CORRUPT).isNotNull(), "quarantine").when(F.col("log_format").isin(FORMATS), F.col("log_format"))
+    counts = decoded.groupBy(phase.otherwise("unrouted").alias("phase")).agg(F.count("*").alias("rows"))
     return BatchResult(
-        rows, rows.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT), features, matches.alerts, scored, derive_indicators(scored, known)
+        decoded,
+        rows,
+        quarantine(decoded),
+        rows,
+        matches.alerts,
+        scored,
+        derive_indicators(scored, known),
+        errors,
+        apache_id_rules(errors, table, ["message"]),
+        parse_apache_access(route(decoded, "apache2_access", APACHE_ACCESS)),
+        unrouted(decoded, FORMATS),
+        counts,
     )
 
 

@@ -5,6 +5,7 @@ Written from the definitions, not from the Spark code; both share the input feed
 
 from logweir.plans.feed import ORACLE_FEED, YEAR
 
+# Fixed value: the DNS message pattern.
 _DNS_RE = r"([a-z]+\[?[A-Z]*\]?)\s(\S+)\s([fromtois]+)\s(\S+)"
 
 _PARSED = rf"""
@@ -22,16 +23,16 @@ _ERR = r"""
                            ELSE message END AS body FROM err),
     eparts AS (SELECT *,
         regexp_extract(message, '^([^:'']+:?)', 1) AS entity,
-        regexp_extract(message, '^[^:'']+:?(''[^'']+'')? not found or unable to stat', 1) AS script_path,
+        regexp_extract(message, '^[^:'']+:?(''[^'']+'')? not found or unable to stat', 1) AS file,
         CASE WHEN regexp_matches(message, '^[^:'']+:?(''[^'']+'')? not found or unable to stat')
-             THEN ' not found or unable to stat' ELSE '' END AS not_found_msg,
+             THEN ' not found or unable to stat' ELSE '' END AS missing,
         CASE WHEN contains(message, ', referer:') THEN ', referer:' ELSE '' END AS referer,
-        regexp_extract(message, ', referer:(.*)$', 1) AS referer_msg,
+        regexp_extract(message, ', referer:(.*)$', 1) AS referring_page,
         regexp_replace(body, '^[^:'']+:?((''[^'']+'')?( not found or unable to stat))?', '') AS rest FROM cut),
     errs AS (SELECT * EXCLUDE (rest, body),
-        regexp_extract(rest, '^\s*([^/:,''(]+:?[^:/,''(]+:?)\s*(.*)$', 1) AS error_apache,
-        regexp_extract(rest, '^\s*([^/:,''(]+:?[^:/,''(]+:?)\s*(.*)$', 2) AS error_apache_path FROM eparts),
-    etempl AS (SELECT *, entity || ' ' || error_apache || '<*>' || not_found_msg || referer
+        regexp_extract(rest, '^\s*([^/:,''(]+:?[^:/,''(]+:?)\s*(.*)$', 1) AS problem,
+        regexp_extract(rest, '^\s*([^/:,''(]+:?[^:/,''(]+:?)\s*(.*)$', 2) AS detail FROM eparts),
+    etempl AS (SELECT *, entity || ' ' || problem || '<*>' || missing || referer
                          || CASE WHEN referer = ', referer:' THEN '<*>' ELSE '' END AS key,
                       regexp_extract(client, '([0-9]+[.][0-9]+[.][0-9]+[.][0-9]+)', 1) AS srcip,
                       regexp_extract(entity, '(\S+):', 1) AS code FROM errs)
@@ -60,6 +61,7 @@ def _capitals(s: str) -> str:
     return rf"CAST(length(regexp_replace({s}, '[^\p{{Lu}}]', '', 'g')) AS INTEGER)"
 
 
+# The extensions the file-name test looks for.
 _EXTENSIONS = (
     "doc|docx|odt|pages|rtf|txt|wpd|wps|csv|numbers|ods|xls|xlsx|asp|aspx|css|htm|html|jsp|php|xml|afdesign|ai|cad|cdr"
     "|drw|dwg|eps|odg|svg|vsdx|afpub|indd|pdf|pdfxml|pmd|pub|qxp|c|cpp|cs|java|js|json|py|sql|swift|vb|7z|rar|tar"
@@ -108,6 +110,7 @@ _IN_BAD = "EXISTS (SELECT 1 FROM bad WHERE bad.owner = d.owner AND bad.value1 =
 _ALERTS = """SELECT owner, value2, detection, count(*) AS count FROM detected
     WHERE detection <> '' GROUP BY owner, value2, detection"""
 
+# The codes of the rules that name some, and the rules' descriptions.
 _ID_RULES = {
     "AH01630": "Apache: Attempt to access forbidden file or directory.",
     "AH01276": "Apache: Attempt to access forbidden directory index.",
@@ -175,6 +178,7 @@ _HITS = "hits AS (" + " UNION ALL ".join(
     for rule in _CONDITION
 ) + ")"
 
+# Level and description of the alerting rules.
 _LEVELS = """(30104, 12, 'Apache: segmentation fault.'),
     (30109, 9, 'Apache: Attempt to login using a non-existent user.'),
     (30115, 5, 'Apache: Invalid URI (bad client request).'), (30118, 6, 'ModSecurity: Access attempt blocked.'),
@@ -241,10 +245,10 @@ ORACLES: dict[str, str] = {
     "dns_parse": _dns("SELECT event_id, response, value1, value2, key FROM parsed"),
     "dns_template": _dns("SELECT owner, key, count(*) AS n FROM parsed GROUP BY owner, key"),
     "dns_epoch": f"WITH {ORACLE_FEED} SELECT event_id, epoch_timestamp FROM dns",
-    "apache_error_parse": _errors("""SELECT event_id, entity, script_path, not_found_msg, error_apache,
-        error_apache_path, referer, referer_msg FROM errs"""),
+    "apache_error_parse": _errors("""SELECT event_id, entity, file, missing, problem,
+        detail, referer, referring_page FROM errs"""),
     "apache_error_template": _errors("""SELECT event_id, key, epoch_timestamp,
-        script_path || '|' || error_apache_path || '|' || referer_msg AS parameters FROM etempl"""),
+        file || '|' || detail || '|' || referring_page AS parameters FROM etempl"""),
     "access_passthrough": f"""WITH {ORACLE_FEED}
         SELECT event_id, '172.17.' || (user_id % 4) || '.' || user_id AS host, owner,
                'apache2_access' AS log_format, CASE event_type WHEN 'signup' THEN 'u' || user_id ELSE '-' END AS user,

@@ -5,7 +5,6 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from logweir.functions import capital_count, char_count, day_of_week, entropy, has_file_extension, ip_class
 from logweir.functions import is_readable as readable
@@ -13,14 +12,14 @@ from logweir.operators.features import dns_features, dns_features_temporal
 from logweir.operators.idrules import apache_id_rules, with_source
 from logweir.operators.indicators import derive_indicators, match_indicators
 from logweir.operators.ordered import first_gaps, running_value_count, time_gap, zip_by_order
-from logweir.operators.parse import extract_error_parts, parse_apache_access, parse_apache_error, parse_dnsmasq
+from logweir.operators.parse import ERROR_PARTS, extract_error_parts, parse_apache_access, parse_apache_error, parse_dnsmasq
 from logweir.operators.ruleset import DEFAULT_RULES, paced, read_rules, rules_table
 from logweir.operators.ruletree import frequency_alerts, match_rules, rule_alerts, rule_hits
 from logweir.operators.scoring import fit_classifier, score_anomalies, score_with, weak_label
 from logweir.operators.templates import fit_template_index, index_with_vocabulary, template_vocabulary
 from logweir.plans import feed
 from logweir.plans.batch import anomalies, run_batch, score_temporal
-from logweir.schema import ANY_LOG_OR_CORRUPT, APACHE_ACCESS, APACHE_ERROR, DNSMASQ, FEATURES_13, FEATURES_18
+from logweir.schema import APACHE_ACCESS, APACHE_ERROR, DNSMASQ, FEATURES_13, FEATURES_18
 from logweir.sources.indicators import read_indicator_csv, write_indicator_csv
 from logweir.sources.lines import decode, quarantine, read_lines, route
 from logweir.sources.sinks import write_by_format
@@ -121,10 +120,7 @@ def dns_epoch(spark, sf_dir):
 
 def apache_error_parse(spark, sf_dir):
     parts = extract_error_parts(feed.error_feed(spark, sf_dir))
-    return parts.select(
-        "event_id", "entity", "script_path", "not_found_msg", "error_apache", "error_apache_path",
-        "referer", "referer_msg",
-    )
+    return parts.select("event_id", *ERROR_PARTS)
 
 
 def apache_error_template(spark, sf_dir):

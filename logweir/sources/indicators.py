@@ -15,30 +15,35 @@ SNAPSHOT_EVERY = 100
 
 
 def read_indicator_csv(spark: SparkSession, path: str, owner: str | None = None) -> DataFrame:
-    """Distinct non-empty cells of headerless CSV files.
+    """Distinct non-empty cells of headerless CSV files, whose lines may differ in length.
 
     ``owner`` names whose list it is. Without it the files lie in ``owner=...`` folders under ``path``.
     """
     empty = spark.createDataFrame([], INDICATOR)
     if not path_exists(spark, path):
         return empty
-    columns = spark.read.csv(path).columns
-    values = [F.col(c) for c in columns if c != "owner"]
-    if not values:
+    lines = spark.read.text(path)
+    # No line has more cells than commas and one; a schema of that width loses none.
+    commas = lines.agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(","), F.lit(""))))).first()[0]
+    if commas is None:
         return empty
-    # A second look with string types, so that an owner folder such as 007 keeps its name.
-    cells = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(path)
-    owner_col = F.col("owner") if owner is None else F.lit(owner)
+    values = [f"cell{i}" for i in range(commas + 1)]
+    folders = [c for c in lines.columns if c == "owner"]
+    # Text throughout, so that an owner folder such as 007 keeps its name.
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*values, *folders]])
+    cells = spark.read.schema(schema).option("maxColumns", len(values) + 1).csv(path)
+    # The folder of an owner with an empty name reads as null; rows without an owner are not written.
+    owner_col = F.coalesce("owner", F.lit("")) if owner is None else F.lit(owner)
     return (
-        cells.select(owner_col.alias("owner"), F.explode(F.array(*values)).alias("value2"))
-        .filter(F.col("value2").isNotNull())
+        cells.select(owner_col.alias("owner"), F.explode(F.array(*map(F.col, values))).alias("value2"))
+        .filter(F.col("value2") != "")
         .distinct()
     )
 
 
 def write_indicator_csv(indicators: DataFrame, path: str) -> None:
-    """Append to headerless CSV files, one folder per owner."""
-    indicators.select(*INDICATOR.names).write.mode("append").partitionBy("owner").csv(path)
+    """Append to headerless CSV files, one folder per owner. Without an owner an indicator matches nothing."""
+    indicators.select(*INDICATOR.names).filter(F.col("owner").isNotNull()).write.mode("append").partitionBy("owner").csv(path)
 
 
 def read_indicator_table(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:

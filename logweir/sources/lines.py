@@ -1,7 +1,8 @@
 """Log lines: in memory, in files or from a stream, and their decoding."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logweir.functions import strip
 from logweir.schema import ANY_LOG, ANY_LOG_OR_CORRUPT, CORRUPT
@@ -24,18 +25,35 @@ def stream_lines(
     return stream.select(strip(F.col(column).cast("string")).alias("value"))
 
 
+# Put behind a line as a record of its own: where it does not come out as the second of two, the line was no single
+# record.
+_END = "end of line"
+NULL_LINE, BLANK_LINE = "<null line>", "<blank line>"
+
+
 def decode(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """Parse JSON lines into the fixed log fields; other input columns are kept.
 
-    A line that is not a JSON object leaves its text in ``_corrupt_record`` and fails nothing.
+    A line that is not one JSON object and nothing more leaves its text in ``_corrupt_record`` and fails nothing: a
+    broken object, several of them, one with text behind it. A null and a blank line leave a mark that says so.
     """
-    record = F.from_json(
-        F.col(line_col), ANY_LOG_OR_CORRUPT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
+    line = F.col(line_col)
+    enclosed = F.concat(F.lit("["), line, F.lit(f',{{"log_format":"{_END}"}}]'))
+    records = F.from_json(enclosed, T.ArrayType(ANY_LOG))
+    left = F.when(line.isNull(), NULL_LINE).when(F.length(strip(line)) == 0, BLANK_LINE).otherwise(line)
+    nothing = [F.lit(None).cast("string").alias(name) for name in ANY_LOG.names]
+    corrupt = F.struct(*nothing, left.alias(CORRUPT))
+
+    def one(found: Column) -> Column:
+        record = F.get(found, F.lit(0))
+        whole = (F.size(found) == 2) & record.isNotNull() & (F.get(found, F.lit(1))["log_format"] == _END)
+        fields = [record[name].alias(name) for name in ANY_LOG.names]
+        return F.when(whole, F.struct(*fields, F.lit(None).cast("string").alias(CORRUPT))).otherwise(corrupt)
+
     others = [c for c in lines.columns if c != line_col]
-    # As a generator the decoding stays in place. Spark would move filters on its fields, such as routing,
-    # below a plain projection and parse the text again for each.
-    return lines.select(*others, F.inline(F.array(record)))
+    # Within the lambda the text is parsed once, however often its fields are used. As a generator the decoding stays
+    # in place: Spark would move filters on its fields, such as routing, below a projection and parse again for each.
+    return lines.select(*others, F.inline(F.transform(F.array(records), one)))
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:
@@ -49,3 +67,9 @@ def route(decoded: DataFrame, log_format: str, schema=ANY_LOG) -> DataFrame:
     others = [c for c in decoded.columns if c not in ANY_LOG_OR_CORRUPT.names]
     whole = decoded.filter(F.col(CORRUPT).isNull())
     return whole.filter(F.col("log_format") == log_format).select(*others, *schema.names)
+
+
+def unrouted(decoded: DataFrame, formats: list[str]) -> DataFrame:
+    """Whole records of any other format, or of none."""
+    whole = decoded.filter(F.col(CORRUPT).isNull())
+    return whole.filter(~F.coalesce(F.col("log_format").isin(formats), F.lit(False))).drop(CORRUPT)

@@ -14,13 +14,25 @@ def write_batch(df: DataFrame, path: str, batch_id: int, *partition_cols: str) -
     """Write one micro-batch into its own folder of the table at ``path``.
 
     Rows of a partition are brought together first, or every task would write a file to every partition.
-    Spark splits a partition that this makes too large.
+    Spark splits a partition that this makes too large. Folders are named by copies of the partition columns: from a
+    folder's name the empty text comes back as null and ``007`` as a number, but the column keeps what it was.
     """
-    if partition_cols:
-        writer = df.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols)
+    folders = {f"{c}_folder": F.col(c) for c in partition_cols}
+    if folders:
+        writer = df.hint("rebalance", *partition_cols).withColumns(folders).write.mode("overwrite").partitionBy(*folders)
     else:
         writer = df.write.mode("overwrite")
-    writer.parquet(f"{path}/batch_id={batch_id}")
+    writer.parquet(batch_folder(path, batch_id))
+
+
+def batch_folder(path: str, batch_id: int) -> str:
+    return f"{path}/batch_id={batch_id}"
+
+
+def read_batch(spark: SparkSession, path: str, batch_id: int, schema: StructType | str) -> DataFrame:
+    """One micro-batch as it was written."""
+    names = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
+    return spark.read.schema(schema).parquet(batch_folder(path, batch_id)).select(*names)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -36,5 +48,5 @@ def read_batches(
     schema = StructType([*fields, StructField("batch_id", LongType())])
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    table = spark.read.schema(schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path).select(*schema.names)
     return table if before is None else table.filter(F.col("batch_id") < before)

@@ -5,7 +5,6 @@ import time
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 PROGRESS = (
@@ -14,11 +13,6 @@ PROGRESS = (
 )
 
 
-def count_rows(df: DataFrame, phase: str) -> DataFrame:
-    """Have Spark count the rows passing this point; a stream reports them in its progress."""
-    return df.observe(phase, F.count("*").alias("rows"))
-
-
 def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """The last batches' row counts, step durations and observed counts. Spark keeps a bounded number."""
     rows = []

@@ -5,51 +5,86 @@ to a folder named by the batch, and a batch reads only indicators of earlier bat
 again after a failure sees the same inputs and replaces its own outputs.
 """
 
+import time
+
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logweir.operators.indicators import derive_indicators
 from logweir.plans.batch import Scorer, run_batch
-from logweir.sources.indicators import known_before, write_indicator_batch, write_snapshot
-from logweir.sources.sinks import write_batch
+from logweir.sources.indicators import known_before, write_snapshot
+from logweir.sources.sinks import path_exists, read_batch, write_batch
 
 TRIGGER = "10 seconds"
 
 
+SCORED = "owner string, response string, value2 string, prediction double"
+PHASE = "phase string, rows bigint, seconds double"
+
+
 def run_stream(
     lines: DataFrame,
     out: str,
     score: Scorer,
-    index: StringIndexerModel,
+    index: StringIndexerModel | DataFrame | None,
     year: int,
     checkpoint: str,
     trigger: str | None = TRIGGER,
 ) -> StreamingQuery:
-    """Start the run. Tables ``alerts``, ``scored``, ``indicators`` and ``quarantine`` grow below ``out``.
+    """Start the run. Tables ``alerts``, ``scored``, ``indicators``, ``errors``, ``error_alerts``, ``access``,
+    ``unrouted``, ``quarantine`` and ``phases`` grow below ``out``; the last has rows and seconds of each phase.
 
-    ``trigger=None`` works off what is there and stops.
+    ``index`` is a fitted model or a vocabulary table, as for ``run_batch``. ``trigger=None`` works off what is there
+    and stops. A run counts its batches in its checkpoint, so ``out`` belongs to one checkpoint: with another one it
+    is refused, as the first batches of the new run would replace those of the old.
     """
+    _claim(lines.sparkSession, out, checkpoint)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         known = known_before(spark, f"{out}/indicators", batch_id)
         write_snapshot(spark, f"{out}/indicators", batch_id, known)
         result = run_batch(batch, known, score, year, index, cache=True)
+        phases = []
+
+        def keep(name: str, table: DataFrame, *folders: str) -> None:
+            start = time.monotonic()
+            write_batch(table, f"{out}/{name}", batch_id, *folders)
+            took = time.monotonic() - start
+            # Counted from what was written: file footers have the numbers.
+            schema = table.select(*(F.col(c).cast("string") for c in table.columns[:1])).schema
+            phases.append((name, read_batch(spark, f"{out}/{name}", batch_id, schema).count(), took))
+
         try:
-            write_batch(result.alerts, f"{out}/alerts", batch_id, "owner")
-            write_batch(result.scored, f"{out}/scored", batch_id, "owner")
+            keep("alerts", result.alerts, "owner")
+            keep("scored", result.scored.withColumn("prediction", F.col("prediction").cast("double")), "owner")
             # Read back rather than scored again.
-            scored = spark.read.parquet(f"{out}/scored/batch_id={batch_id}").select(
-                F.col("owner").cast("string").alias("owner"), "response", "value2", "prediction"
-            )
-            write_indicator_batch(derive_indicators(scored, known), f"{out}/indicators", batch_id)
-            write_batch(result.quarantine, f"{out}/quarantine", batch_id)
+            scored = read_batch(spark, f"{out}/scored", batch_id, SCORED)
+            keep("indicators", derive_indicators(scored, known), "owner")
+            keep("errors", result.errors, "owner")
+            keep("error_alerts", result.error_alerts, "owner")
+            keep("access", result.access, "owner")
+            keep("unrouted", result.unrouted)
+            keep("quarantine", result.quarantine)
+            phases += [(f"lines {r.phase}", r.rows, 0.0) for r in result.counts.collect()]
+            write_batch(spark.createDataFrame(phases, PHASE).coalesce(1), f"{out}/phases", batch_id)
         finally:
-            result.rows.unpersist()
+            result.release()
 
     counted = lines.observe("lines", F.count("*").alias("rows"), F.sum(F.length("value")).alias("chars"))
     writer = counted.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     timed = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
     return timed.start()
+
+
+def _claim(spark: SparkSession, out: str, checkpoint: str) -> None:
+    """Note in ``out`` whose outputs these are, or find that they are another run's."""
+    note = f"{out}/run"
+    if path_exists(spark, note):
+        owner = spark.read.schema("checkpoint string").parquet(note).first()
+        if owner.checkpoint != checkpoint:
+            raise ValueError(f"{out} belongs to the run with checkpoint {owner.checkpoint}")
+    else:
+        spark.createDataFrame([(checkpoint,)], "checkpoint string").coalesce(1).write.parquet(note)

@@ -11,7 +11,7 @@ from logweir.operators.ruleset import rules_table
 from logweir.operators.templates import fit_template_index, index_with_vocabulary, template_vocabulary
 from logweir.schema import APACHE_ACCESS, APACHE_ERROR, DNSMASQ, FEATURES_13, FEATURES_18
 from logweir.sources.lines import decode, lines_from_list, quarantine, route
-from tests.samples import ACCESS, DNS, ENCODED, ERRORS, as_lines, dns_record
+from tests.samples import ACCESS, ANSWER, ASKING, DNS, ENCODED, ERRORS, UPDATER, UPSTREAM, as_lines, dns_record
 
 SPREAD = ["message"]
 
@@ -22,7 +22,7 @@ def routed(spark, records, log_format, schema):
 
 @pytest.fixture(scope="module")
 def parsed(spark):
-    return parse_dnsmasq(routed(spark, DNS, "dnsmasq", DNSMASQ), 2022).cache()
+    return parse_dnsmasq(routed(spark, DNS, "dnsmasq", DNSMASQ), 2023).cache()
 
 
 @pytest.fixture(scope="module")
@@ -36,33 +36,34 @@ def test_routing(spark):
     assert counts == {"dnsmasq": 13, "apache_error": 5, "apache2_access": 2}
     access = parse_apache_access(route(decoded, "apache2_access", APACHE_ACCESS))
     assert access.columns == APACHE_ACCESS.names
-    assert [r.size for r in access.orderBy("size").collect()] == ["10846", "6128"]
+    assert [r.size for r in access.orderBy("size").collect()] == ["2048", "512"]
 
 
 def test_bad_lines_are_set_aside(spark):
     lines = ["{broken", '{"owner":"x"}', '{"log_format":"dnsmasq"}', "", "[1", "17", as_lines(DNS)[0][:-3]]
     decoded = decode(lines_from_list(spark, lines))
     assert decoded.count() == len(lines)
-    assert {"{broken", "[1"} <= {r._corrupt_record for r in quarantine(decoded).collect()}
-    dns = parse_dnsmasq(route(decoded, "dnsmasq", DNSMASQ), 2022)
+    left = sorted(r._corrupt_record for r in quarantine(decoded).collect())
+    assert left == sorted(["{broken", "<blank line>", "[1", "17", as_lines(DNS)[0][:-3]])
+    dns = parse_dnsmasq(route(decoded, "dnsmasq", DNSMASQ), 2023)
     row = dns.first()
     assert dns.count() == 1 and row.response is None and row.key is None and row.epoch_timestamp is None
 
 
 def test_dns_parse(parsed):
     rows = {(r.response, r.value1, r.value2): r for r in parsed.collect()}
-    row = rows["query[A]", ENCODED[0], "10.143.0.103"]
-    assert row.key == "query[A] <*> from <*>" and row.epoch_timestamp == 1642723304
-    assert ("forwarded", ENCODED[0], "192.168.231.254") in rows
-    row = rows["reply", "current.cvd.clamav.net", "0.103.5:62:26428:1642717740:1:90:49192:333"]
-    assert row.key == "reply <*> is <*>" and row.epoch_timestamp == 1642723347
+    row = rows["query[A]", ENCODED[0], ASKING]
+    assert row.key == "query[A] <*> from <*>" and row.epoch_timestamp == 1677921300
+    assert ("forwarded", ENCODED[0], UPSTREAM) in rows
+    row = rows["reply", "version.example.org", "7:41:9"]
+    assert row.key == "reply <*> is <*>" and row.epoch_timestamp == 1677921425
     assert parsed.columns == [
         "ident", "owner", "log_format", "message", "response", "key", "value1", "value2", "epoch_timestamp"
     ]
 
 
 def test_unparsable_message_gives_empty_parts(spark):
-    row = parse_dnsmasq(routed(spark, [dns_record("x", "hello")], "dnsmasq", DNSMASQ), 2022).first()
+    row = parse_dnsmasq(routed(spark, [dns_record("x", "hello")], "dnsmasq", DNSMASQ), 2023).first()
     assert (row.response, row.value1, row.value2, row.key) == ("", "", "", " <*>  <*>")
 
 
@@ -82,8 +83,8 @@ def test_template_index(spark, parsed):
 def test_features_18(parsed):
     features = dns_features(fit_template_index(parsed).transform(parsed))
     assert features.columns[-18:] == FEATURES_18
-    row = features.filter("value1 = 'db.local.clamav.net'").first()
-    assert (row.value1_length, row.value1_dot_count, row.value1_hyphen_count, row.key_length) == (19, 3, 0, 21)
+    row = features.filter("value1 = 'docs.mirror.example.net'").first()
+    assert (row.value1_length, row.value1_dot_count, row.value1_hyphen_count, row.key_length) == (23, 3, 0, 21)
     assert (row.value1_capital_count, row.value1_has_file_extensions, row.value2_ip_class) == (0, 1, 0)
     for r in features.filter(F.col("value1").isin(ENCODED)).collect():
         assert r.value1_human_readable == 0
@@ -92,12 +93,12 @@ def test_features_18(parsed):
 
 
 def test_features_13(spark, parsed):
-    extra = dns_record("Jan 21 00:01:31", f"query[A] {ENCODED[0]} from 10.143.0.103")
-    fourteen = parse_dnsmasq(routed(spark, [extra, *DNS], "dnsmasq", DNSMASQ), 2022)
+    extra = dns_record("Mar 04 09:14:50", f"query[A] {ENCODED[0]} from {ASKING}")
+    fourteen = parse_dnsmasq(routed(spark, [extra, *DNS], "dnsmasq", DNSMASQ), 2023)
     keyed = fit_template_index(fourteen).transform(fourteen).withColumn("tie", F.xxhash64("message"))
     rows = dns_features_temporal(keyed, "tie").collect()
-    assert sorted(int(r.time_diff_unix) for r in rows) == [0] * 10 + [9, 13, 15, 19]
-    assert {r.day_of_week for r in rows} == {6}
+    assert sorted(int(r.time_diff_unix) for r in rows) == [0] * 10 + [10, 25, 40, 60]
+    assert {r.day_of_week for r in rows} == {7}
     assert set(FEATURES_13) <= set(rows[0].asDict())
     for value in ("value1", "value2"):
         for r in rows:
@@ -111,16 +112,16 @@ def test_indicator_hits(spark, parsed):
         return [tuple(r) for r in alerts.collect()], remainder.count()
 
     label = "Malicious IP Founded in DNSMASQ: "
-    for address in ("195.128.194.168", "10.143.0.103"):
+    for address in (ANSWER, ASKING):
         alerts, left = match(address)
         assert alerts == [("client01", address, label + address, 3)] and left == 4
     assert match() == ([], 13)
-    other_owner = spark.createDataFrame([("client02", "10.143.0.103")], "owner string, value2 string")
+    other_owner = spark.createDataFrame([("client02", ASKING)], "owner string, value2 string")
     assert match_indicators(parsed, other_owner, SPREAD).alerts.count() == 0
 
 
 def test_keep_first_n(spark, parsed):
-    table = spark.createDataFrame([("client01", "195.128.194.168")], "owner string, value2 string")
+    table = spark.createDataFrame([("client01", ANSWER)], "owner string, value2 string")
     order = ["epoch_timestamp", "response"]
     kept = match_indicators(parsed, table, SPREAD, keep_first_n=2, order=order).remainder
     assert kept.count() == 4 + 3 * 2
@@ -128,34 +129,50 @@ def test_keep_first_n(spark, parsed):
 
 
 def test_derived_indicators(spark, parsed):
-    scored = parsed.withColumn("prediction", (F.col("value2") != "172.19.130.4").cast("int"))
-    assert [tuple(r) for r in derive_indicators(scored).collect()] == [("client01", "10.143.0.103")]
-    known = spark.createDataFrame([("client01", "10.143.0.103")], "owner string, value2 string")
+    scored = parsed.withColumn("prediction", (F.col("value2") != UPDATER).cast("int"))
+    assert [tuple(r) for r in derive_indicators(scored).collect()] == [("client01", ASKING)]
+    known = spark.createDataFrame([("client01", ASKING)], "owner string, value2 string")
     assert derive_indicators(scored, known).count() == 0
 
 
 def test_error_parse(spark, errors):
     parts = extract_error_parts(routed(spark, ERRORS, "apache_error", APACHE_ERROR))
     by_time = parts.orderBy("time").collect()
-    assert [r.entity for r in by_time] == ["PHP Warning:"] * 2 + ["script ", "AH01276:", "script "]
-    assert [r.error_apache for r in by_time] == ["scandir"] * 2 + ["", "Cannot serve directory ", ""]
-    assert by_time[2].script_path.endswith("searchreplacedb2.php'")
-    assert by_time[2].not_found_msg == " not found or unable to stat"
-    assert by_time[3].error_apache_path.startswith("/var/www") and by_time[3].error_apache_path.endswith("directive")
-    assert by_time[3].referer_msg == " https://intranet.price.fox.org"
+    assert [r.entity for r in by_time] == ["PHP Notice:"] * 2 + ["script ", "AH01276:", "script "]
+    assert [r.problem for r in by_time] == ["Undefined index: page in "] * 2 + ["", "Cannot serve directory ", ""]
+    assert by_time[0].detail == "/srv/www/shop/list.php on line 12" and by_time[0].file == by_time[0].referer == ""
+    assert by_time[2].file == "'/srv/www/shop/old.php'" and by_time[2].missing == " not found or unable to stat"
+    assert by_time[3].detail == "/srv/www/shop/img/: No matching DirectoryIndex"
+    assert by_time[3].referer == ", referer:" and by_time[3].referring_page == " https://shop.example.com"
     keys = {r.key for r in errors.collect()}
     assert keys == {
-        "PHP Warning: scandir<*>",
+        "PHP Notice: Undefined index: page in <*>",
         "script  <*> not found or unable to stat, referer:<*>",
         "AH01276: Cannot serve directory <*>, referer:<*>",
     }
     assert errors.filter("size(value) = 3").count() == 5
 
 
+def test_error_parts_of_odd_messages(spark):
+    """The single match gives what one match for each part gives."""
+    import re
+
+    from logweir.operators.parse import ERROR_MESSAGE, ERROR_PARTS
+
+    texts = ["", "'", "::''", "a", "a:", ":a: b", "'x' y, referer: z", "a'b' not found or unable to stat, referer: q\nrest",
+             "two\nlines: x", "sep\x1fin 'it' here", "dollar $1 \\ back: y/z, referer:", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, message string")
+    for row, text in zip(extract_error_parts(rows).orderBy("i").collect(), texts, strict=True):
+        found = re.search(ERROR_MESSAGE, text) if text else None
+        for name, group in ERROR_PARTS.items():
+            want = None if text is None else (found and found.group(group)) or ""
+            assert row[name] == want, (text, name)
+
+
 def test_id_rules(spark, errors):
     alerts = apache_id_rules(errors, rules_table(spark), SPREAD).collect()
     label = "Apache: Attempt to access forbidden directory index."
-    assert [tuple(r) for r in alerts] == [("client01", "172.17.130.196", label, 1)]
+    assert [tuple(r) for r in alerts] == [("client01", "198.51.100.20", label, 1)]
 
 
 def test_last_id_only(spark):

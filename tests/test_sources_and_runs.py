@@ -24,7 +24,7 @@ from logweir.streaming.frequency import ALERT, state_partitions, stream_frequenc
 from logweir.streaming.metrics import progress_table, timed
 from logweir.streaming.run import run_stream
 from logweir.workspace import new_folder, settle, shared_root
-from tests.samples import DNS, ENCODED, as_lines, dns_record
+from tests.samples import ACCESS, ASKING, DNS, ENCODED, ERRORS, as_lines, dns_record
 
 
 def many_capitals(df):
@@ -38,7 +38,7 @@ def no_indicators(spark):
 @pytest.fixture(scope="module")
 def features(spark):
     routed = route(decode(lines_from_list(spark, as_lines(DNS))), "dnsmasq", DNSMASQ)
-    parsed = parse_dnsmasq(routed, 2022)
+    parsed = parse_dnsmasq(routed, 2023)
     return dns_features(fit_template_index(parsed).transform(parsed)).cache()
 
 
@@ -69,6 +69,16 @@ def test_indicator_csv(spark, tmp_path):
     assert not (tmp_path / "x").exists()
 
 
+def test_ragged_indicator_csv(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('1.1.1.1\n2.2.2.2,3.3.3.3\n\n"4.4.4.4","5.5.5.5",,6.6.6.6\n')
+    got = read_indicator_csv(spark, str(tmp_path), "c")
+    assert sorted(r.value2 for r in got.collect()) == [f"{i}.{i}.{i}.{i}" for i in range(1, 7)]
+    owners = spark.createDataFrame([("", "1.1.1.1"), ("007", "2.2.2.2"), (None, "3.3.3.3")], INDICATOR)
+    write_indicator_csv(owners, str(tmp_path / "by-owner"))
+    got = read_indicator_csv(spark, str(tmp_path / "by-owner"))
+    assert sorted(map(tuple, got.collect())) == [("", "1.1.1.1"), ("007", "2.2.2.2")]
+
+
 def test_indicator_table(spark, tmp_path):
     path = str(tmp_path / "table")
     assert read_indicator_table(spark, path).count() == 0
@@ -128,18 +138,50 @@ def test_outside_model(features):
 
 def test_two_batches_feed_back(spark):
     lines = lines_from_list(spark, [*as_lines(DNS), "{broken"])
-    first = run_batch(lines, no_indicators(spark), many_capitals, 2022, cache=True)
+    first = run_batch(lines, no_indicators(spark), many_capitals, 2023, cache=True)
     assert first.alerts.count() == 0 and first.quarantine.count() == 1 and first.scored.count() == 13
-    assert [tuple(r) for r in first.indicators.collect()] == [("client01", "10.143.0.103")]
-    second = run_batch(lines, first.indicators, many_capitals, 2022)
-    assert [(r.value2, r["count"]) for r in second.alerts.collect()] == [("10.143.0.103", 3)]
+    assert [tuple(r) for r in first.indicators.collect()] == [("client01", ASKING)]
+    second = run_batch(lines, first.indicators, many_capitals, 2023)
+    assert [(r.value2, r["count"]) for r in second.alerts.collect()] == [(ASKING, 3)]
     assert second.scored.count() == 4 and second.indicators.count() == 0
-    first.rows.unpersist()
+    first.release()
+
+
+def test_whole_batch(spark):
+    odd = ['{"log_format":"other","owner":"x"}', '{"owner":"x"}', "", None, as_lines(DNS)[0] + " tail", as_lines(DNS)[0] * 2]
+    lines = spark.createDataFrame([(x,) for x in as_lines(DNS + ERRORS + ACCESS) + odd], "value string")
+    result = run_batch(lines, no_indicators(spark), many_capitals, 2023, cache=True)
+    counts = {r.phase: r.rows for r in result.counts.collect()}
+    assert counts == {"dnsmasq": 13, "apache_error": 5, "apache2_access": 2, "unrouted": 2, "quarantine": 4}
+    assert (result.errors.count(), result.access.count(), result.unrouted.count()) == (5, 2, 2)
+    assert [(r.srcip, r["count"]) for r in result.error_alerts.collect()] == [("198.51.100.20", 1)]
+    left = {r._corrupt_record for r in result.quarantine.collect()}
+    assert left == {"<blank line>", "<null line>", odd[4], odd[5]}
+    result.release()
+
+
+def test_stream_keeps_owner_names(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    write_file(source, 0, [dns_record("Mar 04 10:00:00", f"query[A] {ENCODED[0]} from {ASKING}", o) for o in ("007", "", "x")])
+    write_file(source, 1, [dns_record("Mar 04 10:01:00", f"query[A] a.example.org from {ASKING}", o) for o in ("007", "", "7")])
+    write_file(source, 2, ERRORS + ACCESS + [{"log_format": "other", "owner": "007"}])
+    lines = stream_lines(spark, "text", path=str(source), maxFilesPerTrigger="1")
+    run_stream(lines, out, many_capitals, None, 2023, str(tmp_path / "c1"), trigger=None).awaitTermination()
+    known = {tuple(r) for r in read_indicator_table(spark, f"{out}/indicators").collect()}
+    assert known == {("007", ASKING), ("", ASKING), ("x", ASKING)}
+    alerts = read_batches(spark, f"{out}/alerts", "owner string, value2 string, detection string, count bigint")
+    assert sorted(r.owner for r in alerts.collect()) == ["", "007"]
+    phases = read_batches(spark, f"{out}/phases", "phase string, rows bigint, seconds double").filter("batch_id = 2")
+    rows = {r.phase: r.rows for r in phases.collect()}
+    assert (rows["errors"], rows["error_alerts"], rows["access"], rows["unrouted"], rows["lines unrouted"]) == (5, 1, 2, 1, 1)
+    with pytest.raises(ValueError, match="belongs to the run"):
+        run_stream(lines, out, many_capitals, None, 2023, str(tmp_path / "c2"), trigger=None)
 
 
 def test_vocabulary_table_in_place_of_a_model(spark, features):
     lines = lines_from_list(spark, as_lines(DNS))
-    by_table = run_batch(lines, no_indicators(spark), many_capitals, 2022, template_vocabulary(features))
+    by_table = run_batch(lines, no_indicators(spark), many_capitals, 2023, template_vocabulary(features))
     assert {r.key: r.encoded_key for r in by_table.features.collect()} == {
         r.key: r.encoded_key for r in features.collect()
     }
@@ -158,7 +200,7 @@ def test_stream_feeds_back_and_resumes(spark, features, tmp_path):
 
     def run():
         lines = stream_lines(spark, "text", path=str(source), maxFilesPerTrigger="1")
-        query = run_stream(lines, out, many_capitals, index, 2022, checkpoint, trigger=None)
+        query = run_stream(lines, out, many_capitals, index, 2023, checkpoint, trigger=None)
         query.awaitTermination()
         return query
 
@@ -167,20 +209,20 @@ def test_stream_feeds_back_and_resumes(spark, features, tmp_path):
         return sorted((r.batch_id, r.value2, r["count"]) for r in rows.collect())
 
     write_file(source, 0, DNS)
-    write_file(source, 1, DNS + [dns_record("Jan 21 00:03:00", "query[A] new.example.org from 10.143.0.103")])
+    write_file(source, 1, DNS + [dns_record("Mar 04 09:18:00", f"query[A] new.example.org from {ASKING}")])
     query = run()
-    assert alerts() == [(1, "10.143.0.103", 4)]
+    assert alerts() == [(1, ASKING, 4)]
     progress = progress_table(spark, query)
     # The run ends with a look for more files, which may report an empty batch.
     assert [r.input_rows for r in progress.filter("input_rows > 0").orderBy("batch_id").collect()] == [13, 14]
     assert '"rows": 14' in progress.filter("batch_id = 1").first().observed
     # Started again, the run goes on after what it has done, and knows what it has learnt.
-    write_file(source, 2, [dns_record("Jan 21 00:04:00", f"query[A] {ENCODED[0]} from 10.143.0.103", owner)
+    write_file(source, 2, [dns_record("Mar 04 09:19:00", f"query[A] {ENCODED[0]} from {ASKING}", owner)
                            for owner in ("client01", "client02")])
     run()
-    assert alerts() == [(1, "10.143.0.103", 4), (2, "10.143.0.103", 1)]
+    assert alerts() == [(1, ASKING, 4), (2, ASKING, 1)]
     known = {tuple(r) for r in read_indicator_table(spark, f"{out}/indicators").collect()}
-    assert known == {("client01", "10.143.0.103"), ("client02", "10.143.0.103")}
+    assert known == {("client01", ASKING), ("client02", ASKING)}
 
 
 def test_frequency_over_micro_batches_equals_batch(spark, tmp_path):
