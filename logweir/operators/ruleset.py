@@ -137,13 +137,9 @@ DEFAULT_RULES = [
 ]
 
 
-def paced(rules: list[Rule], frequency: int, slower: int) -> list[Rule]:
-    """The frequency rules among ``rules`` for logs that are ``slower`` times as sparse."""
-    return [
-        r._replace(frequency=frequency, timeframe=r.timeframe * slower)
-        for r in rules
-        if r.counted_rule is not None
-    ]
+def paced(rules: list[Rule], slower: int) -> list[Rule]:
+    """The frequency rules among ``rules`` for logs that are ``slower`` times as sparse, frequencies as they are."""
+    return [r._replace(timeframe=r.timeframe * slower) for r in rules if r.counted_rule is not None]
 
 
 def rules_table(spark: SparkSession, rules: list[Rule] = DEFAULT_RULES) -> DataFrame:

@@ -141,23 +141,36 @@ def frequency_rules(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     return spark.createDataFrame(rows, columns)
 
 
-def frequency_alerts(hits: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Seconds (owner, srcip, rule_id, epoch_timestamp, hits) at which a frequency rule fires.
+def hits_per_second(hits: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Hits (owner, srcip, rule_id, epoch_timestamp, hits) that each frequency rule counts, added up by second.
 
-    ``srcip`` is empty for rules that count over all sources. All rules run in one pass: hits are first
-    counted per second, in the map tasks, so a hot source shrinks to one row a second. A second adds its
-    hits when it comes and takes them back once the timeframe is over; their running sum is the look-back.
-    It runs in time buckets as long as the timeframe, each second being handed to the next bucket too, so a
-    window holds the seconds of two buckets however long the source was active.
+    ``srcip`` is empty for rules that count over all sources. The counting begins in the map tasks, so a hot source
+    shrinks to one row a second there.
     """
-    looked_for = F.broadcast(frequency_rules(hits.sparkSession, rules))
+    looked_for = frequency_rules(hits.sparkSession, rules).select("_counted", "rule_id", "_same_source")
     counted = hits.filter(F.col("epoch_timestamp").isNotNull()).withColumnRenamed("rule_id", "_counted")
     source = F.when(F.col("_same_source"), F.col("srcip")).otherwise("")
-    seconds = (
+    return (
         counted.join(looked_for, "_counted")
-        .groupBy("owner", source.alias("srcip"), "rule_id", "_frequency", "_timeframe", "epoch_timestamp")
+        .groupBy("owner", source.alias("srcip"), "rule_id", "epoch_timestamp")
         .agg(F.count("*").alias("hits"))
     )
+
+
+def frequency_alerts(hits: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Seconds (owner, srcip, rule_id, epoch_timestamp, hits) at which a frequency rule fires. All rules in one pass."""
+    return look_back(hits_per_second(hits, rules), rules)
+
+
+def look_back(per_second: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The seconds of ``hits_per_second`` at which the timeframe's hits reach the rule's frequency.
+
+    A second adds its hits when it comes and takes them back once the timeframe is over; their running sum is the
+    look-back. It runs in time buckets as long as the timeframe, each second being handed to the next bucket too, so
+    a window holds the seconds of two buckets however long the source was active.
+    """
+    limits = frequency_rules(per_second.sparkSession, rules).select("rule_id", "_frequency", "_timeframe")
+    seconds = per_second.join(limits, "rule_id")
     own = F.floor(F.col("epoch_timestamp") / F.col("_timeframe"))
     # In its own bucket no second ends: the timeframe is as long as the bucket.
     change = F.explode(

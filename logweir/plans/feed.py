@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 YEAR = 2024
 
-# The events come minutes apart: frequency rules want 3 hits in 720 times their timeframe.
-RULE_PACE = (3, 720)
+# The events of a month stand for a few minutes of logs: timeframes are so many times as long.
+RULE_PACE = 7200
+
+# Owners whose names a folder's name would not give back.
+ODD_OWNERS = {"client01": "007", "client02": ""}
 
 OWNER = "'client0' || CAST(user_id % 3 + 1 AS STRING)"
 
@@ -37,6 +40,10 @@ DNS_LINE = (
     """ || '","log_format":"dnsmasq","pid":"3468","message":"' || message || '"}'"""
 )
 
+# Of seven lines one has a tail, one is glued to itself, one each is empty, blank and missing.
+ODD_LINE = """CASE event_id % 7 WHEN 0 THEN value || ' tail' WHEN 1 THEN value || value WHEN 2 THEN ''
+    WHEN 3 THEN '  ' WHEN 4 THEN NULL ELSE value END"""
+
 # The codes of the rules that name some.
 CODES = (
     "AH01630 AH01276 AH00550 AH01617 AH01807 AH01694 AH01695 AH02009 AH02010"
@@ -93,19 +100,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def few_files(df: DataFrame) -> bool:
-    """Whether the files behind a table are too few to keep every core busy."""
-    return len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
-
-
-def dealt(df: DataFrame, key: str) -> DataFrame:
-    """Rows dealt out over the cores, for small test tables that lie in one file."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "documents")
-    return dealt(df, "doc_id") if few_files(df) else df
+    return table(spark, sf_dir, "documents")
 
 
 def base_events(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
@@ -121,8 +117,7 @@ def base_events(spark: SparkSession, sf_dir: str, stream: DataFrame | None = Non
     source = events if stream is None else stream
     keyed = source.withColumns({"page_id": F.col("event_id") % n_pages, "owner": F.expr(OWNER)})
     # Neither side is hinted: Spark broadcasts the smaller if its size allows, and event numbers are even.
-    joined = keyed.join(hosts, "page_id")
-    return dealt(joined, "event_id") if few_files(events) else joined
+    return keyed.join(hosts, "page_id")
 
 
 def dns_feed(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
@@ -173,9 +168,8 @@ def access_feed(spark: SparkSession, sf_dir: str, stream: DataFrame | None = Non
 
 
 def supplier_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answer addresses of low-balance suppliers, as indicators of the owner that would see them."""
-    suppliers = table(spark, sf_dir, "supplier").filter("s_acctbal < 1000")
-    return suppliers.selectExpr(
+    """Answer addresses of suppliers, as indicators of the owner that would see them."""
+    return table(spark, sf_dir, "supplier").selectExpr(
         "'client0' || CAST(s_suppkey % 3 + 1 AS STRING) AS owner",
         "'195.128.194.' || CAST(s_suppkey AS STRING) AS value2",
     ).distinct()
@@ -195,5 +189,5 @@ ORACLE_FEED = f"""
                    CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch_timestamp FROM base),
     ioc AS (SELECT DISTINCT 'client0' || CAST(s_suppkey % 3 + 1 AS STRING) AS owner,
                    '195.128.194.' || CAST(s_suppkey AS STRING) AS value2
-            FROM supplier WHERE s_acctbal < 1000)
+            FROM supplier)
 """

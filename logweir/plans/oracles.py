@@ -3,7 +3,7 @@
 Written from the definitions, not from the Spark code; both share the input feed only.
 """
 
-from logweir.plans.feed import ORACLE_FEED, YEAR
+from logweir.plans.feed import ODD_LINE, ODD_OWNERS, ORACLE_FEED, RULE_PACE
 
 # Fixed value: the DNS message pattern.
 _DNS_RE = r"([a-z]+\[?[A-Z]*\]?)\s(\S+)\s([fromtois]+)\s(\S+)"
@@ -192,24 +192,23 @@ _LEVELS = """(30104, 12, 'Apache: segmentation fault.'),
     (30411, 7, 'ModSecurity rejected a query')"""
 
 
-def _fires(rule: int, counted: int, seconds: int, same_source: bool) -> str:
+def _fires(rule: int, counted: int, frequency: int, seconds: int, same_source: bool) -> str:
     source = "srcip" if same_source else "''"
     return f"""SELECT DISTINCT owner, {source} AS srcip, {rule} AS rule_id, epoch_timestamp, n AS hits FROM (
         SELECT *, count(*) OVER (PARTITION BY owner, {source} ORDER BY epoch_timestamp
                                  RANGE BETWEEN {seconds} PRECEDING AND CURRENT ROW) AS n
-        FROM hits WHERE rule_id = {counted}) WHERE n >= 3"""
-
-
-_DAY = 120 * 720
-_FREQUENCY = " UNION ALL ".join(
-    [
-        _fires(30116, 30115, _DAY, True),
-        _fires(30119, 30118, _DAY, True),
-        _fires(30202, 30201, _DAY, False),
-        _fires(30310, 30309, 160 * 720, True),
-        _fires(30316, 30315, _DAY, True),
-    ]
-)
+        FROM hits WHERE rule_id = {counted}) WHERE n >= {frequency}"""
+
+
+# The frequency rules, what they count, how often, within how many seconds, whether by source.
+_FREQUENCY_RULES = [
+    (30116, 30115, 10, 120, True),
+    (30119, 30118, 8, 120, True),
+    (30202, 30201, 10, 120, False),
+    (30310, 30309, 12, 160, True),
+    (30316, 30315, 10, 120, True),
+]
+_FREQUENCY = " UNION ALL ".join(_fires(r, c, n, s * RULE_PACE, by) for r, c, n, s, by in _FREQUENCY_RULES)
 
 _ANOMALY = "(value1_capital_count >= 8 AND value1_length > 60)"
 
@@ -241,7 +240,8 @@ ORACLES: dict[str, str] = {
     "owners": "SELECT DISTINCT 'client0' || CAST(user_id % 3 + 1 AS VARCHAR) AS owner FROM events",
     "parquet_by_format": f"""WITH {ORACLE_FEED}
         SELECT 'dnsmasq' AS log_format, owner, count(*) AS n, CAST(sum(length(message)) AS BIGINT) AS chars FROM dns GROUP BY owner
-        UNION ALL SELECT 'apache_error', owner, count(*), CAST(sum(length(message)) AS BIGINT) FROM err GROUP BY owner""",
+        UNION ALL SELECT 'apache_error', owner, count(*), CAST(sum(length(message)) AS BIGINT) FROM err GROUP BY owner
+        UNION ALL SELECT 'apache2_access', owner, count(*), CAST(sum(length(path)) AS BIGINT) FROM base GROUP BY owner""",
     "dns_parse": _dns("SELECT event_id, response, value1, value2, key FROM parsed"),
     "dns_template": _dns("SELECT owner, key, count(*) AS n FROM parsed GROUP BY owner, key"),
     "dns_epoch": f"WITH {ORACLE_FEED} SELECT event_id, epoch_timestamp FROM dns",
@@ -349,9 +349,24 @@ ORACLES: dict[str, str] = {
             WHERE ts < TIMESTAMP '2024-01-16' AND {_ANOMALY} AND response LIKE '%query%')""",
     ),
     "stream_dns_alerts": _dns(_ALERTS, _DETECTED),
-    "stream_frequency_windows": _errors(
-        f"""SELECT * FROM ({_FREQUENCY})
-            WHERE epoch_timestamp + 1 <= (SELECT max(epoch_timestamp) FROM err) - 600""",
-        _HITS,
+    "stream_owner_names": _dns(
+        f"""SELECT DISTINCT CASE owner {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in ODD_OWNERS.items())} ELSE owner END AS owner,
+                value2 FROM features WHERE {_ANOMALY} AND response LIKE '%query%'""",
+        _DNS_VOCABULARY, _FEATURES,
     ),
+    "stream_frequency_windows": _errors(_FREQUENCY, _HITS),
+    "decode_odd_lines": f"""WITH {ORACLE_FEED}, lines AS (SELECT event_id, message, {_LINE} AS value FROM dns),
+            odd AS (SELECT event_id, message, {ODD_LINE} AS value FROM lines)
+        SELECT event_id, CASE WHEN event_id % 7 > 4 THEN message END AS message,
+               CASE event_id % 7 WHEN 2 THEN '<blank line>' WHEN 3 THEN '<blank line>' WHEN 4 THEN '<null line>'
+                    WHEN 5 THEN NULL WHEN 6 THEN NULL ELSE value END AS left_over FROM odd""",
+    "indicator_csv_ragged": """SELECT DISTINCT 'client01' AS owner, '10.9.' || i || '.' || s_suppkey AS value2
+        FROM supplier, range(1, 4) t(i) WHERE i <= s_suppkey % 3 + 1""",
+    "run_all_formats": f"""WITH {ORACLE_FEED}, {_PARSED}, {_DETECTED}, {_ERR}, codes(code) AS (VALUES {", ".join(f"('{c}')" for c in _ID_RULES)})
+        SELECT 'alerts' AS output, owner, count(*) AS n FROM detected WHERE detection <> '' GROUP BY owner
+        UNION ALL SELECT 'scored', owner, count(*) FROM detected d WHERE detection = '' AND NOT {_IN_BAD} GROUP BY owner
+        UNION ALL SELECT 'errors', owner, count(*) FROM err GROUP BY owner
+        UNION ALL SELECT 'error_alerts', owner, count(*) FROM etempl JOIN codes USING (code) GROUP BY owner
+        UNION ALL SELECT 'access', owner, count(*) FROM base WHERE event_id % 10 <> 0 GROUP BY owner
+        UNION ALL SELECT 'unrouted', owner, count(*) FROM base WHERE event_id % 10 = 0 GROUP BY owner""",
 }

@@ -1,6 +1,7 @@
 """One query per operator over the test tables. Each takes (spark, sf_dir) and gives a DataFrame."""
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,8 @@ from logweir.schema import APACHE_ACCESS, APACHE_ERROR, DNSMASQ, FEATURES_13, FE
 from logweir.sources.indicators import read_indicator_csv, write_indicator_csv
 from logweir.sources.lines import decode, quarantine, read_lines, route
 from logweir.sources.sinks import write_by_format
-from logweir.streaming.queries import stream_dns_alerts, stream_frequency_windows
+from logweir.streaming.queries import encoded_names as fixed_score
+from logweir.streaming.queries import stream_dns_alerts, stream_frequency_windows, stream_owner_names
 from logweir.workspace import new_folder, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,16 +95,57 @@ def owners(spark, sf_dir):
 
 def parquet_by_format(spark, sf_dir):
     folder = new_folder(spark, "by-format")
-    both = feed.dns_feed(spark, sf_dir).select("event_id", "owner", "log_format", "message").unionByName(
-        feed.error_feed(spark, sf_dir).select("event_id", "owner", "log_format", "message")
-    )
-    write_by_format(both, folder)
+    shared = ("event_id", "owner", "log_format")
+    dns = feed.dns_feed(spark, sf_dir).select(*shared, "message")
+    errors = feed.error_feed(spark, sf_dir).select(*shared, "message")
+    access = feed.access_feed(spark, sf_dir).select(*shared, F.col("path").alias("message"))
+    write_by_format(dns.unionByName(errors).unionByName(access), folder)
     written = spark.read.parquet(folder)
     return written.groupBy("log_format", "owner").agg(
         F.count("*").alias("n"), F.sum(F.length("message")).alias("chars")
     )
 
 
+def decode_odd_lines(spark, sf_dir):
+    """Lines with a tail, glued to another, blank and missing ones among whole ones."""
+    lines = feed.dns_lines(spark, sf_dir).select("event_id", F.expr(feed.ODD_LINE).alias("value"))
+    return decode(lines).select("event_id", "message", F.col("_corrupt_record").alias("left_over"))
+
+
+def all_lines(spark, sf_dir):
+    """Lines of every format, some of another one."""
+
+    def as_lines(df, schema):
+        return df.select(F.to_json(F.struct(*schema.names)).alias("value"))
+
+    access = feed.access_feed(spark, sf_dir)
+    renamed = F.when(F.col("event_id") % 10 == 0, "other").otherwise(F.col("log_format"))
+    return (
+        feed.dns_lines(spark, sf_dir).select("value")
+        .unionByName(as_lines(feed.error_feed(spark, sf_dir), APACHE_ERROR))
+        .unionByName(as_lines(access.withColumn("log_format", renamed), APACHE_ACCESS))
+    )
+
+
+def run_all_formats(spark, sf_dir):
+    """Rows of each output of a run over all formats, by owner."""
+    known = feed.supplier_indicators(spark, sf_dir)
+    result = run_batch(settle(all_lines(spark, sf_dir)), known, fixed_score, feed.YEAR)
+    outputs = {
+        "alerts": (result.alerts, F.sum("count")),
+        "scored": (result.scored, F.count("*")),
+        "errors": (result.errors, F.count("*")),
+        "error_alerts": (result.error_alerts, F.sum("count")),
+        "access": (result.access, F.count("*")),
+        "unrouted": (result.unrouted, F.count("*")),
+    }
+    tables = [
+        df.groupBy("owner").agg(n.alias("n")).select(F.lit(name).alias("output"), "owner", "n")
+        for name, (df, n) in outputs.items()
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
 # Parsing
 
 
@@ -281,7 +324,7 @@ def rule_hierarchy(spark, sf_dir):
 
 
 def rule_frequency(spark, sf_dir):
-    return frequency_alerts(rule_hits(matched_errors(spark, sf_dir)), paced(DEFAULT_RULES, *feed.RULE_PACE))
+    return frequency_alerts(rule_hits(matched_errors(spark, sf_dir)), paced(DEFAULT_RULES, feed.RULE_PACE))
 
 
 # Indicators
@@ -318,6 +361,16 @@ def indicator_csv_scan(spark, sf_dir):
     return read_indicator_csv(spark, folder)
 
 
+def indicator_csv_ragged(spark, sf_dir):
+    """Lists whose lines have one cell or several."""
+    folder = new_folder(spark, "ragged")
+    cells = F.slice(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.concat(F.lit("10.9."), i, F.lit("."), F.col("s_suppkey"))),
+                    F.lit(1), (F.col("s_suppkey") % 3 + 1).cast("int"))
+    suppliers = feed.table(spark, sf_dir, "supplier")
+    suppliers.orderBy("s_suppkey").select(F.array_join(cells, ",").alias("value")).write.text(folder)
+    return read_indicator_csv(spark, folder, "client01")
+
+
 def zip_orders(spark, sf_dir):
     """The n-th record by address and the n-th by time."""
     parsed = parsed_dns(spark, sf_dir)
@@ -349,12 +402,6 @@ def batch_model_score(spark, sf_dir):
     return score_with(featured_dns(spark, sf_dir), capital_scorer).select("event_id", "prediction")
 
 
-def fixed_score(df: DataFrame) -> DataFrame:
-    """The same stand-in as an expression."""
-    anomaly = (F.col("value1_capital_count") >= 8) & (F.col("value1_length") > 60)
-    return df.withColumn("prediction", F.coalesce(anomaly, F.lit(False)).cast("int"))
-
-
 def temporal_anomalies(spark, sf_dir):
     """Anomalies by a stand-in for the 13-feature model: long names within five minutes of the last record."""
 
@@ -393,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "json_decode_route": json_decode_route,
     "corrupt_quarantine": corrupt_quarantine,
     "text_source_trim": text_source_trim,
+    "decode_odd_lines": decode_odd_lines,
     "owners": owners,
     "parquet_by_format": parquet_by_format,
     "dns_parse": dns_parse,
@@ -427,6 +475,7 @@ QUERIES: dict[str, Query] = {
     "indicator_remainder": indicator_remainder,
     "keep_first_n_per_domain": keep_first_n_per_domain,
     "indicator_csv_scan": indicator_csv_scan,
+    "indicator_csv_ragged": indicator_csv_ragged,
     "zip_by_order": zip_orders,
     "anomaly_score": anomaly_score,
     "batch_model_score": batch_model_score,
@@ -434,6 +483,8 @@ QUERIES: dict[str, Query] = {
     "anomaly_score_temporal": anomaly_score_temporal,
     "derived_indicators": derived_indicators,
     "indicator_feedback": indicator_feedback,
+    "run_all_formats": run_all_formats,
     "stream_dns_alerts": stream_dns_alerts,
+    "stream_owner_names": stream_owner_names,
     "stream_frequency_windows": stream_frequency_windows,
 }

@@ -1,126 +1,98 @@
 """Frequency rules over a stream.
 
-Two stateful steps. A tumbling count per second comes first: its map-side part turns a hot source into one
-row per second and task. The look-back then keeps, per source, the seconds of the last timeframe. The first
-step emits a second only once the watermark has passed it, so the second sees seconds in order even though
-records come late, and later ones are the same whether they came in one micro-batch or many.
+Each micro-batch adds its hits per second to a table; that table is the only state. A second is closed once records
+more than ``lateness`` seconds after it have come. A batch looks back, with the batch operator, over the seconds it
+closes and one timeframe before them. Hits of closed seconds that come still later are dropped and counted.
+``flush`` gives the alerts of the seconds that are open when a stream has been drained.
 """
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StreamingQuery
 
 from logweir.operators.ruleset import Rule
-from logweir.operators.ruletree import frequency_rules
+from logweir.operators.ruletree import hits_per_second, look_back
+from logweir.sources.sinks import batch_folder, path_exists, read_batch, read_batches, write_batch
 
 ALERT = "owner string, srcip string, rule_id int, epoch_timestamp bigint, hits bigint"
-_RECENT = "seconds array<bigint>, hits array<bigint>"
-
-
-def use_rocksdb_state(spark: SparkSession) -> None:
-    """State on executor disks with changelogs in the checkpoint; needed by the look-back."""
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-
-
-@contextmanager
-def state_partitions(spark: SparkSession, n: int | None = None):
-    """Start stateful queries inside with ``n`` partitions, by default one per core.
-
-    A query keeps the number it first started with, so on a cluster size it for the expected state.
-    """
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, n or spark.sparkContext.defaultParallelism)
+STATE = "highest bigint, closed bigint, late bigint, batch bigint"
+DAY = 86_400
+# Before the first second.
+NEVER = -(1 << 62)
+# The folder of alerts of open seconds, replaced by each flush.
+OPEN = -1
+
+
+def frequency_step(hits: DataFrame, rules: list[Rule], out: str, batch_id: int, lateness: int) -> None:
+    """Take in one micro-batch of hits (owner, srcip, epoch_timestamp, rule_id). A batch run again replaces itself."""
+    spark = hits.sparkSession
+    highest, closed, late = _state(spark, out, batch_id - 1)
+    # Every hit moves the time on, also of rules that no frequency rule counts.
+    hits = hits.select("owner", "srcip", "epoch_timestamp", "rule_id").persist()
     try:
-        yield
+        counts = hits_per_second(hits, rules).withColumn("day", F.floor(F.col("epoch_timestamp") / DAY))
+        on_time = F.col("epoch_timestamp") > closed
+        newest = hits.agg(F.max("epoch_timestamp")).first()[0]
+        dropped = counts.filter(~on_time).agg(F.sum("hits")).first()[0]
+        write_batch(counts.filter(on_time), f"{out}/seconds", batch_id, "day")
     finally:
-        spark.conf.set(name, before)
-
-
-class LookBack(StatefulProcessor):
-    """Fires at seconds whose hits, with those of the timeframe before, reach the rule's frequency.
-
-    ``limits`` has the frequency and timeframe of each rule.
-    """
-
-    def __init__(self, limits: dict[int, tuple[int, int]]):
-        self.limits = limits
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.recent = handle.getValueState("recent", _RECENT)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        owner, srcip, rule_id = key
-        frequency, timeframe = self.limits[rule_id]
-        new = pd.concat(list(rows)).sort_values("second")
-        seconds, hits = new["second"].to_numpy(), new["hits"].to_numpy()
-        n_new = len(seconds)
-        # Calls to the state cost more than the work on it: one to read, and timers only where one is set.
-        earlier = self.recent.get()
-        if earlier is not None:
-            seconds = np.concatenate([np.asarray(earlier[0], dtype=np.int64), seconds])
-            hits = np.concatenate([np.asarray(earlier[1], dtype=np.int64), hits])
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(int(timer))
-        total = np.concatenate([[0], np.cumsum(hits)])
-        from_second = np.searchsorted(seconds, seconds - timeframe, side="left")
-        in_window = total[1:] - total[from_second]
-        fires = in_window >= frequency
-        fires[: len(seconds) - n_new] = False
-        last = int(seconds[-1])
-        keep = seconds > last - timeframe - 1
-        self.recent.update((seconds[keep].tolist(), hits[keep].tolist()))
-        self.handle.registerTimer((last + timeframe + 1) * 1000)
-        yield pd.DataFrame(
-            {
-                "owner": owner,
-                "srcip": srcip,
-                "rule_id": np.int32(rule_id),
-                "epoch_timestamp": seconds[fires],
-                "hits": in_window[fires],
-            }
-        )
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # Nothing in the state can count towards a later second any more.
-        self.recent.clear()
-        yield from ()
-
-    def close(self) -> None:
-        pass
-
-
-def stream_frequency_alerts(hits: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Streaming alerts, equal to ``frequency_alerts`` for the seconds the watermark passed.
-
-    ``hits`` has owner, srcip, rule_id and ``event_time`` with a watermark. Write it in append mode.
-    """
-    looked_for = F.broadcast(frequency_rules(hits.sparkSession, rules))
-    source = F.when(F.col("_same_source"), F.col("srcip")).otherwise("")
-    seconds = (
-        hits.withColumnRenamed("rule_id", "_counted")
-        .join(looked_for, "_counted")
-        .groupBy(F.window("event_time", "1 second"), "owner", source.alias("srcip"), "rule_id")
-        .agg(F.count("*").alias("hits"))
-        .select(
-            "owner",
-            "srcip",
-            "rule_id",
-            F.window_time("window").alias("event_time"),
-            F.unix_timestamp("window.start").alias("second"),
-            "hits",
-        )
-    )
-    limits = {r.rule_id: (r.frequency, r.timeframe) for r in rules if r.counted_rule is not None}
-    return seconds.groupBy("owner", "srcip", "rule_id").transformWithStateInPandas(
-        LookBack(limits), outputStructType=ALERT, outputMode="append", timeMode="EventTime"
-    )
+        hits.unpersist()
+    now = max(highest, NEVER if newest is None else newest)
+    closing = max(closed, now - lateness - 1)
+    write_batch(_alerts(spark, rules, out, closed, closing, batch_id), f"{out}/alerts", batch_id)
+    state = [(now, closing, late + (dropped or 0), batch_id)]
+    write_batch(spark.createDataFrame(state, STATE).coalesce(1), f"{out}/state", batch_id)
+
+
+def _state(spark: SparkSession, out: str, batch_id: int) -> tuple[int, int, int]:
+    """Highest second seen, last second closed, and hits dropped, after a batch."""
+    if not path_exists(spark, batch_folder(f"{out}/state", batch_id)):
+        return NEVER, NEVER, 0
+    row = read_batch(spark, f"{out}/state", batch_id, STATE).first()
+    return row.highest, row.closed, row.late
+
+
+def _alerts(spark: SparkSession, rules: list[Rule], out: str, after: int, upto: int, batch_id: int) -> DataFrame:
+    """Alerts of the seconds after ``after`` up to ``upto``, from days that can count for them."""
+    longest = max((r.timeframe for r in rules if r.counted_rule is not None), default=0)
+    table = read_batches(spark, f"{out}/seconds", f"{ALERT}, day_folder bigint", batch_id + 1)
+    first = after - longest
+    wanted = table.filter((F.col("day_folder") >= first // DAY) & (F.col("day_folder") <= upto // DAY))
+    wanted = wanted.filter(F.col("epoch_timestamp").between(first, upto))
+    # Two batches may both have hits of one second.
+    summed = wanted.groupBy("owner", "srcip", "rule_id", "epoch_timestamp").agg(F.sum("hits").alias("hits"))
+    return look_back(summed, rules).filter(F.col("epoch_timestamp") > after)
+
+
+def flush(spark: SparkSession, rules: list[Rule], out: str) -> None:
+    """Write the alerts of the seconds still open. A stream that goes on closes them later, with what then came."""
+    last = read_batches(spark, f"{out}/state", STATE).agg(F.max("batch")).first()[0]
+    if last is not None:
+        highest, closed, _ = _state(spark, out, last)
+        write_batch(_alerts(spark, rules, out, closed, highest, last), f"{out}/open", OPEN)
+
+
+def read_alerts(spark: SparkSession, out: str) -> DataFrame:
+    """All alerts: of closed seconds, and of those open at the last flush that have not been closed since."""
+    closed = read_batches(spark, f"{out}/alerts", ALERT).drop("batch_id")
+    upto = read_batches(spark, f"{out}/state", STATE).agg(F.max("closed")).first()[0]
+    still_open = read_batches(spark, f"{out}/open", ALERT).drop("batch_id")
+    return closed.unionByName(still_open.filter(F.col("epoch_timestamp") > (NEVER if upto is None else upto)))
+
+
+def late_hits(spark: SparkSession, out: str) -> int:
+    """How many hits came after their second was closed."""
+    return read_batches(spark, f"{out}/state", STATE).agg(F.max("late")).first()[0] or 0
+
+
+def run_frequency(
+    hits: DataFrame, rules: list[Rule], out: str, checkpoint: str, lateness: int, trigger: str | None = None
+) -> StreamingQuery:
+    """Start the run over a stream of hits. ``trigger=None`` works off what is there and stops."""
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        frequency_step(batch, rules, out, batch_id, lateness)
+
+    writer = hits.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    timed = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
+    return timed.start()

@@ -7,32 +7,33 @@ from logweir.operators.idrules import with_source
 from logweir.operators.parse import parse_apache_error, parse_dnsmasq
 from logweir.operators.ruleset import DEFAULT_RULES, paced
 from logweir.operators.ruletree import match_rules, rule_hits
-from logweir.operators.templates import fit_template_index
+from logweir.operators.templates import template_vocabulary
 from logweir.plans import feed
 from logweir.schema import DNSMASQ
-from logweir.sources.indicators import SEED, write_indicator_batch
+from logweir.sources.indicators import SEED, read_indicator_table, write_indicator_batch
 from logweir.sources.sinks import read_batches
-from logweir.streaming.frequency import ALERT, state_partitions, stream_frequency_alerts, use_rocksdb_state
+from logweir.streaming.frequency import flush, read_alerts, run_frequency
 from logweir.streaming.run import run_stream
-from logweir.workspace import new_folder
+from logweir.workspace import new_folder, settle
 
 # How late a record may come, in seconds.
 LATENESS = 600
+# Files of a micro-batch.
+FILES = 64
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = feed.table(spark, sf_dir, "events")
     # The pattern also fits a folder of files.
-    return spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet*")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(f"{sf_dir}/events.parquet*")
 
 
 def stream_dns_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of a run that starts with the suppliers' indicators, added up over its micro-batches."""
     out = new_folder(spark, "dns-run")
     write_indicator_batch(feed.supplier_indicators(spark, sf_dir), f"{out}/indicators", SEED)
-    known_templates = fit_template_index(
-        parse_dnsmasq(feed.dns_feed(spark, sf_dir).select(*DNSMASQ.names), feed.YEAR)
-    )
+    parsed = parse_dnsmasq(feed.dns_feed(spark, sf_dir).select(*DNSMASQ.names), feed.YEAR)
+    known_templates = settle(template_vocabulary(parsed))
     lines = feed.dns_lines(spark, sf_dir, event_stream(spark, sf_dir)).select("value")
 
     def nothing_found(df: DataFrame) -> DataFrame:
@@ -46,25 +47,29 @@ def stream_dns_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.groupBy("owner", "value2", "detection").agg(F.sum("count").alias("count"))
 
 
+def stream_owner_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run learns for owners whose names could be taken for numbers or for nothing."""
+    out = new_folder(spark, "owner-run")
+    lines = feed.dns_lines(spark, sf_dir, event_stream(spark, sf_dir)).select("value")
+    for plain, odd in feed.ODD_OWNERS.items():
+        lines = lines.select(F.replace("value", F.lit(f'"owner":"{plain}"'), F.lit(f'"owner":"{odd}"')).alias("value"))
+    query = run_stream(lines, out, encoded_names, None, feed.YEAR, new_folder(spark, "owner-checkpoint"), trigger=None)
+    query.awaitTermination()
+    return read_indicator_table(spark, f"{out}/indicators")
+
+
+def encoded_names(df: DataFrame) -> DataFrame:
+    """A stand-in for an outside model: long names with many capitals."""
+    anomaly = (F.col("value1_capital_count") >= 8) & (F.col("value1_length") > 60)
+    return df.withColumn("prediction", F.coalesce(anomaly, F.lit(False)).cast("int"))
+
+
 def stream_frequency_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts of the frequency rules over a stream of web errors, as far as the watermark got."""
-    rules = paced(DEFAULT_RULES, *feed.RULE_PACE)
-    use_rocksdb_state(spark)
+    """Alerts of the frequency rules over a stream of web errors that is drained."""
+    rules = paced(DEFAULT_RULES, feed.RULE_PACE)
     parsed = with_source(parse_apache_error(feed.error_feed(spark, sf_dir, event_stream(spark, sf_dir))))
-    timed = parsed.withColumn("event_time", F.timestamp_seconds("epoch_timestamp")).withWatermark(
-        "event_time", f"{LATENESS} seconds"
-    )
-    hits = rule_hits(match_rules(timed, DEFAULT_RULES))
     out = new_folder(spark, "frequency-run")
-    with state_partitions(spark):
-        query = (
-            stream_frequency_alerts(hits, rules)
-            .writeStream.format("parquet")
-            .outputMode("append")
-            .option("path", out)
-            .option("checkpointLocation", new_folder(spark, "frequency-checkpoint"))
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-    return spark.read.schema(ALERT).parquet(out)
+    hits = rule_hits(match_rules(parsed, DEFAULT_RULES))
+    run_frequency(hits, rules, out, new_folder(spark, "frequency-checkpoint"), LATENESS).awaitTermination()
+    flush(spark, rules, out)
+    return read_alerts(spark, out)

@@ -20,7 +20,7 @@ from logweir.sources.indicators import (
 from logweir.sources.lines import decode, lines_from_list, read_lines, route, stream_lines
 from logweir.sources.models import load_classifier, load_template_index
 from logweir.sources.sinks import read_batches, write_batch, write_by_format
-from logweir.streaming.frequency import ALERT, state_partitions, stream_frequency_alerts, use_rocksdb_state
+from logweir.streaming.frequency import flush, frequency_step, late_hits, read_alerts, run_frequency
 from logweir.streaming.metrics import progress_table, timed
 from logweir.streaming.run import run_stream
 from logweir.workspace import new_folder, settle, shared_root
@@ -225,7 +225,8 @@ def test_stream_feeds_back_and_resumes(spark, features, tmp_path):
     assert known == {("client01", ASKING), ("client02", ASKING)}
 
 
-def test_frequency_over_micro_batches_equals_batch(spark, tmp_path):
+@pytest.mark.parametrize("lateness", [20, 3])
+def test_frequency_over_micro_batches_equals_batch(spark, tmp_path, lateness):
     rules = [
         Rule(11, 5, frequency=3, timeframe=40, counted_rule=1, same_source=True),
         Rule(12, 5, frequency=6, timeframe=25, counted_rule=1),
@@ -234,35 +235,32 @@ def test_frequency_over_micro_batches_equals_batch(spark, tmp_path):
     rng = np.random.default_rng(5)
     source = tmp_path / "hits"
     source.mkdir()
+    kept, late, highest = [], 0, 0
     for part in range(4):
         # Each file reaches ten seconds back into the one before.
         seconds = 1000 + part * 60 + rng.integers(-10, 60, 80)
-        rows = [f"a,{'s' if rng.random() < 0.6 else 't'},{s},{rng.integers(1, 3)}" for s in seconds]
-        (source / f"{part}.csv").write_text("\n".join(rows) + "\n")
+        rows = [("a", "s" if rng.random() < 0.6 else "t", int(x), int(rng.integers(1, 3))) for x in seconds]
+        (source / f"{part}.csv").write_text("".join(",".join(map(str, r)) + "\n" for r in rows))
         os.utime(source / f"{part}.csv", (1_700_000_000 + part, 1_700_000_000 + part))
+        on_time = [r for r in rows if r[2] > highest - lateness - 1]
+        # Rule 1 is counted twice, by each of the two rules.
+        late += sum(2 for r in rows if r not in on_time and r[3] == 1)
+        kept += on_time
+        highest = max(highest, *(r[2] for r in rows))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").csv(str(source))
-    timed_hits = stream.withColumn("event_time", F.timestamp_seconds("epoch_timestamp")).withWatermark(
-        "event_time", "20 seconds"
-    )
-    use_rocksdb_state(spark)
     out = str(tmp_path / "out")
-    with state_partitions(spark, 2):
-        query = (
-            stream_frequency_alerts(timed_hits, rules)
-            .writeStream.format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", str(tmp_path / "checkpoint"))
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
-    streamed = {tuple(r) for r in spark.read.schema(ALERT).parquet(out).collect()}
-    hits = spark.read.schema(schema).csv(str(source)).cache()
-    passed = hits.agg(F.max("epoch_timestamp")).first()[0] - 20
-    whole = {tuple(r) for r in frequency_alerts(hits, rules).collect()}
-    assert streamed == {r for r in whole if r[3] + 1 <= passed}
-    assert len(streamed) > 50 and {r[2] for r in streamed} == {11, 12}
+    run_frequency(stream, rules, out, str(tmp_path / "checkpoint"), lateness).awaitTermination()
+    whole = {tuple(r) for r in frequency_alerts(spark.createDataFrame(kept, schema), rules).collect()}
+    closed = {tuple(r) for r in read_alerts(spark, out).collect()}
+    assert closed == {r for r in whole if r[3] <= highest - lateness - 1}
+    flush(spark, rules, out)
+    everything = [tuple(r) for r in read_alerts(spark, out).collect()]
+    assert set(everything) == whole and len(everything) == len(whole) > 50
+    assert {r[2] for r in whole} == {11, 12}
+    assert late_hits(spark, out) == late and (late > 0) == (lateness == 3)
+    # A batch that is run again replaces what it wrote.
+    frequency_step(spark.read.schema(schema).csv(str(source / "3.csv")), rules, out, 3, lateness)
+    assert sorted(map(tuple, read_alerts(spark, out).collect())) == sorted(everything)
 
 
 def test_timed():
