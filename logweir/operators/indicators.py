@@ -41,13 +41,6 @@ def count_alerts(detected: DataFrame, subject: str = "value2") -> DataFrame:
     )
 
 
-def associated_names(detected: DataFrame) -> DataFrame:
-    """Names (owner, value1) seen on a detected row."""
-    return detected.filter((F.col("detection") != "") & F.col("value1").isNotNull()).select(
-        "owner", "value1"
-    ).distinct()
-
-
 def first_of_each_name(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """The first ``n`` rows of each (owner, value1).
 
@@ -69,14 +62,17 @@ def match_indicators(
     """Alerts of indicator hits, and the rows to score: undetected, of names never seen on a hit.
 
     ``keep_first_n`` also keeps the undetected ones among the first rows, in ``order``, of each such name.
-    The names are written out once: their size is then known before all rows meet them, and where it is
-    within bounds the rows are not shuffled. Where ``df`` is ``cached`` they are worked out again instead.
+    Hits are counted by address and name and written out once; alerts and names come from these counts, so that ``df``
+    is computed once for them and once for the remainder, and once more for each lookup table past its bound. Where
+    ``df`` is ``cached`` the counts are worked out again instead.
     """
     detected = detect(df, indicators, spread, max_rows)
-    names = associated_names(detected)
-    if not cached:
-        names = settle(names)
     undetected = F.col("detection") == ""
+    hits = detected.filter(~undetected).groupBy("owner", "value1", "value2", "detection").agg(F.count("*").alias("n"))
+    if not cached:
+        hits = settle(hits)
+    alerts = hits.groupBy("owner", "value2", "detection").agg(F.sum("n").alias("count"))
+    names = hits.filter(F.col("value1").isNotNull()).select("owner", "value1").distinct()
 
     def against(rows: DataFrame, how: str) -> DataFrame:
         return lookup_join(rows, names, ["owner", "value1"], how, spread, max_rows=max_rows)
@@ -85,7 +81,7 @@ def match_indicators(
     if keep_first_n:
         first = first_of_each_name(against(detected, "left_semi"), keep_first_n, order or spread)
         remainder = remainder.unionByName(first.filter(undetected).select(*df.columns))
-    return Matches(count_alerts(detected), remainder)
+    return Matches(alerts, remainder)
 
 
 def derive_indicators(scored: DataFrame, known: DataFrame | None = None) -> DataFrame:

@@ -124,7 +124,7 @@ def time_gap(
     """
     keys = [group, epoch, tie]
     gaps = first_gaps(df, group, epoch, tie, "_gap")
-    none_hot = partial(gaps.select(*keys).limit, 0)
+    none_hot = partial(gaps.select(*keys, F.lit(1).alias("_salts")).limit, 0)
     gap = F.coalesce(F.round("_gap", 1), F.lit(0)).cast("decimal(10,1)")
     joined = lookup_join(df, gaps, keys, "left", [tie], none_hot, max_rows)
     return joined.select(*df.columns, gap.alias(out))

@@ -1,20 +1,22 @@
 """Joins that stay balanced when one key holds a large part of the rows.
 
-``lookup_join`` broadcasts the lookup side only after checking its size. Beyond the bound it shuffles,
-with the rows of hot keys spread over several partitions. A key is hot when it holds more than a given
-share of the rows, so there are at most ``1 / share`` hot keys and their list is always safe to broadcast.
+``lookup_join`` broadcasts the lookup side only after checking its size. Beyond the bound it shuffles, with the rows of
+hot keys spread over several partitions. A key is hot when it has more rows than a quarter of an even task's share, and
+gets one salt for each such quarter: however large the input, no key puts more than that on one salt, and there are at
+most four hot keys, and four extra salts, for each task, so that their list is safe to broadcast.
 """
 
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweir.workspace import settle
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 << 20
-HOT_SHARE = 1 / 500
-SALTS = 64
+PIECES_PER_TASK = 4
 
 
 def fits_broadcast(
@@ -28,10 +30,18 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
-def hot_keys(counts: DataFrame, keys: list[str], n: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of the rows, from a table of rows per key."""
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_keys(counts: DataFrame, keys: list[str], n: str, tasks: int | None = None) -> DataFrame:
+    """Keys with more rows than one piece, and their ``_salts``, from a table of rows per key.
+
+    ``tasks`` is the number of partitions the rows are dealt to, by default that of the session's shuffles.
+    """
     total = counts.agg(F.sum(n)).first()[0] or 0
-    return counts.filter(F.col(n) > total * share).select(*keys)
+    piece = max(1.0, total / (PIECES_PER_TASK * (tasks or _tasks(counts.sparkSession))))
+    return counts.filter(F.col(n) > piece).select(*keys, F.ceil(F.col(n) / piece).cast("int").alias("_salts"))
 
 
 def _any_null(keys: list[str]) -> Column:
@@ -39,34 +49,20 @@ def _any_null(keys: list[str]) -> Column:
 
 
 def salted_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    how: str,
-    hot: DataFrame,
-    spread: list[str],
-    salts: int = SALTS,
+    big: DataFrame, lookup: DataFrame, keys: list[str], how: str, hot: DataFrame, spread: list[str]
 ) -> DataFrame:
     """Equi join in which the rows of hot keys, and rows with a null key, are spread by ``spread``.
 
-    The lookup rows of hot keys are repeated once per salt: at most ``salts / share`` extra rows for
-    unique lookup keys. The salt is a hash of row values, so a retried task computes the same one.
+    ``hot`` has the hot keys with their ``_salts``; the lookup rows of a key are repeated once per salt. The salt is
+    a hash of row values, so a retried task computes the same one.
     """
-    marks = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    by_hash = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    left = (
-        big.join(marks, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | _any_null(keys), by_hash).otherwise(0))
-        .drop("_hot")
-    )
-    right = (
-        lookup.join(marks, keys, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_hot")
-    )
+    marks = F.broadcast(hot)
+    everywhere = F.lit(PIECES_PER_TASK * _tasks(big.sparkSession))
+    salts = F.when(_any_null(keys), everywhere).otherwise(F.coalesce("_salts", F.lit(1)))
+    left = big.join(marks, keys, "left")
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int")).drop("_salts")
+    numbers = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    right = lookup.join(marks, keys, "left").withColumn("_salt", F.explode(numbers)).drop("_salts")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -87,5 +83,7 @@ def lookup_join(
     if fits_broadcast(lookup, max_rows):
         return big.join(F.broadcast(lookup), keys, how)
     if hot is None:
-        hot = partial(hot_keys, big.groupBy(*keys).agg(F.count("*").alias("_n")), keys, "_n")
+        # Written once: the total, and the hot keys of either side, then come from there and not from the rows.
+        counts = settle(big.groupBy(*keys).agg(F.count("*").alias("_n")))
+        hot = partial(hot_keys, counts, keys, "_n")
     return salted_join(big, lookup, keys, how, hot(), spread)

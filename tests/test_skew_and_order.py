@@ -44,10 +44,38 @@ def test_fits_broadcast(frame):
 
 def test_hot_keys_are_few(frame):
     counts = frame.groupBy("value1").agg(F.count("*").alias("n"))
-    assert [r.value1 for r in hot_keys(counts, ["value1"], "n", 0.3).collect()] == ["hot"]
+    # 600 rows, half of them of one name: a piece has 75 rows for two tasks, 15 for ten.
+    assert [tuple(r) for r in hot_keys(counts, ["value1"], "n", 2).collect()] == [("hot", 4)]
+    assert dict(map(tuple, hot_keys(counts, ["value1"], "n", 10).collect()))["hot"] == 20
     assert hot_keys(counts.limit(0), ["value1"], "n").count() == 0
 
 
+def test_no_key_fills_a_task(spark):
+    """One key has a third of the rows, another a hundredth: at any number of tasks a salt has a piece at most."""
+    counts = spark.createDataFrame([("a", 333_000), ("b", 10_000)] + [(f"k{i}", 657) for i in range(1000)], "k string, n long")
+    for tasks in (10, 200, 1000):
+        piece = 1_000_000 / (4 * tasks)
+        hot = {r.k: r._salts for r in hot_keys(counts, ["k"], "n", tasks).collect()}
+        assert all(r.n <= piece * hot.get(r.k, 1) for r in counts.collect()) and len(hot) <= 4 * tasks
+
+
+def test_source_is_computed_a_few_times(spark):
+    """With broadcasts refused, however often the plans mention it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    rows = spark.range(100).select("id", F.lit("a").alias("owner"), (F.col("id") % 5).cast("string").alias("value1"),
+                                   counted((F.col("id") % 7).cast("string")).alias("value2"))
+    table = spark.createDataFrame([("a", "3")], "owner string, value2 string")
+    matches = match_indicators(rows, table, ["id"], max_rows=0)
+    assert matches.alerts.collect() and matches.remainder.count() == 0
+    assert seen.value <= 5 * 100
+
+
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_refused_broadcast_gives_the_same_join(spark, frame, how):
     lookup = spark.createDataFrame([("a", "hot", 1), ("a", "n3", 2), ("b", "n3", 3)], "owner string, value1 string, x int")
