@@ -28,8 +28,10 @@ GRAM = 64
 ANCHOR_BYTES = 250_000
 #: Bytes of pieces in one suffix array; a place in it must fit into 21 bits.
 ARRAY_BYTES = 500_000
-#: An anchor with more different pieces has its strings, not its pieces, dealt out.
+#: An anchor with more different pieces has these cut into blocks of so many starts, and dealt out by what the
+#: strings of a block have in common; if a block is still crowded, its strings are dealt out.
 CROWDED = 2_000
+BLOCK = 12
 
 
 # --- anchors -------------------------------------------------------------------------------------------------------
@@ -301,8 +303,45 @@ def _arrays(length: int, most: int):
     return sort
 
 
+def _blocks(length: int, gram: int, block: int):
+    """Pieces of crowded anchors to pieces of ``block`` starts at most, with the hash of their common bytes as anchor.
+
+    Equal strings stand at one distance from their anchor, so blocks are counted from there. All strings of a block,
+    of whatever piece, cover the bytes from the block's last start to the end of its first string.
+    """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, ends = bytes_of(batch.column("bytes").cast(pa.large_binary()))
+            # All strings of a piece have one anchor, so there is one run for each piece.
+            _, owner, place, _, last = anchors(data, ends, length, gram)
+            lowest, highest = (0 - place) // block, (last - place) // block
+            k = np.repeat(lowest, highest - lowest + 1)
+            k = k + np.arange(len(k)) - np.repeat(np.cumsum(highest - lowest + 1) - (highest - lowest + 1), highest - lowest + 1)
+            who = np.repeat(np.arange(len(owner)), highest - lowest + 1)
+            start, zero = place[who] + k * block, ends[owner[who]]
+            first, final = np.maximum(start, 0), np.minimum(start + block - 1, last[who])
+            core = range_hashes(data, zero + start + block - 1, zero + start + length)
+            begin, end = zero + first, zero + final + length
+            raw = data.tobytes()
+            take = pa.array(owner[who])
+            yield pa.record_batch(
+                {
+                    **{f"p{i}": batch.column(c).take(take) for i, c in enumerate(("anchor", "d1", "d2"))},
+                    "n": batch.column("n").take(take),
+                    "shift": first.astype(np.int32),
+                    "anchor": mixed(core + k.astype(np.uint64)).view(np.int64),
+                    "d1": range_hashes(data, begin, end).view(np.int64),
+                    "d2": range_hashes(data[::-1], len(data) - end, len(data) - begin).view(np.int64),
+                    "bytes": pa.array([raw[i:j] for i, j in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary()),
+                }
+            )
+
+    return split
+
+
 def _strings(length: int):
-    """Pieces of crowded anchors to their strings: the start within the piece and a digest of ``length`` bytes."""
+    """Pieces of crowded blocks to their strings: the start within the piece and a digest of ``length`` bytes."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,6 +392,51 @@ def _remover(length: int):
     return remove
 
 
+MARKS = "anchor long, d1 long, d2 long, starts array<struct<first:int,last:int>>"
+
+
+def _parted(different: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Pieces of anchors that one task can hold, and those of crowded ones, if any."""
+    crowd = written(
+        different.groupBy("anchor").agg(F.count("*").alias("m")).filter(F.col("m") > CROWDED).select("anchor"), "suffix-crowd"
+    )
+    if crowd.isEmpty():
+        return different, None
+    return different.join(crowd, "anchor", "left_anti"), different.join(crowd, "anchor", "left_semi")
+
+
+def _sorted_marks(sparse: DataFrame, length: int) -> DataFrame:
+    ready = sparse.repartition("anchor").sortWithinPartitions("anchor").select("anchor", "d1", "d2", "bytes", "n")
+    return ready.mapInArrow(_arrays(length, ARRAY_BYTES), MARKS)
+
+
+def _marks(different: DataFrame, length: int, gram: int) -> DataFrame:
+    """Repeated starts of different pieces (anchor, d1, d2, n, bytes), in one row or more for a piece that has some."""
+    sparse, crowded = _parted(different)
+    marks = _sorted_marks(sparse, length)
+    if crowded is None:
+        return marks
+    parent = ["p0", "p1", "p2"]
+    schema = "p0 long, p1 long, p2 long, n long, shift int, anchor long, d1 long, d2 long, bytes binary"
+    columns = ["anchor", "d1", "d2", "n", "bytes"]
+    blocks = written(crowded.select(*columns).mapInArrow(_blocks(length, gram, BLOCK), schema), "suffix-blocks")
+    merged = blocks.groupBy("anchor", "d1", "d2").agg(F.sum("n").alias("n"), F.any_value("bytes").alias("bytes"))
+    sparse, crowded = _parted(written(merged, "suffix-pieces"))
+    inner = _sorted_marks(sparse, length)
+    if crowded is not None:
+        schema = "anchor long, d1 long, d2 long, n long, start int, s1 long, s2 long"
+        strings = crowded.select(*columns).mapInArrow(_strings(length), schema)
+        common = strings.groupBy("s1", "s2").agg(F.sum("n").alias("times")).filter("times > 1")
+        one = F.array(F.struct(F.col("start").alias("first"), F.col("start").alias("last")))
+        inner = inner.unionByName(strings.join(common, ["s1", "s2"]).select("anchor", "d1", "d2", one.alias("starts")))
+    moved = F.transform(
+        "starts", lambda x: F.struct((x["first"] + F.col("shift")).alias("first"), (x["last"] + F.col("shift")).alias("last"))
+    )
+    outer = blocks.select(*parent, "shift", "anchor", "d1", "d2").join(inner, ["anchor", "d1", "d2"])
+    outer = outer.select(*parent, moved.alias("starts")).toDF("anchor", "d1", "d2", "starts")
+    return marks.unionByName(outer)
+
+
 def cut_texts(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM
 ) -> DataFrame:
@@ -377,19 +461,7 @@ def cut_texts(
     pieces = candidates.mapInArrow(_cutter(length), schema)
     different = pieces.groupBy("anchor", "d1", "d2").agg(F.count("*").alias("n"), F.any_value("bytes").alias("bytes"))
     different = written(different, "suffix-pieces")
-    crowd = different.groupBy("anchor").agg(F.count("*").alias("m")).filter(F.col("m") > CROWDED).select("anchor")
-    sparse = different.join(crowd, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
-    marks = sparse.select("anchor", "d1", "d2", "bytes", "n").mapInArrow(
-        _arrays(length, ARRAY_BYTES), "anchor long, d1 long, d2 long, starts array<struct<first:int,last:int>>"
-    )
-    crowded = different.join(crowd, "anchor", "left_semi").select("anchor", "d1", "d2", "n", "bytes")
-    strings = crowded.mapInArrow(
-        _strings(length), "anchor long, d1 long, d2 long, n long, start int, s1 long, s2 long"
-    )
-    common = strings.groupBy("s1", "s2").agg(F.sum("n").alias("times")).filter("times > 1")
-    one = F.array(F.struct(F.col("start").alias("first"), F.col("start").alias("last")))
-    more = strings.join(common, ["s1", "s2"]).select("anchor", "d1", "d2", one.alias("starts"))
-    marks = written(marks.unionByName(more), "suffix-marks")
+    marks = written(_marks(different, length, gram), "suffix-marks")
 
     where = pieces.select("id", "anchor", "first", "d1", "d2").join(marks, ["anchor", "d1", "d2"])
     span = where.select("id", "first", F.explode("starts").alias("s")).select(
