@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from logweir.llm.tables import written
 
 
-def _marks(edges: DataFrame) -> tuple:
-    """Enough to tell two sets of edges apart."""
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _done(edges: DataFrame) -> bool:
+    """Whether every node has one edge (a, b) down at most, to a node that has none."""
+    ends = F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("down")), F.struct(F.col("b").alias("node"), F.lit(0).alias("down")))
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("down").alias("down"), F.count("*").alias("ends"))
+    return nodes.filter("down > 1 or (down = 1 and ends > 1)").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,9 +20,7 @@ def components(links: DataFrame) -> DataFrame:
     minimum by node and a join with it, so that a hub's links are spread like any skewed join's.
     """
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
-    while (now := _marks(edges)) != before:
-        before = now
+    while not _done(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         smallest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.filter("b > a").join(smallest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))

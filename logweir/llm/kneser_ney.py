@@ -174,7 +174,7 @@ def _scorer(order: int, text: str, head_codes: np.ndarray, head_log: np.ndarray)
                     "id": ids,
                     "code": pa.nulls(n, pa.int64()),
                     "n": np.bincount(owner, minlength=n).astype(np.int64),
-                    "log_p": np.bincount(owner, weights=log, minlength=n),
+                    "log_p": np.bincount(owner, weights=log, minlength=n).astype(np.float64),
                 }
             )
             rare, whose = code[~known], owner[~known]

@@ -23,8 +23,10 @@ from logweir.llm.textbytes import BASE, blocks, mixed, shingle_hashes, times
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 4
-#: Candidates must agree in this share of the 128 registers: six standard deviations below a similarity of 0.8.
-MARGIN = 6
+#: First and last bands of the rounds in which members of a bucket meet the one that leads it.
+ROUNDS = ((0, 2), (3, 1 << 20))
+#: Candidates must agree in this share of the 128 registers: five standard deviations below a similarity of 0.8.
+MARGIN = 5
 #: Members of a band bucket that are compared with one another at once.
 CELL = 1024
 
@@ -204,6 +206,13 @@ def _links(texts: DataFrame, pairs: DataFrame, shingle: int, similarity: float)
     return written(both.mapInArrow(_verifier(shingle, similarity), "a long, b long").distinct(), "near-links")
 
 
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) whose texts are not in one component yet."""
+    of_a, of_b = found.toDF("a", "in_a"), found.toDF("b", "in_b")
+    placed = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
+    return placed.filter(F.coalesce("in_a", "a") != F.coalesce("in_b", "b")).select("a", "b")
+
+
 # --- the whole operator -------------------------------------------------------------------------------------------
 
 
@@ -220,7 +229,7 @@ def near_classes(
 
     Two documents are linked if their weighted shingles have a probability Jaccard similarity of ``similarity`` or
     more; classes are the connected components. Texts with the same shingles and counts are one document from the
-    start. A band bucket then links its members with its smallest one; buckets whose members are still in more than
+    start. In two rounds over the bands, buckets link their members with the one in most company; buckets whose members are still in more than
     one component have all pairs across components compared, in cells of bounded size, so that no link between
     components is missed however large the bucket.
 
@@ -239,18 +248,33 @@ def near_classes(
     members = written(signed.select("id", "d1", "d2").join(copies, ["d1", "d2"]).select("id", "rep"), "near-members")
     alone = signed.join(members.filter("id = rep").select("id").distinct(), "id", "left_semi")
     sigs = written(alone.select("id", "bands", "sig"), "near-sigs")
-    placed = sigs.select("id", F.explode("bands").alias("bucket"))
-    leaders = placed.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("size")).filter("size > 1")
-    shared = written(placed.join(leaders, "bucket"), "near-buckets")
+    placed = sigs.select("id", F.posexplode("bands").alias("band", "bucket"))
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    crowd = written(placed.join(sizes, "bucket"), "near-buckets")
+    # A text that others are variants of shares more with them than they do with one another, and so has more company
+    # over all its buckets. It leads; of equals the smallest id.
+    company = crowd.groupBy("id").agg(F.sum("size").alias("company"))
+    first = F.max(F.struct("company", (-F.col("id")).alias("minus_id")))
+    leaders = crowd.select("bucket", "id").join(company, "id").groupBy("bucket").agg(first.alias("first"))
+    leaders = leaders.select("bucket", (-F.col("first.minus_id")).alias("leader"))
+    shared = written(crowd.join(leaders, "bucket"), "near-leaders")
 
-    pairs = shared.filter("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     sig = sigs.select("id", "sig")
-    known = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
-    starred = written(known.mapInArrow(_agreeing(registers, least), "a long, b long"), "near-pairs")
-    links = _links(named, starred, shingle, similarity)
-
-    first = components(links)
-    of = shared.join(first.withColumnRenamed("node", "id"), "id", "left").select(
+    links, tried, found = None, None, None
+    # In a large group every band says the same again: a later round asks only for pairs still apart.
+    for first, last in ROUNDS:
+        pairs = shared.filter(F.col("band").between(first, last) & (F.col("id") != F.col("leader")))
+        pairs = pairs.select(F.least("leader", "id").alias("a"), F.greatest("leader", "id").alias("b")).distinct()
+        if found is not None:
+            pairs = _apart(pairs, found)
+        known = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
+        starred = written(known.mapInArrow(_agreeing(registers, least), "a long, b long"), "near-pairs")
+        now = _links(named, starred, shingle, similarity)
+        links = now if links is None else links.unionByName(now)
+        tried = starred if tried is None else tried.unionByName(starred)
+        found = components(links)
+
+    of = shared.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "bucket", "size", "id", F.coalesce("component", "id").alias("component")
     )
     mixed_up = of.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -263,6 +287,7 @@ def near_classes(
     cells = cells.withColumn("cell", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")))
     cells = cells.select("cell", "component", "id").join(sig, "id").repartition("cell").sortWithinPartitions("cell", "id")
     crossed = cells.mapInArrow(_crossing(registers, least), "a long, b long").distinct()
+    crossed = crossed.join(tried, ["a", "b"], "left_anti")
     more = _links(named, written(crossed, "near-pairs"), shingle, similarity)
 
     final = components(links.unionByName(more)).withColumnRenamed("node", "rep")

@@ -136,7 +136,7 @@ def cut(texts, length):
     return out
 
 
-@pytest.mark.parametrize("crowded", [suffix_dedup.CROWDED, 2])
+@pytest.mark.parametrize("crowded", [suffix_dedup.CROWDED, 5, 1])
 def test_removed_bytes_equal_brute_force(spark, monkeypatch, crowded):
     monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
     passage = prose(50, 60)
