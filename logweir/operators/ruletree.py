@@ -38,7 +38,10 @@ def match_condition(text: Column, match: str) -> Column:
             return text.startswith(literal)
         return text.endswith(literal) if at_end else text.contains(literal)
 
-    return reduce(lambda a, b: a | b, [piece(p) for p in match.split("|") if p])
+    pieces = [piece(p) for p in match.split("|") if p]
+    if not pieces:
+        raise ValueError(f"the match {match!r} has no alternative")
+    return reduce(lambda a, b: a | b, pieces)
 
 
 def regex_pattern(regex: str) -> str:
@@ -77,12 +80,31 @@ def _own_condition(rule: Rule) -> Column:
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
+def check_rules(rules: list[Rule]) -> None:
+    """Refuse rule sets that can't be evaluated: parents in a circle, and rules that build on a frequency rule."""
+    frequency = {r.rule_id for r in rules if r.counted_rule is not None}
+    parents = {r.rule_id: r.parents or [] for r in rules}
+    for rule in rules:
+        bad = frequency & {*parents[rule.rule_id], rule.counted_rule}
+        if bad:
+            raise ValueError(f"rule {rule.rule_id} builds on the frequency rule {min(bad)}, which no record meets")
+        above, seen = list(parents[rule.rule_id]), set()
+        while above:
+            parent = above.pop()
+            if parent == rule.rule_id:
+                raise ValueError(f"rule {rule.rule_id} is its own ancestor")
+            if parent not in seen:
+                seen.add(parent)
+                above += parents.get(parent, [])
+
+
 def match_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Add ``matched``, the ids of the rules that hold, to parsed web errors. One projection.
 
     The tree becomes one nested expression: a record tries a rule only where a parent holds, and a rule
     with one parent is tried once. Frequency rules are left to ``frequency_alerts``.
     """
+    check_rules(rules)
     plain = [r for r in rules if r.counted_rule is None]
     none = F.array().cast("array<int>")
 

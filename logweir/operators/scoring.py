@@ -18,9 +18,15 @@ ENCODED_NAME_CAPITALS = 8
 
 
 def weak_label(df: DataFrame, out: str = "label") -> DataFrame:
-    """Add 1 for names that look like encoded data, which have many capitals and read like noise."""
+    """Add 1 for names that look like encoded data, which have many capitals and read like noise.
+
+    Where ``df`` has a ``detection`` column, rows that an indicator hit are 1 too.
+    """
     encoded = (F.col("value1_capital_count") >= ENCODED_NAME_CAPITALS) & (F.col("value1_human_readable") == 0)
-    return df.withColumn(out, F.coalesce(encoded, F.lit(False)).cast("int"))
+    label = F.coalesce(encoded, F.lit(False))
+    if "detection" in df.columns:
+        label = label | (F.coalesce("detection", F.lit("")) != "")
+    return df.withColumn(out, label.cast("int"))
 
 
 def fit_classifier(

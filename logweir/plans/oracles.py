@@ -327,6 +327,15 @@ ORACLES: dict[str, str] = {
         FROM (SELECT value2, event_id, row_number() OVER (ORDER BY value2, event_id) AS n FROM parsed) a
         JOIN (SELECT epoch_timestamp, event_id, row_number() OVER (ORDER BY epoch_timestamp, event_id) AS n
               FROM parsed) t USING (n)"""),
+    "anomaly_score": _dns(
+        """SELECT owner, CAST(value1_capital_count >= 8 AND value1_human_readable = 0 AS INTEGER) AS label,
+                  count(*) AS n, true AS agrees FROM features WHERE event_id % 4 = 0 GROUP BY ALL""",
+        _DNS_VOCABULARY, _FEATURES,
+    ),
+    "anomaly_score_temporal": _dns(
+        """SELECT owner, CAST(length(value1) > 60 AS INTEGER) AS label, count(*) AS n, true AS agrees
+           FROM parsed WHERE event_id % 4 = 0 GROUP BY ALL"""
+    ),
     "batch_model_score": _dns(
         f"SELECT event_id, CAST({_ANOMALY} AS INTEGER) AS prediction FROM features", _DNS_VOCABULARY, _FEATURES
     ),

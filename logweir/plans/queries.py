@@ -382,10 +382,21 @@ def zip_orders(spark, sf_dir):
 # Scoring
 
 
+# One record in so many is scored and not fitted on, and a forest must agree with so many of its labels.
+HELD_OUT = 4
+AGREEMENT = 0.9
+
+
+def held_out_agreement(labelled: DataFrame, features: list[str]) -> DataFrame:
+    """Fit on three quarters of the records, score the others: is the forest right about enough of each label?"""
+    rest = F.col("event_id") % HELD_OUT == 0
+    scored = score_anomalies(labelled.filter(rest), fit_classifier(labelled.filter(~rest), features))
+    right = F.avg((F.col("prediction") == F.col("label")).cast("int")) >= AGREEMENT
+    return scored.groupBy("owner", "label").agg(F.count("*").alias("n"), right.alias("agrees"))
+
+
 def anomaly_score(spark, sf_dir):
-    labelled = weak_label(featured_dns(spark, sf_dir))
-    model = fit_classifier(labelled)
-    return score_anomalies(labelled, model).select("event_id", "owner", "label", "prediction")
+    return held_out_agreement(settle(weak_label(featured_dns(spark, sf_dir))), FEATURES_18)
 
 
 def capital_scorer():
@@ -415,8 +426,7 @@ def temporal_anomalies(spark, sf_dir):
 def anomaly_score_temporal(spark, sf_dir):
     features = dns_features_temporal(indexed_dns(spark, sf_dir), tie="event_id")
     labelled = features.withColumn("label", (F.col("value1_length") > 60).cast("int"))
-    model = fit_classifier(labelled, FEATURES_13)
-    return score_anomalies(labelled, model).select("event_id", "owner", "label", "prediction")
+    return held_out_agreement(settle(labelled), FEATURES_13)
 
 
 def derived_indicators(spark, sf_dir):

@@ -1,10 +1,8 @@
-import re
-
 import pytest
 from pyspark.sql import functions as F
 
 from logweir.operators.ruleset import DEFAULT_RULES, Rule, as_rules, read_rules, rules_table
-from logweir.operators.ruletree import match_condition, match_rules, regex_pattern, rule_alerts
+from logweir.operators.ruletree import check_rules, match_condition, match_rules, regex_pattern, rule_alerts
 from logweir.operators.idrules import with_source
 
 RULES_XML = """
@@ -83,9 +81,9 @@ def test_match_language(spark, match, hits, misses):
         (r"\d+|\(x\)", ["7", "(x)"], ["x"]),
     ],
 )
-def test_regex_language(regex, hits, misses):
-    pattern = re.compile(regex_pattern(regex))
-    assert all(pattern.search(h) for h in hits) and not any(pattern.search(m) for m in misses)
+def test_regex_language(spark, regex, hits, misses):
+    texts = spark.createDataFrame([(t, True) for t in hits] + [(t, False) for t in misses], "t string, hit boolean")
+    assert texts.filter(F.col("t").rlike(regex_pattern(regex)) != F.col("hit")).count() == 0
 
 
 def records(spark, rows):
@@ -134,3 +132,14 @@ def test_one_of_several_parents_is_enough(spark):
     assert {r.srcip: r.matched for r in match_rules(frame, rules).collect()} == {
         "10.0.0.1": [1, 3], "10.0.0.2": [2, 3], "10.0.0.3": []
     }
+
+
+def test_rule_sets_that_cannot_work_are_refused():
+    plain, counting = Rule(1, 5, match="x"), Rule(2, 5, frequency=3, timeframe=9, counted_rule=1)
+    check_rules([plain, counting, Rule(3, 5, parents=[1, 99])])
+    for wrong in ([plain, counting, Rule(3, 5, parents=[2])], [plain, counting, Rule(3, 5, frequency=2, timeframe=9, counted_rule=2)],
+                  [Rule(4, 0, parents=[5]), Rule(5, 0, parents=[6]), Rule(6, 0, parents=[4])], [Rule(7, 0, parents=[7])]):
+        with pytest.raises(ValueError):
+            check_rules(wrong)
+    with pytest.raises(ValueError):
+        match_condition(F.lit("x"), "|")
