@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check import canonical
+from logweir.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -30,7 +31,7 @@ def test_entry(spark):
     assert sum(r.n for r in rows) == 1000 and {r.owner for r in rows} == {"client01", "client02", "client03"}
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, engine, name):
     got = contract.queries()[name](spark, SF_DIR).toPandas()
     sql = contract.oracle_sql().get(name)
