@@ -83,29 +83,30 @@ def vocabulary(path: str) -> Vocabulary:
 # --- segmentation ---------------------------------------------------------------------------------------------------
 
 
-def _ways(v: Vocabulary, text: str, at: int) -> Iterator[tuple[int, int]]:
-    """End and score of each piece that begins at a place; of the character's bytes, if no piece is that character."""
-    if text[at] not in v.scores:
-        yield at + 1, v.fallback(text[at])[0]
-    for end in range(at + 1, min(at + v.longest, len(text)) + 1):
-        found = v.scores.get(text[at:end])
-        if found:
-            yield end, found[0]
-
-
 def _best(v: Vocabulary, text: str, enter: int, n: int) -> tuple[list[int | None], list[int]]:
-    """Best scores from ``enter`` to each place, and where their last piece begins; pieces begin before ``n``."""
+    """Best scores from ``enter`` to each place, and where their last piece begins; pieces begin before ``n``.
+
+    A character that is no piece goes on by its bytes.
+    """
     best: list[int | None] = [None] * (len(text) + 1)
     came = [0] * (len(text) + 1)
     best[enter] = 0
+    piece, size = v.scores.get, len(text)
     for at in range(enter, n):
         here = best[at]
         if here is None:
             continue
-        for end, score in _ways(v, text, at):
+        for end in range(at + 1, min(at + v.longest, size) + 1):
+            found = piece(text[at:end])
+            if found:
+                score = here + found[0]
+            elif end == at + 1:
+                score = here + v.fallback(text[at])[0]
+            else:
+                continue
             before = best[end]
-            if before is None or here + score > before:
-                best[end], came[end] = here + score, at
+            if before is None or score > before:
+                best[end], came[end] = score, at
     return best, came
 
 

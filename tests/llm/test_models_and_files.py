@@ -279,11 +279,12 @@ def test_held_out_accuracy(spark):
 def best_score(v, text):
     """Over all segmentations, by the plain programme."""
     best = [0] + [None] * len(text)
-    for at in range(len(text)):
-        if best[at] is not None:
-            for end, score in piece_scan._ways(v, text, at):
-                if best[end] is None or best[at] + score > best[end]:
-                    best[end] = best[at] + score
+    for end in range(1, len(text) + 1):
+        ways = [(best[at], text[at:end]) for at in range(max(0, end - v.longest), end) if best[at] is not None]
+        scores = [b + v.scores[p][0] for b, p in ways if p in v.scores]
+        if text[end - 1] not in v.scores and best[end - 1] is not None:
+            scores.append(best[end - 1] + v.byte_score * len(text[end - 1].encode()))
+        best[end] = max(scores, default=None)
     return best[-1]
 
 
