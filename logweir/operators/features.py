@@ -17,6 +17,7 @@ from logweir.functions import (
 from logweir.operators.ordered import running_value_count, time_gap
 from logweir.operators.skew import hot_keys, lookup_join
 from logweir.schema import FEATURES_13, FEATURES_18
+from logweir.workspace import settle
 
 _CHARS = {"dot": ".", "hyphen": "-", "slash": "/", "asterisk": "*"}
 
@@ -72,11 +73,17 @@ def with_value_counts(
 def dns_features_temporal(df: DataFrame, tie: str, group: str = "owner") -> DataFrame:
     """Add the 13 features, time gaps and running counts among them, to parsed records.
 
-    ``tie`` names a unique key; it orders records of the same second.
+    ``tie`` names a unique key; it orders records of the same second. What needs an order is worked out on the five
+    columns it depends on, written out once, and joined back by ``tie``: whole records are shuffled once, or not at
+    all where the measures are within the bounds of a broadcast.
     """
-    gapped = time_gap(df, group, "epoch_timestamp", tie, "time_diff_unix")
+    narrow = settle(df.select(tie, group, "epoch_timestamp", "value1", "value2"))
+    gapped = time_gap(narrow, group, "epoch_timestamp", tie, "time_diff_unix")
     outs = {"value1": "value1_count", "value2": "value2_count"}
-    counted = with_value_counts(gapped, group, outs, tie, df)
+    measured = with_value_counts(gapped, group, outs, tie, narrow).select(tie, "time_diff_unix", *outs.values())
+    measured = settle(measured)
+    none_hot = partial(measured.select(tie, F.lit(1).alias("_salts")).limit, 0)
+    counted = lookup_join(df, measured, [tie], "left", [tie], none_hot)
     added = {
         "encoded_key": F.col("encoded_key").cast("int"),
         "time_diff_unix": F.col("time_diff_unix"),

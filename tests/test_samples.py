@@ -95,7 +95,7 @@ def test_features_18(parsed):
 def test_features_13(spark, parsed):
     extra = dns_record("Mar 04 09:14:50", f"query[A] {ENCODED[0]} from {ASKING}")
     fourteen = parse_dnsmasq(routed(spark, [extra, *DNS], "dnsmasq", DNSMASQ), 2023)
-    keyed = fit_template_index(fourteen).transform(fourteen).withColumn("tie", F.xxhash64("message"))
+    keyed = fit_template_index(fourteen).transform(fourteen).withColumn("tie", F.xxhash64("message", "epoch_timestamp"))
     rows = dns_features_temporal(keyed, "tie").collect()
     assert sorted(int(r.time_diff_unix) for r in rows) == [0] * 10 + [10, 25, 40, 60]
     assert {r.day_of_week for r in rows} == {7}
