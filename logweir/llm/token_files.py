@@ -14,6 +14,7 @@ A frame holds little-endian unsigned ids, two bytes each if the vocabulary has a
 
 import hashlib
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,8 +33,10 @@ from logweir.llm.textbytes import blocks
 SAMPLE_DOCS, SAMPLE_IDS = 1_000, 4_000
 DICTIONARY_BYTES = 64 * 1024
 BLOCK_BYTES = 1_000_000
-#: Words whose ids a Python worker remembers.
-MEMORY = 300_000
+#: Words whose ids a Python worker remembers, in each of two generations.
+MEMORY = 400_000
+#: Where the tokenizer splits anyway: before points and commas at the end of a word.
+POINTS = re.compile(rb"(?<=[a-z])(?=[.,]+(?:\s|$))")
 LEVEL = 3
 
 
@@ -49,8 +52,18 @@ def _tokenizer(path: str):
 
 
 @lru_cache(maxsize=2)
-def _memory(path: str, width: int) -> dict[bytes, bytes]:
-    return {}
+def _memory(path: str, width: int) -> list[dict[bytes, bytes]]:
+    """Words met of late, and those met before."""
+    return [{}, {}]
+
+
+def _keys(text: str) -> list[bytes]:
+    """Pieces of a text that are encoded apart; equal up to ASCII case means equal ids.
+
+    A text that may hold a special token keeps its case, as such tokens are told by it.
+    """
+    raw = text.encode()
+    return raw.split() if b"<|" in raw else POINTS.sub(b" ", raw.lower()).split()
 
 
 def id_width(path: str) -> int:
@@ -60,27 +73,36 @@ def id_width(path: str) -> int:
 def encoded(texts: list[str], path: str, width: int, end: int) -> list[bytes]:
     """The ids of each text, the end id last, as little-endian bytes.
 
-    The tokenizer drops white space and merges within words only, so the ids of a text are those of its words one
-    after the other. Each word is encoded by the library once and remembered.
+    The tokenizer lower-cases, drops white space and merges within words only, so the ids of a text are those of its
+    words one after the other. Each word is encoded by the library once and remembered.
     """
-    known = _memory(path, width)
-    split = [t.encode().split() for t in texts]
-    new = list({w for words in split for w in words if w not in known})
-    if len(known) + len(new) > MEMORY:
-        known.clear()
-        new = list({w for words in split for w in words})
-    for at in range(0, len(new), 10_000):
-        part = new[at : at + 10_000]
+    memory = _memory(path, width)
+    split = [_keys(t) for t in texts]
+    words = {w for ws in split for w in ws}
+    if len(memory[0]) + len(words) > MEMORY:
+        memory[:] = [{}, memory[0]]
+    known, before = memory
+    missing = []
+    for w in words:
+        if w not in known:
+            if w in before:
+                known[w] = before[w]
+            else:
+                missing.append(w)
+    for at in range(0, len(missing), 10_000):
+        part = missing[at : at + 10_000]
         found = _tokenizer(path).encode_batch([w.decode() for w in part], add_special_tokens=False)
         for word, e in zip(part, found, strict=True):
             known[word] = np.array(e.ids, f"<u{width}").tobytes()
     last = end.to_bytes(width, "little")
-    return [b"".join([known[w] for w in words]) + last for words in split]
+    return [b"".join([known[w] for w in ws]) + last for ws in split]
 
 
 def words_are_apart(path: str) -> bool:
-    """Whether the tokenizer splits at white space and drops it, as ``encoded`` needs."""
+    """Whether the tokenizer splits at white space and before points, drops the space and lower-cases."""
     t = _tokenizer(path)
+    if t.encode("Ab.,", add_special_tokens=False).ids != t.encode("ab .,", add_special_tokens=False).ids:
+        return False
     probe = ["a", "the", "don't", "x1", "<|", "Ab", "é", "."]
     joined = t.encode(" ".join(probe), add_special_tokens=False).ids
     alone = [i for w in probe for i in t.encode(w, add_special_tokens=False).ids]
