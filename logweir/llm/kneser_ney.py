@@ -8,12 +8,18 @@ Scoring, in Spark: all n-grams of the corpus are counted. The most frequent ones
 log-probabilities by joins and go to every task, where they score most of the text in place. The rare rest leaves
 the tasks as (n-gram, document, count) rows, is joined with the sharded model and summed by document. By the
 pigeonhole principle a rare n-gram has at most 1/``head`` of all positions, so that no shard is hot.
+
+A few bad words drown in the mean of a document, so its least likely stretch of ``WINDOW`` bytes is found too. Stretches
+without rare n-grams are added up in place; for the others the head's values around rare places travel with a piece
+of the document, and the rare ones are put in once they are joined.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +31,10 @@ ORDER = 5
 HEAD = 1 << 18
 #: Bytes that stand before each text so that its first bytes have full contexts; no UTF-8 text holds them.
 START = 0xFF
+#: Bytes of the stretch that is judged apart from the mean; 3 to 5 told toxic documents best, 8 hardly did.
+WINDOW = 4
+#: Bytes of a document that one row of rare values is about, so that no row grows with a document.
+PIECE = 1 << 14
 
 
 # --- n-grams of texts ------------------------------------------------------------------------------------------
@@ -158,47 +168,133 @@ def _looked_up(code: np.ndarray, head_codes: np.ndarray, head_log: np.ndarray) -
     return log, known
 
 
-def _scorer(order: int, text: str, head_codes: np.ndarray, head_log: np.ndarray):
-    """Per document: what the head gives, and each rare n-gram with its count."""
+def _pieces(sizes: np.ndarray, window: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cut texts of ``sizes`` bytes, one behind the other, into pieces of ``most`` bytes and ``window`` - 1 of the next.
+
+    The text of each piece; its size; and for all bytes of all pieces: where they stand, and whether they are the
+    piece's own, not of the overlap. An empty text has one empty piece.
+    """
+    parts = np.maximum(-(-sizes // most), 1)
+    text = np.repeat(np.arange(len(sizes)), parts)
+    begin = (np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)) * most
+    length = np.minimum(sizes[text] - begin, most + window - 1)
+    within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    take = np.repeat((np.cumsum(sizes) - sizes)[text] + begin, length) + within
+    return text, length, take, within < most
+
+
+def _least(values: np.ndarray, first: np.ndarray, window: int) -> np.ndarray:
+    """The least sum of ``window`` neighbours in each of the runs that begin at ``first``."""
+    wide = np.concatenate((values, np.zeros(window)))
+    return np.minimum.reduceat(sum(wide[k : k + len(values)] for k in range(window)), first)
+
+
+def _scorer(order: int, text: str, head_codes: np.ndarray, head_log: np.ndarray, window: int, most: int):
+    """Per piece of a document: what the head gives, its values around rare n-grams, and each of these with its places."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows are written once, so that a number drawn here stays.
+        number = TaskContext.get().partitionId() << 40
         for block in blocks(batches, text):
             code, owner = codes(block.column(text), order)
-            n, ids = block.num_rows, block.column("id")
             log, known = np.zeros(len(code)), np.zeros(len(code), bool)
             for at in range(0, len(code), 1 << PLACE_BITS):
                 part = slice(at, at + (1 << PLACE_BITS))
                 log[part], known[part] = _looked_up(code[part], head_codes, head_log)
+            whose, length, take, own = _pieces(np.bincount(owner, minlength=block.num_rows), window, most)
+            n = len(whose)
+            piece = np.repeat(np.arange(n), length)
+            # Behind each piece stand ``window`` - 1 certain bytes and a mark that no stretch goes over.
+            first = np.cumsum(length) - length + window * np.arange(n)
+            at = np.arange(len(take)) + window * piece
+            wide, rare = np.zeros(len(at) + window * n), np.zeros(len(at) + window * n, bool)
+            wide[at], rare[at] = log[take].astype(np.float32), ~known[take]
+            wide[first + length + window - 1] = np.inf
+            worst = np.where(length > 0, _least(np.where(rare, np.inf, wide), first, window), 0.0)
+
+            near = rare.copy()
+            for k in range(1, window):
+                near[k:] |= rare[:-k]
+                near[:-k] |= rare[k:]
+            # Such a mark behind each run of near places, too.
+            mark = np.append(False, near[:-1]) & ~near
+            wide[mark] = np.inf
+            has_rare = np.add.reduceat(rare, first, dtype=np.int64) > 0 if n else np.zeros(0, bool)
+            keep = (near | mark) & np.repeat(has_rare, length + window)
+            held = np.add.reduceat(keep, first, dtype=np.int64)
+            begin = np.cumsum(held) - held
+            raw = wide[keep].astype("<f4").tobytes()
             yield pa.record_batch(
                 {
-                    "id": ids,
+                    "id": block.column("id").take(pa.array(whose)),
+                    "piece": number + np.arange(n),
                     "code": pa.nulls(n, pa.int64()),
-                    "n": np.bincount(owner, minlength=n).astype(np.int64),
-                    "log_p": np.bincount(owner, weights=log, minlength=n).astype(np.float64),
+                    "n": np.bincount(piece[own], minlength=n).astype(np.int64),
+                    "log_p": np.bincount(piece[own], weights=log[take][own], minlength=n).astype(np.float64),
+                    "worst": worst,
+                    "logs": pa.array([raw[4 * b : 4 * (b + h)] if h else None for b, h in zip(begin, held)], pa.binary()),
+                    "places": pa.nulls(n, pa.list_(pa.int32())),
                 }
             )
-            rare, whose = code[~known], owner[~known]
-            if len(rare):
-                pair = np.lexsort((rare, whose))
-                rare, whose = rare[pair], whose[pair]
-                new = np.concatenate(([True], (rare[1:] != rare[:-1]) | (whose[1:] != whose[:-1])))
-                first = np.flatnonzero(new)
+            where = np.flatnonzero(~known[take])
+            if len(where):
+                gram, of = code[take[where]], piece[where]
+                place = (np.cumsum(keep) - 1)[at[where]] - begin[of]
+                pair = np.lexsort((gram, of))
+                gram, of, place, mine = gram[pair], of[pair], place[pair], own[where][pair]
+                new = np.flatnonzero(np.concatenate(([True], (gram[1:] != gram[:-1]) | (of[1:] != of[:-1]))))
+                ends = pa.array(np.append(new, len(gram)).astype(np.int32))
                 yield pa.record_batch(
                     {
-                        "id": ids.take(pa.array(whose[first])),
-                        "code": rare[first],
-                        "n": np.diff(np.append(first, len(rare))).astype(np.int64),
-                        "log_p": pa.nulls(len(first), pa.float64()),
+                        "id": pa.nulls(len(new), pa.int64()),
+                        "piece": number + of[new],
+                        "code": gram[new],
+                        "n": np.add.reduceat(mine, new, dtype=np.int64),
+                        "log_p": pa.nulls(len(new), pa.float64()),
+                        "worst": pa.nulls(len(new), pa.float64()),
+                        "logs": pa.nulls(len(new), pa.binary()),
+                        "places": pa.ListArray.from_arrays(ends, pa.array(place.astype(np.int32))),
                     }
                 )
+            number += n
 
     return score
 
 
+def _joiner(window: int):
+    """Rows of pieces with all values of their rare n-grams: the least stretch, those with rare n-grams included."""
+
+    def put_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stop = np.full(window, np.inf, "<f4").tobytes()
+        for whole in batches:
+            for cut in range(0, whole.num_rows, 500):
+                batch = whole.slice(cut, 500)
+                logs = batch.column("logs").to_pylist()
+                size = np.array([len(x) // 4 + window for x in logs])
+                first = np.cumsum(size) - size
+                values = np.frombuffer(b"".join([x + stop for x in logs]), "<f4").astype(np.float64)
+                found = batch.column("found")
+                places, log_p = found.flatten().flatten()
+                times = pc.list_value_length(places).to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(len(logs)), pc.list_value_length(found).to_numpy(zero_copy_only=False))
+                at = np.repeat(first[row], times) + places.flatten().to_numpy(zero_copy_only=False)
+                values[at] = np.repeat(log_p.to_numpy(zero_copy_only=False).astype(np.float32), times)
+                worst = np.minimum(_least(values, first, window), batch.column("worst").to_numpy(zero_copy_only=False))
+                yield batch.select(["id", "n_bytes", "log_p"]).append_column("worst", pa.array(worst))
+
+    return put_in
+
+
 def document_scores(
-    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", head: int = HEAD
+    docs: DataFrame,
+    model: Model,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    head: int = HEAD,
+    window: int = WINDOW,
 ) -> DataFrame:
-    """``(id, n_bytes, log_p)`` for each id of ``docs``: bytes of its text and their log-probability.
+    """``(id, n_bytes, log_p, worst)`` for each id of ``docs``: bytes of its text, their log-probability and the lowest
+    one of ``window`` bytes that stand together (all bytes of a shorter text), to the precision of single floats.
 
     A null text counts as empty and scores 0 over 0 bytes. Rows that repeat an id are added up, so that copies of
     one text have its perplexity. A null id is an id of its own. An empty table gives no rows.
@@ -209,14 +305,21 @@ def document_scores(
     frequent = written(asked.orderBy(F.desc("n"), "code").limit(head).select("code"), "kn-head")
     top = model.score(frequent).orderBy("code").toPandas()
     rare = written(model.score(asked.join(frequent, "code", "left_anti")), "kn-rare")
-    scorer = _scorer(model.order, "text", top.code.to_numpy(np.int64), top.log_p.to_numpy(np.float64))
-    found = texts.mapInArrow(scorer, "id long, code long, n long, log_p double")
-    found = written(found, "kn-parts")
-    heads = found.filter("code is null").select("id", F.col("n").alias("n_bytes"), "log_p")
-    tails = found.filter("code is not null").select("id", "code", "n").join(rare, "code")
-    tails = tails.select("id", F.lit(0).cast("long").alias("n_bytes"), (F.col("n") * F.col("log_p")).alias("log_p"))
-    both = heads.unionByName(tails).groupBy("id")
-    return both.agg(F.sum("n_bytes").alias("n_bytes"), F.sum("log_p").alias("log_p")).withColumnRenamed("id", id_col)
+    scorer = _scorer(model.order, "text", top.code.to_numpy(np.int64), top.log_p.to_numpy(np.float64), window, PIECE)
+    schema = "id long, piece long, code long, n long, log_p double, worst double, logs binary, places array<int>"
+    found = written(texts.mapInArrow(scorer, schema), "kn-parts")
+    heads = found.filter("code is null").select("id", "piece", F.col("n").alias("n_bytes"), "log_p", "worst", "logs")
+    tails = found.filter("code is not null").select("piece", "code", "n", "places").join(rare, "code")
+    # Pieces bound the lists.
+    tails = tails.groupBy("piece").agg(
+        F.sum(F.col("n") * F.col("log_p")).alias("rest"), F.collect_list(F.struct("places", "log_p")).alias("found")
+    )
+    mixed = heads.filter("logs is not null").join(tails, "piece").withColumn("log_p", F.col("log_p") + F.col("rest"))
+    scores = "id long, n_bytes long, log_p double, worst double"
+    mixed = mixed.select("id", "n_bytes", "log_p", "worst", "logs", "found").mapInArrow(_joiner(window), scores)
+    both = heads.filter("logs is null").select("id", "n_bytes", "log_p", "worst").unionByName(mixed).groupBy("id")
+    sums = (F.sum("n_bytes").alias("n_bytes"), F.sum("log_p").alias("log_p"), F.min("worst").alias("worst"))
+    return both.agg(*sums).withColumnRenamed("id", id_col)
 
 
 def perplexity() -> Column:
@@ -235,12 +338,14 @@ def judge_quality(
     high: float = 0.99,
     held_out: int = 4,
 ) -> DataFrame:
-    """One row per id of ``docs``: id, ``lang``, ``n_bytes``, ``perplexity`` and ``kept``.
+    """One row per id of ``docs``: id, ``lang``, ``n_bytes``, ``perplexity``, ``surprise`` and ``kept``.
 
     Trusted are documents that ``labels`` gives quality 1 and toxic not 1 (if several labels: by all of them). One
     in ``held_out`` of them, by a hash of the id, is kept out of the training; its perplexities give each language
-    its ``low`` and ``high`` quantile (``low`` 0: no lower bound). A document is kept if its perplexity lies between those of its language; a
-    language without trusted text, or a null one, is measured by the quantiles over all languages. Empty and null
+    its ``low`` and ``high`` quantile (``low`` 0: no lower bound). ``surprise``, what the least likely ``WINDOW`` bytes
+    cost in nats a byte, has a ``high`` quantile of its own. A document is kept if its perplexity lies between those of
+    its language and its surprise is not above; a language without trusted text, or a null one, is measured by the
+    quantiles over all languages. Empty and null
     texts have no perplexity and are not kept. Without any trusted document nothing can be judged: every text with
     a byte is kept. Where rows repeat an id they are one document, in the first of their languages.
     """
@@ -255,19 +360,22 @@ def judge_quality(
     langs = docs.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(lang_col).alias("lang"))
     scored = document_scores(texts, model, "id").withColumn("perplexity", perplexity())
     same = F.col("id").eqNullSafe(F.col("of"))
-    scored = written(scored.join(langs.withColumnRenamed("id", "of"), same).drop("of", "log_p"), "kn-scores")
+    scored = scored.withColumn("surprise", F.when(F.col("n_bytes") > 0, -F.col("worst") / WINDOW))
+    scored = written(scored.join(langs.withColumnRenamed("id", "of"), same).drop("of", "log_p", "worst"), "kn-scores")
 
     held = scored.join(trusted.filter(out), F.col("id") == F.col("known"), "left_semi").filter("perplexity is not null")
     lowest = F.percentile_approx("perplexity", low, 10_000) if low else F.lit(0.0)
-    marks = [lowest.alias("lo"), F.percentile_approx("perplexity", high, 10_000).alias("hi")]
+    marks = [lowest.alias("lo"), *(F.percentile_approx(c, high, 10_000).alias(m) for c, m in (("perplexity", "hi"), ("surprise", "top")))]
     by_lang = held.groupBy("lang").agg(*marks).filter("lang is not null")
     overall = held.agg(*marks).first()
     lo = F.coalesce("lo", F.lit(0.0 if overall.lo is None else overall.lo))
     hi = F.coalesce("hi", F.lit(float("inf") if overall.hi is None else overall.hi))
-    kept = F.coalesce((F.col("perplexity") >= lo) & (F.col("perplexity") <= hi), F.lit(False))
+    top = F.coalesce("top", F.lit(float("inf") if overall.top is None else overall.top))
+    within = (F.col("perplexity") >= lo) & (F.col("perplexity") <= hi) & (F.col("surprise") <= top)
+    kept = F.coalesce(within, F.lit(False))
     # Spark picks the join: one row for each language with trusted text.
     judged = scored.join(by_lang, "lang", "left")
-    return judged.select(F.col("id").alias(id_col), "lang", "n_bytes", "perplexity", kept.alias("kept"))
+    return judged.select(F.col("id").alias(id_col), "lang", "n_bytes", "perplexity", "surprise", kept.alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

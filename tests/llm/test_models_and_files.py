@@ -194,6 +194,37 @@ def test_junk_is_found(spark):
     assert all(r.kept == (r.n_bytes > 0) for r in nothing_known)
 
 
+def test_worst_stretches(spark, monkeypatch):
+    """Against all stretches, with rare and frequent n-grams and across borders of pieces."""
+    train_on = [prose(k, 30, "abcé") for k in range(3)]
+    asked = ["abab abé", "zz漢", "a", "", None, prose(1, 40, "abcé"), prose(3, 30, "abc") + " zq " + prose(4, 30, "abc"), "xyzxyz" * 20]
+    docs = documents(spark, [(k, t, "en") for k, t in enumerate(asked)] + [(None, "ab", "en"), (None, "zzzz", "en")])
+    model, p = train(spark.createDataFrame([(t,) for t in train_on], "text string"), 3), plain_model(train_on, 3)
+    for head, piece in ((4, 1 << 14), (40, 7), (1 << 18, 16), (1, 16)):
+        monkeypatch.setattr(kneser_ney, "PIECE", piece)
+        got = {r.doc_id: r for r in document_scores(docs, model, head=head).collect()}
+        for k, t in [*enumerate(asked), (None, "zzzz")]:
+            raw = (t or "").encode()
+            wide = b"\xff\xff" + raw
+            logs = [log(p(wide[i : i + 3])) for i in range(len(raw))]
+            want = min((sum(logs[i : i + 4]) for i in range(max(1, len(raw) - 3))), default=0)
+            assert got[k].worst == pytest.approx(want, rel=1e-5)
+            if k is not None:
+                assert got[k].n_bytes == len(raw) and got[k].log_p == pytest.approx(sum(logs))
+
+
+def test_few_bad_words_are_found(spark):
+    """Recall on toxic and junk documents, whose mean is like that of good ones, and loss of unlabelled good ones."""
+    good = [(1000 + k, prose(7, 3000)[31 * k % 9000 :][:1500], "en") for k in range(500)]
+    toxic = [(k, t[:700] + " qzxv " + t[700:], "en") for k, (_, t, _) in enumerate(good[:60])]
+    junk = [(500 + k, "".join(chr(33 + (k * 7 + j * j) % 60) for j in range(300)), "en") for k in range(20)]
+    labels = [(k, 1, 0) for k, _, _ in good[:400]] + [(k, 1, 1) for k, _, _ in toxic] + [(k, 0, 0) for k, _, _ in junk]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.kept for r in judge_quality(documents(spark, good + toxic + junk), labels).collect()}
+    assert sum(got[k] for k, _, _ in toxic) <= 6 and sum(got[k] for k, _, _ in junk) == 0
+    assert sum(got[k] for k, _, _ in good[400:]) >= 95
+
+
 # --- token files --------------------------------------------------------------------------------------------------------
 
 
