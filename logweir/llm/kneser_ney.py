@@ -33,6 +33,8 @@ HEAD = 1 << 18
 START = 0xFF
 #: Bytes of the stretch that is judged apart from the mean; 3 to 5 told toxic documents best, 8 hardly did.
 WINDOW = 4
+#: Held-out texts that a language needs for bounds by its own quantiles alone: at 0.99, one of them lies above.
+SUPPORT = 100
 #: Bytes of a document that one row of rare values is about, so that no row grows with a document.
 PIECE = 1 << 14
 
@@ -154,6 +156,8 @@ def train(texts: DataFrame, order: int = ORDER, text_col: str = "text") -> Model
 
 
 PLACE_BITS = 22
+#: Text scored at once; a byte takes up some 100 bytes of arrays.
+SCORED_BYTES = 1_000_000
 
 
 def _looked_up(code: np.ndarray, head_codes: np.ndarray, head_log: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +199,7 @@ def _scorer(order: int, text: str, head_codes: np.ndarray, head_log: np.ndarray,
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows are written once, so that a number drawn here stays.
         number = TaskContext.get().partitionId() << 40
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, SCORED_BYTES):
             code, owner = codes(block.column(text), order)
             log, known = np.zeros(len(code)), np.zeros(len(code), bool)
             for at in range(0, len(code), 1 << PLACE_BITS):
@@ -337,6 +341,7 @@ def judge_quality(
     low: float = 0.0,
     high: float = 0.99,
     held_out: int = 4,
+    support: int = SUPPORT,
 ) -> DataFrame:
     """One row per id of ``docs``: id, ``lang``, ``n_bytes``, ``perplexity``, ``surprise`` and ``kept``.
 
@@ -344,8 +349,9 @@ def judge_quality(
     in ``held_out`` of them, by a hash of the id, is kept out of the training; its perplexities give each language
     its ``low`` and ``high`` quantile (``low`` 0: no lower bound). ``surprise``, what the least likely ``WINDOW`` bytes
     cost in nats a byte, has a ``high`` quantile of its own. A document is kept if its perplexity lies between those of
-    its language and its surprise is not above; a language without trusted text, or a null one, is measured by the
-    quantiles over all languages. Empty and null
+    its language and its surprise is not above. A language with fewer than ``support`` held-out texts has the wider
+    of its own bounds and those over all languages, as the quantile of a few is their maximum; one without any, or a
+    null one, has those over all languages. Empty and null
     texts have no perplexity and are not kept. Without any trusted document nothing can be judged: every text with
     a byte is kept. Where rows repeat an id they are one document, in the first of their languages.
     """
@@ -366,11 +372,16 @@ def judge_quality(
     held = scored.join(trusted.filter(out), F.col("id") == F.col("known"), "left_semi").filter("perplexity is not null")
     lowest = F.percentile_approx("perplexity", low, 10_000) if low else F.lit(0.0)
     marks = [lowest.alias("lo"), *(F.percentile_approx(c, high, 10_000).alias(m) for c, m in (("perplexity", "hi"), ("surprise", "top")))]
-    by_lang = held.groupBy("lang").agg(*marks).filter("lang is not null")
+    by_lang = held.groupBy("lang").agg(*marks, F.count("*").alias("texts")).filter("lang is not null")
     overall = held.agg(*marks).first()
-    lo = F.coalesce("lo", F.lit(0.0 if overall.lo is None else overall.lo))
-    hi = F.coalesce("hi", F.lit(float("inf") if overall.hi is None else overall.hi))
-    top = F.coalesce("top", F.lit(float("inf") if overall.top is None else overall.top))
+
+    def bound(mark: str, none: float, wider) -> Column:
+        every = F.lit(none if overall[mark] is None else overall[mark])
+        return F.coalesce(F.when(F.col("texts") >= support, F.col(mark)), wider(F.col(mark), every))
+
+    # The wider of two bounds passes over a null.
+    lo = bound("lo", 0.0, F.least)
+    hi, top = bound("hi", float("inf"), F.greatest), bound("top", float("inf"), F.greatest)
     within = (F.col("perplexity") >= lo) & (F.col("perplexity") <= hi) & (F.col("surprise") <= top)
     kept = F.coalesce(within, F.lit(False))
     # Spark picks the join: one row for each language with trusted text.

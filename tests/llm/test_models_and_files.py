@@ -225,6 +225,18 @@ def test_few_bad_words_are_found(spark):
     assert sum(got[k] for k, _, _ in good[400:]) >= 95
 
 
+@pytest.mark.parametrize("labelled", [1, 2, 3])
+def test_languages_with_few_trusted_texts(spark, labelled):
+    """One held-out text or so, and an easy one, is no bound for its language."""
+    good = [(1000 + k, prose(7, 2000)[31 * k % 6000 :][:1200], "en") for k in range(300)]
+    rare = [(k, prose(7, 2000)[29 * k % 6000 :][:1200], "de") for k in range(40)]
+    ids = spark.range(100_000, 100_100).selectExpr("id", "pmod(xxhash64(id), 4) as part").filter("part = 0").limit(labelled)
+    easy = [(r.id, prose(7, 2000)[:300] * 4, "de") for r in ids.collect()]
+    labels = spark.createDataFrame([(k, 1, 0) for k, _, _ in good + easy], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.kept for r in judge_quality(documents(spark, good + rare + easy), labels).collect()}
+    assert len(easy) == labelled and sum(got[k] for k, _, _ in rare) >= 36
+
+
 # --- token files --------------------------------------------------------------------------------------------------------
 
 
