@@ -12,7 +12,7 @@ from logweir.plans import feed
 from logweir.schema import DNSMASQ
 from logweir.sources.indicators import SEED, read_indicator_table, write_indicator_batch
 from logweir.sources.sinks import read_batches
-from logweir.streaming.frequency import flush, read_alerts, run_frequency
+from logweir.streaming.frequency import flush, late_hits, read_alerts, run_frequency
 from logweir.streaming.run import run_stream
 from logweir.workspace import new_folder, settle
 
@@ -65,11 +65,20 @@ def encoded_names(df: DataFrame) -> DataFrame:
 
 
 def stream_frequency_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts of the frequency rules over a stream of web errors that is drained."""
+    """Alerts of the frequency rules over a stream of web errors that is drained.
+
+    Files come in any order of their times, so a record may be as late as the whole table is long.
+    """
     rules = paced(DEFAULT_RULES, feed.RULE_PACE)
+    seconds = F.col("epoch_timestamp")
+    table = parse_apache_error(feed.error_feed(spark, sf_dir)).agg((F.max(seconds) - F.min(seconds)).alias("span"))
+    lateness = max(LATENESS, table.first().span or 0)
     parsed = with_source(parse_apache_error(feed.error_feed(spark, sf_dir, event_stream(spark, sf_dir))))
     out = new_folder(spark, "frequency-run")
     hits = rule_hits(match_rules(parsed, DEFAULT_RULES))
-    run_frequency(hits, rules, out, new_folder(spark, "frequency-checkpoint"), LATENESS).awaitTermination()
+    run_frequency(hits, rules, out, new_folder(spark, "frequency-checkpoint"), lateness).awaitTermination()
+    late = late_hits(spark, out)
+    if late:
+        raise ValueError(f"{late} hits came after their seconds were closed; files were added while the stream ran")
     flush(spark, rules, out)
     return read_alerts(spark, out)

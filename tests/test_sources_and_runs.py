@@ -1,16 +1,21 @@
 import os
+import shutil
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from logweir.operators.features import dns_features
-from logweir.operators.parse import parse_dnsmasq
+from logweir.operators.idrules import with_source
+from logweir.operators.parse import parse_apache_error, parse_dnsmasq
 from logweir.operators.scoring import fit_classifier, score_anomalies, score_with, weak_label
 from logweir.operators.templates import fit_template_index, template_vocabulary
-from logweir.operators.ruleset import Rule
-from logweir.operators.ruletree import frequency_alerts
+from logweir.operators.ruleset import DEFAULT_RULES, Rule, paced
+from logweir.operators.ruletree import frequency_alerts, match_rules, rule_hits
+from logweir.plans import feed
 from logweir.plans.batch import run_batch
 from logweir.schema import DNSMASQ, FEATURES_18, INDICATOR
 from logweir.sources.indicators import (
@@ -20,6 +25,7 @@ from logweir.sources.indicators import (
 from logweir.sources.lines import decode, lines_from_list, read_lines, route, stream_lines
 from logweir.sources.models import load_classifier, load_template_index
 from logweir.sources.sinks import read_batches, write_batch, write_by_format
+from logweir.streaming import queries as streaming_queries
 from logweir.streaming.frequency import flush, frequency_step, late_hits, read_alerts, run_frequency
 from logweir.streaming.metrics import progress_table, timed
 from logweir.streaming.run import run_stream
@@ -263,6 +269,28 @@ def test_frequency_over_micro_batches_equals_batch(spark, tmp_path, lateness):
     assert sorted(map(tuple, read_alerts(spark, out).collect())) == sorted(everything)
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
+def test_drained_stream_takes_files_in_any_order(spark, tmp_path, monkeypatch):
+    """One file a micro-batch, the newest events first, gives the alerts of the whole table."""
+    monkeypatch.setattr(streaming_queries, "FILES", 1)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("third", F.ntile(3).over(Window.orderBy("ts")))
+    folder = tmp_path / "sf" / "events.parquet"
+    folder.mkdir(parents=True)
+    for path in Path("/root/testdata/sf0.001").glob("*.parquet"):
+        if path.stem != "events":
+            (tmp_path / "sf" / path.name).symlink_to(path)
+    for place, third in enumerate((3, 1, 2)):
+        made = tmp_path / f"third{third}"
+        events.filter(F.col("third") == third).drop("third").coalesce(1).write.parquet(str(made))
+        shutil.copy(next(made.glob("part-*.parquet")), folder / f"{place}.parquet")
+        os.utime(folder / f"{place}.parquet", (1_700_000_000 + place, 1_700_000_000 + place))
+    got = streaming_queries.stream_frequency_windows(spark, str(tmp_path / "sf"))
+    rules = paced(DEFAULT_RULES, feed.RULE_PACE)
+    parsed = with_source(parse_apache_error(feed.error_feed(spark, "/root/testdata/sf0.001")))
+    want = frequency_alerts(rule_hits(match_rules(parsed, DEFAULT_RULES)), rules).select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and not want.isEmpty()
+
+
 def test_timed():
     durations = {}
     for _ in range(2):
