@@ -364,8 +364,11 @@ def _strings(length: int):
 # --- the whole operator -------------------------------------------------------------------------------------------------
 
 
-def _remover(length: int):
-    """Rows (id, text, spans of starts) to what is left of the text, and how much was taken away."""
+def _remover(length: int, whole: bool):
+    """Rows (id, text, spans of starts) to what is left of the text, and how much was taken away.
+
+    ``whole``: of a character that loses a byte nothing is left.
+    """
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -377,7 +380,11 @@ def _remover(length: int):
                 np.add.at(edge, first, 1)
                 np.add.at(edge, np.array([s["last"] for s in spans]) + length, -1)
                 gone = np.cumsum(edge[:-1]) > 0
-                left.append(np.frombuffer(raw, np.uint8)[~gone].tobytes())
+                data, lost = np.frombuffer(raw, np.uint8), gone
+                if whole:
+                    char = np.cumsum((data & 0xC0) != 0x80) - 1
+                    lost = (np.bincount(char, weights=gone) > 0)[char]
+                left.append(data[~lost].tobytes())
                 removed.append(int(gone.sum()))
                 runs.append(int((gone & ~np.append(False, gone[:-1])).sum()))
             yield pa.record_batch(
@@ -438,13 +445,18 @@ def _marks(different: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def cut_texts(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    gram: int = GRAM,
+    whole: bool = False,
 ) -> DataFrame:
     """``(id, n_removed, n_spans, left)`` for the ids of ``docs`` whose text loses bytes.
 
     Every byte goes that is covered by a string of ``length`` bytes which starts at another place of the corpus too,
     in the same text or another; strings are judged on the input. ``left`` has the remaining bytes. They can end
-    within a character, as strings are bytes. Null texts are empty; texts shorter than ``length`` lose nothing.
+    within a character, as strings are bytes; with ``whole`` such a character goes too. Null texts are empty; texts shorter than ``length`` lose nothing.
     Ids must be unique: rows that repeat an id with other text are an error of the input, those with equal text
     count as copies of one another. A row with a null id takes part in nothing and is returned by nothing.
     """
@@ -469,7 +481,7 @@ def cut_texts(
     )
     spans = span.groupBy("id").agg(F.collect_list("span").alias("spans"))
     found = candidates.select("id", "text").join(spans, "id")
-    return found.mapInArrow(_remover(length), "id long, n_removed long, n_spans long, left binary").withColumnRenamed(
+    return found.mapInArrow(_remover(length, whole), "id long, n_removed long, n_spans long, left binary").withColumnRenamed(
         "id", id_col
     )
 
@@ -479,11 +491,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A character that a removed string cuts through goes as a whole.
     """
-    cut = cut_texts(docs, id_col, text_col, **options)
+    cut = cut_texts(docs, id_col, text_col, whole=True, **options)
     own, left = free_name("id", docs.columns), free_name("left", docs.columns)
-    # What is left is text but for parts of characters at the seams.
-    repaired = F.try_validate_utf8(F.col("left").cast("string"))
-    made = F.coalesce(repaired, F.make_valid_utf8(F.col("left").cast("string")))
-    small = cut.select(F.col(id_col).alias(own), F.regexp_replace(made, "�", "").alias(left))
+    small = cut.select(F.col(id_col).alias(own), F.col("left").cast("string").alias(left))
     marked = docs.withColumn(own, F.col(id_col).cast("long")).join(small, own, "left")
     return marked.withColumn(text_col, F.coalesce(left, text_col)).select(*docs.columns)

@@ -171,3 +171,11 @@ def test_a_cut_character_goes_as_a_whole(spark):
     assert got == {1: "ab", 2: "cd"}
     digests = {r.doc_id: sha256(bytes(r.left)).hexdigest() for r in cut_texts(documents(spark, rows)).collect()}
     assert digests == {k: sha256(v[2]).hexdigest() for k, v in cut([r[:2] for r in rows], 200).items()}
+
+
+def test_replacement_characters_of_the_input_stay(spark):
+    """Only characters that a removed string cuts go: é and è share their first byte."""
+    same = prose(11, 80)[:250]
+    docs = documents(spark, [(1, "one �x" + same + "é end", "en"), (2, "two �y" + same + "è other", "en")])
+    got = {r.doc_id: r.text for r in remove_repeats(docs).collect()}
+    assert got == {1: "one �x end", 2: "two �y other"}
