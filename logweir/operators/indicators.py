@@ -5,7 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweir.operators.skew import BROADCAST_ROWS, lookup_join
+from logweir.operators.skew import BROADCAST_ROWS, fits_broadcast, lookup_join
 from logweir.workspace import settle
 
 # The label of an indicator hit, and the mark of a query response.
@@ -18,6 +18,11 @@ class Matches(NamedTuple):
     remainder: DataFrame
 
 
+def _labels(indicators: DataFrame) -> DataFrame:
+    known = indicators.select("owner", "value2").filter(F.col("value2") != "").distinct()
+    return known.withColumn("_label", F.concat(F.lit(LABEL), "value2"))
+
+
 def detect(
     df: DataFrame, indicators: DataFrame, spread: list[str], max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -25,9 +30,7 @@ def detect(
 
     An empty indicator is none: it would hit every message that does not parse.
     """
-    labels = indicators.select("owner", "value2").filter(F.col("value2") != "").distinct().withColumn(
-        "_label", F.concat(F.lit(LABEL), "value2")
-    )
+    labels = _labels(indicators)
     found = lookup_join(df, labels, ["owner", "value2"], "left", spread, max_rows=max_rows)
     return found.select(*df.columns, F.coalesce("_label", F.lit("")).alias("detection"))
 
@@ -63,9 +66,12 @@ def match_indicators(
 
     ``keep_first_n`` also keeps the undetected ones among the first rows, in ``order``, of each such name.
     Hits are counted by address and name and written out once; alerts and names come from these counts, so that ``df``
-    is computed once for them and once for the remainder, and once more for each lookup table past its bound. Where
-    ``df`` is ``cached`` the counts are worked out again instead.
+    is computed once for them and once for the remainder. With more indicators than can be broadcast, where hot keys
+    have to be counted first, ``df`` is written out and computed once in all. Where ``df`` is ``cached`` the counts are
+    worked out again instead.
     """
+    if not cached and not fits_broadcast(_labels(indicators), max_rows):
+        df = settle(df)
     detected = detect(df, indicators, spread, max_rows)
     undetected = F.col("detection") == ""
     hits = detected.filter(~undetected).groupBy("owner", "value1", "value2", "detection").agg(F.count("*").alias("n"))

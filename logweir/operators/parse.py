@@ -78,8 +78,13 @@ def extract_error_parts(df: DataFrame) -> DataFrame:
     found = F.when(F.col("message").contains(_BETWEEN), one_by_one).otherwise(
         F.when(F.size(parts) == len(ERROR_PARTS), parts).when(F.col("message").isNotNull(), nothing)
     )
-    split = df.withColumn("_parts", found)
-    return split.select(*df.columns, *(F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(ERROR_PARTS)))
+
+    def named(split):
+        return F.struct(*(F.get(split, F.lit(i)).alias(name) for i, name in enumerate(ERROR_PARTS)))
+
+    # Within the lambda the message is matched once, however often its parts are used. As a generator it stays in
+    # place: Spark would move conditions on the parts below the projection and match again for each.
+    return df.select(*df.columns, F.inline(F.transform(F.array(found), named)))
 
 
 def parse_apache_error(df: DataFrame, index: StringIndexerModel | None = None) -> DataFrame:

@@ -156,21 +156,33 @@ _XML = (
 )
 
 
+#: A group of rules: its name is a list of tags, and its rules are told by their ids.
+_XML_GROUP = "_name string, rule array<struct<_id: int>>"
+
+
+def _read_xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    reader = spark.read.format("xml").option("rowTag", tag)
+    # Blanks at the ends belong to the patterns.
+    return reader.option("ignoreSurroundingSpaces", "false").schema(schema).load(path)
+
+
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
-    """Rules of XML files as a table: the columns of ``SCHEMA`` and ``info``."""
-    xml = (
-        spark.read.format("xml")
-        .option("rowTag", "rule")
-        # Blanks at the ends belong to the patterns.
-        .option("ignoreSurroundingSpaces", "false")
-        .schema(_XML)
-        .load(path)
-    )
+    """Rules of XML files as a table: the columns of ``SCHEMA``, ``info``, and ``groups``.
+
+    ``tags`` are those of the rule itself, ``groups`` those that the name of the enclosing group gives to all its rules;
+    a rule outside any has none. Attributes of elements, such as the kind of a pattern, are passed over; those of
+    ``info`` are kept.
+    """
+    xml = _read_xml(spark, path, "rule", _XML)
 
     def items(text, separator):
         return F.filter(F.transform(F.split(text, separator), lambda item: F.trim(item)), lambda item: item != "")
 
     tags = F.flatten(F.transform("group", lambda text: items(text, ",")))
+    # An element of the same name within a rule lists tags; as a row it has no rules.
+    enclosing = _read_xml(spark, path, "group", _XML_GROUP).select(items(F.col("_name"), ",").alias("groups"), F.explode("rule._id").alias("_id"))
+    enclosing = enclosing.groupBy("_id").agg(F.array_distinct(F.flatten(F.collect_list("groups"))).alias("groups"))
+    xml = xml.join(enclosing, "_id", "left")
     return xml.select(
         F.col("_id").alias("rule_id"),
         F.col("_level").alias("level"),
@@ -189,6 +201,7 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
         F.col("mitre.id").alias("techniques"),
         tags.alias("tags"),
         F.col("info"),
+        F.coalesce("groups", F.array().cast("array<string>")).alias("groups"),
     )
 
 

@@ -163,20 +163,24 @@ def frequency_rules(spark: SparkSession, rules: list[Rule]) -> DataFrame:
     return spark.createDataFrame(rows, columns)
 
 
+def counted_hits(hits: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Each hit once for each frequency rule that counts it, whose id it gets.
+
+    ``srcip`` is empty for rules that count over all sources.
+    """
+    looked_for = frequency_rules(hits.sparkSession, rules).select("_counted", F.col("rule_id").alias("_rule"), "_same_source")
+    counted = hits.join(F.broadcast(looked_for), hits["rule_id"] == looked_for["_counted"])
+    source = F.when(F.col("_same_source"), F.col("srcip")).otherwise("")
+    return counted.withColumns({"srcip": source, "rule_id": F.col("_rule")}).select(*hits.columns)
+
+
 def hits_per_second(hits: DataFrame, rules: list[Rule]) -> DataFrame:
     """Hits (owner, srcip, rule_id, epoch_timestamp, hits) that each frequency rule counts, added up by second.
 
-    ``srcip`` is empty for rules that count over all sources. The counting begins in the map tasks, so a hot source
-    shrinks to one row a second there.
+    The counting begins in the map tasks, so a hot source shrinks to one row a second there.
     """
-    looked_for = frequency_rules(hits.sparkSession, rules).select("_counted", "rule_id", "_same_source")
-    counted = hits.filter(F.col("epoch_timestamp").isNotNull()).withColumnRenamed("rule_id", "_counted")
-    source = F.when(F.col("_same_source"), F.col("srcip")).otherwise("")
-    return (
-        counted.join(looked_for, "_counted")
-        .groupBy("owner", source.alias("srcip"), "rule_id", "epoch_timestamp")
-        .agg(F.count("*").alias("hits"))
-    )
+    counted = counted_hits(hits.filter(F.col("epoch_timestamp").isNotNull()), rules)
+    return counted.groupBy("owner", "srcip", "rule_id", "epoch_timestamp").agg(F.count("*").alias("hits"))
 
 
 def frequency_alerts(hits: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Anomaly scores with Spark ML, or with a model from elsewhere."""
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 from pyspark import StorageLevel
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.schema import FEATURES_18
+from logweir.workspace import settle
 
 ENCODED_NAME_CAPITALS = 8
 
@@ -56,6 +58,26 @@ def score_anomalies(df: DataFrame, model: PipelineModel) -> DataFrame:
     return model.transform(df).select(*df.columns, F.col("prediction").cast("int").alias("prediction"))
 
 
+def cross_fit(
+    labelled: DataFrame, key: list[str], features: list[str] = FEATURES_18, label: str = "label", folds: int = 3, **forest
+) -> DataFrame:
+    """Add ``prediction`` to every row, by a forest that was fitted without it.
+
+    A hash of ``key`` deals the rows to folds, so that rows of one key are together and a rerun deals them alike. Each
+    fold is scored by the forest of all others. Each other fold must have rows; ``forest`` is handed to
+    ``fit_classifier``. The rows are written out once, as all folds read them.
+    """
+    if folds < 2:
+        raise ValueError("a row needs rows of another fold to be fitted on")
+    dealt = settle(labelled.withColumn("_fold", F.pmod(F.xxhash64(*key), F.lit(folds)).cast("int")))
+    scored = []
+    for fold in range(folds):
+        own = F.col("_fold") == fold
+        model = fit_classifier(dealt.filter(~own), features, label, **forest)
+        scored.append(score_anomalies(dealt.filter(own), model).drop("_fold"))
+    return reduce(DataFrame.unionByName, scored)
+
+
 def score_with(
     df: DataFrame,
     make_predict: Callable[[], Callable[[np.ndarray], np.ndarray]],

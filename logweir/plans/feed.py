@@ -16,14 +16,18 @@ RULE_PACE = 7200
 # Owners whose names a folder's name would not give back.
 ODD_OWNERS = {"client01": "007", "client02": ""}
 
+# Parts of the month that reach a stream one after the other. One event in so many comes late, by so many parts.
+PARTS = 4
+LATE_EVENT, LATE_PARTS = 40, 2
+
 OWNER = "'client0' || CAST(user_id % 3 + 1 AS STRING)"
 
 _USER = "CAST(user_id AS STRING)"
 _NET = "CAST(user_id % 4 AS STRING) || '.' || CAST(user_id AS STRING)"
 _HASH = "md5(CAST(event_id AS STRING))"
 _ENCODED = (
-    f"'3x6-.' || upper(substr({_HASH}, 1, 20)) || '*' || substr({_HASH}, 21, 6) || '/'"
-    f" || substr({_HASH}, 27, 6) || '-.customers_2017.xlsx.' || host"
+    f"'9q4-.' || upper(substr({_HASH}, 1, 20)) || '*' || substr({_HASH}, 21, 6) || '/'"
+    f" || substr({_HASH}, 27, 6) || '-.ledger_pages_2.xlsx.' || host"
 )
 
 DNS_MESSAGE = f"""CASE
@@ -61,6 +65,40 @@ ERROR_LEVEL = """CASE
     WHEN value < 60 THEN 'php7:warn'
     ELSE 'core:error' END"""
 
+# Level and message of web errors that make each plain rule fire, in turn over the events.
+RULE_TEXTS = [
+    ("error", "client denied by server configuration: /srv/a"),
+    ("error", "Directory index forbidden by rule: /srv/b/"),
+    ("error", "Client sent malformed Host header"),
+    ("warn", "user eve: authentication failed for /c"),
+    ("error", "user eve in realm inner not found: /c"),
+    ("error", "user eve: authentication failure for /c: Password Mismatch"),
+    ("error", "File does not exist: /srv/d"),
+    ("error", "Invalid URI in request GET /e"),
+    ("error", "request failed: URI too long"),
+    ("error", "(36)File name too long: access to /f"),
+    ("error", "mod_security: Access denied with code 500"),
+    ("error", "Resource temporarily unavailable: fork"),
+    ("notice", "child pid 7 exit signal Segmentation Fault (11)"),
+    ("info", "mod_security-message: Access denied with code 403"),
+    ("info", "mod_security-message: rule engine started"),
+    ("core:notice", "child pid 8 exit signal Segmentation Fault (11)"),
+    ("core:error", "AH01630: client denied: /srv/g"),
+    ("autoindex:error", "AH01276: Cannot serve directory /srv/h/"),
+    ("core:error", "AH00550: Client sent malformed header"),
+    ("auth_basic:warn", "AH01617: user eve: password mismatch"),
+    ("auth_basic:error", "AH01618: user eve unknown: /c"),
+    ("core:error", "AH00126: Invalid request"),
+    ("core:error", "AH00565: request failed"),
+    ("php7:error", "PHP Warning:  include(x.php): failed to open stream: No such file or directory"),
+    ("php7:error", "PHP Notice:  undefined index"),
+    ("security2:error", "ModSecurity: Warning. Match of x"),
+    ("security2:error", "ModSecurity: Access denied with code 403 (phase 2)"),
+    ("security2:error", "ModSecurity: Access denied with redirection"),
+    ("security2:error", "ModSecurity: Audit log: no space"),
+    ("core:info", "nothing to tell"),
+]
+
 ERROR_CLIENT = (
     f"'172.17.' || {_NET} || CASE WHEN event_type = 'view' THEN ''"
     " ELSE ':' || CAST(32768 + event_id % 20000 AS STRING) END"
@@ -120,6 +158,25 @@ def base_events(spark: SparkSession, sf_dir: str, stream: DataFrame | None = Non
     return keyed.join(hosts, "page_id")
 
 
+def part_of(epoch: str, low: str, high: str) -> str:
+    """The part of the month that a second is in, between the first and the last second."""
+    return f"CAST(floor(({epoch} - {low}) * {PARTS} / ({high} - {low} + 1)) AS INT)"
+
+
+def arrival_of(part: str) -> str:
+    """The part with which an event comes where some come late."""
+    return f"CASE WHEN event_id % {LATE_EVENT} = 0 THEN least({part} + {LATE_PARTS}, {PARTS - 1}) ELSE {part} END"
+
+
+def dealt_events(spark: SparkSession, sf_dir: str, late: bool = False) -> DataFrame:
+    """Events, and the part (``arrival``) with which each reaches a stream."""
+    second = "unix_seconds(CAST(ts AS TIMESTAMP))"
+    events = table(spark, sf_dir, "events")
+    low, high = events.selectExpr(f"min({second})", f"max({second})").first()
+    part = part_of(second, str(low), str(high))
+    return events.withColumn("arrival", F.expr(arrival_of(part) if late else part))
+
+
 def dns_feed(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
     return base_events(spark, sf_dir, stream).select(
         "event_id",
@@ -158,6 +215,18 @@ def error_feed(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None
     )
 
 
+def _pick(texts: list[str]) -> str:
+    listed = ", ".join("'" + text + "'" for text in texts)
+    return f"element_at(array({listed}), CAST(event_id % {len(texts)} + 1 AS INT))"
+
+
+def rule_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web errors of ``RULE_TEXTS``."""
+    return error_feed(spark, sf_dir).withColumns(
+        {"level": F.expr(_pick([level for level, _ in RULE_TEXTS])), "message": F.expr(_pick([text for _, text in RULE_TEXTS]))}
+    )
+
+
 def access_feed(spark: SparkSession, sf_dir: str, stream: DataFrame | None = None) -> DataFrame:
     return base_events(spark, sf_dir, stream).select(
         "event_id",
@@ -187,6 +256,10 @@ ORACLE_FEED = f"""
     err AS (SELECT event_id, owner, {ERROR_LEVEL} AS level, {ERROR_CLIENT} AS client,
                    {ERROR_MESSAGE} AS message,
                    CAST(epoch(date_trunc('second', ts)) AS BIGINT) AS epoch_timestamp FROM base),
+    texts(n, level, message) AS (VALUES {", ".join(f"({n}, '{level}', '{text}')" for n, (level, text) in enumerate(RULE_TEXTS))}),
+    ends AS (SELECT min(epoch_timestamp) AS low, max(epoch_timestamp) AS high FROM err),
+    parted AS (SELECT *, {arrival_of("part")} AS arrival
+               FROM (SELECT event_id, epoch_timestamp, {part_of("epoch_timestamp", "low", "high")} AS part FROM err, ends)),
     ioc AS (SELECT DISTINCT 'client0' || CAST(s_suppkey % 3 + 1 AS STRING) AS owner,
                    '195.128.194.' || CAST(s_suppkey AS STRING) AS value2
             FROM supplier)

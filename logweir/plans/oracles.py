@@ -3,7 +3,7 @@
 Written from the definitions, not from the Spark code; both share the input feed only.
 """
 
-from logweir.plans.feed import ODD_LINE, ODD_OWNERS, ORACLE_FEED, RULE_PACE
+from logweir.plans.feed import ODD_LINE, ODD_OWNERS, ORACLE_FEED, PARTS, RULE_PACE, RULE_TEXTS
 
 # Fixed value: the DNS message pattern.
 _DNS_RE = r"([a-z]+\[?[A-Z]*\]?)\s(\S+)\s([fromtois]+)\s(\S+)"
@@ -137,16 +137,26 @@ def _id_alerts(codes) -> str:
         GROUP BY owner, srcip, detection"""
 
 
-# (rule, parent, condition) for the rules that the feed's texts can meet, parents first.
+# (rule, parent, condition) for the plain rules, parents first.
+_MISSING = ("(contains(message, 'File does not exist: ') OR contains(message, 'failed to open stream: No such file or directory')"
+            " OR contains(message, 'Failed opening '))")
 _TREE = [
     (30100, None, "true"),
     (30101, 30100, "level = 'error'"),
     (30102, 30100, "level = 'warn'"),
     (30103, 30100, "level = 'notice'"),
     (30104, 30103, "contains(message, 'exit signal Segmentation Fault')"),
+    (30105, 30101, "contains(message, 'denied by server configuration')"),
+    (30106, 30101, "contains(message, 'Directory index forbidden by rule')"),
+    (30107, 30101, "contains(message, 'Client sent malformed Host header')"),
+    (30108, 30102, "contains(message, 'authentication failed')"),
     (30109, 30101, r"regexp_matches(message, 'user \S+ not found|user \S+ in realm .* not found')"),
+    (30110, 30101, "contains(message, 'authentication failure')"),
+    (30112, 30101, _MISSING),
     (30115, 30101, "contains(message, 'Invalid URI in request')"),
+    (30117, 30101, "(contains(message, 'File name too long') OR contains(message, 'request failed: URI too long'))"),
     (30118, 30101, "(contains(message, 'mod_security: Access denied') OR contains(message, 'ModSecurity: Access denied'))"),
+    (30120, 30101, "contains(message, 'Resource temporarily unavailable:')"),
     (30200, None, "starts_with(message, 'mod_security-message: ')"),
     (30201, 30200, "starts_with(message, 'mod_security-message: Access denied ')"),
     (30301, 30100, "suffix(level, ':error')"),
@@ -158,9 +168,13 @@ _TREE = [
     (30307, 30301, "code = 'AH00550'"),
     (30308, 30302, "code IN ('AH01617', 'AH01807', 'AH01694', 'AH01695', 'AH02009', 'AH02010')"),
     (30309, 30301, "code IN ('AH01618', 'AH01808', 'AH01790')"),
+    (30312, 30301, _MISSING),
     (30315, 30301, "code = 'AH00126'"),
     (30317, 30301, "code = 'AH00565'"),
+    (30318, 30301, "contains(message, 'PHP Notice:')"),
+    (30401, 30301, "contains(message, 'ModSecurity: Warning')"),
     (30402, 30301, "contains(message, 'ModSecurity: Access denied')"),
+    (30403, 30301, "contains(message, 'ModSecurity: Audit log:')"),
     (30411, 30402, "contains(message, 'with code 403')"),
 ]
 
@@ -210,6 +224,17 @@ _FREQUENCY_RULES = [
 ]
 _FREQUENCY = " UNION ALL ".join(_fires(r, c, n, s * RULE_PACE, by) for r, c, n, s, by in _FREQUENCY_RULES)
 
+# A hit is late if, two parts before its own, hits had come that were 600 seconds younger: the watermark of a
+# micro-batch comes from the batches before it, and what comes late is told by the watermark one batch older.
+_ON_TIME = """
+    marks AS (SELECT a.n AS arrival, max(epoch_timestamp) - 600 AS mark
+              FROM range(0, 100) a(n) JOIN parted ON parted.arrival <= a.n - 2 GROUP BY a.n),
+    on_time AS (SELECT event_id FROM parted LEFT JOIN marks USING (arrival) WHERE mark IS NULL OR epoch_timestamp > mark),
+    given AS (SELECT * FROM all_hits),
+    hits AS (SELECT * FROM all_hits WHERE event_id IN (SELECT event_id FROM on_time))
+"""
+_ALL_HITS = _HITS.replace("hits AS (", "all_hits AS (", 1)
+
 _ANOMALY = "(value1_capital_count >= 8 AND value1_length > 60)"
 
 _LINE = f"""'{{"time":"' || strftime(ts, '%b %d %H:%M:%S') || '","ident":"dnsmasq","owner":"' || owner
@@ -219,6 +244,16 @@ _GAPS = """gaps AS (SELECT *, coalesce(epoch_timestamp - lag(epoch_timestamp)
                              OVER (PARTITION BY owner ORDER BY epoch_timestamp, event_id), 0) AS gap FROM parsed)"""
 
 
+_WEAK_LABEL = "CAST(value1_capital_count >= 8 AND value1_human_readable = 0 AS INTEGER)"
+
+# What a run learns: an anomaly's name is its own, so no earlier hit keeps it from being scored.
+_LEARNT = f"""learnt AS (SELECT owner, value2, min(part) AS first FROM features JOIN (SELECT event_id, part FROM parted) USING (event_id)
+    WHERE {_ANOMALY} AND response LIKE '%query%' GROUP BY owner, value2)"""
+_LEARNT_ALERTS = """SELECT part AS batch_id, owner, value2, count(*) AS count
+    FROM parsed JOIN (SELECT event_id, part FROM parted) USING (event_id) JOIN learnt USING (owner, value2)
+    WHERE first < part GROUP BY ALL"""
+
+
 def _dns(select: str, *ctes: str) -> str:
     return f"WITH {', '.join([ORACLE_FEED, _PARSED, *ctes])} {select}"
 
@@ -301,10 +336,20 @@ ORACLES: dict[str, str] = {
         SELECT CAST(page_id + 100000 AS INTEGER) AS rule_id, CAST(page_id % 16 AS INTEGER) AS level,
                page_id % 5 = 0 AS noalert, '^[' || host || '] |denied ' AS match, 'Page ' || host AS description,
                '30301' AS parents, 'AH' || page_id || ',BH' || page_id AS codes,
-               'web,' || split_part(url, ':', 1) AS tags FROM page JOIN pages USING (page_id)""",
+               'web,' || split_part(url, ':', 1) AS tags, 'pages,' || CASE WHEN page_id % 2 = 0 THEN 'even' ELSE 'odd' END AS groups,
+               CASE page_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'T1190' ELSE 'T1102,T' || (page_id + 2000) END AS techniques,
+               'link=' || host || ',text=a note' AS info FROM page JOIN pages USING (page_id)""",
     "apache_id_alerts": _id_alerts(_ID_RULES),
     "apache_id_alerts_last_id": _id_alerts(_LAST_OF_ITS_RULE),
     "rule_matches": _errors("SELECT event_id, rule_id FROM hits", _HITS),
+    "rule_every_hit": f"""WITH {ORACLE_FEED}, told AS (
+            SELECT level, message, regexp_extract(message, '^(AH[0-9]+):', 1) AS code, count(event_id) AS n
+            FROM texts LEFT JOIN events ON event_id % {len(RULE_TEXTS)} = texts.n GROUP BY ALL)
+        """ + " UNION ALL ".join(
+        f"SELECT {rule} AS rule_id, level, message, n FROM told WHERE n > 0 AND {_holds(rule)}" for rule in _CONDITION
+    ),
+    "list_source": """SELECT 'region' || n_regionkey AS owner, 'reply' AS response, replace(n_name, ' ', '-') AS value1,
+        '10.0.0.' || n_nationkey AS value2 FROM nation""",
     "rule_hierarchy": _errors(
         """SELECT owner, srcip, rule_id, level, description, count(*) AS count FROM hits JOIN rules USING (rule_id)
            GROUP BY ALL""",
@@ -322,19 +367,24 @@ ORACLES: dict[str, str] = {
            WHERE detection = '' AND (NOT associated OR n <= 3)""",
         _DETECTED,
     ),
-    "indicator_csv_scan": f"WITH {ORACLE_FEED} SELECT owner, value2 FROM ioc",
+    "indicator_csv_scan": f"WITH {ORACLE_FEED} SELECT owner, value2, 1 AS copies FROM ioc",
+    "indicator_table_append": f"WITH {ORACLE_FEED} SELECT owner, value2, 1 AS n_rows, 1 AS copies FROM ioc",
     "zip_by_order": _dns("""SELECT value2, a.event_id AS address_event, epoch_timestamp, t.event_id AS time_event
         FROM (SELECT value2, event_id, row_number() OVER (ORDER BY value2, event_id) AS n FROM parsed) a
         JOIN (SELECT epoch_timestamp, event_id, row_number() OVER (ORDER BY epoch_timestamp, event_id) AS n
               FROM parsed) t USING (n)"""),
+    # The labels follow from the features by rules that a forest must find: it is to be right about every record.
     "anomaly_score": _dns(
-        """SELECT owner, CAST(value1_capital_count >= 8 AND value1_human_readable = 0 AS INTEGER) AS label,
-                  count(*) AS n, true AS agrees FROM features WHERE event_id % 4 = 0 GROUP BY ALL""",
-        _DNS_VOCABULARY, _FEATURES,
+        f"SELECT event_id, owner, {_WEAK_LABEL} AS label, {_WEAK_LABEL} AS prediction FROM features", _DNS_VOCABULARY, _FEATURES
     ),
     "anomaly_score_temporal": _dns(
-        """SELECT owner, CAST(length(value1) > 60 AS INTEGER) AS label, count(*) AS n, true AS agrees
-           FROM parsed WHERE event_id % 4 = 0 GROUP BY ALL"""
+        """SELECT event_id, owner, CAST(length(value1) > 60 AS INTEGER) AS label, CAST(length(value1) > 60 AS INTEGER) AS prediction
+           FROM parsed"""
+    ),
+    "saved_model_score": _dns(
+        f"""SELECT owner, CAST(encoded_key AS DOUBLE) AS encoded_key, {_WEAK_LABEL} AS label, {_WEAK_LABEL} AS prediction, count(*) AS n
+            FROM features GROUP BY ALL""",
+        _DNS_VOCABULARY, _FEATURES,
     ),
     "batch_model_score": _dns(
         f"SELECT event_id, CAST({_ANOMALY} AS INTEGER) AS prediction FROM features", _DNS_VOCABULARY, _FEATURES
@@ -363,7 +413,37 @@ ORACLES: dict[str, str] = {
                 value2 FROM features WHERE {_ANOMALY} AND response LIKE '%query%'""",
         _DNS_VOCABULARY, _FEATURES,
     ),
-    "stream_frequency_windows": _errors(_FREQUENCY, _HITS),
+    "stream_frequency_windows": _errors(
+        f"SELECT *, epoch_timestamp <= (SELECT max(epoch_timestamp) - 600 FROM err) AS closed FROM ({_FREQUENCY})",
+        _ALL_HITS, _ON_TIME,
+    ),
+    "stream_late_hits": _errors(
+        f"""SELECT CAST(f.rule AS INTEGER) AS rule_id, count(g.event_id) AS hits, count(g.event_id) - count(h.event_id) AS late
+            FROM (VALUES {", ".join(f"({rule}, {counted})" for rule, counted, *_ in _FREQUENCY_RULES)}) f(rule, counted)
+            LEFT JOIN given g ON g.rule_id = f.counted LEFT JOIN hits h ON h.rule_id = f.counted AND h.event_id = g.event_id
+            GROUP BY ALL""",
+        _ALL_HITS, _ON_TIME,
+    ),
+    "stream_learning": _dns(_LEARNT_ALERTS, _DNS_VOCABULARY, _FEATURES, _LEARNT),
+    "stream_resumed": _dns(_LEARNT_ALERTS, _DNS_VOCABULARY, _FEATURES, _LEARNT),
+    "stream_phase_counts": _dns(
+        f"""SELECT part AS batch_id, 'observed rows' AS phase, count(*) AS rows FROM sent GROUP BY ALL
+            UNION ALL SELECT part, 'observed chars', CAST(sum(length({_LINE})) AS BIGINT) FROM (SELECT event_id, part FROM sent) JOIN dns USING (event_id) GROUP BY ALL
+            UNION ALL SELECT part, 'lines dnsmasq', count(*) FROM sent GROUP BY ALL
+            UNION ALL SELECT n, 'alerts', count(found.owner)
+                FROM range(0, {PARTS}) t(n) LEFT JOIN (SELECT DISTINCT part, owner, value2 FROM known) found ON found.part = n GROUP BY ALL
+            UNION ALL SELECT part, 'scored', count(*) FROM sent
+                WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.part = sent.part AND known.owner = sent.owner
+                                  AND (known.value1 = sent.value1 OR known.event_id = sent.event_id)) GROUP BY ALL
+            UNION ALL SELECT first, 'indicators', count(*) FROM learnt GROUP BY ALL
+            UNION ALL SELECT n, phase, 0 FROM range(0, {PARTS}) t(n),
+                (VALUES ('errors'), ('error_alerts'), ('access'), ('unrouted'), ('quarantine')) v(phase)""",
+        _DNS_VOCABULARY, _FEATURES, _LEARNT,
+        "sent AS (SELECT p.*, part FROM parsed p JOIN parted USING (event_id))",
+        "known AS (SELECT s.* FROM sent s JOIN learnt USING (owner, value2) WHERE first < part)",
+    ),
+    "stream_rate_lines": f"""WITH {ORACLE_FEED}
+        SELECT owner, count(*) AS n, CAST(sum(length(message)) AS BIGINT) AS chars FROM dns GROUP BY owner""",
     "decode_odd_lines": f"""WITH {ORACLE_FEED}, lines AS (SELECT event_id, message, {_LINE} AS value FROM dns),
             odd AS (SELECT event_id, message, {ODD_LINE} AS value FROM lines)
         SELECT event_id, CASE WHEN event_id % 7 > 4 THEN message END AS message,

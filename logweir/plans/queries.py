@@ -1,5 +1,6 @@
 """One query per operator over the test tables. Each takes (spark, sf_dir) and gives a DataFrame."""
 
+import json
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,16 +17,26 @@ from logweir.operators.ordered import first_gaps, running_value_count, time_gap,
 from logweir.operators.parse import ERROR_PARTS, extract_error_parts, parse_apache_access, parse_apache_error, parse_dnsmasq
 from logweir.operators.ruleset import DEFAULT_RULES, paced, read_rules, rules_table
 from logweir.operators.ruletree import frequency_alerts, match_rules, rule_alerts, rule_hits
-from logweir.operators.scoring import fit_classifier, score_anomalies, score_with, weak_label
+from logweir.operators.scoring import cross_fit, fit_classifier, score_anomalies, score_with, weak_label
 from logweir.operators.templates import fit_template_index, index_with_vocabulary, template_vocabulary
 from logweir.plans import feed
 from logweir.plans.batch import anomalies, run_batch, score_temporal
 from logweir.schema import APACHE_ACCESS, APACHE_ERROR, DNSMASQ, FEATURES_13, FEATURES_18
-from logweir.sources.indicators import read_indicator_csv, write_indicator_csv
-from logweir.sources.lines import decode, quarantine, read_lines, route
+from logweir.sources.indicators import append_indicators, read_indicator_csv, write_indicator_csv
+from logweir.sources.models import load_classifier, load_template_index
+from logweir.sources.lines import decode, lines_from_list, quarantine, read_lines, route
 from logweir.sources.sinks import write_by_format
 from logweir.streaming.queries import encoded_names as fixed_score
-from logweir.streaming.queries import stream_dns_alerts, stream_frequency_windows, stream_owner_names
+from logweir.streaming.queries import (
+    stream_dns_alerts,
+    stream_frequency_windows,
+    stream_late_hits,
+    stream_learning,
+    stream_owner_names,
+    stream_phase_counts,
+    stream_rate_lines,
+    stream_resumed,
+)
 from logweir.workspace import new_folder, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +117,18 @@ def parquet_by_format(spark, sf_dir):
     )
 
 
+def list_source(spark, sf_dir):
+    """Lines handed over as a list: one record for each nation."""
+    nations = feed.table(spark, sf_dir, "nation").orderBy("n_nationkey").collect()
+    lines = [
+        json.dumps({"time": "Mar 04 10:00:00", "owner": f"region{r.n_regionkey}", "log_format": "dnsmasq", "pid": "1",
+                    "message": f"reply {r.n_name.replace(' ', '-')} is 10.0.0.{r.n_nationkey}"})
+        for r in nations
+    ]
+    records = route(decode(lines_from_list(spark, lines)), "dnsmasq", DNSMASQ)
+    return parse_dnsmasq(records, feed.YEAR).select("owner", "response", "value1", "value2")
+
+
 def decode_odd_lines(spark, sf_dir):
     """Lines with a tail, glued to another, blank and missing ones among whole ones."""
     lines = feed.dns_lines(spark, sf_dir).select("event_id", F.expr(feed.ODD_LINE).alias("value"))
@@ -278,27 +301,44 @@ def error_template_index(spark, sf_dir):
 
 
 def rules_xml_table(spark, sf_dir):
-    """A rule per page, written as XML files and read back."""
+    """A rule per page, written as XML files of two rule groups and read back."""
     folder = new_folder(spark, "rules")
     pages = feed.table(spark, sf_dir, "pages")
     host = F.regexp_extract("url", feed.PAGE_HOST, 1)
+    page = F.col("page_id")
     rules = pages.select(
-        (F.col("page_id") + 100000).alias("_id"),
-        (F.col("page_id") % 16).alias("_level"),
-        F.when(F.col("page_id") % 5 == 0, F.lit(1)).alias("_noalert"),
+        "page_id",
+        (page + 100000).alias("_id"),
+        (page % 16).alias("_level"),
+        F.when(page % 5 == 0, F.lit(1)).alias("_noalert"),
         F.lit("30301").alias("if_sid"),
-        F.array(F.concat(F.lit("^["), host, F.lit("] |")), F.lit("denied ")).alias("match"),
-        F.concat(F.lit("AH"), F.col("page_id"), F.lit("|BH"), F.col("page_id")).alias("id"),
+        # An element with an attribute of its own, and one without, continue one pattern.
+        F.array(
+            F.struct(F.concat(F.lit("^["), host, F.lit("] |")).alias("_VALUE"), F.lit("plain").alias("_type")),
+            F.struct(F.lit("denied ").alias("_VALUE"), F.lit(None).cast("string").alias("_type")),
+        ).alias("match"),
+        F.concat(F.lit("AH"), page, F.lit("|BH"), page).alias("id"),
         F.concat(F.lit("Page "), host).alias("description"),
+        F.struct(
+            F.when(page % 3 == 0, F.array()).when(page % 3 == 1, F.array(F.lit("T1190"))).otherwise(
+                F.array(F.lit("T1102"), F.concat(F.lit("T"), page + 2000))
+            ).alias("id")
+        ).alias("mitre"),
+        F.array(F.struct(host.alias("_VALUE"), F.lit("link").alias("_type")), F.struct(F.lit("a note").alias("_VALUE"), F.lit("text").alias("_type"))).alias("info"),
         F.concat(F.lit("web,"), F.regexp_extract("url", "^([a-z]+):", 1), F.lit(",")).alias("group"),
     )
-    rules.write.format("xml").option("rootTag", "group").option("rowTag", "rule").save(folder)
-    table = read_rules(spark, folder)
+    for parity, name in enumerate(("pages,even,", "pages,odd,")):
+        made = rules.filter(page % 2 == parity).drop("page_id")
+        made.write.format("xml").option("rootTag", f'group name="{name}"').option("rowTag", "rule").save(f"{folder}/{parity}")
+    table = read_rules(spark, f"{folder}/*")
     return table.select(
         "rule_id", "level", "noalert", "match", "description",
         F.array_join(F.col("parents").cast("array<string>"), ",").alias("parents"),
         F.array_join("codes", ",").alias("codes"),
         F.array_join("tags", ",").alias("tags"),
+        F.array_join("groups", ",").alias("groups"),
+        F.coalesce(F.array_join("techniques", ","), F.lit("")).alias("techniques"),
+        F.array_join(F.transform("info", lambda i: F.concat(i["_type"], F.lit("="), i["_VALUE"])), ",").alias("info"),
     )
 
 
@@ -319,6 +359,13 @@ def rule_matches(spark, sf_dir):
     return hits.filter(F.col("rule_id").isNotNull())
 
 
+def rule_every_hit(spark, sf_dir):
+    """Rules that hold for errors of every kind that the rule set knows, by kind."""
+    parsed = with_source(parse_apache_error(feed.rule_feed(spark, sf_dir)))
+    hits = match_rules(parsed, DEFAULT_RULES).select("level", "message", F.explode_outer("matched").alias("rule_id"))
+    return hits.filter(F.col("rule_id").isNotNull()).groupBy("rule_id", "level", "message").agg(F.count("*").alias("n"))
+
+
 def rule_hierarchy(spark, sf_dir):
     return rule_alerts(matched_errors(spark, sf_dir), DEFAULT_RULES, rules_table(spark))
 
@@ -353,12 +400,31 @@ def keep_first_n_per_domain(spark, sf_dir):
 
 
 def indicator_csv_scan(spark, sf_dir):
+    """Indicators that are appended by two batches, and how often each stands in the files."""
     folder = new_folder(spark, "indicators")
     indicators = feed.supplier_indicators(spark, sf_dir)
-    # Appended twice, as by two batches; the scan gives each once.
+    write_indicator_csv(indicators.filter("owner <> 'client02'"), folder)
     write_indicator_csv(indicators, folder)
-    write_indicator_csv(indicators, folder)
-    return read_indicator_csv(spark, folder)
+    cells = spark.read.text(folder).select("owner", F.explode(F.split("value", ",")).alias("value2"))
+    copies = cells.groupBy("owner", "value2").agg(F.count("*").alias("copies"))
+    return read_indicator_csv(spark, folder).join(copies, ["owner", "value2"], "full")
+
+
+def indicator_table_append(spark, sf_dir):
+    """The same with a table of the catalog: its rows, and the copies in its files."""
+    folder = new_folder(spark, "indicator-table")
+    # The folder's name is unique, and so is the table's.
+    name = f"indicators_{folder.rsplit('-', 1)[1]}"
+    indicators = feed.supplier_indicators(spark, sf_dir)
+    try:
+        append_indicators(indicators.filter("owner <> 'client02'"), name, folder)
+        append_indicators(indicators, name, folder)
+        rows = spark.read.table(name).groupBy("owner", "value2").agg(F.count("*").alias("n_rows"))
+        copies = spark.read.parquet(folder).groupBy("owner", "value2").agg(F.count("*").alias("copies"))
+        return settle(rows.join(copies, ["owner", "value2"], "full"))
+    finally:
+        # Its files stay.
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def indicator_csv_ragged(spark, sf_dir):
@@ -382,21 +448,21 @@ def zip_orders(spark, sf_dir):
 # Scoring
 
 
-# One record in so many is scored and not fitted on, and a forest must agree with so many of its labels.
-HELD_OUT = 4
-AGREEMENT = 0.9
-
-
-def held_out_agreement(labelled: DataFrame, features: list[str]) -> DataFrame:
-    """Fit on three quarters of the records, score the others: is the forest right about enough of each label?"""
-    rest = F.col("event_id") % HELD_OUT == 0
-    scored = score_anomalies(labelled.filter(rest), fit_classifier(labelled.filter(~rest), features))
-    right = F.avg((F.col("prediction") == F.col("label")).cast("int")) >= AGREEMENT
-    return scored.groupBy("owner", "label").agg(F.count("*").alias("n"), right.alias("agrees"))
+def anomaly_score(spark, sf_dir):
+    """Each record's weak label, and what a forest that has not seen the record says."""
+    scored = cross_fit(weak_label(featured_dns(spark, sf_dir)), KEY, FEATURES_18)
+    return scored.select("event_id", "owner", "label", "prediction")
 
 
-def anomaly_score(spark, sf_dir):
-    return held_out_agreement(settle(weak_label(featured_dns(spark, sf_dir))), FEATURES_18)
+def saved_model_score(spark, sf_dir):
+    """Predictions of a forest and a template index that were saved and loaded, by owner."""
+    parsed = parsed_dns(spark, sf_dir)
+    folder = new_folder(spark, "models")
+    fit_template_index(parsed).save(f"{folder}/index")
+    labelled = weak_label(dns_features(load_template_index(f"{folder}/index").transform(parsed)))
+    fit_classifier(labelled).save(f"{folder}/forest")
+    scored = score_anomalies(labelled, load_classifier(f"{folder}/forest"))
+    return scored.groupBy("owner", "encoded_key", "label", "prediction").agg(F.count("*").alias("n"))
 
 
 def capital_scorer():
@@ -426,7 +492,7 @@ def temporal_anomalies(spark, sf_dir):
 def anomaly_score_temporal(spark, sf_dir):
     features = dns_features_temporal(indexed_dns(spark, sf_dir), tie="event_id")
     labelled = features.withColumn("label", (F.col("value1_length") > 60).cast("int"))
-    return held_out_agreement(settle(labelled), FEATURES_13)
+    return cross_fit(labelled, KEY, FEATURES_13).select("event_id", "owner", "label", "prediction")
 
 
 def derived_indicators(spark, sf_dir):
@@ -451,6 +517,7 @@ QUERIES: dict[str, Query] = {
     "corrupt_quarantine": corrupt_quarantine,
     "text_source_trim": text_source_trim,
     "decode_odd_lines": decode_odd_lines,
+    "list_source": list_source,
     "owners": owners,
     "parquet_by_format": parquet_by_format,
     "dns_parse": dns_parse,
@@ -479,15 +546,18 @@ QUERIES: dict[str, Query] = {
     "apache_id_alerts": apache_id_alerts,
     "apache_id_alerts_last_id": apache_id_alerts_last_id,
     "rule_matches": rule_matches,
+    "rule_every_hit": rule_every_hit,
     "rule_hierarchy": rule_hierarchy,
     "rule_frequency": rule_frequency,
     "indicator_alerts": indicator_alerts,
     "indicator_remainder": indicator_remainder,
     "keep_first_n_per_domain": keep_first_n_per_domain,
     "indicator_csv_scan": indicator_csv_scan,
+    "indicator_table_append": indicator_table_append,
     "indicator_csv_ragged": indicator_csv_ragged,
     "zip_by_order": zip_orders,
     "anomaly_score": anomaly_score,
+    "saved_model_score": saved_model_score,
     "batch_model_score": batch_model_score,
     "temporal_anomalies": temporal_anomalies,
     "anomaly_score_temporal": anomaly_score_temporal,
@@ -497,4 +567,9 @@ QUERIES: dict[str, Query] = {
     "stream_dns_alerts": stream_dns_alerts,
     "stream_owner_names": stream_owner_names,
     "stream_frequency_windows": stream_frequency_windows,
+    "stream_late_hits": stream_late_hits,
+    "stream_learning": stream_learning,
+    "stream_resumed": stream_resumed,
+    "stream_phase_counts": stream_phase_counts,
+    "stream_rate_lines": stream_rate_lines,
 }

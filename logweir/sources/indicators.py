@@ -41,9 +41,26 @@ def read_indicator_csv(spark: SparkSession, path: str, owner: str | None = None)
     )
 
 
+def _unknown(indicators: DataFrame, known: DataFrame) -> DataFrame:
+    """The indicators, each once, that ``known`` lacks. Without an owner an indicator matches nothing."""
+    own = indicators.select(*INDICATOR.names).filter(F.col("owner").isNotNull()).distinct()
+    # Both sides are distinct pairs, so this join has no hot key.
+    return own.join(known.select(*INDICATOR.names), INDICATOR.names, "left_anti")
+
+
 def write_indicator_csv(indicators: DataFrame, path: str) -> None:
-    """Append to headerless CSV files, one folder per owner. Without an owner an indicator matches nothing."""
-    indicators.select(*INDICATOR.names).filter(F.col("owner").isNotNull()).write.mode("append").partitionBy("owner").csv(path)
+    """Add those that are not there yet to headerless CSV files, one folder per owner."""
+    known = read_indicator_csv(indicators.sparkSession, path)
+    _unknown(indicators, known).write.mode("append").partitionBy("owner").csv(path)
+
+
+def append_indicators(indicators: DataFrame, table: str, path: str) -> None:
+    """Add those that are not there yet to the catalog table ``table``, made at ``path`` if there is none."""
+    spark = indicators.sparkSession
+    if spark.catalog.tableExists(table):
+        _unknown(indicators, spark.read.table(table)).write.mode("append").saveAsTable(table)
+    else:
+        _unknown(indicators, spark.createDataFrame([], INDICATOR)).write.option("path", path).saveAsTable(table)
 
 
 def read_indicator_table(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
@@ -55,6 +72,12 @@ def write_indicator_batch(indicators: DataFrame, path: str, batch_id: int) -> No
     write_batch(indicators.select(*INDICATOR.names), path, batch_id, "owner")
 
 
+def ensure_seed(spark: SparkSession, path: str) -> None:
+    """Make an empty table of what was known before the stream, if there is none."""
+    nothing = spark.createDataFrame([], INDICATOR).withColumn("owner_folder", F.col("owner"))
+    nothing.write.mode("ignore").partitionBy("owner_folder").parquet(f"{path}/batch_id={SEED}")
+
+
 def known_before(spark: SparkSession, path: str, batch_id: int, every: int = SNAPSHOT_EVERY) -> DataFrame:
     """The indicators a micro-batch may know: those of earlier batches and of batch -1, if one was seeded.
 

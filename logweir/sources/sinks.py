@@ -1,5 +1,6 @@
 """Table sinks. A batch that is retried replaces its own rows, so nothing is written twice."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -36,8 +37,15 @@ def read_batch(spark: SparkSession, path: str, batch_id: int, schema: StructType
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+    """Whether there is a file or folder, in any file system that Spark reads."""
+    try:
+        # A format of fixed columns looks at names alone, whatever the files hold.
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read_batches(

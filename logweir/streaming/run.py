@@ -6,16 +6,18 @@ again after a failure sees the same inputs and replaces its own outputs.
 """
 
 import time
+from collections.abc import Callable
 
 from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logweir.operators.indicators import derive_indicators
 from logweir.plans.batch import Scorer, run_batch
-from logweir.sources.indicators import known_before, write_snapshot
-from logweir.sources.sinks import path_exists, read_batch, write_batch
+from logweir.sources.indicators import SNAPSHOT_EVERY, ensure_seed, known_before, write_snapshot
+from logweir.sources.sinks import read_batch, write_batch
+from logweir.streaming.metrics import rows_seen
 
 TRIGGER = "10 seconds"
 
@@ -32,6 +34,9 @@ def run_stream(
     year: int,
     checkpoint: str,
     trigger: str | None = TRIGGER,
+    name: str | None = None,
+    snapshot_every: int = SNAPSHOT_EVERY,
+    after_batch: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Start the run. Tables ``alerts``, ``scored``, ``indicators``, ``errors``, ``error_alerts``, ``access``,
     ``unrouted``, ``quarantine`` and ``phases`` grow below ``out``; the last has rows and seconds of each phase.
@@ -39,23 +44,27 @@ def run_stream(
     ``index`` is a fitted model or a vocabulary table, as for ``run_batch``. ``trigger=None`` works off what is there
     and stops. A run counts its batches in its checkpoint, so ``out`` belongs to one checkpoint: with another one it
     is refused, as the first batches of the new run would replace those of the old.
+
+    ``name`` is the query's, by which ``BatchMetrics`` knows it. ``after_batch`` is called with a batch's number once
+    its outputs stand; if it fails, or the driver does, the batch is run again when the run is started again, and then
+    it is called once more.
     """
     _claim(lines.sparkSession, out, checkpoint)
+    ensure_seed(lines.sparkSession, f"{out}/indicators")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = known_before(spark, f"{out}/indicators", batch_id)
-        write_snapshot(spark, f"{out}/indicators", batch_id, known)
+        known = known_before(spark, f"{out}/indicators", batch_id, snapshot_every)
+        write_snapshot(spark, f"{out}/indicators", batch_id, known, snapshot_every)
         result = run_batch(batch, known, score, year, index, cache=True)
         phases = []
 
         def keep(name: str, table: DataFrame, *folders: str) -> None:
+            seen = Observation()
             start = time.monotonic()
-            write_batch(table, f"{out}/{name}", batch_id, *folders)
+            write_batch(table.observe(seen, F.count(F.lit(1)).alias("rows")), f"{out}/{name}", batch_id, *folders)
             took = time.monotonic() - start
-            # Counted from what was written: file footers have the numbers.
-            schema = table.select(*(F.col(c).cast("string") for c in table.columns[:1])).schema
-            phases.append((name, read_batch(spark, f"{out}/{name}", batch_id, schema).count(), took))
+            phases.append((name, rows_seen(seen, lambda: read_batch(spark, f"{out}/{name}", batch_id, table.schema).count()), took))
 
         try:
             keep("alerts", result.alerts, "owner")
@@ -72,9 +81,12 @@ def run_stream(
             write_batch(spark.createDataFrame(phases, PHASE).coalesce(1), f"{out}/phases", batch_id)
         finally:
             result.release()
+        if after_batch is not None:
+            after_batch(batch_id)
 
     counted = lines.observe("lines", F.count("*").alias("rows"), F.sum(F.length("value")).alias("chars"))
     writer = counted.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+    writer = writer if name is None else writer.queryName(name)
     timed = writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
     return timed.start()
 
@@ -82,9 +94,7 @@ def run_stream(
 def _claim(spark: SparkSession, out: str, checkpoint: str) -> None:
     """Note in ``out`` whose outputs these are, or find that they are another run's."""
     note = f"{out}/run"
-    if path_exists(spark, note):
-        owner = spark.read.schema("checkpoint string").parquet(note).first()
-        if owner.checkpoint != checkpoint:
-            raise ValueError(f"{out} belongs to the run with checkpoint {owner.checkpoint}")
-    else:
-        spark.createDataFrame([(checkpoint,)], "checkpoint string").coalesce(1).write.parquet(note)
+    spark.createDataFrame([(checkpoint,)], "checkpoint string").coalesce(1).write.mode("ignore").parquet(note)
+    owner = spark.read.schema("checkpoint string").parquet(note).first()
+    if owner.checkpoint != checkpoint:
+        raise ValueError(f"{out} belongs to the run with checkpoint {owner.checkpoint}")

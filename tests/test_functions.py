@@ -115,3 +115,11 @@ def test_entropy_of_long_text(spark):
     text = "The quick brown fox jumps over the lazy dog. " * 3000 + "é中" * 50
     rows = spark.createDataFrame([(text,)], "s string")
     assert rows.select(F.round(entropy("s"), 9).alias("x")).first().x == pytest.approx(plain_entropy(text), abs=1e-8)
+
+
+def test_entropy_of_any_alphabet(spark):
+    """Texts of few characters often and of many once, with line ends, marks of patterns and characters of two units."""
+    many = "".join(chr(0x4E00 + k % 20_000) for k in range(40_000)) + "".join(chr(0x1F300 + k) for k in range(500))
+    texts = [many, "\n\n\r.\\$^*a\n", "😀" * 7 + "a", "ab" * 50_000, "x", " ", "e\u0301" * 9]
+    got = spark.createDataFrame([(t,) for t in texts], "s string").select(F.round(entropy("s"), 9).alias("x")).collect()
+    assert [r.x for r in got] == [pytest.approx(plain_entropy(t), abs=1e-8) for t in texts]

@@ -6,16 +6,16 @@ from logweir.operators.ruletree import check_rules, match_condition, match_rules
 from logweir.operators.idrules import with_source
 
 RULES_XML = """
-<group name="sample,">
+<group name="sample,outer, web,">
   <!-- a comment -->
   <rule id="1" level="0"><decoded_as>apache-errorlog</decoded_as><description>All.</description></rule>
   <rule id="2" level="5">
     <if_sid>1</if_sid>
     <match>^[error] |</match>
-    <match>file (x)</match>
+    <match type="plain">file (x)</match>
     <description>Head.</description>
     <info type="link">http://example.com</info>
-    <mitre><id>T1</id></mitre>
+    <mitre><id>T1</id><id>T1.002</id></mitre>
     <group>one,two,</group>
   </rule>
   <rule id="3" level="7" frequency="4" timeframe="60">
@@ -38,14 +38,25 @@ def from_xml(spark, tmp_path_factory):
 def test_xml_rules(from_xml):
     assert sorted(from_xml) == [1, 2, 3, 4]
     two, three, four = from_xml[2], from_xml[3], from_xml[4]
-    assert two.match == "^[error] |file (x)" and two.techniques == ["T1"] and two.tags == ["one", "two"]
+    assert two.match == "^[error] |file (x)" and two.techniques == ["T1", "T1.002"] and two.tags == ["one", "two"]
     assert two.parents == [1] and two.codes is None and not two.same_source
-    assert two.info[0]["_type"] == "link"
+    assert two.info[0]["_type"] == "link" and two.info[0]["_VALUE"] == "http://example.com"
+    assert all(rule.groups == ["sample", "outer", "web"] for rule in from_xml.values())
     assert (three.counted_rule, three.frequency, three.timeframe, three.same_source) == (2, 4, 60, True)
     assert four.codes == ["A1", "A2"] and four.noalert and four.parents == [1, 2] and four.regex == r"user \S+ gone"
     assert from_xml[1].decoded_as == "apache-errorlog" and from_xml[1].match is None
 
 
+def test_rules_outside_groups_and_in_several_files(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<rules><rule id="8" level="1"><description>Alone.</description></rule></rules>')
+    (tmp_path / "b.xml").write_text(
+        '<all><group name="x,y"><rule id="9" level="1"><group>own,</group></rule></group>'
+        '<group name="z"><rule id="10" level="1"/><rule id="11" level="2"><group>p,</group><group>q</group></rule></group></all>'
+    )
+    rows = {r.rule_id: (r.tags, r.groups) for r in read_rules(spark, str(tmp_path)).collect()}
+    assert rows[8][1] == [] and rows[9] == (["own"], ["x", "y"]) and rows[10][1] == ["z"] and rows[11] == (["p", "q"], ["z"])
+
+
 def test_rules_survive_the_table(spark):
     assert as_rules(rules_table(spark)) == DEFAULT_RULES
 

@@ -1,33 +1,28 @@
 import os
-import shutil
 from collections import Counter
-from pathlib import Path
 
 import numpy as np
 import pytest
-from pyspark.sql import Window
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from logweir.operators.features import dns_features
-from logweir.operators.idrules import with_source
-from logweir.operators.parse import parse_apache_error, parse_dnsmasq
-from logweir.operators.scoring import fit_classifier, score_anomalies, score_with, weak_label
+from logweir.operators.parse import parse_dnsmasq
+from logweir.operators.scoring import cross_fit, fit_classifier, score_anomalies, score_with, weak_label
 from logweir.operators.templates import fit_template_index, template_vocabulary
-from logweir.operators.ruleset import DEFAULT_RULES, Rule, paced
-from logweir.operators.ruletree import frequency_alerts, match_rules, rule_hits
-from logweir.plans import feed
+from logweir.operators.ruleset import Rule
+from logweir.operators.ruletree import frequency_alerts
 from logweir.plans.batch import run_batch
 from logweir.schema import DNSMASQ, FEATURES_18, INDICATOR
 from logweir.sources.indicators import (
-    SEED, known_before, read_indicator_csv, read_indicator_table, write_indicator_batch, write_indicator_csv,
+    SEED, append_indicators, known_before, read_indicator_csv, read_indicator_table, write_indicator_batch, write_indicator_csv,
     write_snapshot,
 )
 from logweir.sources.lines import decode, lines_from_list, read_lines, route, stream_lines
 from logweir.sources.models import load_classifier, load_template_index
-from logweir.sources.sinks import read_batches, write_batch, write_by_format
-from logweir.streaming import queries as streaming_queries
-from logweir.streaming.frequency import flush, frequency_step, late_hits, read_alerts, run_frequency
-from logweir.streaming.metrics import progress_table, timed
+from logweir.sources.sinks import path_exists, read_batches, write_batch, write_by_format
+from logweir.streaming.frequency import closed_alerts, flush, frequency_step, late_hits, read_alerts, run_frequency
+from logweir.streaming.metrics import BatchMetrics, observed_counts, progress_table, timed
 from logweir.streaming.run import run_stream
 from logweir.workspace import new_folder, settle, shared_root
 from tests.samples import ACCESS, ASKING, DNS, ENCODED, ERRORS, as_lines, dns_record
@@ -231,64 +226,190 @@ def test_stream_feeds_back_and_resumes(spark, features, tmp_path):
     assert known == {("client01", ASKING), ("client02", ASKING)}
 
 
-@pytest.mark.parametrize("lateness", [20, 3])
-def test_frequency_over_micro_batches_equals_batch(spark, tmp_path, lateness):
-    rules = [
-        Rule(11, 5, frequency=3, timeframe=40, counted_rule=1, same_source=True),
-        Rule(12, 5, frequency=6, timeframe=25, counted_rule=1),
-    ]
-    schema = "owner string, srcip string, epoch_timestamp bigint, rule_id int"
+FREQUENCY_RULES = [
+    Rule(11, 5, frequency=3, timeframe=40, counted_rule=1, same_source=True),
+    Rule(12, 5, frequency=6, timeframe=25, counted_rule=1),
+]
+HIT = "owner string, srcip string, epoch_timestamp bigint, rule_id int"
+
+
+def write_hits(folder, parts):
+    """One file a part, younger from part to part; numbers go on from the files there are."""
+    folder.mkdir(exist_ok=True)
+    for rows in parts:
+        number = len(list(folder.iterdir()))
+        path = folder / f"{number}.csv"
+        path.write_text("".join(",".join(map(str, r)) + "\n" for r in rows))
+        os.utime(path, (1_700_000_000 + number, 1_700_000_000 + number))
+
+
+def hit_parts(n=5):
+    """Each part reaches up to seventy seconds back into those before, and so into closed seconds."""
     rng = np.random.default_rng(5)
-    source = tmp_path / "hits"
+    reach = [0, 10, 10, 70, 70]
+    return [
+        [("a", "s" if rng.random() < 0.6 else "t", int(1000 + part * 60 + rng.integers(-reach[part % 5], 60)), int(rng.integers(1, 3))) for _ in range(80)]
+        for part in range(n)
+    ]
+
+
+def split_hits(parts, lateness):
+    """Hits that come before their second is closed, and how many of rule 1 come later."""
+    kept, late, marks = [], 0, []
+    for k, rows in enumerate(parts):
+        # What is late is told by the watermark of the batch before, which comes from the batches before that.
+        mark = marks[k - 2] if k >= 2 else -1
+        kept += [r for r in rows if r[2] > mark]
+        late += sum(r[3] == 1 for r in rows if r[2] <= mark)
+        marks.append(max([r[2] for r in rows] + [m + lateness for m in marks[-1:]]) - lateness)
+    return kept, late, marks[-1]
+
+
+def run_hits(spark, source, out, checkpoint, lateness, name="hits"):
+    stream = spark.readStream.schema(HIT).option("maxFilesPerTrigger", "1").csv(str(source))
+    with BatchMetrics(spark, f"{out}/progress", name):
+        run_frequency(stream, FREQUENCY_RULES, out, checkpoint, lateness, name=name).awaitTermination()
+
+
+def tuples(df):
+    return sorted(tuple(r) for r in df.select("owner", "srcip", "rule_id", "epoch_timestamp", "hits").collect())
+
+
+@pytest.mark.parametrize("lateness", [80, 5])
+def test_frequency_over_micro_batches_equals_batch(spark, tmp_path, lateness):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    parts = hit_parts()
+    write_hits(tmp_path / "hits", parts)
+    run_hits(spark, tmp_path / "hits", out, checkpoint, lateness)
+    kept, late, mark = split_hits(parts, lateness)
+    whole = tuples(frequency_alerts(spark.createDataFrame(kept, HIT), FREQUENCY_RULES))
+    assert {r[2] for r in whole} == {11, 12} and len(whole) > 50
+    closed = tuples(closed_alerts(spark, out))
+    assert closed == [r for r in whole if r[3] <= mark] and len(closed) > 30
+    flush(spark, FREQUENCY_RULES, out, checkpoint)
+    assert tuples(read_alerts(spark, out)) == whole
+    counts = {r.rule_id: (r.hits, r.late) for r in late_hits(spark, f"{out}/progress", out, checkpoint).collect()}
+    given = sum(r[3] == 1 for rows in parts for r in rows)
+    assert counts == {11: (given, late), 12: (given, late)} and (late > 0) == (lateness == 5)
+    # What one batch hands to the next is no longer than a timeframe.
+    carried = read_batches(spark, f"{out}/carried", "epoch_timestamp bigint, batch bigint")
+    spans = carried.groupBy("batch").agg((F.max("epoch_timestamp") - F.min("epoch_timestamp")).alias("span")).collect()
+    assert 0 < len(spans) <= 2 and all(r.span <= 40 for r in spans)
+
+
+def test_a_flushed_stream_goes_on(spark, tmp_path):
+    """Alerts of a flush give way to those of the stream once it closes their seconds."""
+    out, checkpoint, parts = str(tmp_path / "out"), str(tmp_path / "checkpoint"), hit_parts(4)
+    write_hits(tmp_path / "hits", parts[:2])
+    run_hits(spark, tmp_path / "hits", out, checkpoint, 80, "first")
+    flush(spark, FREQUENCY_RULES, out, checkpoint)
+    assert tuples(read_alerts(spark, out)) == tuples(frequency_alerts(spark.createDataFrame(sum(parts[:2], []), HIT), FREQUENCY_RULES))
+    write_hits(tmp_path / "hits", parts[2:])
+    run_hits(spark, tmp_path / "hits", out, checkpoint, 80, "second")
+    flush(spark, FREQUENCY_RULES, out, checkpoint)
+    assert tuples(read_alerts(spark, out)) == tuples(frequency_alerts(spark.createDataFrame(sum(parts, []), HIT), FREQUENCY_RULES))
+
+
+def test_a_frequency_batch_run_again_replaces_itself(spark, tmp_path):
+    schema = "owner string, srcip string, rule_id int, epoch_timestamp bigint, hits bigint"
+    batches = [[("a", "s", 11, t, 1) for t in range(k * 10, k * 10 + 10)] for k in range(3)]
+    once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
+    for k, rows in enumerate(batches):
+        closed = spark.createDataFrame(rows, schema)
+        frequency_step(closed, k, FREQUENCY_RULES, once)
+        for _ in range(2):
+            frequency_step(closed, k, FREQUENCY_RULES, twice)
+    assert tuples(closed_alerts(spark, once)) == tuples(closed_alerts(spark, twice)) and not closed_alerts(spark, once).isEmpty()
+
+
+def test_batch_metrics(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
     source.mkdir()
-    kept, late, highest = [], 0, 0
-    for part in range(4):
-        # Each file reaches ten seconds back into the one before.
-        seconds = 1000 + part * 60 + rng.integers(-10, 60, 80)
-        rows = [("a", "s" if rng.random() < 0.6 else "t", int(x), int(rng.integers(1, 3))) for x in seconds]
-        (source / f"{part}.csv").write_text("".join(",".join(map(str, r)) + "\n" for r in rows))
-        os.utime(source / f"{part}.csv", (1_700_000_000 + part, 1_700_000_000 + part))
-        on_time = [r for r in rows if r[2] > highest - lateness - 1]
-        # Rule 1 is counted twice, by each of the two rules.
-        late += sum(2 for r in rows if r not in on_time and r[3] == 1)
-        kept += on_time
-        highest = max(highest, *(r[2] for r in rows))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").csv(str(source))
-    out = str(tmp_path / "out")
-    run_frequency(stream, rules, out, str(tmp_path / "checkpoint"), lateness).awaitTermination()
-    whole = {tuple(r) for r in frequency_alerts(spark.createDataFrame(kept, schema), rules).collect()}
-    closed = {tuple(r) for r in read_alerts(spark, out).collect()}
-    assert closed == {r for r in whole if r[3] <= highest - lateness - 1}
-    flush(spark, rules, out)
-    everything = [tuple(r) for r in read_alerts(spark, out).collect()]
-    assert set(everything) == whole and len(everything) == len(whole) > 50
-    assert {r[2] for r in whole} == {11, 12}
-    assert late_hits(spark, out) == late and (late > 0) == (lateness == 3)
-    # A batch that is run again replaces what it wrote.
-    frequency_step(spark.read.schema(schema).csv(str(source / "3.csv")), rules, out, 3, lateness)
-    assert sorted(map(tuple, read_alerts(spark, out).collect())) == sorted(everything)
-
-
-@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
-def test_drained_stream_takes_files_in_any_order(spark, tmp_path, monkeypatch):
-    """One file a micro-batch, the newest events first, gives the alerts of the whole table."""
-    monkeypatch.setattr(streaming_queries, "FILES", 1)
-    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("third", F.ntile(3).over(Window.orderBy("ts")))
-    folder = tmp_path / "sf" / "events.parquet"
-    folder.mkdir(parents=True)
-    for path in Path("/root/testdata/sf0.001").glob("*.parquet"):
-        if path.stem != "events":
-            (tmp_path / "sf" / path.name).symlink_to(path)
-    for place, third in enumerate((3, 1, 2)):
-        made = tmp_path / f"third{third}"
-        events.filter(F.col("third") == third).drop("third").coalesce(1).write.parquet(str(made))
-        shutil.copy(next(made.glob("part-*.parquet")), folder / f"{place}.parquet")
-        os.utime(folder / f"{place}.parquet", (1_700_000_000 + place, 1_700_000_000 + place))
-    got = streaming_queries.stream_frequency_windows(spark, str(tmp_path / "sf"))
-    rules = paced(DEFAULT_RULES, feed.RULE_PACE)
-    parsed = with_source(parse_apache_error(feed.error_feed(spark, "/root/testdata/sf0.001")))
-    want = frequency_alerts(rule_hits(match_rules(parsed, DEFAULT_RULES)), rules).select(*got.columns)
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and not want.isEmpty()
+    for k, records in enumerate((DNS, DNS[:4] + ERRORS, ACCESS)):
+        write_file(source, k, records)
+    calls = []
+    with BatchMetrics(spark, f"{out}/progress", "counted"):
+        lines = stream_lines(spark, "text", path=str(source), maxFilesPerTrigger="1")
+        run_stream(
+            lines, out, many_capitals, None, 2023, str(tmp_path / "c"), trigger=None, name="counted", after_batch=calls.append
+        ).awaitTermination()
+    assert calls == [0, 1, 2]
+    seen = {(r.batch_id, r.metric): r.rows for r in observed_counts(spark, f"{out}/progress", "lines").collect()}
+    assert [seen[k, "rows"] for k in range(3)] == [13, 9, 2]
+    steps = observed_counts(spark, f"{out}/progress", "step_ms").filter("metric = 'addBatch'")
+    assert steps.filter("rows > 0").count() == 3
+    phases = {(r.batch_id, r.phase): r.rows for r in read_batches(spark, f"{out}/phases", "phase string, rows bigint").collect()}
+    assert phases[1, "errors"] == 5 and phases[2, "access"] == 2 and phases[2, "alerts"] == 0
+    # Another query's reports are none of its business, and it has left.
+    spark.readStream.schema(HIT).csv(str(source)).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "d")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    assert observed_counts(spark, f"{out}/progress").select("batch_id").distinct().count() >= 3
+
+
+def test_a_failed_batch_is_run_again(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    for k in range(3):
+        write_file(source, k, DNS)
+    seen = []
+
+    def fail_once(batch_id):
+        seen.append(batch_id)
+        if seen == [0, 1]:
+            raise RuntimeError("broken off")
+
+    def run():
+        lines = stream_lines(spark, "text", path=str(source), maxFilesPerTrigger="1")
+        run_stream(lines, out, many_capitals, None, 2023, str(tmp_path / "c"), None, snapshot_every=2, after_batch=fail_once).awaitTermination()
+
+    with pytest.raises(StreamingQueryException, match="broken off"):
+        run()
+    run()
+    assert seen == [0, 1, 1, 2]
+    alerts = read_batches(spark, f"{out}/alerts", "owner string, value2 string, detection string, count bigint")
+    assert sorted((r.batch_id, r["count"]) for r in alerts.collect()) == [(1, 3), (2, 3)]
+    assert (tmp_path / "out" / "indicators-snapshots" / "batch_id=2").exists()
+
+
+def test_cross_fit_scores_every_row_once(features):
+    rows = features.sparkSession.range(60).select(
+        F.col("id").alias("key"), (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 5).cast("double").alias("y")
+    ).withColumn("label", (F.col("x") > 3).cast("int"))
+    scored = cross_fit(rows, ["key"], ["x", "y"], folds=4, trees=10)
+    assert scored.columns == [*rows.columns, "prediction"]
+    assert sorted(r.key for r in scored.collect()) == list(range(60)) and scored.filter("label != prediction").isEmpty()
+    with pytest.raises(ValueError, match="another fold"):
+        cross_fit(rows, ["key"], ["x"], folds=1)
+
+
+def test_cross_fit_does_not_see_the_row(features):
+    """Rows whose label is a matter of their key alone can't be told by forests that never saw them."""
+    rows = features.sparkSession.range(400).select(F.col("id").alias("key"), F.col("id").cast("double").alias("x"))
+    rows = rows.withColumn("label", F.pmod(F.hash("key"), F.lit(2)).cast("int"))
+    right = cross_fit(rows, ["key"], ["x"], folds=2, depth=10).filter("label = prediction").count()
+    assert 120 < right < 280
+
+
+def test_indicator_appends_add_what_is_new(spark, tmp_path):
+    first = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "2"), (None, "9")], INDICATOR)
+    second = spark.createDataFrame([("a", "2"), ("a", "3"), ("b", "1")], INDICATOR)
+    want = [("a", "1"), ("a", "2"), ("a", "3"), ("b", "1")]
+    for table in (first, second, second):
+        write_indicator_csv(table, str(tmp_path / "csv"))
+        append_indicators(table, "appended", str(tmp_path / "table"))
+    assert sorted(map(tuple, spark.read.table("appended").collect())) == want
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "table")).collect())) == want
+    lines = spark.read.text(str(tmp_path / "csv"))
+    assert sorted((r.owner, r.value) for r in lines.collect()) == want
+    spark.sql("DROP TABLE appended")
+
+
+def test_path_exists(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "file.txt").write_text("x")
+    assert path_exists(spark, str(tmp_path / "empty")) and path_exists(spark, str(tmp_path / "file.txt"))
+    assert not path_exists(spark, str(tmp_path / "none"))
 
 
 def test_timed():
