@@ -5,8 +5,9 @@ table of pairs that is well filled is counted with one ``bincount`` over its cel
 coordinates and counted by runs. Pairs that are frequent enough are numbered in their turn, and pairs of such a number
 with the next word are counted alike: that makes phrases of three words, then of four.
 
-Texts are cut once into blocks of word numbers. What a block needs to know of the whole corpus, the numbers of its words
-and phrases, comes to it by joins, so that no vocabulary has to fit into a task or the driver.
+Texts are cut once into blocks of word numbers. What a block needs to know of the whole corpus are the numbers of its
+frequent words and phrases. Their table is sent to the tasks as long as it is within bounds that are checked; a larger one
+is joined, and each block gets the rows that it needs, so that no vocabulary has to fit into a task or the driver.
 """
 
 from collections.abc import Callable, Iterator
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweir.llm.tables import written
+from logweir.llm.tables import BROADCAST_BYTES, written
 from logweir.operators.ordered import number_rows
 from logweir.operators.skew import fits_broadcast, lookup_join
 
@@ -40,8 +41,8 @@ DENSE_TILES = 8
 DENSE = TILE * TILE // 16
 #: Pairs counted at once by a task.
 AT_ONCE = 2_000_000
-#: Bounds of a table of frequent words or phrases that is broadcast; a larger one is joined by a shuffle.
-BROADCAST = (1_000_000, 64 << 20)
+#: Rows up to which a table of frequent words or phrases is sent to the tasks; a larger one is joined.
+BROADCAST = 1_000_000
 
 _BREAK, _NOTHING = -1, -2
 _CUTS = b".,;:!?\n\x0b\x0c\r"
@@ -235,55 +236,106 @@ def _used(batches: Iterator[pa.RecordBatch], length: int, width: int, kind: str,
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), block)), pa.array(codes)], ["block", "code"])
 
 
-def _known(sought: np.ndarray, found: pa.Table, key: str) -> np.ndarray:
-    """The id that ``found`` has for each sought key, or -1."""
+def _ordered(found: pa.Table, key: str) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in ascending order, and their ids."""
     keys, ids = found.column(key).to_numpy(), found.column("id").to_numpy()
     order = np.argsort(keys)
-    keys, ids = keys[order], ids[order]
+    return keys[order], ids[order]
+
+
+def _known(sought: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The id of each sought key, or -1."""
     if not len(keys):
         return np.full(len(sought), _BREAK, np.int64)
     place = np.minimum(np.searchsorted(keys, sought), len(keys) - 1)
     return np.where(keys[place] == sought, ids[place], _BREAK)
 
 
-def _stream(block: int, context: int, grams: bytes, words: bytes) -> pa.Table:
-    return pa.table({"block": pa.array([block]), "context": pa.array([context], pa.int32()), "grams": [grams], "words": [words]})
+_ARROW_STREAMS = pa.schema([("block", pa.int64()), ("context", pa.int32()), ("grams", pa.binary()), ("words", pa.binary())])
+
+
+def _stream(block: int, context: int, grams: bytes, words: bytes) -> pa.RecordBatch:
+    row = {"block": block, "context": context, "grams": grams, "words": words}
+    return pa.RecordBatch.from_pylist([row], schema=_ARROW_STREAMS)
+
+
+def _number_words(batches: Iterator[pa.RecordBatch], known: pa.Table, kind: str) -> Iterator[pa.RecordBatch]:
+    """Blocks' own numbers of words turned into those of the corpus; -1 for words that are not frequent."""
+    of: dict[str, dict[str, int]] = {}
+    for lang, word, number in zip(*(known.column(c).to_pylist() for c in ("lang", "word", "id")), strict=True):
+        of.setdefault(lang, {})[word] = number
+    for batch in batches:
+        for k in range(batch.num_rows):
+            block, lang, context, words, ids = (batch.column(c)[k].as_py() for c in ("block", "lang", "context", "words", "ids"))
+            ask = of.get(lang, {}).get
+            # The mark of a cut, -1, takes the last place.
+            numbers = np.array([*(ask(word, _BREAK) for word in words), _BREAK], np.int64)
+            made = numbers[np.frombuffer(ids, np.int32)].astype(kind).tobytes()
+            yield _stream(block, context, made, made)
 
 
-def _number_words(blocks: pa.Table, found: pa.Table, kind: str) -> pa.Table:
-    """A block's own numbers of words turned into those of the corpus; -1 for words that are not frequent."""
+def _number_found_words(blocks: pa.Table, found: pa.Table, kind: str) -> pa.RecordBatch:
+    """The same for one block and what joins have found for its words."""
     row = {name: blocks.column(name)[0].as_py() for name in ("block", "context", "ids")}
     ids = np.frombuffer(row["ids"], np.int32).astype(np.int64)
-    numbers = _known(ids, found, "local").astype(kind).tobytes()
-    return _stream(row["block"], row["context"], numbers, numbers)
+    made = _known(ids, *_ordered(found, "local")).astype(kind).tobytes()
+    return _stream(row["block"], row["context"], made, made)
 
 
-def _number_phrases(streams: pa.Table, found: pa.Table, length: int, width: int, kind: str, old: str, new: str) -> pa.Table:
+def _number_phrases(
+    batches: Iterator[pa.RecordBatch], known: tuple[np.ndarray, np.ndarray], length: int, width: int, kind: str, old: str, new: str
+) -> Iterator[pa.RecordBatch]:
     """The numbers of the phrases of ``length`` + 1 words that begin at each place of a block, or -1."""
-    [(block, context, grams, words)] = _stream_rows(streams.combine_chunks().to_batches()[0], kind, old)
-    at = _positions(grams, words, length, 0)
-    out = np.full(len(words), _BREAK, np.int64)
-    out[at] = _known(grams[at] * width + words[at + length], found, "code")
-    return _stream(block, context, out.astype(new).tobytes(), words.astype(kind).tobytes())
+    for batch in batches:
+        for block, context, grams, words in _stream_rows(batch, kind, old):
+            at = _positions(grams, words, length, 0)
+            out = np.full(len(words), _BREAK, np.int64)
+            out[at] = _known(grams[at] * width + words[at + length], *known)
+            yield _stream(block, context, out.astype(new).tobytes(), words.astype(kind).tobytes())
 
 
-def _lookup(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, *BROADCAST) else df
+def _number_found_phrases(streams: pa.Table, found: pa.Table, **how) -> pa.RecordBatch:
+    """The same for one block and what joins have found for its phrases."""
+    [made] = _number_phrases(streams.combine_chunks().to_batches(), _ordered(found, "code"), **how)
+    return made
 
 
-def _by_block(blocks: DataFrame, found: DataFrame, make: Callable[[pa.Table, pa.Table], pa.Table], label: str) -> DataFrame:
+def _by_block(blocks: DataFrame, found: DataFrame, make: Callable[[pa.Table, pa.Table], pa.RecordBatch]) -> DataFrame:
     """``make`` of each block and the rows found for it. Both are as large as the block at most."""
 
     def one(left: pa.Table, right: pa.Table) -> pa.Table:
-        return make(left, right)
+        return pa.Table.from_batches([make(left, right)])
 
     # A name of its own keeps the two apart, as both come from the same blocks.
     found = found.withColumn("of", F.col("block") + 0).drop("block")
-    return written(blocks.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(one, _STREAMS), label)
+    return blocks.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(one, _STREAMS)
+
+
+def _word_streams(blocks: DataFrame, local: DataFrame, vocabulary: DataFrame, kind: str) -> DataFrame:
+    """The blocks in numbers of the corpus. A vocabulary within bounds goes to the tasks, another one to the blocks."""
+    known = vocabulary.select("lang", "word", "id")
+    if fits_broadcast(known, BROADCAST, BROADCAST_BYTES):
+        number = partial(_number_words, known=known.toArrow(), kind=kind)
+        return blocks.select("block", "lang", "context", "words", "ids").mapInArrow(number, _STREAMS)
+    found = local.join(known, ["lang", "word"]).select("block", "local", "id")
+    return _by_block(blocks.select("block", "context", "ids"), found, partial(_number_found_words, kind=kind))
+
+
+def _phrase_streams(streams: DataFrame, grams: DataFrame, how: dict, old: str, new: str) -> DataFrame:
+    """The blocks with numbers of longer phrases, got in the same two ways."""
+    known = grams.select("code", "id")
+    if fits_broadcast(known, BROADCAST, BROADCAST_BYTES):
+        number = partial(_number_phrases, known=_ordered(known.toArrow(), "code"), **how, old=old, new=new)
+        return streams.mapInArrow(number, _STREAMS)
+    used = streams.mapInArrow(partial(_used, **how, gram_kind=old), "block long, code long")
+    found = used.join(known, "code").select("block", "code", "id")
+    return _by_block(streams, found, partial(_number_found_phrases, **how, old=old, new=new))
 
 
 def _ranked(counts: DataFrame, order: list[str], label: str) -> tuple[DataFrame, int]:
     """``counts`` with an ``id`` from 0 by falling ``n``, and how many there are."""
+    # Ranges are drawn from a first look at the rows, so these are written before they are put in order.
+    counts = written(counts, label)
     ranked = number_rows(counts.withColumn("minus", -F.col("n")), ["minus", *order], "id").drop("minus")
     ranked = written(ranked.withColumn("id", F.col("id") - 1), label)
     return ranked, ranked.count()
@@ -371,8 +423,7 @@ def mine_collocations(
     vocabulary, width = _ranked(vocabulary, ["lang", "word"], "phrase-words")
     kind = _kind(width)
 
-    found = local.join(_lookup(vocabulary.drop("n")), ["lang", "word"]).select("block", "local", "id")
-    streams = _by_block(blocks.select("block", "context", "ids"), found, partial(_number_words, kind=kind), "phrase-streams")
+    streams = written(_word_streams(blocks, local, vocabulary, kind), "phrase-streams")
     shorter = vocabulary.select(
         "id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "n", F.array().cast("array<long>").alias("before"), F.array().cast("array<long>").alias("behind")
     )
@@ -384,10 +435,9 @@ def mine_collocations(
         grams, n_grams = _ranked(counted, ["code"], "phrase-grams")
         grams = grams.withColumn("prefix", F.expr(f"code div {max(width, 1)}L"))
         if length + 1 < longest:
-            used = streams.mapInArrow(partial(_used, **how, gram_kind=gram_kind), "block long, code long")
-            found = used.join(_lookup(grams.select("code", "id")), "code").select("block", "code", "id")
-            number = partial(_number_phrases, **how, old=gram_kind, new=_kind(n_grams))
-            streams, gram_kind = _by_block(streams, found, number, "phrase-streams"), _kind(n_grams)
+            new_kind = _kind(n_grams)
+            streams = written(_phrase_streams(streams, grams, how, gram_kind, new_kind), "phrase-streams")
+            gram_kind = new_kind
         shorter = written(_with_parts(grams.drop("code"), shorter), "phrase-parts")
         levels.append(shorter)
     made = [_scored(grams, longer, covered, scale) for grams, longer in zip(levels, [*levels[1:], None], strict=True)]
