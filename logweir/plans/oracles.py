@@ -432,10 +432,12 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT part, 'lines dnsmasq', count(*) FROM sent GROUP BY ALL
             UNION ALL SELECT n, 'alerts', count(found.owner)
                 FROM range(0, {PARTS}) t(n) LEFT JOIN (SELECT DISTINCT part, owner, value2 FROM known) found ON found.part = n GROUP BY ALL
-            UNION ALL SELECT part, 'scored', count(*) FROM sent
-                WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.part = sent.part AND known.owner = sent.owner
-                                  AND (known.value1 = sent.value1 OR known.event_id = sent.event_id)) GROUP BY ALL
-            UNION ALL SELECT first, 'indicators', count(*) FROM learnt GROUP BY ALL
+            UNION ALL SELECT n, 'scored', count(left_over.event_id)
+                FROM range(0, {PARTS}) t(n) LEFT JOIN (SELECT * FROM sent
+                    WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.part = sent.part AND known.owner = sent.owner
+                                      AND (known.value1 = sent.value1 OR known.event_id = sent.event_id))) left_over
+                ON left_over.part = n GROUP BY ALL
+            UNION ALL SELECT n, 'indicators', count(learnt.owner) FROM range(0, {PARTS}) t(n) LEFT JOIN learnt ON first = n GROUP BY ALL
             UNION ALL SELECT n, phase, 0 FROM range(0, {PARTS}) t(n),
                 (VALUES ('errors'), ('error_alerts'), ('access'), ('unrouted'), ('quarantine')) v(phase)""",
         _DNS_VOCABULARY, _FEATURES, _LEARNT,
