@@ -1,8 +1,8 @@
 """Quality classifier: an interpolated modified Kneser-Ney model over the bytes of trusted text.
 
 Training, in Spark: n-grams of ``order`` bytes are counted in each block of trusted text and summed by n-gram.
-Lower orders follow from the next higher one by continuation counts. Every order is one table
-``(code, log_p)`` of seen n-grams and one ``(code, log_b)`` of contexts, made by joins and grouping on n-gram codes.
+Lower orders follow from the next higher one by continuation counts. The model is one table of the probabilities of seen
+n-grams and the weights of contexts, sharded by n-gram; only the two lowest orders, 65,536 numbers, are an array.
 
 Scoring, in Spark: all n-grams of the corpus are counted. The most frequent ones, a fixed number, get their
 log-probabilities by joins and go to every task, where they score most of the text in place. The rare rest leaves
@@ -15,6 +15,7 @@ of the document, and the rare ones are put in once they are joined.
 """
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ HEAD = 1 << 18
 START = 0xFF
 #: Bytes of the stretch that is judged apart from the mean; 3 to 5 told toxic documents best, 8 hardly did.
 WINDOW = 4
-#: Held-out texts that a language needs for bounds by its own quantiles alone: at 0.99, one of them lies above.
+#: Held-out texts of a language at which its own quantiles and those over all languages weigh the same.
 SUPPORT = 100
 #: Bytes of a document that one row of rare values is about, so that no row grows with a document.
 PIECE = 1 << 14
@@ -79,9 +80,9 @@ def _context(code: Column) -> Column:
     return F.shiftright(code, 8)
 
 
-def _suffix(code: Column, order: int) -> Column:
-    """The n-gram without its first byte."""
-    return code.bitwiseAND(F.lit((1 << (8 * (order - 1))) - 1))
+def _last(code: Column, order: int) -> Column:
+    """The last ``order`` bytes of an n-gram."""
+    return code.bitwiseAND(F.lit((1 << (8 * order)) - 1))
 
 
 def discounts(counts: list[int]) -> tuple[float, float, float]:
@@ -95,61 +96,110 @@ def discounts(counts: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(x, 0.05), k - 0.05) for k, x in zip((1, 2, 3), d, strict=True))  # type: ignore[return-value]
 
 
+#: Orders whose probabilities, of all n-grams there can be, go to the tasks as one array: 65,536 numbers.
+DENSE = 2
+
+
+def dense_level(counts: np.ndarray, cuts: tuple[float, float, float], below: np.ndarray) -> np.ndarray:
+    """Probabilities of all n-grams of one order from their counts and the probabilities of the order below."""
+    n = counts.reshape(-1, 256).astype(np.float64)
+    cut = np.where(n == 1, cuts[0], np.where(n == 2, cuts[1], cuts[2])) * (n > 0)
+    total = n.sum(axis=1, keepdims=True)
+    some = np.maximum(total, 1)
+    back = np.where(total > 0, cut.sum(axis=1, keepdims=True) / some, 1.0)
+    lower = below[np.arange(counts.size) % below.size].reshape(n.shape)
+    return ((n - cut) / some + back * lower).ravel()
+
+
+def _adder(low: np.ndarray, sought: str, out: str):
+    """Add the dense probability of each ``sought`` n-gram's last bytes."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(sought).to_numpy() & (low.size - 1)
+            yield batch.append_column(out, pa.array(low[at]))
+
+    return add
+
+
 class Model:
-    """Tables of a trained model. ``grams[k]``: (code, p); ``backs[k]``: (context, b) of contexts of k-1 bytes.
+    """Tables of a trained model.
 
-    p is the interpolated probability of a seen n-gram, b the weight of the lower order after a seen context.
-    Below order 1 all 256 bytes are equally likely.
+    ``low`` has the probabilities of all n-grams of the lowest orders. ``table`` (kind, key, value) has those of the
+    seen n-grams of each higher order k, with kind 2 k, and with kind 2 k + 1 the weight of the lower order after each
+    seen context of k - 1 bytes. Below order 1 all 256 bytes are equally likely.
     """
 
-    def __init__(self, order: int, grams: dict[int, DataFrame], backs: dict[int, DataFrame]):
-        self.order, self.grams, self.backs = order, grams, backs
+    def __init__(self, order: int, low: np.ndarray, table: DataFrame | None):
+        self.order, self.low, self.table = order, low, table
 
     def score(self, asked: DataFrame) -> DataFrame:
         """``(code, log_p)`` for the distinct ``code`` values of ``asked``, seen or not.
 
-        From order 1 upwards: a seen n-gram has its own probability, an unseen one that of its suffix times the
-        weight of its context if this was seen.
+        From the lowest orders upwards: a seen n-gram has its own probability, an unseen one that of its suffix times
+        the weight of its context if this was seen. All that is asked for one n-gram is joined with the model at once.
         """
-        rows = asked.select("code").withColumn("p", F.lit(1 / 256))
-        for k in range(1, self.order + 1):
-            gram = F.col("code").bitwiseAND(F.lit((1 << (8 * k)) - 1))
-            rows = rows.withColumns({"gram": gram, "context": _context(gram)})
-            rows = rows.join(self.grams[k].toDF("gram", "seen"), "gram", "left")
-            rows = rows.join(self.backs[k].toDF("context", "b"), "context", "left")
-            p = F.coalesce("seen", F.col("p") * F.coalesce("b", F.lit(1.0)))
-            rows = rows.select("code", p.alias("p"))
-        return rows.select("code", F.log("p").alias("log_p"))
+        rows = asked.select("code").mapInArrow(_adder(self.low, "code", "p"), "code long, p double")
+        if self.table is None:
+            return rows.select("code", F.log("p").alias("log_p"))
+        code, orders = F.col("code"), range(DENSE + 1, self.order + 1)
+        sought = [
+            F.struct(F.lit(2 * k + back).alias("kind"), key.alias("key"))
+            for k in orders
+            for back, key in ((0, _last(code, k)), (1, _context(_last(code, k))))
+        ]
+        found = asked.select("code", F.inline(F.array(*sought))).join(self.table, ["kind", "key"]).select("code", "kind", "value")
+        found = found.unionByName(rows.select("code", F.lit(0).alias("kind"), F.col("p").alias("value")))
+
+        def of(kind: int) -> Column:
+            return F.max(F.when(F.col("kind") == kind, F.col("value")))
+
+        kinds = [0, *(2 * k + back for k in orders for back in (0, 1))]
+        levels = found.groupBy("code").agg(*(of(kind).alias(f"v{kind}") for kind in kinds))
+        p = F.col("v0")
+        for k in orders:
+            p = F.coalesce(f"v{2 * k}", p * F.coalesce(f"v{2 * k + 1}", F.lit(1.0)))
+        return levels.select("code", F.log(p).alias("log_p"))
 
 
 def train(texts: DataFrame, order: int = ORDER, text_col: str = "text") -> Model:
-    """Fit the model on all ``texts``; their n-gram tables are written to the shared folder."""
+    """Fit the model on all ``texts``; their n-gram tables are written to the shared folder.
+
+    The two lowest orders are worked out on the driver, from one row at most for each pair of bytes. A context has no
+    more than 256 n-grams, so these stand in one row with it while it is summed.
+    """
     counts = {order: written(ngram_counts(texts, order, text_col), "kn-counts")}
     for k in range(order - 1, 0, -1):
-        shorter = counts[k + 1].groupBy(_suffix(F.col("code"), k + 1).alias("code"))
+        shorter = counts[k + 1].groupBy(_last(F.col("code"), k).alias("code"))
         counts[k] = written(shorter.agg(F.count("*").alias("n")), "kn-counts")
-    grams: dict[int, DataFrame] = {}
-    backs: dict[int, DataFrame] = {}
+    low, tables, below = np.full(1, 1 / 256), [], None
     for k in range(1, order + 1):
         levels = counts[k].agg(*(F.count_if(F.col("n") == c).alias(f"n{c}") for c in (1, 2, 3, 4))).first()
-        d1, d2, d3 = discounts(list(levels))
-        cut = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
+        cuts = discounts(list(levels))
+        if k <= DENSE:
+            seen = counts[k].toPandas()
+            dense = np.zeros(256**k, np.int64)
+            dense[seen["code"].to_numpy(np.int64)] = seen["n"].to_numpy(np.int64)
+            low = dense_level(dense, cuts, low)
+            continue
+        cut = F.when(F.col("n") == 1, cuts[0]).when(F.col("n") == 2, cuts[1]).otherwise(cuts[2])
         by_context = counts[k].groupBy(_context(F.col("code")).alias("context"))
-        contexts = written(
-            by_context.agg(F.sum("n").alias("total"), (F.sum(cut) / F.sum("n")).alias("b")), "kn-contexts"
+        contexts = by_context.agg(
+            F.sum("n").alias("total"), (F.sum(cut) / F.sum("n")).alias("b"), F.collect_list(F.struct("code", "n")).alias("grams")
         )
-        rows = counts[k].withColumns({"cut": cut, "context": _context(F.col("code"))}).join(contexts, "context")
-        if k == 1:
-            lower = F.lit(1 / 256)
+        contexts = written(contexts, "kn-contexts")
+        rows = contexts.select("total", "b", F.inline("grams")).withColumn("suffix", _last(F.col("code"), k - 1))
+        if below is None:
+            schema = "total long, b double, code long, n long, suffix long, lower double"
+            rows = rows.mapInArrow(_adder(low, "suffix", "lower"), schema)
         else:
-            below = grams[k - 1].toDF("suffix", "lower")
-            rows = rows.withColumn("suffix", _suffix(F.col("code"), k)).join(below, "suffix", "left")
             # Every suffix was seen, as counts come from the higher order.
-            lower = F.col("lower")
-        p = (F.col("n") - F.col("cut")) / F.col("total") + F.col("b") * lower
-        grams[k] = written(rows.select("code", p.alias("p")), "kn-grams")
-        backs[k] = contexts.select("context", "b")
-    return Model(order, grams, backs)
+            rows = rows.join(below.select(F.col("code").alias("suffix"), F.col("p").alias("lower")), "suffix")
+        p = (F.col("n") - cut) / F.col("total") + F.col("b") * F.col("lower")
+        below = written(rows.select("code", p.alias("p")), "kn-grams")
+        tables.append(below.select(F.lit(2 * k).alias("kind"), F.col("code").alias("key"), F.col("p").alias("value")))
+        tables.append(contexts.select(F.lit(2 * k + 1).alias("kind"), F.col("context").alias("key"), F.col("b").alias("value")))
+    return Model(order, low, reduce(DataFrame.unionByName, tables) if tables else None)
 
 
 # --- scoring ---------------------------------------------------------------------------------------------------
@@ -349,9 +399,9 @@ def judge_quality(
     in ``held_out`` of them, by a hash of the id, is kept out of the training; its perplexities give each language
     its ``low`` and ``high`` quantile (``low`` 0: no lower bound). ``surprise``, what the least likely ``WINDOW`` bytes
     cost in nats a byte, has a ``high`` quantile of its own. A document is kept if its perplexity lies between those of
-    its language and its surprise is not above. A language with fewer than ``support`` held-out texts has the wider
-    of its own bounds and those over all languages, as the quantile of a few is their maximum; one without any, or a
-    null one, has those over all languages. Empty and null
+    its language and its surprise is not above. The quantile of a few texts says little, so a language's bound is
+    the mean of its own quantile, weighed by its held-out texts, and the one over all languages, weighed by ``support``;
+    a language without any, or a null one, has those over all languages. Empty and null
     texts have no perplexity and are not kept. Without any trusted document nothing can be judged: every text with
     a byte is kept. Where rows repeat an id they are one document, in the first of their languages.
     """
@@ -375,13 +425,12 @@ def judge_quality(
     by_lang = held.groupBy("lang").agg(*marks, F.count("*").alias("texts")).filter("lang is not null")
     overall = held.agg(*marks).first()
 
-    def bound(mark: str, none: float, wider) -> Column:
+    def bound(mark: str, none: float) -> Column:
         every = F.lit(none if overall[mark] is None else overall[mark])
-        return F.coalesce(F.when(F.col("texts") >= support, F.col(mark)), wider(F.col(mark), every))
+        own = (F.col("texts") * F.col(mark) + F.lit(support) * every) / (F.col("texts") + F.lit(support))
+        return F.coalesce(own, every)
 
-    # The wider of two bounds passes over a null.
-    lo = bound("lo", 0.0, F.least)
-    hi, top = bound("hi", float("inf"), F.greatest), bound("top", float("inf"), F.greatest)
+    lo, hi, top = bound("lo", 0.0), bound("hi", float("inf")), bound("top", float("inf"))
     within = (F.col("perplexity") >= lo) & (F.col("perplexity") <= hi) & (F.col("surprise") <= top)
     kept = F.coalesce(within, F.lit(False))
     # Spark picks the join: one row for each language with trusted text.

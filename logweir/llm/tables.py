@@ -3,10 +3,11 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweir.operators.skew import fits_broadcast
 from logweir.workspace import new_folder
 
 SPACES = r"\x20\x09-\x0D"
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -20,8 +21,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def small_or_shuffled(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcasting if it has at most ``rows`` rows of fixed-width columns; else leave it alone."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """Mark ``df`` for broadcasting if it has at most ``rows`` rows and ``BROADCAST_BYTES``; else leave it alone."""
+    return F.broadcast(df) if fits_broadcast(df, rows, BROADCAST_BYTES) else df
 
 
 def word_list(text: Column) -> Column:
