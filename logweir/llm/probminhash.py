@@ -27,8 +27,9 @@ BANDS, ROWS = 32, 4
 ROUNDS = ((0, 2), (3, 1 << 20))
 #: Candidates must agree in this share of the 128 registers: five standard deviations below a similarity of 0.8.
 MARGIN = 5
-#: Members of a band bucket that are compared with one another at once.
+#: Members of a band bucket that are compared with one another at once, and the bytes of their texts.
 CELL = 1024
+CELL_BYTES = 16 << 20
 
 
 # --- signatures ------------------------------------------------------------------------------------------------
@@ -67,6 +68,25 @@ def signatures(n: int, owner: np.ndarray, hashes: np.ndarray, weights: np.ndarra
     return winner.reshape(n, registers)
 
 
+def digests(hashes: np.ndarray, owner: np.ndarray, n: int) -> list[np.ndarray]:
+    """Two digests of the weighted shingles of each of n texts."""
+    made = [np.zeros(n, np.uint64) for _ in range(2)]
+    for k, sums in enumerate(made, 1):
+        np.add.at(sums, owner, mixed(hashes ^ times(BASE, k)))
+    return made
+
+
+def _digester(shingle: int):
+    """Per text: its id, the first of its digests and itself."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            d1 = digests(*shingle_hashes(block.column("text"), shingle), block.num_rows)[0]
+            yield pa.record_batch({"id": block.column("id"), "d1": d1.view(np.int64), "text": block.column("text").cast(pa.string())})
+
+    return digest
+
+
 def _signer(text: str, shingle: int, bands: int, rows: int):
     """Per text: a digest of its weighted shingles, its bands, and one byte of each register."""
 
@@ -75,9 +95,7 @@ def _signer(text: str, shingle: int, bands: int, rows: int):
             n = block.num_rows
             hashes, owner = shingle_hashes(block.column(text), shingle)
             some = np.bincount(owner, minlength=n) > 0
-            digest = [np.zeros(n, np.uint64) for _ in range(2)]
-            for k, sums in enumerate(digest, 1):
-                np.add.at(sums, owner, mixed(hashes ^ times(BASE, k)))
+            digest = digests(hashes, owner, n)
             sig = signatures(n, *weighted(owner, hashes), bands * rows)
             buckets = np.zeros((n, bands), np.uint64)
             for r in range(rows):
@@ -117,43 +135,71 @@ def _agreeing(registers: int, least: int):
     return agree
 
 
-def _crossing(registers: int, least: int):
-    """Of rows sorted by cell, pairs in one cell but two components that agree in enough registers."""
+def _crossing(registers: int, least: int, shingle: int, similarity: float):
+    """Of rows sorted by cell, the pairs in one cell but two components whose texts are similar enough.
+
+    A pair is looked at in the first of the bands that it shares. The shingles of a text are made once for its cell, and
+    only if a pair with it agrees in enough registers. Components that a pair has linked need no further pair.
+    """
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.RecordBatch | None = None
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            if rest is not None:
-                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
             cell = batch.column("cell").to_numpy()
-            # The last cell may go on in the next batch.
-            whole = int(np.searchsorted(np.cumsum(np.append(False, cell[1:] != cell[:-1])), _last_cell(cell)))
-            rest = batch.slice(whole)
-            yield from found(batch.slice(0, whole))
-        if rest is not None:
-            yield from found(rest)
-
-    def found(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        cell, comp = batch.column("cell").to_numpy(), batch.column("component").to_numpy()
-        ids, sig = batch.column("id").to_numpy(), _matrix(batch.column("sig"), registers)
-        left = np.arange(len(cell) - 1)
-        step = 1
-        while len(left):
-            left = left[left + step < len(cell)]
-            left = left[cell[left] == cell[left + step]]
-            two = left[comp[left] != comp[left + step]]
-            for part in np.array_split(two, max(1, len(two) // 50_000)):
-                near = part[(sig[part] == sig[part + step]).sum(axis=1) >= least]
-                if len(near):
-                    yield pa.record_batch({"a": ids[near], "b": ids[near + step]})
-            step += 1
+            ends = [*(np.flatnonzero(cell[1:] != cell[:-1]) + 1).tolist(), len(cell)]
+            first = 0
+            for last in ends:
+                part = batch.slice(first, last - first)
+                if held and held[0].column("cell")[0] != part.column("cell")[0]:
+                    yield found(held)
+                    held = []
+                held.append(part)
+                first = last
+        if held:
+            yield found(held)
+
+    def found(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        members = pa.Table.from_batches(parts).combine_chunks()
+        ids, comp = members.column("id").to_numpy(), members.column("component").to_numpy()
+        sig = _matrix(members.column("sig"), registers)
+        bands = np.array(members.column("bands").to_pylist(), np.int64).reshape(len(ids), -1)
+        earlier = np.arange(bands.shape[1]) < members.column("band").to_numpy()[0]
+        # Members of one row of the grid meet in the cell of that row alone.
+        own = members.column("own").to_numpy()
+        alone = (own == own[0]).all()
+        texts = members.column("text").combine_chunks()
+        vectors: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        head = {c: c for c in comp.tolist()}
+
+        def vector(k: int) -> tuple[np.ndarray, np.ndarray]:
+            if k not in vectors:
+                owner, hashes, weight = weighted(*_flipped(shingle_hashes(texts.slice(k, 1).cast(pa.large_string()), shingle)))
+                vectors[k] = hashes, weight
+            return vectors[k]
+
+        def top(c: int) -> int:
+            while head[c] != c:
+                head[c] = c = head[head[c]]
+            return c
+
+        links = []
+        for i in range(len(ids) - 1):
+            rest = np.arange(i + 1, len(ids))
+            rest = rest[(comp[rest] != comp[i]) & (alone | (own[rest] != own[i]))]
+            rest = rest[(sig[rest] == sig[i]).sum(axis=1) >= least]
+            rest = rest[~((bands[rest] == bands[i]) & earlier).any(axis=1)]
+            for j in rest.tolist():
+                a, b = top(int(comp[i])), top(int(comp[j]))
+                if a != b and probability_jaccard(vector(i), vector(j)) >= similarity:
+                    head[a] = b
+                    links.append((ids[i], ids[j]))
+        return pa.record_batch({k: pa.array([x[n] for x in links], pa.int64()) for n, k in enumerate("ab")})
 
     return cross
 
 
-def _last_cell(cell: np.ndarray) -> int:
-    """Number of changes of the cell before the last cell begins."""
-    return int((cell[1:] != cell[:-1]).sum())
+def _flipped(found: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return found[1], found[0]
 
 
 # --- verification ------------------------------------------------------------------------------------------------
@@ -247,8 +293,8 @@ def near_classes(
     copies = signed.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
     members = written(signed.select("id", "d1", "d2").join(copies, ["d1", "d2"]).select("id", "rep"), "near-members")
     alone = signed.join(members.filter("id = rep").select("id").distinct(), "id", "left_semi")
-    sigs = written(alone.select("id", "bands", "sig"), "near-sigs")
-    placed = sigs.select("id", F.posexplode("bands").alias("band", "bucket"))
+    sigs = written(alone.select("id", "d1", "bands", "sig").dropDuplicates(["id", "d1"]), "near-sigs")
+    placed = sigs.select("id", "d1", F.posexplode("bands").alias("band", "bucket"))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
     crowd = written(placed.join(sizes, "bucket"), "near-buckets")
     # A text that others are variants of shares more with them than they do with one another, and so has more company
@@ -260,7 +306,7 @@ def near_classes(
     shared = written(crowd.join(leaders, "bucket"), "near-leaders")
 
     sig = sigs.select("id", "sig")
-    links, tried, found = None, None, None
+    links, found = None, None
     # In a large group every band says the same again: a later round asks only for pairs still apart.
     for first, last in ROUNDS:
         pairs = shared.filter(F.col("band").between(first, last) & (F.col("id") != F.col("leader")))
@@ -271,24 +317,26 @@ def near_classes(
         starred = written(known.mapInArrow(_agreeing(registers, least), "a long, b long"), "near-pairs")
         now = _links(named, starred, shingle, similarity)
         links = now if links is None else links.unionByName(now)
-        tried = starred if tried is None else tried.unionByName(starred)
         found = components(links)
 
     of = shared.join(found.withColumnRenamed("node", "id"), "id", "left").select(
-        "bucket", "size", "id", F.coalesce("component", "id").alias("component")
+        "bucket", "band", "size", "id", "d1", F.coalesce("component", "id").alias("component")
     )
     mixed_up = of.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    of = of.join(mixed_up.filter("lo != hi").select("bucket"), "bucket")
-    grid = F.ceil(F.col("size") / CELL).cast("int")
-    own = F.pmod(F.xxhash64("id"), grid).cast("int")
-    cells = of.withColumn("grid", grid).withColumn("own", own)
+    of = written(of.join(mixed_up.filter("lo != hi").select("bucket"), "bucket"), "near-mixed")
+    # Texts go to the cells, and each pair is settled there: a pair is never a row.
+    needed = named.join(small_or_shuffled(of.select("id").distinct()), "id", "left_semi")
+    content = needed.mapInArrow(_digester(shingle), "id long, d1 long, text string").dropDuplicates(["id", "d1"])
+    content = written(content.join(sigs, ["id", "d1"]).withColumn("bytes", F.octet_length("text").cast("long")), "near-contents")
+    weight = of.join(content.select("id", "d1", "bytes"), ["id", "d1"]).groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
+    grid = F.ceil(F.greatest(F.col("size") / CELL, F.col("bytes") / CELL_BYTES)).cast("int")
+    cells = of.join(weight, "bucket").withColumn("grid", grid).withColumn("own", F.pmod(F.xxhash64("id"), F.col("grid")).cast("int"))
     # Member i of a grid meets member j in cell (min, max): with one cell for all small buckets.
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("grid") - 1)))
     cells = cells.withColumn("cell", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")))
-    cells = cells.select("cell", "component", "id").join(sig, "id").repartition("cell").sortWithinPartitions("cell", "id")
-    crossed = cells.mapInArrow(_crossing(registers, least), "a long, b long").distinct()
-    crossed = crossed.join(tried, ["a", "b"], "left_anti")
-    more = _links(named, written(crossed, "near-pairs"), shingle, similarity)
+    cells = cells.select("cell", "own", "band", "component", "id", "d1").join(content.drop("bytes"), ["id", "d1"])
+    cells = cells.repartition("cell").sortWithinPartitions("cell", "id")
+    more = written(cells.mapInArrow(_crossing(registers, least, shingle, similarity), "a long, b long").distinct(), "near-links")
 
     final = components(links.unionByName(more)).withColumnRenamed("node", "rep")
     classes = members.join(final, "rep", "left").select("id", F.coalesce("component", "rep").alias("class_id"))
