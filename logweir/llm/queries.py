@@ -16,7 +16,7 @@ from logweir.llm.mixing import mix
 from logweir.llm.packing import pack
 from logweir.llm.piece_scan import decode_pieces, encode_pieces
 from logweir.llm.probminhash import near_classes
-from logweir.llm.suffix_dedup import cut_texts
+from logweir.llm.suffix_dedup import cut_rows
 from logweir.llm.tables import table
 from logweir.llm.token_files import read_token_files, write_token_files
 from logweir.llm.url_filter import judge_urls
@@ -34,17 +34,16 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    cut = cut_texts(docs).select("doc_id", "n_removed", "n_spans", F.sha2("left", 256).alias("sha"))
     text = F.coalesce("text", F.lit(""))
-    whole = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("own"))
+    keep = ["doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("own")]
+    cut = cut_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=keep)
     nothing = F.lit(0).cast("long")
-    return whole.join(cut, "doc_id", "left").select(
+    return cut.select(
         "doc_id",
         "n_bytes",
-        F.coalesce("n_removed", nothing).alias("n_removed"),
-        F.coalesce("n_spans", nothing).alias("n_spans"),
-        F.coalesce("sha", "own").alias("kept_sha256"),
+        F.coalesce("cut.n_removed", nothing).alias("n_removed"),
+        F.coalesce("cut.n_spans", nothing).alias("n_spans"),
+        F.coalesce(F.sha2("cut.left", 256), "own").alias("kept_sha256"),
     )
 
 
@@ -131,6 +130,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES = {
+    # Bytes are pairs of hexadecimal digits here.
+    "op2_suffix_dedup": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), parts AS (
+            SELECT k, 1000 * b AS base, h[2000 * b + 1:2000 * b + 2398] AS part
+            FROM (SELECT k, h, unnest(range(0, greatest(length(h) // 2 + 800, 0) // 1000)) AS b FROM d)
+        ), starts AS MATERIALIZED (
+            SELECT k, base + i AS i, md5_number(part[2 * i + 1:2 * i + 400]) AS g
+            FROM (SELECT k, base, part, unnest(range(0, least(1000, length(part) // 2 - 199))) AS i FROM parts)
+        ), again AS (
+            SELECT k, i FROM starts WHERE g IN (SELECT g FROM starts GROUP BY g HAVING count(*) > 1)
+        ), marked AS (
+            SELECT *, coalesce(i > lag(i) OVER (PARTITION BY k ORDER BY i) + 200, true) AS new FROM again
+        ), runs AS (
+            SELECT *, count_if(new) OVER (PARTITION BY k ORDER BY i) AS run FROM marked
+        ), spans AS (
+            SELECT k, min(i) AS first, max(i) + 200 AS last FROM runs GROUP BY k, run
+        ), gaps AS (
+            SELECT k, first, last, coalesce(lag(last) OVER (PARTITION BY k ORDER BY first), 0) AS begin FROM spans
+        ), cut AS (
+            SELECT k, sum(last - first)::BIGINT AS n_removed, count(*) AS n_spans, max(last) AS tail,
+                   string_agg(h[2 * begin + 1:2 * first], '' ORDER BY first) AS kept
+            FROM gaps JOIN d USING (k) GROUP BY k
+        )
+        SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept || h[2 * tail + 1:], h))) AS kept_sha256
+        FROM d LEFT JOIN cut USING (k)
+    """,
     "op10_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,

@@ -13,17 +13,21 @@ and a start whose common prefix with a neighbour has ``length`` bytes is repeate
 """
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir.llm.tables import free_name, written
 from logweir.llm.textbytes import BASE, BASE_INVERSE, VALUES, blocks, bytes_of, mixed, powers, range_hashes
+from logweir.operators.skew import hot_keys, lookup_join, salted_join
 
 LENGTH = 200
 GRAM = 64
+#: Bits of a place in a block; a text has less than 2 GB.
+PLACE_BITS = 31
 #: Bytes of text searched for anchors at once; the arrays made of them should stay in a processor's cache.
 ANCHOR_BYTES = 250_000
 #: Bytes of pieces in one suffix array; a place in it must fit into 21 bits.
@@ -52,8 +56,9 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
     np.cumsum(VALUES[data] * powers(BASE, len(data)), out=sums[1:])
     hashes = mixed((sums[gram:] - sums[:-gram]) * powers(BASE_INVERSE, n))
     # Minimum of each run of ``width`` hashes: prefix minima from the right and the left of blocks of that width.
-    # The place in the low bits makes the first of equal hashes the smallest.
-    bits = np.uint64(max(1, int(n).bit_length()))
+    # The place in the low bits makes the first of equal hashes the smallest. The high bits left to the hashes are as
+    # many in every block, so that equal strings have equal anchors wherever they stand.
+    bits = np.uint64(PLACE_BITS)
     keyed = ((hashes >> bits) << bits) | np.arange(n, dtype=np.uint64)
     fill = -n % width
     grid = np.append(keyed, np.full(fill, np.iinfo(np.uint64).max, np.uint64)).reshape(-1, width)
@@ -457,16 +462,17 @@ def cut_texts(
     Every byte goes that is covered by a string of ``length`` bytes which starts at another place of the corpus too,
     in the same text or another; strings are judged on the input. ``left`` has the remaining bytes. They can end
     within a character, as strings are bytes; with ``whole`` such a character goes too. Null texts are empty; texts shorter than ``length`` lose nothing.
-    Ids must be unique: rows that repeat an id with other text are an error of the input, those with equal text
-    count as copies of one another. A row with a null id takes part in nothing and is returned by nothing.
+    Ids must be unique; ``cut_rows`` takes any. A row with a null id takes part in nothing and is returned by nothing.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.filter("id is not null")
     long_enough = texts.filter(F.octet_length("text") >= length)
     places = long_enough.mapInArrow(_finder(length, gram), "id long, anchor long, first int, last int")
-    again = places.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    again = written(places.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "suffix-anchors")
     run = F.struct("anchor", "first", "last")
-    runs = places.join(again, "anchor").groupBy("id").agg(F.collect_list(run).alias("runs"))
+    # An anchor that many documents quote has its places spread over many tasks.
+    hot = hot_keys(again, ["anchor"], "n")
+    runs = salted_join(places, again.select("anchor"), ["anchor"], "inner", hot, ["id", "first"]).groupBy("id").agg(F.collect_list(run).alias("runs"))
     candidates = written(long_enough.join(runs, "id"), "suffix-candidates")
 
     schema = "id long, anchor long, first int, last int, d1 long, d2 long, bytes binary"
@@ -475,7 +481,9 @@ def cut_texts(
     different = written(different, "suffix-pieces")
     marks = written(_marks(different, length, gram), "suffix-marks")
 
-    where = pieces.select("id", "anchor", "first", "d1", "d2").join(marks, ["anchor", "d1", "d2"])
+    keys = ["anchor", "d1", "d2"]
+    some = pieces.select("id", "anchor", "first", "d1", "d2")
+    where = salted_join(some, marks, keys, "inner", hot_keys(different, keys, "n"), ["id", "first"])
     span = where.select("id", "first", F.explode("starts").alias("s")).select(
         "id", F.struct((F.col("first") + F.col("s.first")).alias("first"), (F.col("first") + F.col("s.last")).alias("last")).alias("span")
     )
@@ -486,13 +494,83 @@ def cut_texts(
     )
 
 
+class Keyed(NamedTuple):
+    """``rows``: the documents with a key; ``texts``: (id, text) of each key; ``twins``: (id, n_bytes) of the keys that
+    several rows have."""
+
+    rows: DataFrame
+    texts: DataFrame
+    twins: DataFrame
+
+
+def with_keys(docs: DataFrame, id_col: str, text_col: str, own: str) -> Keyed:
+    """``docs`` with a key in the new column ``own``, which tells different texts apart that have one id or none.
+
+    A row's key is its id where no other row has that. Rows of repeated ids and of the null id get new keys, rows of
+    equal id and text the same one. New keys lie above all ids; where no room is there, all rows get one.
+    """
+    plain = docs.withColumn(own, F.col(id_col).cast("long"))
+    ids = plain.select(own)
+    odd = written(ids.groupBy(own).agg(F.count("*").alias("n")).filter(f"n > 1 or `{own}` is null").select(own), "suffix-odd-ids")
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    if odd.isEmpty():
+        nothing = plain.limit(0).select(F.col(own).alias("id"), F.lit(0).cast("long").alias("n_bytes"))
+        return Keyed(plain, plain.select(F.col(own).alias("id"), text), nothing)
+    highest = ids.agg(F.max(own)).first()[0]
+    highest = -1 if highest is None else highest
+    mark, content = free_name("odd", plain.columns), free_name("content", plain.columns)
+    if highest < 1 << 62:
+        known = odd.filter(F.col(own).isNotNull()).withColumn(mark, F.lit(True))
+        marked = lookup_join(plain, known, [own], "left", [text_col])
+        marked = marked.withColumn(mark, F.coalesce(mark, F.col(own).isNull()))
+        first = highest + 1
+    else:
+        marked, first = plain.withColumn(mark, F.lit(True)), 0
+    usual = marked.filter(~F.col(mark)).drop(mark)
+    strange = marked.filter(mark).withColumn(content, text).drop(mark)
+    numbered = strange.groupBy(F.col(own).alias("of"), F.col(content).alias("text")).agg(F.count("*").alias("times"))
+    numbered = written(numbered.withColumn("id", F.lit(first) + F.monotonically_increasing_id()), "suffix-odd-rows")
+    same = F.col(own).eqNullSafe(F.col("of id")) & (F.col(content) == F.col("of text"))
+    found = strange.join(numbered.select(F.col("of").alias("of id"), F.col("text").alias("of text"), F.col("id").alias("new id")), same)
+    rows = usual.unionByName(found.withColumn(own, F.col("new id")).select(*plain.columns))
+    texts = usual.select(F.col(own).alias("id"), text).unionByName(numbered.select("id", "text"))
+    twins = numbered.filter("times > 1").select("id", F.octet_length("text").cast("long").alias("n_bytes"))
+    return Keyed(rows, texts, twins)
+
+
+def cut_rows(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    out: str = "cut",
+    keep: list[Column | str] | None = None,
+    length: int = LENGTH,
+    whole: bool = False,
+    **options,
+) -> DataFrame:
+    """Each row of ``docs``, its columns (or ``keep``) and ``out``: (n_removed, n_spans, left), null if it loses nothing.
+
+    Rows may repeat an id, with the same text or another, or have none; each is a document of its own. A row whose
+    text of ``length`` bytes or more stands in another row too loses all of it.
+    """
+    own = free_name("key", [*docs.columns, out])
+    keyed = with_keys(docs, id_col, text_col, own)
+    cut = cut_texts(keyed.texts, "id", length=length, whole=whole, **options)
+    copies = keyed.twins.filter(F.col("n_bytes") >= length).select(
+        "id", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(b"").alias("left")
+    )
+    cut = cut.join(copies.select("id"), "id", "left_anti").unionByName(copies)
+    cut = cut.select(F.col("id").alias(own), F.struct("n_removed", "n_spans", "left").alias(out))
+    rows = keyed.rows if keep is None else keyed.rows.select(own, *keep)
+    return rows.join(cut, own, "left").drop(own)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with repeated strings taken out of their texts; all rows and columns stay, also unchanged texts.
 
-    A character that a removed string cuts through goes as a whole.
+    A character that a removed string cuts through goes as a whole. Ids may repeat or be null, see ``cut_rows``.
     """
-    cut = cut_texts(docs, id_col, text_col, whole=True, **options)
-    own, left = free_name("id", docs.columns), free_name("left", docs.columns)
-    small = cut.select(F.col(id_col).alias(own), F.col("left").cast("string").alias(left))
-    marked = docs.withColumn(own, F.col(id_col).cast("long")).join(small, own, "left")
-    return marked.withColumn(text_col, F.coalesce(left, text_col)).select(*docs.columns)
+    out = free_name("cut", docs.columns)
+    cut = cut_rows(docs, id_col, text_col, out, whole=True, **options)
+    left = F.col(f"`{out}`.left").cast("string")
+    return cut.withColumn(text_col, F.coalesce(left, text_col)).select(*docs.columns)

@@ -8,11 +8,13 @@ import pytest
 from edge import documents, odd_rows, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from logweir.llm import probminhash, suffix_dedup
 from logweir.llm.components import components
 from logweir.llm.probminhash import drop_near_copies, near_classes, probability_jaccard, signatures
-from logweir.llm.suffix_dedup import common_prefixes, cut_texts, remove_repeats, suffix_array
+from logweir.llm.queries import op2_suffix_dedup
+from logweir.llm.suffix_dedup import common_prefixes, cut_rows, cut_texts, remove_repeats, suffix_array
 
 
 def shingles(text):
@@ -154,16 +156,50 @@ def test_other_lengths(spark):
     assert {r.doc_id: (r.n_removed, r.n_spans, bytes(r.left)) for r in got} == cut([r[:2] for r in rows], 50)
 
 
+def strange_rows():
+    """All odd rows, repeated ids with the same text and others, and null ids with texts that stand elsewhere too."""
+    passage = prose(70, 60)
+    more = [(6, passage + " one", "en"), (5, passage + " two", "en"), (None, "three " + passage, "en"), (None, prose(2, 40), "en")]
+    more += [(-(1 << 40), prose(71, 90), "en")] * 3 + [(20, "short", "en")] * 2 + [(21, None, "en"), (21, "", "en"), (21, prose(72, 80), "de")]
+    return odd_rows() + more + [(40, "x" + prose(2, 40), "fr")]
+
+
+def expected_rows(rows, length=200):
+    """One result per row, each row being a document of its own."""
+    found = cut(list(enumerate(r[1] for r in rows)), length)
+    raw = [(r[1] or "").encode() for r in rows]
+    return Counter((r[0], len(x), *found.get(k, (0, 0, x))) for k, (r, x) in enumerate(zip(rows, raw, strict=True)))
+
+
+@pytest.mark.parametrize("top", [100, (1 << 63) - 1])
+def test_any_ids_equal_brute_force(spark, top):
+    rows = [*strange_rows(), (top, prose(73, 50), "en")]
+    keep = ["doc_id", "text", F.octet_length(F.coalesce("text", F.lit(""))).alias("n_bytes")]
+    got = cut_rows(documents(spark, rows).select("doc_id", "text"), keep=keep).collect()
+    made = [(r.doc_id, r.n_bytes, *((r.cut.n_removed, r.cut.n_spans, bytes(r.cut.left)) if r.cut else (0, 0, (r.text or "").encode()))) for r in got]
+    assert Counter(made) == expected_rows(rows)
+
+
 def test_remove_repeats_keeps_rows_and_columns(spark):
-    docs = documents(spark, [r for r in odd_rows() if r[0] != 6])
+    docs = documents(spark, strange_rows())
     out = remove_repeats(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
+    got, want = Counter((r.doc_id, (r.text or "").encode()) for r in out.collect()), expected_rows(strange_rows())
+    # Texts without characters that a span could cut.
+    assert {k: n for k, n in got.items() if k[0] != 10} == dict(Counter((i, left) for (i, _, _, _, left), n in want.items() for _ in range(n) if i != 10))
     texts = {r.doc_id: r.text for r in out.collect() if r.doc_id}
     assert texts[1] is None and texts[2] == "" and texts[4] == "one" and texts[11] == ""
     assert texts[8] == "" and texts[9] == " end"
     assert remove_repeats(documents(spark, [])).count() == 0
 
 
+def test_query_with_any_ids(spark, tmp_path):
+    rows = strange_rows()
+    documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    got = Counter(tuple(r) for r in op2_suffix_dedup(spark, str(tmp_path)).collect())
+    assert got == Counter((i, n, gone, runs, sha256(left).hexdigest()) for i, n, gone, runs, left in expected_rows(rows).elements())
+
+
 def test_a_cut_character_goes_as_a_whole(spark):
     same = "x" * 199 + "é"[:1]
     rows = [(1, "a" + same + "b", "en"), (2, "c" + "x" * 199 + "è" + "d", "en")]
