@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweir.llm.tables import SPACES, free_name, written
+from logweir.operators.skew import hot_keys, salted_join
 
 SALTS = 16
 
@@ -29,6 +30,11 @@ def _better() -> Column:
     return F.min(F.struct("minus_chars", "no_id", "id"))
 
 
+def _to_members(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Each member (id, digest) with its group; every digest has one group at most."""
+    return salted_join(members, groups, ["digest"], "inner", hot_keys(groups, ["digest"], "size"), ["id"])
+
+
 def exact_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -66,13 +72,14 @@ def exact_groups(
     groups = written(merged.drop("content"), "exact-groups")
     shared = groups.groupBy("digest").agg(F.count("*").alias("contents")).filter("contents > 1").select("digest")
     members = rows.select("id", "digest")
+    # The sizes are known, so the members of a hot digest are dealt out by their ids.
     if shared.isEmpty():
-        joined = members.join(groups.drop("check"), "digest")
+        joined = _to_members(members, groups.drop("check"))
     else:
-        alone = groups.join(shared, "digest", "left_anti").drop("check")
+        alone = written(groups.join(shared, "digest", "left_anti").drop("check"), "exact-alone")
         mixed = merged.drop("check").join(shared, "digest", "left_semi")
         again = rows.select("id", "digest", "content").join(shared, "digest", "left_semi")
-        joined = members.join(alone, "digest").unionByName(again.join(mixed, ["digest", "content"]).drop("content"))
+        joined = _to_members(members, alone).unionByName(again.join(mixed, ["digest", "content"]).drop("content"))
     return joined.select(
         F.col("id").alias(id_col),
         "keep_id",
