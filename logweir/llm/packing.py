@@ -1,60 +1,72 @@
 """Packing into batches by optimal length buckets.
 
-A global histogram of lengths goes to the driver; dynamic programming over it chooses the bucket boundaries that
-minimise padding over all documents. Inside a bucket, batches of a fixed token budget take documents in a fixed order.
+A global histogram of lengths goes to the driver, one row for each length there is: n different lengths need texts of
+n * n / 2 words in all, so a million of them stand for half a trillion words. Dynamic programming over it chooses the
+bucket boundaries that minimise padding over all documents. Inside a bucket, batches of a fixed token budget take documents in a fixed order.
 """
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweir.llm.tables import word_list, written
 
 BUCKETS = 16
 TOKEN_BUDGET = 65_536
-#: Lengths are told apart to three digits, so that the histogram has at most 900 rows for each power of ten.
-DIGITS = 3
 #: Rows numbered by one task.
 RUN = 100_000
 
 
-def rounded_up(length: Column) -> Column:
-    """``length`` rounded up to three significant digits: the length that the histogram counts."""
-    unit = F.pow(F.lit(10.0), F.greatest(F.floor(F.log10(F.greatest(length, F.lit(1)))) - (DIGITS - 1), F.lit(0)))
-    return (F.ceil(length / unit) * unit).cast("long")
-
-
 def best_boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """Boundaries, ascending, of at most ``buckets`` buckets that minimise the padding of ``counts`` documents.
 
     ``lengths`` ascend. A bucket's documents are padded to its boundary, the longest length in it. best[j] is the
     least total of boundary times documents for the first j lengths; each further bucket is one step of the
-    programme, over all pairs of its first and last length. Of equal totals the fewest and the shortest first
-    buckets win.
+    programme. A last bucket that begins behind length i costs best[i] - length_j * before[i], and length_j * before[j]
+    whatever i is: that is a line for each i, and the lengths ask for the lowest line at ever larger places. So a step
+    looks at each line a fixed number of times. Of equal totals the fewest and the shortest first buckets win.
     """
     m = len(lengths)
     if m == 0:
         return []
-    before = np.concatenate(([0], np.cumsum(counts))).astype(np.float64)
-    best = np.full(m + 1, np.inf)
-    best[0] = 0
+    longest = [int(x) for x in lengths]
+    # Whole numbers, as totals may pass what a float tells apart.
+    before = [0, *np.cumsum(counts).tolist()]
+    best: list[int | None] = [0] + [None] * m
     steps = []
     for _ in range(min(buckets, m)):
-        nxt, frm = np.full(m + 1, np.inf), np.zeros(m + 1, np.int64)
+        nxt: list[int | None] = [None] * (m + 1)
+        frm = [0] * (m + 1)
+        lines: list[int] = []
+        at = 0
         for j in range(1, m + 1):
-            total = best[:j] + lengths[j - 1] * (before[j] - before[:j])
-            frm[j] = int(np.argmin(total))
-            nxt[j] = total[frm[j]]
-        steps.append((nxt, frm))
+            new = best[j - 1]
+            if new is not None:
+                while len(lines) - at > 1 and _hidden(best, before, lines[-2], lines[-1], j - 1):
+                    lines.pop()
+                lines.append(j - 1)
+            if not lines:
+                continue
+            x = longest[j - 1]
+            while at + 1 < len(lines) and best[lines[at + 1]] - x * before[lines[at + 1]] < best[lines[at]] - x * before[lines[at]]:
+                at += 1
+            frm[j] = lines[at]
+            nxt[j] = best[frm[j]] + x * (before[j] - before[frm[j]])
+        steps.append((nxt[m], frm))
         best = nxt
-    k = min(range(len(steps)), key=lambda i: (steps[i][0][m], i))
+    k = min((total, i) for i, (total, _) in enumerate(steps) if total is not None)[1]
     out, j = [], m
     for _, frm in steps[k::-1]:
-        out.append(int(lengths[j - 1]))
-        j = int(frm[j])
+        out.append(longest[j - 1])
+        j = frm[j]
     return out[::-1]
 
 
+def _hidden(best: list, before: list[int], a: int, b: int, c: int) -> bool:
+    """Whether line b is nowhere below both its neighbours a and c, their slopes falling from a to c."""
+    return (best[c] - best[a]) * (before[b] - before[a]) <= (best[b] - best[a]) * (before[c] - before[a])
+
+
 def pack(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -80,7 +92,7 @@ def pack(
         F.col(id_col).alias("id"), F.greatest(F.coalesce(length, F.lit(0)), F.lit(0)).cast("long").alias("n_tokens")
     )
     rows = written(rows, "pack-lengths")
-    histogram = rows.groupBy(rounded_up(F.col("n_tokens")).alias("length")).agg(F.count("*").alias("n"))
+    histogram = rows.groupBy(F.col("n_tokens").alias("length")).agg(F.count("*").alias("n"))
     counted = sorted((r.length, r.n) for r in histogram.collect())
     some = [(k, n) for k, n in counted if k > 0]
     bounds = best_boundaries(np.array([k for k, _ in some]), np.array([n for _, n in some]), buckets)
