@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from logweir.llm import chat, kneser_ney, piece_scan
 from logweir.llm.kneser_ney import document_scores, discounts, judge_quality, keep_good, train
-from logweir.llm.packing import best_boundaries, pack, rounded_up
+from logweir.llm.packing import best_boundaries, pack
 from logweir.llm.piece_scan import SPACE, decode_pieces, encode_pieces, vocabulary
 from logweir.llm.token_files import read_documents, read_token_files, write_token_files
 from logweir.llm.url_filter import RULES, Rule, fit_urls, host_of, judge_urls, path_of
@@ -42,9 +42,40 @@ def test_boundaries_are_optimal(buckets):
     assert padding(got) == min(map(padding, ways)) and len(got) <= buckets and got == sorted(got)
 
 
-def test_rounding(spark):
-    rows = spark.createDataFrame([(x,) for x in (0, 1, 9, 999, 1000, 1001, 12345, 99999)], "x long")
-    assert [r.y for r in rows.select(rounded_up(F.col("x")).alias("y")).collect()] == [0, 1, 9, 999, 1000, 1010, 12400, 100000]
+def plain_padding(lengths, counts, buckets):
+    """Least padding by the plain programme over all pairs of a bucket's first and last length."""
+    before = np.concatenate(([0], np.cumsum(counts)))
+    best = np.array([0.0] + [np.inf] * len(lengths))
+    least = np.inf
+    for _ in range(buckets):
+        best = np.array([np.inf] + [np.min(best[:j] + lengths[j - 1] * (before[j] - before[:j])) for j in range(1, len(lengths) + 1)])
+        least = min(least, best[-1])
+    return int(least) - int((lengths * counts).sum())
+
+
+def padding_of(rows):
+    return sum(r.padded_to - r.n_tokens for r in rows)
+
+
+@pytest.mark.parametrize("buckets", [1, 5, 16])
+def test_boundaries_over_many_lengths(buckets):
+    rng = np.random.default_rng(buckets)
+    lengths = np.unique(np.concatenate((rng.integers(1, 400, 300), rng.integers(1000, 90_000, 200))))
+    counts = rng.integers(1, 1000, len(lengths)) ** 2
+    bounds = np.array(best_boundaries(lengths, counts, buckets))
+    got = int(((bounds[np.searchsorted(bounds, lengths)] - lengths) * counts).sum())
+    assert got == plain_padding(lengths, counts, buckets) and len(bounds) == buckets
+
+
+def test_query_pads_as_little_as_can_be(spark):
+    """Texts of up to 7,000 words, by the plain programme over their exact lengths."""
+    rng = np.random.default_rng(3)
+    sizes = [int(x) for x in rng.integers(1, 300, 150)] + [int(x) for x in rng.integers(900, 7000, 40)] + [0, 0]
+    docs = documents(spark, [(k, " ".join(["w"] * n), "en") for k, n in enumerate(sizes)])
+    rows = pack(docs, buckets=5).collect()
+    lengths, counts = np.unique([n for n in sizes if n], return_counts=True)
+    assert padding_of(rows) == plain_padding(lengths, counts, 5)
+    assert {r.padded_to for r in rows} <= {*sizes}
 
 
 def test_batches_fill_up(spark, monkeypatch):
@@ -333,6 +364,7 @@ def best_score(v, text):
 
 @pytest.mark.parametrize("chunk", [17, 40, piece_scan.CHUNK])
 def test_pieces_are_best_and_decode(spark, chunk):
+    # The plain programme takes minutes for the two very long texts, which have a test of their own.
     rows = [r for r in odd_rows() if r[0] not in (8, 9)]
     rows += [(100, "the  cat   sat\n" * 6, "en"), (101, "x" * 90 + " " * 40 + "y", "en"), (102, prose(4, 60), "en")]
     made = decode_pieces(encode_pieces(documents(spark, rows), PIECES, chunk=chunk), PIECES).collect()
@@ -349,10 +381,33 @@ def test_pieces_are_best_and_decode(spark, chunk):
     assert encode_pieces(documents(spark, []), PIECES).count() == 0
 
 
+def test_words_together_and_alone():
+    v = vocabulary(PIECES)
+    rng = np.random.default_rng(4)
+    letters = list("etaoinshrdlucmfwypvbgkqjxzéèüñ.,!?0123456789ABCDE漢😀")
+    words = {SPACE + "".join(rng.choice(letters, rng.integers(1, 30))) for _ in range(3000)} | {SPACE, SPACE * 5, "x", "the", SPACE + "z" * 64}
+    words = sorted(words)
+    assert piece_scan._segment_words(v, words) == [piece_scan._segment(v, w) for w in words]
+
+
+def test_choice_does_not_depend_on_chunks(spark):
+    """Very long texts give the ids of their words, one after the other."""
+    rows = [r for r in odd_rows() if r[0] in (8, 9, 11)] + [(12, "née ".join(["The cat, sat on  the mat."] * 4000), "en")]
+    v = vocabulary(PIECES)
+    want = {}
+    for i, t, _ in rows:
+        found = [piece_scan._segment(v, w) for w in piece_scan.WORD.findall(piece_scan.signed(t))]
+        want[i] = (sum(s for s, _ in found), b"".join(x for _, x in found))
+    for chunk in (5_000, piece_scan.CHUNK):
+        made = encode_pieces(documents(spark, rows), PIECES, chunk=chunk)
+        assert {r.doc_id: (r.score, np.array(r.ids, "<u4").tobytes()) for r in made.collect()} == want
+        assert {r.doc_id: r.text for r in decode_pieces(made, PIECES).collect()} == {i: t for i, t, _ in rows}
+
+
 def test_matrices_without_word_borders():
     """A vocabulary whose pieces cross words: no place is safe, and chunks still give the best score."""
     pieces = {c: (-10 * k - 50, k) for k, c in enumerate("abc" + SPACE)} | {"a" + SPACE + "b": (-30, 7), "bc" + SPACE: (-41, 8), "ca": (-60, 9)}
-    v = piece_scan.Vocabulary(pieces, [9] * 256, -500, 3, [], False, {})
+    v = piece_scan.Vocabulary(pieces, [9] * 256, -500, 3, [], False, [{}, {}])
     rng = np.random.default_rng(2)
     for _ in range(60):
         text = "".join(rng.choice(list("abc" + SPACE + "?"), 40))
