@@ -39,6 +39,8 @@ BLOCK_VOCABULARY = 300_000
 TILE = 512
 DENSE_TILES = 8
 DENSE = TILE * TILE // 16
+#: Shares of a language's phrases that are ranked apart first.
+SALTS = 32
 #: Pairs counted at once by a task.
 AT_ONCE = 2_000_000
 #: Rows up to which a table of frequent words or phrases is sent to the tasks; a larger one is joined.
@@ -173,8 +175,11 @@ def _positions(grams: np.ndarray, words: np.ndarray, length: int, context: int)
     return np.flatnonzero(both) + first
 
 
-def count_pairs(a: np.ndarray, b: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code ``a * width + b`` of each different pair, its count, and a place where it stands."""
+def count_pairs(a: np.ndarray, b: np.ndarray, width: int, with_places: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code ``a * width + b`` of each different pair, its count and, if wanted, a place where it stands.
+
+    Pairs of tiles that are filled come first; the others ascend.
+    """
     side = TILE * DENSE_TILES
     near = (a < side) & (b < side)
     tile = np.where(near, a // TILE * DENSE_TILES + b // TILE, -1)
@@ -193,12 +198,16 @@ def count_pairs(a: np.ndarray, b: np.ndarray, width: int) -> tuple[np.ndarray, n
         counts.append(n[used])
         places.append(place[used])
     left = np.flatnonzero(rest)
-    found, where, n = np.unique(a[left] * width + b[left], return_index=True, return_counts=True)
-    return np.concatenate([*codes, found]), np.concatenate([*counts, n]), np.concatenate([*places, left[where]])
+    sparse = a[left] * width + b[left]
+    if with_places:
+        found, where, n = np.unique(sparse, return_index=True, return_counts=True)
+        places.append(left[where])
+    else:
+        found, n = np.unique(sparse, return_counts=True)
+    return np.concatenate([*codes, found]), np.concatenate([*counts, n]), np.concatenate([np.zeros(0, np.int64), *places])
 
 
 _STREAMS = "block long, context int, grams binary, words binary"
-_COUNTS = "code long, suffix long, n long"
 
 
 def _stream_rows(table: pa.RecordBatch, kind: str, gram_kind: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -208,21 +217,29 @@ def _stream_rows(table: pa.RecordBatch, kind: str, gram_kind: str) -> Iterator[t
 
 
 def _count(batches: Iterator[pa.RecordBatch], length: int, width: int, kind: str, gram_kind: str) -> Iterator[pa.RecordBatch]:
-    """Codes of longer phrases and their counts, several blocks at once."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    """Codes of longer phrases and their counts, several blocks at once; beyond pairs with the number of the phrase
+    that all but the first word make."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
 
     def flush() -> pa.RecordBatch:
-        a, b, suffix = (np.concatenate(parts) for parts in zip(*held, strict=True))
-        codes, counts, places = count_pairs(a, b, width)
+        a, b, *suffix = (np.concatenate(parts) for parts in zip(*held, strict=True))
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(suffix[places]), pa.array(counts)], ["code", "suffix", "n"])
+        codes, counts, places = count_pairs(a, b, width, bool(suffix))
+        columns = {"code": pa.array(codes), "n": pa.array(counts)}
+        if suffix:
+            columns["suffix"] = pa.array(suffix[0][places])
+        return pa.RecordBatch.from_pydict(columns)
 
     for batch in batches:
         for _, context, grams, words in _stream_rows(batch, kind, gram_kind):
             at = _positions(grams, words, length, context)
-            held.append((grams[at], words[at + length], grams[at + 1]))
-            if sum(len(part[0]) for part in held) >= AT_ONCE:
+            rest = (grams[at + 1],) if length > 1 else ()
+            held.append((grams[at], words[at + length], *rest))
+            size += len(at)
+            if size >= AT_ONCE:
                 yield flush()
+                size = 0
     if held:
         yield flush()
 
@@ -232,7 +249,7 @@ def _used(batches: Iterator[pa.RecordBatch], length: int, width: int, kind: str,
     for batch in batches:
         for block, _, grams, words in _stream_rows(batch, kind, gram_kind):
             at = _positions(grams, words, length, 0)
-            codes, _, _ = count_pairs(grams[at], words[at + length], width)
+            codes, _, _ = count_pairs(grams[at], words[at + length], width, False)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(codes), block)), pa.array(codes)], ["block", "code"])
 
 
@@ -430,8 +447,11 @@ def mine_collocations(
     levels, gram_kind = [], kind
     for length in range(1, longest):
         how = {"length": length, "width": width, "kind": kind}
-        counted = streams.mapInArrow(partial(_count, **how, gram_kind=gram_kind), _COUNTS)
-        counted = counted.groupBy("code").agg(F.max("suffix").alias("suffix"), F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+        # Counts are added up in the tasks already: dealt out as they come, sorted, they take the least room.
+        schema = "code long, n long" if length == 1 else "code long, n long, suffix long"
+        counted = streams.mapInArrow(partial(_count, **how, gram_kind=gram_kind), schema).repartition("code")
+        suffix = F.max("suffix") if length > 1 else F.first(F.col("code") % max(width, 1))
+        counted = counted.groupBy("code").agg(suffix.alias("suffix"), F.sum("n").alias("n")).filter(F.col("n") >= min_count)
         grams, n_grams = _ranked(counted, ["code"], "phrase-grams")
         grams = grams.withColumn("prefix", F.expr(f"code div {max(width, 1)}L"))
         if length + 1 < longest:
@@ -441,9 +461,11 @@ def mine_collocations(
         shorter = written(_with_parts(grams.drop("code"), shorter), "phrase-parts")
         levels.append(shorter)
     made = [_scored(grams, longer, covered, scale) for grams, longer in zip(levels, [*levels[1:], None], strict=True)]
-    # Spark keeps the first rows of each language in the map tasks already.
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    first = reduce(DataFrame.unionByName, made).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # The first of each salt, then of each language: no task sorts all phrases of one.
+    salt, order = F.pmod(F.xxhash64("phrase"), F.lit(SALTS)), [F.desc("score"), F.desc("a"), F.col("phrase")]
+    first = reduce(DataFrame.unionByName, made).withColumn("salt", salt)
+    for keys in (["lang", "salt"], ["lang"]):
+        first = first.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= top)
     return lookup_join(first, totals, ["lang"], "inner", ["rank"]).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )

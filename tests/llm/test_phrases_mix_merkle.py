@@ -84,6 +84,7 @@ def test_pairs_in_dense_tiles():
     a, b = rng.integers(0, 5000, 400_000) % 700, rng.integers(0, 9000, 400_000)
     b[:300_000] %= 300
     codes, counts, places = count_pairs(a, b, 9000)
+    assert count_pairs(a, b, 9000, False)[0].tolist() == codes.tolist()
     want = Counter((a * 9000 + b).tolist())
     assert dict(zip(codes.tolist(), counts.tolist(), strict=True)) == want and len(codes) == len(want)
     assert (a[places] * 9000 + b[places] == codes).all()
