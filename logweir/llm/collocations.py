@@ -213,7 +213,9 @@ _STREAMS = "block long, context int, grams binary, words binary"
 def _stream_rows(table: pa.RecordBatch, kind: str, gram_kind: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     for k in range(table.num_rows):
         block, context, grams, words = (table.column(name)[k].as_py() for name in ("block", "context", "grams", "words"))
-        yield block, context, _read(grams, gram_kind), _read(words, kind)
+        found = _read(grams, gram_kind)
+        # Of single words one column says all.
+        yield block, context, found, _read(words, kind) if words else found
 
 
 def _count(batches: Iterator[pa.RecordBatch], length: int, width: int, kind: str, gram_kind: str) -> Iterator[pa.RecordBatch]:
@@ -288,7 +290,7 @@ def _number_words(batches: Iterator[pa.RecordBatch], known: pa.Table, kind: str)
             # The mark of a cut, -1, takes the last place.
             numbers = np.array([*(ask(word, _BREAK) for word in words), _BREAK], np.int64)
             made = numbers[np.frombuffer(ids, np.int32)].astype(kind).tobytes()
-            yield _stream(block, context, made, made)
+            yield _stream(block, context, made, b"")
 
 
 def _number_found_words(blocks: pa.Table, found: pa.Table, kind: str) -> pa.RecordBatch:
@@ -296,7 +298,7 @@ def _number_found_words(blocks: pa.Table, found: pa.Table, kind: str) -> pa.Reco
     row = {name: blocks.column(name)[0].as_py() for name in ("block", "context", "ids")}
     ids = np.frombuffer(row["ids"], np.int32).astype(np.int64)
     made = _known(ids, *_ordered(found, "local")).astype(kind).tobytes()
-    return _stream(row["block"], row["context"], made, made)
+    return _stream(row["block"], row["context"], made, b"")
 
 
 def _number_phrases(
@@ -308,7 +310,13 @@ def _number_phrases(
             at = _positions(grams, words, length, 0)
             out = np.full(len(words), _BREAK, np.int64)
             out[at] = _known(grams[at] * width + words[at + length], *known)
-            yield _stream(block, context, out.astype(new).tobytes(), words.astype(kind).tobytes())
+            # What no longer phrase can be made of is left out, and takes no room.
+            longer = _positions(out, words, length + 1, 0)
+            left, after = np.full(len(words), _BREAK, np.int64), np.full(len(words), _BREAK, np.int64)
+            for k in (longer, longer + 1):
+                left[k] = out[k]
+            after[longer + length + 1] = words[longer + length + 1]
+            yield _stream(block, context, left.astype(new).tobytes(), after.astype(kind).tobytes())
 
 
 def _number_found_phrases(streams: pa.Table, found: pa.Table, **how) -> pa.RecordBatch:
