@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweir.llm.tables import written
-from logweir.llm.textbytes import blocks
+from logweir.llm.textbytes import blocks, bytes_of
 
 #: Fixed value of the file format: the sign for a space.
 SPACE = "▁"
@@ -33,7 +33,12 @@ CHUNK = 32_768
 UNIT = 1000
 #: A byte of a character that no piece has costs as much as the rarest piece and so much more.
 BYTE_PENALTY = 10 * UNIT
-MEMORY = 300_000
+#: Words whose segmentations a Python worker remembers, in each of two generations.
+MEMORY = 60_000
+#: Words of up to so many characters are segmented together; so many of them at once.
+SHORT, AT_ONCE = 64, 8_000
+#: How far before its end a chunk looks for a place that no piece crosses.
+LOOK_BACK = 4096
 
 
 # --- the vocabulary -------------------------------------------------------------------------------------------------
@@ -47,7 +52,7 @@ class Vocabulary:
     longest: int
     text_of: list[bytes]
     apart: bool  # no piece has a space sign after another character
-    memory: dict[str, tuple[int, bytes]]
+    memory: list[dict[str, tuple[int, bytes]]]  # words met of late, and those met before
 
     def fallback(self, char: str) -> tuple[int, list[int]]:
         ids = [self.byte_ids[b] for b in char.encode()]
@@ -77,7 +82,64 @@ def vocabulary(path: str) -> Vocabulary:
             text[i] = bytes([b])
     apart = all(SPACE not in p.lstrip(SPACE) for p in scores)
     lowest = min(value.values(), default=0)
-    return Vocabulary(scores, byte_ids, lowest - BYTE_PENALTY, max(map(len, scores), default=1), text, apart, {})
+    return Vocabulary(scores, byte_ids, lowest - BYTE_PENALTY, max(map(len, scores), default=1), text, apart, [{}, {}])
+
+
+CODE_BITS = 21
+_EMPTY = np.int64(-1)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Trie:
+    """The pieces as a tree of characters, its branches in a table that many places ask at once.
+
+    A branch is told by its node and character together, so that nothing else is taken for it.
+    """
+
+    def __init__(self, pieces: dict[str, tuple[int, int]]):
+        branches: dict[tuple[int, int], int] = {}
+        self.score, self.id = [0], [-1]
+        for piece, (score, number) in pieces.items():
+            node = 0
+            for char in piece:
+                key = (node, ord(char))
+                if key not in branches:
+                    branches[key] = len(self.id)
+                    self.score.append(0)
+                    self.id.append(-1)
+                node = branches[key]
+            self.score[node], self.id[node] = score, number
+        self.score, self.id = np.array(self.score, np.int64), np.array(self.id, np.int64)
+        self.shift = np.uint64(64 - max(4, int(4 * len(branches) + 1).bit_length()))
+        size = 1 << (64 - int(self.shift))
+        # Room behind the end for branches that find their own place taken.
+        self.keys, self.nodes = np.full(size + 4096, _EMPTY), np.zeros(size + 4096, np.int64)
+        for (node, char), child in branches.items():
+            key = (node << CODE_BITS) | char
+            at = int(self._slots(np.array([key]))[0])
+            while self.keys[at] != _EMPTY:
+                at += 1
+            self.keys[at], self.nodes[at] = key, child
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * _SPREAD) >> self.shift).astype(np.int64)
+
+    def children(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The node that each character leads to, or -1."""
+        keys = (nodes << CODE_BITS) | chars
+        out, slots, left = np.full(len(keys), -1), self._slots(keys), np.arange(len(keys))
+        while len(left):
+            there = self.keys[slots[left]]
+            hit = there == keys[left]
+            out[left[hit]] = self.nodes[slots[left[hit]]]
+            left = left[~hit & (there != _EMPTY)]
+            slots[left] += 1
+        return out
+
+
+@lru_cache(maxsize=4)
+def _trie(v: Vocabulary) -> Trie:
+    return Trie(v.scores)
 
 
 # --- segmentation ---------------------------------------------------------------------------------------------------
@@ -124,17 +186,111 @@ WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 def segment(v: Vocabulary, text: str) -> tuple[int, bytes]:
     """Score and ids (four bytes each) of a text whose spaces are signs already."""
+    return segment_all(v, [text])[0]
+
+
+def segment_all(v: Vocabulary, texts: list[str]) -> list[tuple[int, bytes]]:
+    """``segment`` of each text; words that were not met before are segmented together."""
     if not v.apart:
-        return _segment(v, text)
-    words = WORD.findall(text)
-    if len(v.memory) > MEMORY:
-        v.memory.clear()
-    known = v.memory
+        return [_segment(v, t) for t in texts]
+    split = [WORD.findall(t) for t in texts]
+    words = {w for ws in split for w in ws}
+    if len(v.memory[0]) + len(words) > MEMORY:
+        v.memory[:] = [{}, v.memory[0]]
+    known, before = v.memory
+    missing = []
     for w in words:
         if w not in known:
-            known[w] = _segment(v, w)
-    found = [known[w] for w in words]
-    return sum(f[0] for f in found), b"".join([f[1] for f in found])
+            if w in before:
+                known[w] = before[w]
+            elif len(w) > SHORT:
+                known[w] = _segment(v, w)
+            else:
+                missing.append(w)
+    # Long and short ones apart, so that few steps are made for a few words.
+    missing.sort(key=len)
+    for at in range(0, len(missing), AT_ONCE):
+        part = missing[at : at + AT_ONCE]
+        known.update(zip(part, _segment_words(v, part), strict=True))
+    out = []
+    for ws in split:
+        found = [known[w] for w in ws]
+        out.append((sum([f[0] for f in found]), b"".join([f[1] for f in found])))
+    return out
+
+
+def _segment_words(v: Vocabulary, words: list[str]) -> list[tuple[int, bytes]]:
+    """``_segment`` of many words at once, place by place.
+
+    All places of all words go down the tree of pieces together, until no piece goes on; then the programme takes the
+    pieces by where they begin within their word. Of equal scores the earliest beginning stays, as for one word.
+    """
+    trie = _trie(v)
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+    begin = np.cumsum(size) - size
+    word = np.repeat(np.arange(len(words)), size)
+    end = (begin + size)[word]
+    at, node = np.arange(len(chars)), np.zeros(len(chars), np.int64)
+    starts, lengths, scores, ids = [], [], [], []
+    for length in range(1, v.longest + 1):
+        node = trie.children(node, chars[at + length - 1])
+        if length == 1:
+            # A character that is no piece goes on by its bytes.
+            other = at[(node < 0) | (trie.id[node] < 0)]
+            n_bytes = 1 + (chars[other] > 0x7F) + (chars[other] > 0x7FF) + (chars[other] > 0xFFFF)
+            starts.append(other)
+            scores.append(v.byte_score * n_bytes)
+            ids.append(np.full(len(other), -1))
+            lengths.append(np.ones(len(other), np.int64))
+        at, node = at[node >= 0], node[node >= 0]
+        whole = trie.id[node] >= 0
+        starts.append(at[whole])
+        scores.append(trie.score[node[whole]])
+        ids.append(trie.id[node[whole]])
+        lengths.append(np.full(int(whole.sum()), length))
+        more = at + length < end[at]
+        at, node = at[more], node[more]
+        if not len(at):
+            break
+    start, length, score, number = (np.concatenate(x) for x in (starts, lengths, scores, ids))
+    step = (start - begin[word[start]]) * (v.longest + 1) + length
+    order = np.argsort(step, kind="stable")
+    start, length, score, number, step = start[order], length[order], score[order], number[order], step[order]
+    # Word k has its places, one more than it has characters, from begin[k] + k on.
+    here = start + word[start]
+    there = here + length
+    best, came = np.full(len(chars) + len(words), np.iinfo(np.int64).min // 2), np.zeros(len(chars) + len(words), np.int64)
+    first = begin + np.arange(len(words))
+    best[first] = 0
+    cuts = [0, *(np.flatnonzero(step[1:] != step[:-1]) + 1).tolist(), len(step)]
+    for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+        made = best[here[i:j]] + score[i:j]
+        better = made > best[there[i:j]]
+        to = there[i:j][better]
+        best[to], came[to] = made[better], np.arange(i, j)[better]
+    # Back from the ends, all words at once.
+    place, on, taken = first + size, np.arange(len(words)), []
+    while len(on):
+        edge = came[place[on]]
+        taken.append((on, edge))
+        place[on] = here[edge]
+        on = on[place[on] > first[on]]
+    owner, edge = (np.concatenate(x) for x in zip(*taken, strict=True))
+    # The last pieces were taken first.
+    owner, edge = owner[::-1], edge[::-1]
+    order = np.argsort(owner, kind="stable")
+    owner, edge = owner[order], edge[order]
+    ends = np.cumsum(np.bincount(owner, minlength=len(words)))
+    raw = number[edge].astype("<u4").tobytes()
+    by_bytes = np.zeros(len(words), bool)
+    by_bytes[owner[number[edge] < 0]] = True
+    total = best[first + size].tolist()
+    out, i = [], 0
+    for k, j in enumerate(ends.tolist()):
+        out.append(_segment(v, words[k]) if by_bytes[k] else (total[k], raw[4 * i : 4 * j]))
+        i = j
+    return out
 
 
 def _segment(v: Vocabulary, text: str) -> tuple[int, bytes]:
@@ -236,28 +392,42 @@ def _id_lists(raw: list[bytes]) -> pa.Array:
 def _encoder(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        for block in blocks(batches, "text", 1_000_000):
-            found = [segment(v, signed(t)) for t in block.column("text").to_pylist()]
+        for block in blocks(batches, "text", 400_000):
+            found = segment_all(v, [signed(t) for t in block.column("text").to_pylist()])
             score = pa.array([f[0] for f in found], pa.int64())
             yield pa.record_batch({"id": block.column("id"), "score": score, "ids": _id_lists([f[1] for f in found])})
 
     return encode
 
 
+def _ends(v: Vocabulary, text: str, chunk: int) -> list[int]:
+    """Where the chunks of a text end: at the last place near ``chunk`` that no piece crosses, if there is one."""
+    ends, at = [], 0
+    while len(text) - at > chunk:
+        end = at + chunk
+        low = max(at + 1, end - LOOK_BACK)
+        safe = [m.start() for m in re.finditer(f"(?<=[^{SPACE}]){SPACE}", text[low - 1 : end + 1])] if v.apart else []
+        at = low - 1 + safe[-1] if safe else end
+        ends.append(at)
+    return [*ends, len(text)]
+
+
 def _chunker(path: str, chunk: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ahead = vocabulary(path).longest - 1
+        v = vocabulary(path)
+        ahead = v.longest - 1
         for block in blocks(batches, "text", 1_000_000):
             for i, t in zip(block.column("id").to_pylist(), block.column("text").to_pylist(), strict=True):
                 text, key = signed(t), uuid4().hex
-                at = range(0, len(text), chunk)
+                ends = _ends(v, text, chunk)
+                at = [0, *ends[:-1]]
                 yield pa.record_batch(
                     {
                         "id": pa.array([i] * len(at), pa.int64()),
                         "key": pa.array([key] * len(at)),
                         "no": pa.array(range(len(at)), pa.int32()),
-                        "part": pa.array([text[k : k + chunk] for k in at]),
-                        "ahead": pa.array([text[k + chunk : k + chunk + ahead] for k in at]),
+                        "part": pa.array([text[k:end] for k, end in zip(at, ends, strict=True)]),
+                        "ahead": pa.array([text[end : end + ahead] for end in ends]),
                     }
                 )
 
@@ -306,14 +476,20 @@ def _tracer(path: str):
 
 def _decoder(path: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text_of = vocabulary(path).text_of
+        text_of = pa.array(vocabulary(path).text_of, pa.large_binary())
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                raw = [b"".join([text_of[i] for i in ids])[1:] for ids in part.column("ids").to_pylist()]
-                crc = [zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in part.column("ids").to_pylist()]
-                text = pa.array([x.decode("utf-8", "replace") for x in raw], pa.string())
-                yield part.append_column("ids_crc32", pa.array(crc, pa.int64())).append_column("text", text)
+                lists = part.column("ids")
+                flat = lists.flatten()
+                ends = np.cumsum([0, *lists.value_lengths().to_numpy().tolist()])
+                raw_ids = flat.to_numpy().astype("<u4").tobytes()
+                # Bytes of all pieces one behind the other, and where each piece ends.
+                data, places = bytes_of(text_of.take(flat))
+                raw, edge = data.tobytes(), places[ends]
+                crc = [zlib.crc32(raw_ids[4 * i : 4 * j]) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+                text = [raw[i:j][1:].decode("utf-8", "replace") for i, j in zip(edge[:-1], edge[1:], strict=True)]
+                yield part.append_column("ids_crc32", pa.array(crc, pa.int64())).append_column("text", pa.array(text, pa.string()))
 
     return decode
 
@@ -326,8 +502,9 @@ def encode_pieces(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
     ``model`` is the path of a SentencePiece model file, on every machine. Spaces become space signs and one stands
     before the text, so a null or empty text is that sign alone. A character without a piece of its own is encoded
-    by its bytes. Of equally good segmentations one is taken that depends on the text and ``chunk`` alone. Repeated
-    rows give equal rows, an empty table gives none; other columns are ignored.
+    by its bytes. Of equally good segmentations of a word the one with the longest last piece is taken, and so on
+    backwards, whatever the chunks; only within a word longer than ``chunk`` the choice depends on where it is cut.
+    Repeated rows give equal rows, an empty table gives none; other columns are ignored.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     giant = F.char_length("text") >= chunk
