@@ -18,6 +18,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +30,21 @@ from pyspark.sql import functions as F
 from logweir.llm.tables import written
 from logweir.llm.textbytes import blocks
 
-#: The dictionary is trained on so many documents, those with the smallest hash of their id, up to so many ids each.
-SAMPLE_DOCS, SAMPLE_IDS = 1_000, 4_000
+#: The dictionary is trained on so many documents, those with the smallest hash of their id, and up to so many ids of
+#: each, in runs from places all over the document.
+SAMPLE_DOCS, SAMPLE_IDS, SAMPLE_RUN = 1_000, 4_000, 250
 DICTIONARY_BYTES = 64 * 1024
 BLOCK_BYTES = 1_000_000
 #: Words whose ids a Python worker remembers, in each of two generations.
 MEMORY = 400_000
 #: Where the tokenizer splits anyway: before points and commas at the end of a word.
-POINTS = re.compile(rb"(?<=[a-z])(?=[.,]+(?:\s|$))")
+POINTS = re.compile(rb"([.,])(?<=[a-z].)(?=[.,]*(?:\s|$))")
+#: Stands between words that are encoded in one call. The tokenizer sets it apart from letters and digits, so that
+#: its one id shows where the ids of a word end; words with it in them are encoded alone.
+BETWEEN = "|"
+#: Fixed value of the tokenizer: what a token that ends a run of characters ends with.
+WORD_END = "</w>"
+JOINED = 1_000
 LEVEL = 3
 
 
@@ -63,7 +71,7 @@ def _keys(text: str) -> list[bytes]:
     A text that may hold a special token keeps its case, as such tokens are told by it.
     """
     raw = text.encode()
-    return raw.split() if b"<|" in raw else POINTS.sub(b" ", raw.lower()).split()
+    return raw.split() if b"<|" in raw else POINTS.sub(rb" \1", raw.lower()).split()
 
 
 def id_width(path: str) -> int:
@@ -89,13 +97,58 @@ def encoded(texts: list[str], path: str, width: int, end: int) -> list[bytes]:
                 known[w] = before[w]
             else:
                 missing.append(w)
-    for at in range(0, len(missing), 10_000):
-        part = missing[at : at + 10_000]
-        found = _tokenizer(path).encode_batch([w.decode() for w in part], add_special_tokens=False)
-        for word, e in zip(part, found, strict=True):
-            known[word] = np.array(e.ids, f"<u{width}").tobytes()
+    known.update(zip(missing, _encode_words(missing, path, width), strict=True))
     last = end.to_bytes(width, "little")
-    return [b"".join([known[w] for w in ws]) + last for ws in split]
+    return [b"".join(map(known.__getitem__, ws)) + last for ws in split]
+
+
+@lru_cache(maxsize=2)
+def _last_tokens(path: str) -> np.ndarray:
+    """By id, whether a token is one that ends a run of letters; none where the vocabulary does not tell."""
+    vocabulary = _tokenizer(path).get_vocab(with_added_tokens=True)
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    out[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+    return out
+
+
+def _one_run(word: str) -> bool:
+    """Whether the tokenizer takes a word as one run of letters, as it stands."""
+    return word.isalpha() and (word.isascii() or (word.lower() == word and is_normalized("NFC", word)))
+
+
+def _encode_words(words: list[bytes], path: str, width: int) -> list[bytes]:
+    """The ids of each word. Calls cost more than words, so many are encoded as one text.
+
+    Where a word ends is told by tokens that end runs of letters, and for words of other characters by ``BETWEEN``,
+    which is put between them. What does not come out word by word is encoded alone.
+    """
+    tokenizer, kind = _tokenizer(path), f"<u{width}"
+    mark, last = tokenizer.encode(BETWEEN, add_special_tokens=False).ids, _last_tokens(path)
+    text_of = {w: w.decode() for w in words}
+    runs = [w for w in words if _one_run(text_of[w])] if last.any() else []
+    apart = set(runs)
+    others = [w for w in words if w not in apart and BETWEEN not in text_of[w]] if len(mark) == 1 else []
+    out: dict[bytes, bytes] = {}
+    for chosen, between in ((runs, " "), (others, f" {BETWEEN} ")):
+        parts = [chosen[at : at + JOINED] for at in range(0, len(chosen), JOINED)]
+        texts = [between.join([text_of[w] for w in part]) for part in parts]
+        for part, e in zip(parts, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, kind)
+            # Of a mark's id nothing stays; a last token is the word's own.
+            skip = chosen is others
+            ends = np.append(np.flatnonzero(ids == mark[0]), len(ids)) if skip else np.flatnonzero(last[ids]) + 1
+            if len(ends) != len(part):
+                continue
+            raw, at = ids.tobytes(), 0
+            for word, end in zip(part, ends.tolist(), strict=True):
+                out[word] = raw[at * width : end * width]
+                at = end + skip
+    alone = [w for w in words if w not in out]
+    for at in range(0, len(alone), 10_000):
+        part = alone[at : at + 10_000]
+        found = tokenizer.encode_batch_fast([text_of[w] for w in part], add_special_tokens=False)
+        out.update((word, np.array(e.ids, kind).tobytes()) for word, e in zip(part, found, strict=True))
+    return [out[w] for w in words]
 
 
 def words_are_apart(path: str) -> bool:
@@ -113,11 +166,23 @@ def _sampler(path: str, width: int, end: int):
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", 1_000_000):
             ids = encoded(block.column("text").to_pylist(), path, width, end)
-            yield pa.record_batch({"ids": pa.array([x[: SAMPLE_IDS * width] for x in ids], pa.binary())})
+            yield pa.record_batch({"ids": pa.array([_some_ids(x, width) for x in ids], pa.binary())})
 
     return sample
 
 
+def _some_ids(ids: bytes, width: int) -> bytes:
+    """All ids of a document, or runs of them from evenly spread places, begun at one that its ids decide."""
+    n = len(ids) // width
+    if n <= SAMPLE_IDS:
+        return ids
+    runs = SAMPLE_IDS // SAMPLE_RUN
+    step = n / runs
+    shift = zlib.crc32(ids) / 2**32 * (step - SAMPLE_RUN)
+    starts = [int(k * step + shift) * width for k in range(runs)]
+    return b"".join(ids[at : at + SAMPLE_RUN * width] for at in starts)
+
+
 def train_dictionary(texts: DataFrame, path: str, end: int) -> bytes:
     """A zstandard dictionary from a bounded sample of documents; empty if they are too few or too uniform."""
     width = id_width(path)
