@@ -41,8 +41,9 @@ DENSE_TILES = 8
 DENSE = TILE * TILE // 16
 #: Shares of a language's phrases that are ranked apart first.
 SALTS = 32
-#: Pairs counted at once by a task.
+#: Pairs counted at once by a task, and the rows of a batch that it hands on.
 AT_ONCE = 2_000_000
+BATCH_ROWS = 100_000
 #: Rows up to which a table of frequent words or phrases is sent to the tasks; a larger one is joined.
 BROADCAST = 1_000_000
 
@@ -161,10 +162,6 @@ def _kind(n: int) -> str:
     return "<i4" if n < 1 << 31 else "<i8"
 
 
-def _read(buffer: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(buffer, kind).astype(np.int64)
-
-
 def _positions(grams: np.ndarray, words: np.ndarray, length: int, context: int) -> np.ndarray:
     """Where a phrase of ``length`` + 1 words begins whose two shorter ones are frequent, and which isn't all context."""
     first = max(context - length, 0)
@@ -181,13 +178,13 @@ def count_pairs(a: np.ndarray, b: np.ndarray, width: int, with_places: bool = Tr
     Pairs of tiles that are filled come first; the others ascend.
     """
     side = TILE * DENSE_TILES
-    near = (a < side) & (b < side)
-    tile = np.where(near, a // TILE * DENSE_TILES + b // TILE, -1)
-    filled = np.bincount(tile[near], minlength=DENSE_TILES**2) >= DENSE
+    near = np.flatnonzero((a < side) & (b < side))
+    tile = a[near] // TILE * DENSE_TILES + b[near] // TILE
+    filled = np.bincount(tile, minlength=DENSE_TILES**2) >= DENSE
     codes, counts, places = [], [], []
     rest = np.ones(len(a), bool)
     for t in np.flatnonzero(filled):
-        inside = np.flatnonzero(tile == t)
+        inside = near[tile == t]
         rest[inside] = False
         cell = a[inside] % TILE * TILE + b[inside] % TILE
         n = np.bincount(cell, minlength=TILE * TILE)
@@ -197,14 +194,22 @@ def count_pairs(a: np.ndarray, b: np.ndarray, width: int, with_places: bool = Tr
         codes.append((t // DENSE_TILES * TILE + used // TILE) * width + t % DENSE_TILES * TILE + used % TILE)
         counts.append(n[used])
         places.append(place[used])
-    left = np.flatnonzero(rest)
-    sparse = a[left] * width + b[left]
+    del near, tile
+    # The arrays of a task's pairs are its memory: one of codes, sorted in place, and one of places if these are wanted.
+    left = np.flatnonzero(rest) if with_places else rest
+    sparse = a[left].astype(np.int64)
+    sparse *= width
+    sparse += b[left]
     if with_places:
-        found, where, n = np.unique(sparse, return_index=True, return_counts=True)
-        places.append(left[where])
+        order = np.argsort(sparse, kind="stable")
+        sparse = sparse[order]
     else:
-        found, n = np.unique(sparse, return_counts=True)
-    return np.concatenate([*codes, found]), np.concatenate([*counts, n]), np.concatenate([np.zeros(0, np.int64), *places])
+        sparse.sort()
+    new = np.flatnonzero(np.append(True, sparse[1:] != sparse[:-1])) if len(sparse) else np.zeros(0, np.int64)
+    if with_places:
+        places.append(left[order[new]])
+    n = np.diff(np.append(new, len(sparse)))
+    return np.concatenate([*codes, sparse[new]]), np.concatenate([*counts, n]), np.concatenate([np.zeros(0, np.int64), *places])
 
 
 _STREAMS = "block long, context int, grams binary, words binary"
@@ -213,9 +218,9 @@ _STREAMS = "block long, context int, grams binary, words binary"
 def _stream_rows(table: pa.RecordBatch, kind: str, gram_kind: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     for k in range(table.num_rows):
         block, context, grams, words = (table.column(name)[k].as_py() for name in ("block", "context", "grams", "words"))
-        found = _read(grams, gram_kind)
+        found = np.frombuffer(grams, gram_kind)
         # Of single words one column says all.
-        yield block, context, found, _read(words, kind) if words else found
+        yield block, context, found, np.frombuffer(words, kind) if words else found
 
 
 def _count(batches: Iterator[pa.RecordBatch], length: int, width: int, kind: str, gram_kind: str) -> Iterator[pa.RecordBatch]:
@@ -224,14 +229,17 @@ def _count(batches: Iterator[pa.RecordBatch], length: int, width: int, kind: str
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
 
-    def flush() -> pa.RecordBatch:
+    def flush() -> Iterator[pa.RecordBatch]:
         a, b, *suffix = (np.concatenate(parts) for parts in zip(*held, strict=True))
         held.clear()
         codes, counts, places = count_pairs(a, b, width, bool(suffix))
-        columns = {"code": pa.array(codes), "n": pa.array(counts)}
-        if suffix:
-            columns["suffix"] = pa.array(suffix[0][places])
-        return pa.RecordBatch.from_pydict(columns)
+        del a, b
+        for first in range(0, len(codes), BATCH_ROWS):
+            part = slice(first, first + BATCH_ROWS)
+            columns = {"code": pa.array(codes[part]), "n": pa.array(counts[part])}
+            if suffix:
+                columns["suffix"] = pa.array(suffix[0][places[part]].astype(np.int64))
+            yield pa.RecordBatch.from_pydict(columns)
 
     for batch in batches:
         for _, context, grams, words in _stream_rows(batch, kind, gram_kind):
@@ -240,10 +248,10 @@ def _count(batches: Iterator[pa.RecordBatch], length: int, width: int, kind: str
             held.append((grams[at], words[at + length], *rest))
             size += len(at)
             if size >= AT_ONCE:
-                yield flush()
+                yield from flush()
                 size = 0
     if held:
-        yield flush()
+        yield from flush()
 
 
 def _used(batches: Iterator[pa.RecordBatch], length: int, width: int, kind: str, gram_kind: str) -> Iterator[pa.RecordBatch]:
@@ -278,6 +286,13 @@ def _stream(block: int, context: int, grams: bytes, words: bytes) -> pa.RecordBa
     return pa.RecordBatch.from_pylist([row], schema=_ARROW_STREAMS)
 
 
+def _closed_up(numbers: np.ndarray, context: int) -> np.ndarray:
+    """One mark for each run of words that are not frequent. The context stays as it is."""
+    keep = (numbers >= 0) | np.append(True, numbers[:-1] >= 0)
+    keep[:context] = True
+    return numbers[keep]
+
+
 def _number_words(batches: Iterator[pa.RecordBatch], known: pa.Table, kind: str) -> Iterator[pa.RecordBatch]:
     """Blocks' own numbers of words turned into those of the corpus; -1 for words that are not frequent."""
     of: dict[str, dict[str, int]] = {}
@@ -289,7 +304,7 @@ def _number_words(batches: Iterator[pa.RecordBatch], known: pa.Table, kind: str)
             ask = of.get(lang, {}).get
             # The mark of a cut, -1, takes the last place.
             numbers = np.array([*(ask(word, _BREAK) for word in words), _BREAK], np.int64)
-            made = numbers[np.frombuffer(ids, np.int32)].astype(kind).tobytes()
+            made = _closed_up(numbers[np.frombuffer(ids, np.int32)], context).astype(kind).tobytes()
             yield _stream(block, context, made, b"")
 
 
@@ -297,8 +312,8 @@ def _number_found_words(blocks: pa.Table, found: pa.Table, kind: str) -> pa.Reco
     """The same for one block and what joins have found for its words."""
     row = {name: blocks.column(name)[0].as_py() for name in ("block", "context", "ids")}
     ids = np.frombuffer(row["ids"], np.int32).astype(np.int64)
-    made = _known(ids, *_ordered(found, "local")).astype(kind).tobytes()
-    return _stream(row["block"], row["context"], made, b"")
+    made = _closed_up(_known(ids, *_ordered(found, "local")), row["context"])
+    return _stream(row["block"], row["context"], made.astype(kind).tobytes(), b"")
 
 
 def _number_phrases(
@@ -309,14 +324,19 @@ def _number_phrases(
         for block, context, grams, words in _stream_rows(batch, kind, old):
             at = _positions(grams, words, length, 0)
             out = np.full(len(words), _BREAK, np.int64)
-            out[at] = _known(grams[at] * width + words[at + length], *known)
-            # What no longer phrase can be made of is left out, and takes no room.
+            out[at] = _known(grams[at].astype(np.int64) * width + words[at + length], *known)
+            # What no longer phrase can be made of is left out, and takes no room. The last place of each run that stays
+            # has no number, so none begins there that goes on in the next run.
             longer = _positions(out, words, length + 1, 0)
             left, after = np.full(len(words), _BREAK, np.int64), np.full(len(words), _BREAK, np.int64)
             for k in (longer, longer + 1):
                 left[k] = out[k]
             after[longer + length + 1] = words[longer + length + 1]
-            yield _stream(block, context, left.astype(new).tobytes(), after.astype(kind).tobytes())
+            keep = np.zeros(len(words), bool)
+            keep[: max(context, 1)] = True
+            for k in range(length + 2):
+                keep[longer + k] = True
+            yield _stream(block, context, left[keep].astype(new).tobytes(), after[keep].astype(kind).tobytes())
 
 
 def _number_found_phrases(streams: pa.Table, found: pa.Table, **how) -> pa.RecordBatch:

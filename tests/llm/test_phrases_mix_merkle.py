@@ -90,6 +90,19 @@ def test_pairs_in_dense_tiles():
     assert (a[places] * 9000 + b[places] == codes).all()
 
 
+def test_streams_hold_no_more_than_phrases_need():
+    words = np.array([-1] * 500 + [1, 2, 3, 4] + [-1] * 500, "<i4")
+    assert collocations._closed_up(words, 3).tolist() == [-1, -1, -1, 1, 2, 3, 4, -1]
+    stream = collocations._stream(7, 0, words.tobytes(), b"")
+    how = {"length": 1, "width": 10, "kind": "<i4"}
+    known = np.array([12, 23, 34]), np.array([5, 6, 7])
+    [made] = collocations._number_phrases(iter([stream]), known, **how, old="<i4", new="<i4")
+    grams, after = (np.frombuffer(made.column(c)[0].as_py(), "<i4").tolist() for c in ("grams", "words"))
+    assert (grams, after) == ([-1, 5, 6, 7, -1], [-1, -1, -1, 3, 4])
+    [counted] = collocations._count(iter([made]), **(how | {"length": 2}), gram_kind="<i4")
+    assert counted.to_pydict() == {"code": [53, 64], "n": [1, 1], "suffix": [6, 7]}
+
+
 def test_scores_beyond_64_bits(spark):
     rows = [(9_000_000_000_000_000_000, 9_000_000_000_000_000_000, 9_000_000_000_000_000_001), (3, 2, 5), (1, 999_999, 1_000_002)]
     got = spark.createDataFrame(rows, "a long, l long, r long").select(cut_score(F.col("a"), F.col("l"), F.col("r")).alias("s"))
