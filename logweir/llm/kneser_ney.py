@@ -177,9 +177,9 @@ def train(texts: DataFrame, order: int = ORDER, text_col: str = "text") -> Model
         levels = counts[k].agg(*(F.count_if(F.col("n") == c).alias(f"n{c}") for c in (1, 2, 3, 4))).first()
         cuts = discounts(list(levels))
         if k <= DENSE:
-            seen = counts[k].toPandas()
+            seen = counts[k].toArrow()
             dense = np.zeros(256**k, np.int64)
-            dense[seen["code"].to_numpy(np.int64)] = seen["n"].to_numpy(np.int64)
+            dense[seen["code"].to_numpy()] = seen["n"].to_numpy()
             low = dense_level(dense, cuts, low)
             continue
         cut = F.when(F.col("n") == 1, cuts[0]).when(F.col("n") == 2, cuts[1]).otherwise(cuts[2])
@@ -357,9 +357,10 @@ def document_scores(
     asked = written(ngram_counts(texts, model.order), "kn-corpus")
     # A heap of ``head`` rows in each task; ties by code, so that the choice is the same in a second run.
     frequent = written(asked.orderBy(F.desc("n"), "code").limit(head).select("code"), "kn-head")
-    top = model.score(frequent).orderBy("code").toPandas()
+    # As Arrow columns: single rows of them would take the driver fifty times the room.
+    top = model.score(frequent).toArrow().sort_by("code")
     rare = written(model.score(asked.join(frequent, "code", "left_anti")), "kn-rare")
-    scorer = _scorer(model.order, "text", top.code.to_numpy(np.int64), top.log_p.to_numpy(np.float64), window, PIECE)
+    scorer = _scorer(model.order, "text", top["code"].to_numpy(), top["log_p"].to_numpy(), window, PIECE)
     schema = "id long, piece long, code long, n long, log_p double, worst double, logs binary, places array<int>"
     found = written(texts.mapInArrow(scorer, schema), "kn-parts")
     heads = found.filter("code is null").select("id", "piece", F.col("n").alias("n_bytes"), "log_p", "worst", "logs")

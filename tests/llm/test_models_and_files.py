@@ -244,6 +244,12 @@ def test_worst_stretches(spark, monkeypatch):
                 assert got[k].n_bytes == len(raw) and got[k].log_p == pytest.approx(sum(logs))
 
 
+def test_no_rows_on_the_driver(spark, monkeypatch):
+    docs = documents(spark, [(i, "some words and more words " * i, "en") for i in range(1, 6)])
+    monkeypatch.setattr(type(docs), "toPandas", lambda df: pytest.fail("rows"))
+    assert document_scores(docs, train(docs.filter("doc_id < 4"), 5)).count() == 5
+
+
 def test_few_bad_words_are_found(spark):
     """Recall on toxic and junk documents, whose mean is like that of good ones, and loss of unlabelled good ones."""
     good = [(1000 + k, prose(7, 3000)[31 * k % 9000 :][:1500], "en") for k in range(500)]
