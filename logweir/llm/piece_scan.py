@@ -199,14 +199,13 @@ def segment_all(v: Vocabulary, texts: list[str]) -> list[tuple[int, bytes]]:
         v.memory[:] = [{}, v.memory[0]]
     known, before = v.memory
     missing = []
-    for w in words:
-        if w not in known:
-            if w in before:
-                known[w] = before[w]
-            elif len(w) > SHORT:
-                known[w] = _segment(v, w)
-            else:
-                missing.append(w)
+    for w in words.difference(known):
+        if w in before:
+            known[w] = before[w]
+        elif len(w) > SHORT:
+            known[w] = _segment(v, w)
+        else:
+            missing.append(w)
     # Long and short ones apart, so that few steps are made for a few words.
     missing.sort(key=len)
     for at in range(0, len(missing), AT_ONCE):
@@ -214,8 +213,8 @@ def segment_all(v: Vocabulary, texts: list[str]) -> list[tuple[int, bytes]]:
         known.update(zip(part, _segment_words(v, part), strict=True))
     out = []
     for ws in split:
-        found = [known[w] for w in ws]
-        out.append((sum([f[0] for f in found]), b"".join([f[1] for f in found])))
+        scores, ids = zip(*map(known.__getitem__, ws), strict=True) if ws else ((), ())
+        out.append((sum(scores), b"".join(ids)))
     return out
 
 
@@ -238,9 +237,8 @@ def _segment_words(v: Vocabulary, words: list[str]) -> list[tuple[int, bytes]]:
         if length == 1:
             # A character that is no piece goes on by its bytes.
             other = at[(node < 0) | (trie.id[node] < 0)]
-            n_bytes = 1 + (chars[other] > 0x7F) + (chars[other] > 0x7FF) + (chars[other] > 0xFFFF)
             starts.append(other)
-            scores.append(v.byte_score * n_bytes)
+            scores.append(v.byte_score * _n_bytes(chars[other]))
             ids.append(np.full(len(other), -1))
             lengths.append(np.ones(len(other), np.int64))
         at, node = at[node >= 0], node[node >= 0]
@@ -281,18 +279,27 @@ def _segment_words(v: Vocabulary, words: list[str]) -> list[tuple[int, bytes]]:
     owner, edge = owner[::-1], edge[::-1]
     order = np.argsort(owner, kind="stable")
     owner, edge = owner[order], edge[order]
-    ends = np.cumsum(np.bincount(owner, minlength=len(words)))
-    raw = number[edge].astype("<u4").tobytes()
-    by_bytes = np.zeros(len(words), bool)
-    by_bytes[owner[number[edge] < 0]] = True
-    total = best[first + size].tolist()
+    # A character that is no piece takes an id for each of its bytes.
+    number, char = number[edge], chars[start[edge]]
+    other = number < 0
+    times = np.where(other, _n_bytes(char), 1)
+    owner, number = np.repeat(owner, times), np.repeat(number, times)
+    data = char[other].astype("<u4").tobytes().decode("utf-32-le").encode()
+    number[np.repeat(other, times)] = np.array(v.byte_ids)[np.frombuffer(data, np.uint8)]
+    ends = 4 * np.cumsum(np.bincount(owner, minlength=len(words)))
+    raw, total = number.astype("<u4").tobytes(), best[first + size].tolist()
     out, i = [], 0
-    for k, j in enumerate(ends.tolist()):
-        out.append(_segment(v, words[k]) if by_bytes[k] else (total[k], raw[4 * i : 4 * j]))
+    for score_of, j in zip(total, ends.tolist(), strict=True):
+        out.append((score_of, raw[i:j]))
         i = j
     return out
 
 
+def _n_bytes(chars: np.ndarray) -> np.ndarray:
+    """Bytes of characters in UTF-8."""
+    return 1 + (chars > 0x7F) + (chars > 0x7FF) + (chars > 0xFFFF)
+
+
 def _segment(v: Vocabulary, text: str) -> tuple[int, bytes]:
     best, came = _best(v, text, 0, len(text))
     return best[-1] or 0, np.array(_ids(v, text, came, 0, len(text)), "<u4").tobytes()

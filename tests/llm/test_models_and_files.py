@@ -396,6 +396,14 @@ def test_words_together_and_alone():
     assert piece_scan._segment_words(v, words) == [piece_scan._segment(v, w) for w in words]
 
 
+def test_words_of_bytes_together(monkeypatch):
+    v = vocabulary(PIECES)
+    words = [SPACE + "der.\nCha", "\n", "a\n\nb\x7f", SPACE + "\U0001f600\u0600x\n", "x"]
+    alone = [piece_scan._segment(v, w) for w in words]
+    monkeypatch.setattr(piece_scan, "_segment", lambda v, text: pytest.fail(f"{text!r} alone"))
+    assert piece_scan._segment_words(v, words) == alone
+
+
 def test_choice_does_not_depend_on_chunks(spark):
     """Very long texts give the ids of their words, one after the other."""
     rows = [r for r in odd_rows() if r[0] in (8, 9, 11)] + [(12, "née ".join(["The cat, sat on  the mat."] * 4000), "en")]
