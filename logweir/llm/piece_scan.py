@@ -39,6 +39,8 @@ MEMORY = 60_000
 SHORT, AT_ONCE = 64, 8_000
 #: How far before its end a chunk looks for a place that no piece crosses.
 LOOK_BACK = 4096
+#: Chunks of a batch that are Python values at the same time, and ids that are decoded at once.
+CHUNKS_AT_ONCE, IDS_AT_ONCE = 8, 200_000
 
 
 # --- the vocabulary -------------------------------------------------------------------------------------------------
@@ -368,19 +370,19 @@ def states(matrices: list[dict[tuple[int, int], int]]) -> tuple[int, list[tuple[
     return sums[-1][0, 0], ways[::-1]
 
 
-def trace(v: Vocabulary, chunk: str, ahead: str, enter: int, leave: int) -> list[int]:
+def trace(v: Vocabulary, chunk: str, ahead: str, enter: int, leave: int) -> np.ndarray:
     """Ids of the pieces that begin in a chunk, on the best way between two states."""
     text, n = chunk + ahead, len(chunk)
     if enter >= n:
-        return []
+        return np.zeros(0, "<u4")
     safe = _safe(v, text, n)
     if not safe:
-        return _ids(v, text, _best(v, text, enter, n)[1], enter, n + leave)
+        return np.array(_ids(v, text, _best(v, text, enter, n)[1], enter, n + leave), "<u4")
     first, last = safe
-    head = _ids(v, text[:first], _best(v, text[:first], enter, first)[1], enter, first)
-    middle = np.frombuffer(segment(v, text[first:last])[1], "<u4").tolist()
+    head = np.array(_ids(v, text[:first], _best(v, text[:first], enter, first)[1], enter, first), "<u4")
+    middle = np.frombuffer(segment(v, text[first:last])[1], "<u4")
     rest = text[last:]
-    return head + middle + _ids(v, rest, _best(v, rest, 0, n - last)[1], 0, n - last + leave)
+    return np.concatenate([head, middle, np.array(_ids(v, rest, _best(v, rest, 0, n - last)[1], 0, n - last + leave), "<u4")])
 
 
 # --- tasks ----------------------------------------------------------------------------------------------------------------
@@ -444,10 +446,17 @@ def _chunker(path: str, chunk: int):
 ENTRY = pa.list_(pa.struct([("i", pa.int32()), ("j", pa.int32()), ("s", pa.int64())]))
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds a few chunks, as a batch may be all of a task."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, CHUNKS_AT_ONCE):
+            yield batch.slice(at, CHUNKS_AT_ONCE)
+
+
 def _transferrer(path: str):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        for batch in batches:
+        for batch in _few(batches):
             pairs = zip(batch.column("part").to_pylist(), batch.column("ahead").to_pylist(), strict=True)
             made = [[{"i": i, "j": j, "s": s} for (i, j), s in transfer(v, p, a).items()] for p, a in pairs]
             yield batch.select(["key", "no"]).append_column("entries", pa.array(made, ENTRY))
@@ -457,7 +466,8 @@ def _transferrer(path: str):
 
 def _scanner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for key, chunks in zip(batch.column("key").to_pylist(), batch.column("chunks").to_pylist(), strict=True):
+        for row in range(batch.num_rows):
+            key, chunks = batch.column("key")[row].as_py(), batch.column("chunks")[row].as_py()
             score, ways = states([{(e["i"], e["j"]): e["s"] for e in c["entries"]} for c in chunks])
             yield pa.record_batch(
                 {
@@ -473,20 +483,30 @@ def _scanner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _tracer(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        for batch in batches:
+        for batch in _few(batches):
             rows = zip(*(batch.column(k).to_pylist() for k in ("part", "ahead", "enter", "leave")), strict=True)
-            ids = [trace(v, *r) for r in rows]
-            yield batch.select(["id", "key", "no", "score"]).append_column("ids", pa.array(ids, pa.list_(pa.int32())))
+            ids = _id_lists([trace(v, *r).tobytes() for r in rows])
+            yield batch.select(["id", "key", "no", "score"]).append_column("ids", ids)
 
     return run
 
 
+def _of_ids(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each part has 200 rows and ``IDS_AT_ONCE`` ids at most, or a single row."""
+    ends = np.cumsum([0, *batch.column("ids").value_lengths().to_numpy().tolist()])
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(ends, ends[at] + IDS_AT_ONCE, side="right")) - 1
+        end = min(max(end, at + 1), at + 200, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _decoder(path: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text_of = pa.array(vocabulary(path).text_of, pa.large_binary())
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
+            for part in _of_ids(batch):
                 lists = part.column("ids")
                 flat = lists.flatten()
                 ends = np.cumsum([0, *lists.value_lengths().to_numpy().tolist()])

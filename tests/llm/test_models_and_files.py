@@ -1,11 +1,14 @@
 import itertools
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from math import exp, log
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import zstandard
 from edge import documents, odd_rows, prose
@@ -418,6 +421,37 @@ def test_choice_does_not_depend_on_chunks(spark):
         assert {r.doc_id: r.text for r in decode_pieces(made, PIECES).collect()} == {i: t for i, t, _ in rows}
 
 
+def peak_of(task, batch, column, want):
+    """The most that Python and numpy hold while a task works on a batch and each row of its ``column`` is ``want``."""
+    tracemalloc.start()
+    n = 0
+    for made in task(iter([batch])):
+        assert pc.all(pc.equal(made.column(column), want)).as_py()
+        n += made.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == batch.num_rows
+    return peak
+
+
+def test_memory_does_not_grow_with_a_batch():
+    """A batch, which may be all of a task, is not held as Python values: neither its chunks nor their ids."""
+    chunk = SPACE + SPACE.join(["the", "cat", "sat", "née", "1234"] * 1000)
+    score, raw = piece_scan.segment(vocabulary(PIECES), chunk)
+    n, ids = 120, np.frombuffer(raw, "<i4")
+    zeros = pa.array([0] * n, pa.int32())
+    numbers = {"id": pa.array(range(n)), "key": pa.array(map(str, range(n))), "no": zeros, "enter": zeros, "leave": zeros}
+    texts = {"part": pa.array([chunk] * n), "ahead": pa.array([""] * n), "score": pa.array([score] * n)}
+    batch = pa.record_batch(numbers | texts)
+    assert peak_of(piece_scan._transferrer(PIECES), batch, "no", 0) < 3_000_000
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * len(ids)), pa.array(np.tile(ids, n)))
+    batch = pa.record_batch({"id": numbers["id"], "ids": lists})
+    for rows in (batch, batch.slice(1)):
+        assert peak_of(piece_scan._decoder(PIECES), rows, "text", chunk.replace(SPACE, " ")[1:]) < 9_000_000
+    counted = lambda batches: (b.append_column("n", b.column("ids").value_lengths()) for b in piece_scan._tracer(PIECES)(batches))
+    assert peak_of(counted, pa.record_batch(numbers | texts), "n", len(ids)) < 6_000_000
+
+
 def test_matrices_without_word_borders():
     """A vocabulary whose pieces cross words: no place is safe, and chunks still give the best score."""
     pieces = {c: (-10 * k - 50, k) for k, c in enumerate("abc" + SPACE)} | {"a" + SPACE + "b": (-30, 7), "bc" + SPACE: (-41, 8), "ca": (-60, 9)}
