@@ -34,7 +34,7 @@ UNIT = 1000
 #: A byte of a character that no piece has costs as much as the rarest piece and so much more.
 BYTE_PENALTY = 10 * UNIT
 #: Words whose segmentations a Python worker remembers, in each of two generations.
-MEMORY = 60_000
+MEMORY = 100_000
 #: Words of up to so many characters are segmented together; so many of them at once.
 SHORT, AT_ONCE = 64, 8_000
 #: How far before its end a chunk looks for a place that no piece crosses.
@@ -54,7 +54,7 @@ class Vocabulary:
     longest: int
     text_of: list[bytes]
     apart: bool  # no piece has a space sign after another character
-    memory: list[dict[str, tuple[int, bytes]]]  # words met of late, and those met before
+    memory: list[dict[str, bytes]]  # ids of words met of late, and of those met before
 
     def fallback(self, char: str) -> tuple[int, list[int]]:
         ids = [self.byte_ids[b] for b in char.encode()]
@@ -129,13 +129,18 @@ class Trie:
     def children(self, nodes: np.ndarray, chars: np.ndarray) -> np.ndarray:
         """The node that each character leads to, or -1."""
         keys = (nodes << CODE_BITS) | chars
-        out, slots, left = np.full(len(keys), -1), self._slots(keys), np.arange(len(keys))
+        slots = self._slots(keys)
+        there = self.keys[slots]
+        hit = there == keys
+        out = np.where(hit, self.nodes[slots], -1)
+        # Most are settled by the first look.
+        left = np.flatnonzero(~hit & (there != _EMPTY))
         while len(left):
+            slots[left] += 1
             there = self.keys[slots[left]]
             hit = there == keys[left]
             out[left[hit]] = self.nodes[slots[left[hit]]]
             left = left[~hit & (there != _EMPTY)]
-            slots[left] += 1
         return out
 
 
@@ -144,6 +149,15 @@ def _trie(v: Vocabulary) -> Trie:
     return Trie(v.scores)
 
 
+@lru_cache(maxsize=4)
+def _score_of(v: Vocabulary) -> np.ndarray:
+    """The score of each id; one that is no piece's stands for a byte."""
+    out = np.full(max([*v.byte_ids, *(i for _, i in v.scores.values())]) + 1, v.byte_score, np.int64)
+    for score, i in v.scores.values():
+        out[i] = score
+    return out
+
+
 # --- segmentation ---------------------------------------------------------------------------------------------------
 
 
@@ -196,32 +210,38 @@ def segment_all(v: Vocabulary, texts: list[str]) -> list[tuple[int, bytes]]:
     if not v.apart:
         return [_segment(v, t) for t in texts]
     split = [WORD.findall(t) for t in texts]
-    words = {w for ws in split for w in ws}
+    words = set().union(*split)
     if len(v.memory[0]) + len(words) > MEMORY:
         v.memory[:] = [{}, v.memory[0]]
     known, before = v.memory
-    missing = []
-    for w in words.difference(known):
-        if w in before:
-            known[w] = before[w]
-        elif len(w) > SHORT:
-            known[w] = _segment(v, w)
-        else:
-            missing.append(w)
+    new = words.difference(known)
+    met = [w for w in new if w in before]
+    known.update(zip(met, map(before.__getitem__, met), strict=True))
     # Long and short ones apart, so that few steps are made for a few words.
-    missing.sort(key=len)
+    missing = sorted(new.difference(met), key=len)
+    while missing and len(missing[-1]) > SHORT:
+        word = missing.pop()
+        known[word] = _segment(v, word)[1]
     for at in range(0, len(missing), AT_ONCE):
         part = missing[at : at + AT_ONCE]
-        known.update(zip(part, _segment_words(v, part), strict=True))
-    out = []
-    for ws in split:
-        scores, ids = zip(*map(known.__getitem__, ws), strict=True) if ws else ((), ())
-        out.append((sum(scores), b"".join(ids)))
-    return out
+        known.update(zip(part, _word_ids(v, part), strict=True))
+    return _scored(v, [b"".join(map(known.__getitem__, ws)) for ws in split])
+
+
+def _scored(v: Vocabulary, ids: list[bytes]) -> list[tuple[int, bytes]]:
+    """Ids of texts with their scores."""
+    ends = np.cumsum([0, *(len(x) // 4 for x in ids)])
+    sums = np.cumsum(np.concatenate(([0], _score_of(v)[np.frombuffer(b"".join(ids), "<u4")])))
+    return list(zip((sums[ends[1:]] - sums[ends[:-1]]).tolist(), ids, strict=True))
 
 
 def _segment_words(v: Vocabulary, words: list[str]) -> list[tuple[int, bytes]]:
-    """``_segment`` of many words at once, place by place.
+    """``_segment`` of many words at once."""
+    return _scored(v, _word_ids(v, words))
+
+
+def _word_ids(v: Vocabulary, words: list[str]) -> list[bytes]:
+    """The ids of many words' best segmentations, found together, place by place.
 
     All places of all words go down the tree of pieces together, until no piece goes on; then the programme takes the
     pieces by where they begin within their word. Of equal scores the earliest beginning stays, as for one word.
@@ -233,42 +253,47 @@ def _segment_words(v: Vocabulary, words: list[str]) -> list[tuple[int, bytes]]:
     word = np.repeat(np.arange(len(words)), size)
     end = (begin + size)[word]
     at, node = np.arange(len(chars)), np.zeros(len(chars), np.int64)
-    starts, lengths, scores, ids = [], [], [], []
+    # Small numbers are sorted in less time.
+    within = (at - begin[word]).astype(np.min_scalar_type(int(size.max())))
+    # Word k has its places, one more than it has characters, from begin[k] + k on.
+    places = at + word
+    starts, lengths, nodes = [], [], []
     for length in range(1, v.longest + 1):
         node = trie.children(node, chars[at + length - 1])
         if length == 1:
             # A character that is no piece goes on by its bytes.
             other = at[(node < 0) | (trie.id[node] < 0)]
             starts.append(other)
-            scores.append(v.byte_score * _n_bytes(chars[other]))
-            ids.append(np.full(len(other), -1))
+            nodes.append(np.zeros(len(other), np.int64))
             lengths.append(np.ones(len(other), np.int64))
-        at, node = at[node >= 0], node[node >= 0]
+        on = node >= 0
+        at, node = at[on], node[on]
         whole = trie.id[node] >= 0
         starts.append(at[whole])
-        scores.append(trie.score[node[whole]])
-        ids.append(trie.id[node[whole]])
-        lengths.append(np.full(int(whole.sum()), length))
+        nodes.append(node[whole])
+        lengths.append(np.full(len(starts[-1]), length))
         more = at + length < end[at]
         at, node = at[more], node[more]
         if not len(at):
             break
-    start, length, score, number = (np.concatenate(x) for x in (starts, lengths, scores, ids))
-    step = (start - begin[word[start]]) * (v.longest + 1) + length
-    order = np.argsort(step, kind="stable")
-    start, length, score, number, step = start[order], length[order], score[order], number[order], step[order]
-    # Word k has its places, one more than it has characters, from begin[k] + k on.
-    here = start + word[start]
+    start, length, node = (np.concatenate(x) for x in (starts, lengths, nodes))
+    order = np.argsort(within[start], kind="stable")
+    start, length, node = start[order], length[order], node[order]
+    # The root is no piece and stands for bytes.
+    number = trie.id[node]
+    score = np.where(number < 0, v.byte_score * _n_bytes(chars[start]), trie.score[node])
+    here = places[start]
     there = here + length
     best, came = np.full(len(chars) + len(words), np.iinfo(np.int64).min // 2), np.zeros(len(chars) + len(words), np.int64)
     first = begin + np.arange(len(words))
     best[first] = 0
-    cuts = [0, *(np.flatnonzero(step[1:] != step[:-1]) + 1).tolist(), len(step)]
+    # Pieces that begin at the same place of a word end at different ones.
+    cuts = [0, *np.cumsum(np.bincount(within[start])).tolist()]
     for i, j in zip(cuts[:-1], cuts[1:], strict=True):
         made = best[here[i:j]] + score[i:j]
-        better = made > best[there[i:j]]
+        better = np.flatnonzero(made > best[there[i:j]])
         to = there[i:j][better]
-        best[to], came[to] = made[better], np.arange(i, j)[better]
+        best[to], came[to] = made[better], better + i
     # Back from the ends, all words at once.
     place, on, taken = first + size, np.arange(len(words)), []
     while len(on):
@@ -279,7 +304,7 @@ def _segment_words(v: Vocabulary, words: list[str]) -> list[tuple[int, bytes]]:
     owner, edge = (np.concatenate(x) for x in zip(*taken, strict=True))
     # The last pieces were taken first.
     owner, edge = owner[::-1], edge[::-1]
-    order = np.argsort(owner, kind="stable")
+    order = np.argsort(owner.astype(np.min_scalar_type(len(words))), kind="stable")
     owner, edge = owner[order], edge[order]
     # A character that is no piece takes an id for each of its bytes.
     number, char = number[edge], chars[start[edge]]
@@ -288,13 +313,9 @@ def _segment_words(v: Vocabulary, words: list[str]) -> list[tuple[int, bytes]]:
     owner, number = np.repeat(owner, times), np.repeat(number, times)
     data = char[other].astype("<u4").tobytes().decode("utf-32-le").encode()
     number[np.repeat(other, times)] = np.array(v.byte_ids)[np.frombuffer(data, np.uint8)]
-    ends = 4 * np.cumsum(np.bincount(owner, minlength=len(words)))
-    raw, total = number.astype("<u4").tobytes(), best[first + size].tolist()
-    out, i = [], 0
-    for score_of, j in zip(total, ends.tolist(), strict=True):
-        out.append((score_of, raw[i:j]))
-        i = j
-    return out
+    ends = (4 * np.cumsum(np.bincount(owner, minlength=len(words)))).tolist()
+    raw = number.astype("<u4").tobytes()
+    return list(map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends)))
 
 
 def _n_bytes(chars: np.ndarray) -> np.ndarray:
